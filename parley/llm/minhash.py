@@ -15,6 +15,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 #: Rounds in which one text of each bucket is compared with the rest before what is left is compared in full.
 STAR_ROUNDS = 6
+#: Buckets of so many representatives at most are compared in full at once.
+SMALL_BUCKET = 8
 
 _U = np.uint64
 _STEP, _PLACE, _SLOT = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -165,9 +167,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 
     Two documents are linked when their multisets of five-word shingles have a weighted Jaccard similarity of
     `threshold` or more. Texts with equal multisets are one representative from the start, so copies are never
-    paired. Within a bucket of equal bands, one representative is compared with all those not yet connected to
-    it, in a few rounds; what then still lies in different classes of one bucket is compared pair by pair. So all
-    links between representatives that share a bucket are found, without all pairs of a group of near copies.
+    paired. Small buckets of equal bands are compared in full. In a large one, one representative is compared with
+    all those not yet connected to it, in a few rounds, until few pairs are left between different classes of a
+    bucket; these are then compared one by one. So every two representatives that share a bucket and are similar
+    end in one class, without all pairs of a group of near copies.
 
     Texts without a word (null, empty) belong to no group: each is its own class. A row without doc_id takes no
     part. Rows that repeat a doc_id give one row, in the class of the least of its texts' keys.
@@ -179,38 +182,49 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     reps = saved(sig.join(by_key.select("rep"), F.col("doc_id") == F.col("rep")).select("rep", "key", "n", "bands"), "representatives")
     buckets = reps.select("rep", "n", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    buckets = saved(buckets.join(crowded, "bucket", "left_semi"), "buckets")
+    buckets = saved(buckets.join(crowded, "bucket"), "buckets")
     wanted = reps.join(buckets.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("doc_id"), "key")
     texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text")
     texts = texts.join(wanted.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     bag = saved(bag_sets(texts).join(wanted, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).select("doc_id", "bag"), "bags")
 
+    def side(of: DataFrame, name: str) -> DataFrame:
+        return of.select("bucket", F.col("rep").alias(name), F.col("comp").alias(f"comp_{name}"), F.col("n").alias(f"n_{name}"))
+
+    def full(of: DataFrame) -> DataFrame:
+        return side(of, "a").join(side(of, "b"), "bucket").filter("comp_a < comp_b")
+
+    def star(of: DataFrame, turn: int) -> DataFrame:
+        order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "comp", "n")
+        lead = of.groupBy("bucket").agg(F.min(order).alias("lead")).select("bucket", "lead.*")
+        return side(lead, "a").join(side(of, "b"), "bucket").filter("comp_a <> comp_b")
+
     label = reps.select("rep", F.col("rep").alias("comp"))
+    large = buckets.filter(F.col("m") > SMALL_BUCKET)
     links = None
     for turn in range(STAR_ROUNDS + 1):
-        at = buckets.join(label, "rep")
-        if turn:
-            mixed = at.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket")
-            at = saved(at.join(mixed, "bucket", "left_semi"), "mixed")
-            if at.isEmpty():
-                break
-        if turn < STAR_ROUNDS:
-            order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "comp", "n") if turn else F.struct(F.lit(0).alias("h"), "rep", "comp", "n")
-            lead = at.groupBy("bucket").agg(F.min(order).alias("lead"))
-            pairs = at.join(lead, "bucket").select(F.col("lead.rep").alias("a"), F.col("lead.comp").alias("comp_a"), F.col("lead.n").alias("n_a"), F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"))
-            pairs = pairs.filter("comp_a <> comp_b")
+        last = False
+        if turn == 0:
+            fresh = buckets.withColumn("comp", F.col("rep"))
+            pairs = full(fresh.filter(F.col("m") <= SMALL_BUCKET)).union(star(fresh.filter(F.col("m") > SMALL_BUCKET), turn))
         else:
-            other = at.select("bucket", F.col("rep").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"))
-            pairs = other.join(at.select("bucket", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b")), "bucket").filter("comp_a < comp_b")
+            at = large.join(label, "rep")
+            classes = at.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket")
+            mixed = classes.agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("open")).filter("open > 0")
+            at = saved(at.join(mixed, "bucket"), "mixed")
+            left, members = at.agg(F.coalesce(F.sum(F.col("open") / F.col("m")), F.lit(0.0)), F.count("*")).first()
+            if not members:
+                break
+            last = turn == STAR_ROUNDS or left <= SMALL_BUCKET * members
+            pairs = full(at) if last else star(at, turn)
         long_enough = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
-        pairs = pairs.filter(long_enough).select("a", "b").distinct()
-        found = similar(pairs, bag, threshold)
+        found = similar(pairs.filter(long_enough).select("a", "b").distinct(), bag, threshold)
         links = saved(found if links is None else links.union(found), "links")
-        if links.isEmpty():
-            label = reps.select("rep", F.col("rep").alias("comp"))
-            continue
-        root = components(links)
-        label = saved(reps.join(root, reps.rep == root.node, "left").select("rep", F.coalesce("root", "rep").alias("comp")), "labels")
+        if not links.isEmpty():
+            root = components(links)
+            label = saved(reps.join(root, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("root", "rep").alias("comp")), "labels")
+        if last:
+            break
 
     # A document's class is its representative's; a class is named after its least document.
     named = by_key.join(label, "rep").select("key", F.col("comp").alias("class_id"))
