@@ -1,5 +1,10 @@
 """All registered queries outside the optional subpackage."""
 
+from parley.plans import q_state
+
+FLAGSHIP = "v21_action_grid"
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
-FLAGSHIP = "v21_action_grid"
+for _module in (q_state,):
+    QUERIES |= _module.QUERIES
+    ORACLE_SQL |= _module.ORACLE_SQL
