@@ -156,3 +156,123 @@ def layer(name: str, source: str) -> None:
 
 layer("native", "native")
 layer("control", "control")
+
+part("who", "recs", "SELECT recording_id, unnest(['click', 'purchase', 'signup', 'view']) AS participant_id, unnest([0, 1, 2, 3]) AS participant_index FROM recs")
+part(
+    "pmarks",
+    "speech unk recs who",
+    """SELECT recording_id, participant_index, greatest(start_s, lo) AS start_s, least(end_s, hi) AS end_s, bad FROM (
+      SELECT recording_id, participant_index, start_s, end_s, false AS bad FROM speech JOIN who USING (recording_id, participant_id)
+      UNION ALL SELECT recording_id, participant_index, start_s, end_s, true FROM unk JOIN who USING (recording_id)) JOIN recs USING (recording_id)
+      WHERE least(end_s, hi) > greatest(start_s, lo)""",
+)
+part(
+    "punion",
+    "pmarks",
+    """SELECT recording_id, participant_index, bad, min(start_s) AS start_s, max(end_s) AS end_s FROM (
+      SELECT *, sum(CASE WHEN reach IS NULL OR start_s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY recording_id, participant_index, bad ORDER BY start_s, end_s ROWS UNBOUNDED PRECEDING) AS g FROM (
+        SELECT *, max(end_s) OVER (PARTITION BY recording_id, participant_index, bad ORDER BY start_s, end_s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM pmarks))
+      GROUP BY recording_id, participant_index, bad, g""",
+)
+part(
+    "pcut",
+    "punion recs",
+    """SELECT * FROM (SELECT recording_id, row_number() OVER w - 1 AS ordinal, t AS start_s, lead(t) OVER w AS end_s FROM (
+      SELECT recording_id, start_s AS t FROM punion UNION SELECT recording_id, end_s FROM punion UNION SELECT recording_id, lo FROM recs UNION SELECT recording_id, hi FROM recs)
+      WINDOW w AS (PARTITION BY recording_id ORDER BY t)) WHERE end_s IS NOT NULL""",
+)
+part(
+    "pstates",
+    "pcut who punion",
+    """SELECT c.recording_id, c.ordinal, c.start_s, c.end_s, w.participant_index,
+      CASE WHEN bool_or(m.bad) THEN 'UNKNOWN' WHEN count(m.bad) > 0 THEN 'SPEAKING' ELSE 'SILENT' END AS state
+      FROM pcut c JOIN who w USING (recording_id) LEFT JOIN punion m ON m.recording_id = c.recording_id AND m.participant_index = w.participant_index AND m.start_s < c.end_s AND m.end_s > c.start_s
+      GROUP BY ALL""",
+)
+part(
+    "floor0",
+    "pstates",
+    """SELECT recording_id, ordinal, any_value(start_s) AS start_s, any_value(end_s) AS end_s, count(*) FILTER (WHERE state = 'SPEAKING') AS speakers, bool_and(state <> 'UNKNOWN') AS all_known,
+      CASE WHEN count(*) FILTER (WHERE state = 'SPEAKING') = 0 THEN -1 WHEN count(*) FILTER (WHERE state = 'SPEAKING') > 1 THEN -2 ELSE min(participant_index) FILTER (WHERE state = 'SPEAKING') END AS holder,
+      CASE WHEN bool_and(state <> 'UNKNOWN') AND count(*) FILTER (WHERE state = 'SPEAKING') = 1 THEN min(participant_index) FILTER (WHERE state = 'SPEAKING') END AS solo
+      FROM pstates GROUP BY 1, 2""",
+)
+part(
+    "flr",
+    "floor0",
+    """SELECT * EXCLUDE (r), CASE WHEN all_known THEN last_value(solo IGNORE NULLS) OVER (PARTITION BY recording_id, r ORDER BY ordinal ROWS UNBOUNDED PRECEDING) END AS last_unique
+      FROM (SELECT *, count(*) FILTER (WHERE NOT all_known) OVER (PARTITION BY recording_id ORDER BY ordinal ROWS UNBOUNDED PRECEDING) AS r FROM floor0)""",
+)
+part(
+    "pevents",
+    "pstates",
+    """SELECT * FROM (SELECT recording_id, ordinal, start_s AS time_s, participant_index,
+      CASE WHEN was = 'SILENT' AND state = 'SPEAKING' THEN 'onset' WHEN was = 'SPEAKING' AND state = 'SILENT' THEN 'offset' END AS kind
+      FROM (SELECT *, lag(state) OVER (PARTITION BY recording_id, participant_index ORDER BY ordinal) AS was FROM pstates)) WHERE kind IS NOT NULL""",
+)
+part(
+    "pruns",
+    "pstates",
+    """SELECT recording_id, participant_index, min(start_s) AS start_s, max(end_s) AS end_s, min(ordinal) AS first_piece, max(ordinal) AS last_piece,
+      coalesce(min_by(was, ordinal), 'UNKNOWN') = 'UNKNOWN' OR bool_or(ordinal = 0) AS start_censored, coalesce(max_by(nxt, ordinal), 'UNKNOWN') = 'UNKNOWN' OR bool_or(nxt IS NULL) AS end_censored FROM (
+        SELECT *, ordinal - row_number() OVER (PARTITION BY recording_id, participant_index ORDER BY ordinal) AS g FROM (
+          SELECT *, lag(state) OVER w AS was, lead(state) OVER w AS nxt FROM pstates WINDOW w AS (PARTITION BY recording_id, participant_index ORDER BY ordinal)) WHERE state = 'SPEAKING')
+      GROUP BY recording_id, participant_index, g""",
+)
+part(
+    "fchanges",
+    "flr pruns",
+    """SELECT f.recording_id, f.ordinal, f.start_s AS time_s, f.previous_holder, f.last_unique AS next_holder, max(b.end_s) AS previous_run_end_s, any_value(a.start_s) AS next_run_start_s, any_value(a.start_s) - max(b.end_s) AS fto_s
+      FROM (SELECT *, lag(last_unique) OVER (PARTITION BY recording_id ORDER BY ordinal) AS previous_holder FROM flr) f
+      JOIN pruns a ON a.recording_id = f.recording_id AND a.participant_index = f.last_unique AND f.ordinal BETWEEN a.first_piece AND a.last_piece
+      JOIN pruns b ON b.recording_id = f.recording_id AND b.participant_index = f.previous_holder AND b.last_piece < f.ordinal
+      WHERE f.previous_holder <> f.last_unique GROUP BY 1, 2, 3, 4, 5""",
+)
+part(
+    "sil",
+    "flr",
+    """SELECT recording_id, min(start_s) AS start_s, max(end_s) AS end_s, min_by(b, ordinal) FILTER (WHERE first) AS previous_speaker, max_by(a, ordinal) FILTER (WHERE last) AS next_speaker FROM (
+        SELECT *, ordinal = min(ordinal) OVER (PARTITION BY recording_id, g) AS first, ordinal = max(ordinal) OVER (PARTITION BY recording_id, g) AS last FROM (
+          SELECT *, ordinal - row_number() OVER (PARTITION BY recording_id ORDER BY ordinal) AS g FROM (
+            SELECT *, lag(solo) OVER w AS b, lead(solo) OVER w AS a FROM flr WINDOW w AS (PARTITION BY recording_id ORDER BY ordinal)) WHERE all_known AND speakers = 0))
+      GROUP BY recording_id, g""",
+)
+part(
+    "trn",
+    "pruns pstates",
+    f"""SELECT *, lag(participant_index) OVER w AS previous_participant, lead(participant_index) OVER w AS next_participant,
+      CASE WHEN lag(participant_index) OVER w <> participant_index THEN start_s - lag(end_s) OVER w END AS fto_from_previous_s FROM (
+        SELECT recording_id, participant_index, min(start_s) AS start_s, max(end_s) AS end_s, count(*) AS runs, coalesce(sum(pause) FILTER (WHERE joins), 0) AS pauses_s,
+          min_by(start_censored, start_s) AS start_censored, max_by(end_censored, start_s) AS end_censored FROM (
+          SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY recording_id, participant_index ORDER BY start_s ROWS UNBOUNDED PRECEDING) AS g FROM (
+            SELECT *, start_s - pe AS pause, coalesce(start_s - pe <= 30 + {EPS} AND NOT EXISTS (FROM pstates s WHERE s.recording_id = r.recording_id AND s.participant_index = r.participant_index
+              AND s.state = 'UNKNOWN' AND s.ordinal > r.pl AND s.ordinal < r.first_piece), false) AS joins
+            FROM (SELECT *, lag(end_s) OVER v AS pe, lag(last_piece) OVER v AS pl FROM pruns WINDOW v AS (PARTITION BY recording_id, participant_index ORDER BY start_s)) r))
+        GROUP BY recording_id, participant_index, g) WINDOW w AS (PARTITION BY recording_id ORDER BY start_s, participant_index)""",
+)
+part(
+    "ovl",
+    "pruns flr",
+    f"""SELECT i.recording_id, i.participant_index AS initial, e.participant_index AS entering, e.start_s, least(i.end_s, e.end_s) AS end_s, f.last_unique AS previous_floor_holder,
+      CASE WHEN e.start_s - i.start_s <= 5 + {EPS} THEN 'simultaneous_onset' WHEN i.end_censored OR e.end_censored THEN 'undetermined' WHEN e.end_s <= i.end_s + {EPS} THEN 'within' ELSE 'between' END AS overlap_type,
+      CASE WHEN e.start_s - i.start_s <= 5 + {EPS} THEN NOT (i.start_censored OR e.start_censored) ELSE NOT (i.end_censored OR e.end_censored) END AND NOT e.start_censored AS valid
+      FROM pruns i JOIN pruns e ON i.recording_id = e.recording_id AND i.participant_index <> e.participant_index AND e.start_s >= i.start_s AND e.start_s < i.end_s
+        AND (e.start_s > i.start_s OR i.participant_index < e.participant_index)
+      LEFT JOIN flr f ON f.recording_id = e.recording_id AND f.ordinal = e.first_piece - 1""",
+)
+part(
+    "ctx",
+    "pevents pstates flr",
+    f"""SELECT *, CASE WHEN others_at THEN 'overlap' WHEN others_at IS NULL OR previous_unique_speaker IS NULL OR silence_before_s IS NULL THEN 'undetermined'
+      WHEN previous_unique_speaker = participant_index THEN 'after_silence' ELSE 'floor_transfer' END AS onset_type FROM (
+      SELECT o.recording_id, o.ordinal, o.time_s, o.participant_index, b.last_unique AS previous_unique_speaker,
+        CASE WHEN b.speakers > 0 THEN true WHEN NOT b.all_known THEN NULL ELSE false END AS others_before,
+        CASE WHEN a.speakers > 1 THEN true WHEN NOT a.all_known THEN NULL ELSE false END AS others_at,
+        CASE WHEN b.speakers > 0 THEN 0 WHEN b.all_known AND h.all_known THEN o.time_s - h.end_s END AS silence_before_s,
+        EXISTS (FROM pevents q WHERE q.recording_id = o.recording_id AND q.kind = 'onset' AND q.participant_index <> o.participant_index AND abs(q.time_s - o.time_s) <= 5 + {EPS}) AS simultaneous
+      FROM pevents o JOIN flr b ON b.recording_id = o.recording_id AND b.ordinal = o.ordinal - 1 JOIN flr a ON a.recording_id = o.recording_id AND a.ordinal = o.ordinal
+      LEFT JOIN (SELECT recording_id, ordinal, max(CASE WHEN NOT (all_known AND speakers = 0) THEN ordinal END) OVER (PARTITION BY recording_id ORDER BY ordinal ROWS UNBOUNDED PRECEDING) AS last_heard FROM flr) l
+        ON l.recording_id = o.recording_id AND l.ordinal = o.ordinal - 1
+      LEFT JOIN flr h ON h.recording_id = o.recording_id AND h.ordinal = l.last_heard
+      WHERE o.kind = 'onset')""",
+)
