@@ -186,7 +186,7 @@ ORACLE_SQL = {
     "i4_clip": sql("speech", "SELECT recording_id, round(greatest(start_s, 20000), 6) AS start_s, round(least(end_s, 60000), 6) AS end_s, annotation_id FROM speech WHERE least(end_s, 60000) > greatest(start_s, 20000)"),
     "i5_total_duration": sql("runs", f"SELECT recording_id, participant_id, round({_DUR}, 6) AS duration_s FROM runs GROUP BY 1, 2"),
     "i6_overlap": sql("speech runs", """SELECT recording_id, annotation_id, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, round(o, 6) AS overlap_s, round(least(1, o / (end_s - start_s)), 6) AS overlap_ratio
-      FROM (SELECT s.recording_id, s.annotation_id, s.start_s, s.end_s, coalesce(sum(least(s.end_s, r.end_s) - greatest(s.start_s, r.start_s)), 0) AS o
+      FROM (SELECT s.recording_id, s.annotation_id, s.start_s, s.end_s, coalesce(sum(CASE WHEN r.start_s IS NOT NULL THEN least(s.end_s, r.end_s) - greatest(s.start_s, r.start_s) END), 0) AS o
         FROM speech s LEFT JOIN runs r ON r.recording_id = s.recording_id AND r.participant_id = 'purchase' AND r.start_s < s.end_s AND r.end_s > s.start_s
         WHERE s.participant_id = 'view' GROUP BY ALL)"""),
     "i7_subtract": sql("runs", """, t AS (SELECT recording_id, start_s AS t FROM runs WHERE participant_id IN ('click', 'purchase') UNION SELECT recording_id, end_s FROM runs WHERE participant_id IN ('click', 'purchase')),
