@@ -124,6 +124,8 @@ class Items:
         some = np.flatnonzero(self.sieve[(shingles & _U((1 << 20) - 1)).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.known, shingles[some]), len(self.known) - 1)
         some = some[self.known[place] == shingles[some]]
+        if not len(some):
+            return out
         doc = np.searchsorted(first, some, side="right") - 1
         present, begin = np.unique(doc, return_index=True)
         for d, own in zip(present.tolist(), np.split(some, begin[1:]), strict=True):

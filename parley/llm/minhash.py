@@ -13,8 +13,10 @@ from parley.llm.common import bags, mix, saved, slices
 
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-#: Rounds in which one text of each bucket is compared with the rest before what is left is compared in full.
-STAR_ROUNDS = 6
+#: Bands of the texts in large buckets: dissimilar ones seldom share one of these, similar ones as surely.
+SHARP_BANDS, SHARP_ROWS = 98, 12
+#: Rounds in which one text of each large bucket is compared with the rest before what is left is compared in full.
+STAR_ROUNDS = 4
 #: Buckets of so many representatives at most are compared in full at once.
 SMALL_BUCKET = 8
 
@@ -120,22 +122,33 @@ def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sums[at[1:]] - sums[at[:-1]]
 
 
-def bag_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bag): the multiset as a set of hashes of (shingle, how many of it came before), so set overlap is multiset overlap."""
+def bag_sets(docs: DataFrame, bands: int = SHARP_BANDS, rows: int = SHARP_ROWS) -> DataFrame:
+    """(doc_id, key, bag, sharp) of (doc_id, text, large).
+
+    `bag` is the multiset as a set of hashes of (shingle, how many of it came before), so set overlap is multiset
+    overlap. `sharp` has a second, longer signature's band hashes for rows with `large`, and is null for others.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
+                n = batch.num_rows
                 doc, element, count = bags(batch.column("text"))
                 first = np.cumsum(count) - count
                 nth = np.arange(count.sum()) - np.repeat(first, count)
                 items = mix(np.repeat(element, count) + nth.astype(np.uint64) * _PLACE)
-                at = np.searchsorted(np.repeat(doc, count), np.arange(batch.num_rows + 1))
-                key = bag_keys(doc, element, count, batch.num_rows)
+                at = np.searchsorted(np.repeat(doc, count), np.arange(n + 1))
+                key = bag_keys(doc, element, count, n)
                 bag = pa.ListArray.from_arrays(at.astype(np.int32), pa.array(items.view(np.int64)))
-                yield pa.record_batch([batch.column("doc_id"), key, bag], names=["doc_id", "key", "bag"])
+                large = batch.column("large").to_numpy(zero_copy_only=False).astype(bool)
+                own = large[doc]
+                place = np.cumsum(large) - 1
+                hashes = band_hashes(bag_minhash(place[doc[own]], element[own], count[own], int(large.sum()), bands * rows), bands, rows)
+                ends = np.concatenate([[0], np.cumsum(large) * bands]).astype(np.int32)
+                sharp = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.reshape(-1)))
+                yield pa.record_batch([batch.column("doc_id"), key, bag, sharp], names=["doc_id", "key", "bag", "sharp"])
 
-    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(work, "doc_id long, key binary, bag array<long>")
+    return docs.select("doc_id", "text", "large").mapInArrow(work, "doc_id long, key binary, bag array<long>, sharp array<long>")
 
 
 def similar(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
@@ -167,10 +180,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 
     Two documents are linked when their multisets of five-word shingles have a weighted Jaccard similarity of
     `threshold` or more. Texts with equal multisets are one representative from the start, so copies are never
-    paired. Small buckets of equal bands are compared in full. In a large one, one representative is compared with
-    all those not yet connected to it, in a few rounds, until few pairs are left between different classes of a
-    bucket; these are then compared one by one. So every two representatives that share a bucket and are similar
-    end in one class, without all pairs of a group of near copies.
+    paired. Small buckets of equal bands are compared in full. The members of large ones get a longer signature,
+    whose sharper bands keep texts of middling similarity apart, and meet in its buckets instead. In a large bucket
+    of these, one representative is compared with all those not yet connected to it, in a few rounds, until few
+    pairs are left between different classes of a bucket; these are then compared one by one. So every two
+    representatives that share a bucket and are similar end in one class, without all pairs of a group of near copies.
 
     Texts without a word (null, empty) belong to no group: each is its own class. A row without doc_id takes no
     part. Rows that repeat a doc_id give one row, in the class of the least of its texts' keys.
@@ -180,13 +194,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     sig = saved(sig.select("doc_id", "s.*"), "signatures")
     by_key = sig.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
     reps = saved(sig.join(by_key.select("rep"), F.col("doc_id") == F.col("rep")).select("rep", "key", "n", "bands"), "representatives")
-    buckets = reps.select("rep", "n", F.explode("bands").alias("bucket"))
-    crowded = buckets.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    buckets = saved(buckets.join(crowded, "bucket"), "buckets")
-    wanted = reps.join(buckets.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("doc_id"), "key")
+    def crowds(of: DataFrame) -> DataFrame:
+        """(bucket, rep, n, m) of buckets with several representatives."""
+        size = of.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
+        return of.join(size, "bucket")
+
+    first = saved(crowds(reps.select("rep", "n", F.explode("bands").alias("bucket"))), "buckets")
+    wanted = first.groupBy("rep").agg(F.max(F.col("m") > SMALL_BUCKET).alias("large"))
+    wanted = reps.join(wanted, "rep").select(F.col("rep").alias("doc_id"), "key", "large")
     texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text")
-    texts = texts.join(wanted.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    bag = saved(bag_sets(texts).join(wanted, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).select("doc_id", "bag"), "bags")
+    texts = texts.join(wanted.select("doc_id", "large"), "doc_id").dropDuplicates(["doc_id", "text"])
+    bag = bag_sets(texts).join(wanted.select("doc_id", "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+    bag = saved(bag.withColumn("n", F.size("bag").cast("long")), "bags")
+    second = saved(crowds(bag.select(F.col("doc_id").alias("rep"), "n", F.explode("sharp").alias("bucket"))), "buckets")
+    # Who shares many crowded buckets is near the middle of a group of near copies and links most of it in one round.
+    middle = second.groupBy("rep").agg(F.sum("m").alias("weight"))
 
     def side(of: DataFrame, name: str) -> DataFrame:
         return of.select("bucket", F.col("rep").alias(name), F.col("comp").alias(f"comp_{name}"), F.col("n").alias(f"n_{name}"))
@@ -195,39 +217,51 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         return side(of, "a").join(side(of, "b"), "bucket").filter("comp_a < comp_b")
 
     def star(of: DataFrame, turn: int) -> DataFrame:
-        order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "comp", "n")
+        order = F.struct((F.xxhash64("rep", F.lit(turn)) if turn else -F.col("weight")).alias("h"), "rep", "comp", "n")
         lead = of.groupBy("bucket").agg(F.min(order).alias("lead")).select("bucket", "lead.*")
         return side(lead, "a").join(side(of, "b"), "bucket").filter("comp_a <> comp_b")
 
-    label = reps.select("rep", F.col("rep").alias("comp"))
-    large = buckets.filter(F.col("m") > SMALL_BUCKET)
-    links = None
+    def linkable(of: DataFrame) -> DataFrame:
+        """`of` less the members of whose shingles too many occur in no other member to reach the threshold with anyone.
+
+        At most the shared shingles are common to a pair, and the other text is no shorter than the bucket's shortest.
+        """
+        items = bag.join(of.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", F.explode("bag").alias("item"))
+        often = items.groupBy("item").agg(F.count("*").alias("c")).filter("c > 1").select("item")
+        shared = items.join(often, "item", "left_semi").groupBy(F.col("doc_id").alias("rep")).agg(F.count("*").alias("shared"))
+        least = of.groupBy("bucket").agg(F.min("n").alias("least"))
+        met = of.join(shared, "rep").join(least, "bucket")
+        return met.filter(F.col("shared") >= F.lit(threshold) * (F.col("n") + F.greatest("least", "shared") - F.col("shared"))).drop("shared", "least")
+
+    def alone(of: DataFrame) -> DataFrame:
+        return of.withColumn("comp", F.col("rep"))
+
+    small = F.col("m") <= SMALL_BUCKET
+    pairs = full(alone(first.filter(small))).union(full(alone(second.filter(small)))).union(star(alone(second.filter(~small).join(middle, "rep")), 0))
+    links, label = None, None
+    long_enough = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
+    at = second.filter(~small)
     for turn in range(STAR_ROUNDS + 1):
-        last = False
-        if turn == 0:
-            fresh = buckets.withColumn("comp", F.col("rep"))
-            pairs = full(fresh.filter(F.col("m") <= SMALL_BUCKET)).union(star(fresh.filter(F.col("m") > SMALL_BUCKET), turn))
-        else:
-            at = large.join(label, "rep")
-            classes = at.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket")
-            mixed = classes.agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("open")).filter("open > 0")
-            at = saved(at.join(mixed, "bucket"), "mixed")
-            left, members = at.agg(F.coalesce(F.sum(F.col("open") / F.col("m")), F.lit(0.0)), F.count("*")).first()
-            if not members:
-                break
-            last = turn == STAR_ROUNDS or left <= SMALL_BUCKET * members
-            pairs = full(at) if last else star(at, turn)
-        long_enough = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
         found = similar(pairs.filter(long_enough).select("a", "b").distinct(), bag, threshold)
         links = saved(found if links is None else links.union(found), "links")
-        if not links.isEmpty():
-            root = components(links)
-            label = saved(reps.join(root, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("root", "rep").alias("comp")), "labels")
-        if last:
+        label = components(links)
+        at = at.select("bucket", "rep", "n", "m").join(label, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")
+        classes = at.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket")
+        mixed = classes.agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("open")).filter("open > 0")
+        at = at.join(mixed, "bucket")
+        at = saved(linkable(at) if turn == 0 else at, "mixed")
+        left, members = at.agg(F.coalesce(F.sum(F.col("open") / F.col("m")), F.lit(0.0)), F.count("*")).first()
+        if not members:
+            break
+        if turn == STAR_ROUNDS or left <= SMALL_BUCKET * members:
+            pairs = full(at)
+            links = saved(links.union(similar(pairs.filter(long_enough).select("a", "b").distinct(), bag, threshold)), "links")
+            label = components(links)
             break
+        pairs = star(at, turn + 1)
 
     # A document's class is its representative's; a class is named after its least document.
-    named = by_key.join(label, "rep").select("key", F.col("comp").alias("class_id"))
+    named = by_key.join(label, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("root", "rep").alias("class_id"))
     classes = sig.join(named, "key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     size = classes.groupBy("class_id").agg(F.count("*").alias("class_size"))
     return classes.join(size, "class_id").select("doc_id", "class_id", "class_size")
