@@ -136,9 +136,9 @@ def coverage(left: DataFrame, right: DataFrame, key: str, tolerance_s: float) ->
     return met.withColumn("covered", F.coalesce(F.col("_r.reach_s") > F.col("start_s") - F.lit(tolerance_s), F.lit(False))).drop("_until", "_r")
 
 
-def reference_durations(rows: DataFrame, key: str, reference: DataFrame, value: Column, order: str) -> DataFrame:
-    """Rows with `reference_s` of their key's first reference row."""
-    first = reference.groupBy(key).agg(F.min_by(value, order).alias("reference_s"))
+def reference_durations(rows: DataFrame, key: str, reference: DataFrame, value: Column, order: Sequence[str]) -> DataFrame:
+    """Rows with `reference_s` of their key's first reference row in the given order, which should leave no ties."""
+    first = reference.groupBy(key).agg(F.min_by(value, F.struct(*order)).alias("reference_s"))
     return rows.join(first, key, "left")
 
 

@@ -57,10 +57,10 @@ def asof(left: DataFrame, right: DataFrame, keys: Keys, at: str, of: str, take:
     near = right.select(*keys, F.col(of).alias("_t"), F.lit(1 if strict ^ forward else 0).alias("_side"), payload.alias("_right"), *(F.lit(None).cast(t).alias(f"_l_{c}") for c, t in side.items()))
     asks = left.select(*keys, F.col(at).alias("_t"), F.lit(0 if strict ^ forward else 1).alias("_side"), F.lit(None).cast(near.schema["_right"].dataType).alias("_right"), *(F.col(c).alias(f"_l_{c}") for c in side))
     both = near.unionByName(asks).withColumn("_ask", F.col("_right").isNull())
-    order = Window.partitionBy(*keys).orderBy("_t", "_side", "_right")
-    frame = order.rowsBetween(0, Window.unboundedFollowing) if forward else order.rowsBetween(Window.unboundedPreceding, 0)
-    pick = F.first("_right", ignorenulls=True) if forward else F.last("_right", ignorenulls=True)
-    out = both.withColumn(into, pick.over(frame)).filter("_ask")
+    # Forward, the order is reversed: a frame up to the current row is kept as it grows, one to the end is worked out anew for each row.
+    columns = [F.col(c).desc() if forward else F.col(c).asc() for c in ("_t", "_side", "_right")]
+    frame = Window.partitionBy(*keys).orderBy(*columns).rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn(into, F.last("_right", ignorenulls=True).over(frame)).filter("_ask")
     return out.select(*(F.col(f"_l_{c}").alias(c) for c in side), into)
 
 

@@ -183,7 +183,7 @@ def a6_structural_verdict(spark, sf_dir):
 
 def a7_reference_durations(spark, sf_dir):
     lines = _lines(spark, sf_dir).select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_quantity", "l_extendedprice")
-    out = audit.reference_durations(lines.select("k", "l_quantity"), "k", lines, F.col("l_extendedprice"), "l_linenumber")
+    out = audit.reference_durations(lines.select("k", "l_quantity"), "k", lines, F.col("l_extendedprice"), ["l_linenumber", "l_extendedprice"])
     return rounded(out.groupBy("k").agg(F.count("*").alias("n"), F.max("reference_s").alias("reference_s")).filter("n > 6"))
 
 
@@ -292,7 +292,7 @@ ORACLE_SQL = {
     "a4_foreign_keys": sql("fk", "SELECT * FROM fk"),
     "a5_table_contract": sql("contract", "SELECT * FROM contract"),
     "a6_structural_verdict": sql("fk contract", "SELECT 'contracts' AS part, bool_and(failures = 0) AS sound FROM contract UNION ALL SELECT 'relations', bool_and(orphans = 0) FROM fk"),
-    "a7_reference_durations": "SELECT l_orderkey AS k, count(*) AS n, round(min_by(l_extendedprice, l_linenumber), 6) AS reference_s FROM lineitem GROUP BY 1 HAVING count(*) > 6",
+    "a7_reference_durations": "SELECT l_orderkey AS k, count(*) AS n, round(min_by(l_extendedprice, (l_linenumber, l_extendedprice)), 6) AS reference_s FROM lineitem GROUP BY 1 HAVING count(*) > 6",
     "a8_duplicate_identity": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, copies FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem) WHERE copies > 1",
     "a9_source_verdicts": sql("ship", "SELECT 'shipping' AS source, CASE WHEN reversed > 0 THEN 'blocked' WHEN missing > 0 OR overshoots > 0 THEN 'usable_with_caveats' ELSE 'usable' END AS verdict FROM (SELECT " + _INTEGRITY + " FROM ship)"),
     "a10_exact_identity": sql("lside rside", """SELECT round((SELECT avg(CASE WHEN EXISTS (FROM rside r WHERE r.k = l.k AND r.a = l.a) THEN 1.0 ELSE 0.0 END) FROM lside l), 6) AS left_share, (SELECT count(*) FROM lside) AS left_rows,
