@@ -73,6 +73,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def times(n: int, constant: np.uint64) -> np.uint64:
+    """The product modulo 2^64."""
+    return _U(n * int(constant) & 0xFFFFFFFFFFFFFFFF)
+
+
 class _Powers:
     """Powers of the base and of its inverse, grown as longer slices need them."""
 
@@ -133,13 +138,14 @@ def shingle_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return shingles_of(words, at)
 
 
-def shingles_of(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingles_of(words: np.ndarray, at: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every run of `size` words (five at most) in each text; a shorter text has one run."""
     counts = np.diff(at)
-    n_out = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
+    n_out = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     out_at = np.concatenate([[0], np.cumsum(n_out)])
     doc = np.repeat(np.arange(len(counts)), n_out)
     start = at[:-1][doc] + np.arange(out_at[-1]) - out_at[:-1][doc]
-    length = np.minimum(counts, SHINGLE)[doc]
+    length = np.minimum(counts, size)[doc]
     total = np.zeros(len(start), np.uint64)
     padded = np.concatenate([words, np.zeros(SHINGLE, np.uint64)])
     for k, place in enumerate(_PLACES):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import SHINGLE, mix, shingles_of, slices, word_hashes
+from parley.llm.common import SHINGLE, mix, shingles_of, slices, times, word_hashes
 
 THRESHOLD = 0.8
 #: Fingerprints have BLOCKS bytes; two within RADIUS bits differ in at most RADIUS // BLOCKS bits of some byte.
@@ -24,7 +24,7 @@ _NEAR = [[v for v in range(256) if (v ^ b).bit_count() <= RADIUS // BLOCKS] for
 
 def fingerprint_bits(shingles: np.ndarray) -> np.ndarray:
     """(len, 8 * BLOCKS) of +1 and -1: the vote of each shingle on each bit."""
-    words = np.stack([mix(shingles + _U(k + 1) * _U(0xD6E8FEB86659FD93)) for k in range(BLOCKS // 8)], axis=1)
+    words = np.stack([mix(shingles + times(k + 1, _U(0xD6E8FEB86659FD93))) for k in range(BLOCKS // 8)], axis=1)
     return np.unpackbits(words.view(np.uint8), axis=1).astype(np.int8) * 2 - 1
 
 
@@ -47,6 +47,10 @@ class Items:
         shingles, self.at = shingles_of(words, at)
         self.ids = item_ids
         self.words = np.diff(at)
+        # An item of fewer words than a shingle is one run of words, which a window equals or doesn't.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for k in np.flatnonzero((self.words > 0) & (self.words < SHINGLE)).tolist():
+            self.short.setdefault(int(self.words[k]), defaultdict(list))[int(shingles[self.at[k]])].append(k)
         self.bags = [_counts(shingles[a:b]) for a, b in zip(self.at, self.at[1:], strict=False)]
         self.known = np.unique(shingles)
         self.sieve = np.zeros(1 << 20, bool)
@@ -55,7 +59,7 @@ class Items:
         self.prints = np.zeros((len(item_ids), BLOCKS), np.uint8)
         self.tables: dict[int, list[dict[int, list[int]]]] = {}
         for k, bag in enumerate(self.bags):
-            if not bag:
+            if not bag or self.words[k] < SHINGLE:
                 continue
             for s in bag:
                 self.having[s].append(k)
@@ -119,6 +123,13 @@ class Items:
         words, at = word_hashes(texts)
         shingles, first = shingles_of(words, at)
         out: list[dict[int, tuple[float, int, int]]] = [{} for _ in range(len(texts))]
+        for size, runs in self.short.items():
+            own, start = shingles_of(words, at, size)
+            for p in np.flatnonzero(np.isin(own, np.array(list(runs), np.uint64))).tolist():
+                d = int(np.searchsorted(start, p, side="right")) - 1
+                if at[d + 1] - at[d] >= size:
+                    for k in runs[int(own[p])]:
+                        out[d].setdefault(k, (1.0, p - int(start[d]), size))
         if not len(self.known) or not len(shingles):
             return out
         some = np.flatnonzero(self.sieve[(shingles & _U((1 << 20) - 1)).astype(np.int64)])

@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import bags, mix, saved, slices
+from parley.llm.common import bags, mix, saved, slices, times
 
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 #: Bands of the texts in large buckets: dissimilar ones seldom share one of these, similar ones as surely.
 SHARP_BANDS, SHARP_ROWS = 98, 12
+#: So many of the sharp bands link most of a group of near copies; the rest serve what is then still apart.
+LEAD_BANDS = 16
 #: Rounds in which one text of each large bucket is compared with the rest before what is left is compared in full.
 STAR_ROUNDS = 4
 #: Buckets of so many representatives at most are compared in full at once.
@@ -46,7 +48,7 @@ def bag_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs
     low, rate = 0, 1
     index = np.arange(len(doc))
     while len(index):
-        key = mix(element[index] ^ (_U(low) * _PLACE))
+        key = mix(element[index] ^ times(low, _PLACE))
         parts.append((doc[index], key, np.full(len(index), rate), weight[index] - low))
         low += rate
         rate = low
@@ -61,12 +63,12 @@ def bag_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs
         d, k, r, w, t = doc[live], key[live], rate[live], reach[live], arrival[live]
         step = 0
         while len(d):
-            point = mix(k + _U(2 * step + 1) * _STEP)
+            point = mix(k + times(2 * step + 1, _STEP))
             slot = (mix(point ^ _SLOT) % _U(slots)).astype(np.int64)
             inside = _uniform(point ^ _PLACE) * r <= w
             np.minimum.at(flat, d[inside] * slots + slot[inside], t[inside])
             step += 1
-            t = t - np.log(_uniform(k + _U(2 * step) * _STEP)) / r
+            t = t - np.log(_uniform(k + times(2 * step, _STEP))) / r
             go = t <= limit[d]
             d, k, r, w, t = d[go], k[go], r[go], w[go], t[go]
         pending &= (signature.max(axis=1) > limit) & (total > 0)
@@ -181,10 +183,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     Two documents are linked when their multisets of five-word shingles have a weighted Jaccard similarity of
     `threshold` or more. Texts with equal multisets are one representative from the start, so copies are never
     paired. Small buckets of equal bands are compared in full. The members of large ones get a longer signature,
-    whose sharper bands keep texts of middling similarity apart, and meet in its buckets instead. In a large bucket
-    of these, one representative is compared with all those not yet connected to it, in a few rounds, until few
-    pairs are left between different classes of a bucket; these are then compared one by one. So every two
-    representatives that share a bucket and are similar end in one class, without all pairs of a group of near copies.
+    whose sharper bands keep texts of middling similarity apart, and meet in its buckets instead. There one
+    representative is compared with all those not yet connected to it, in a few rounds, until few pairs are left
+    between different classes of a bucket; these are then compared one by one. So every two representatives that
+    share a bucket and are similar end in one class, without all pairs of a group of near copies.
 
     Texts without a word (null, empty) belong to no group: each is its own class. A row without doc_id takes no
     part. Rows that repeat a doc_id give one row, in the class of the least of its texts' keys.
@@ -206,7 +208,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     texts = texts.join(wanted.select("doc_id", "large"), "doc_id").dropDuplicates(["doc_id", "text"])
     bag = bag_sets(texts).join(wanted.select("doc_id", "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
     bag = saved(bag.withColumn("n", F.size("bag").cast("long")), "bags")
-    second = saved(crowds(bag.select(F.col("doc_id").alias("rep"), "n", F.explode("sharp").alias("bucket"))), "buckets")
+    second = saved(crowds(bag.select(F.col("doc_id").alias("rep"), "n", F.posexplode("sharp").alias("band", "bucket"))), "buckets")
     # Who shares many crowded buckets is near the middle of a group of near copies and links most of it in one round.
     middle = second.groupBy("rep").agg(F.sum("m").alias("weight"))
 
@@ -236,11 +238,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     def alone(of: DataFrame) -> DataFrame:
         return of.withColumn("comp", F.col("rep"))
 
-    small = F.col("m") <= SMALL_BUCKET
-    pairs = full(alone(first.filter(small))).union(full(alone(second.filter(small)))).union(star(alone(second.filter(~small).join(middle, "rep")), 0))
+    lead = second.filter(F.col("band") < LEAD_BANDS).join(middle, "rep")
+    pairs = full(alone(first.filter(F.col("m") <= SMALL_BUCKET))).union(star(alone(lead), 0))
     links, label = None, None
     long_enough = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
-    at = second.filter(~small)
+    at = second
     for turn in range(STAR_ROUNDS + 1):
         found = similar(pairs.filter(long_enough).select("a", "b").distinct(), bag, threshold)
         links = saved(found if links is None else links.union(found), "links")

@@ -1,0 +1,365 @@
+"""The corpus operators against brute force, the libraries, exact round trips and held-out accuracy; and awkward inputs."""
+
+import datetime
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from parley.llm import ann, chat, decontaminate, langid, minhash, packing, pii, quality, tokens
+from parley.llm.common import shingle_hashes, word_hashes
+from parley.llm.piece_bpe import PieceModel
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+public = pytest.importorskip("public_tokenizers")
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
+
+
+def text(seed, n=60):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + str(r.randint(0, 9)) for _ in range(n))
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+
+
+AWKWARD = [(1, None), (2, ""), (3, "   \n\t "), (None, "no id here at all"), (5, "x " * 30_000), (6, "dup"), (6, "dup"), (7, "é́ ▁ \x00 \U0001d11e <|end|>")]
+
+
+def bag(t):
+    w = "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()
+    return Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def similarity(a, b):
+    return sum((a & b).values()) / max(1, sum((a | b).values()))
+
+
+# Encoding and counting
+
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=public.path("piece_bpe_32k.model"))
+
+
+def test_encode_decode_count_equal_the_library(library):
+    model, r = PieceModel(public.path("piece_bpe_32k.model")), random.Random(5)
+    letters = "ab cde éЖ日\n\t ▁.,!<>0x\x00\U0001d11eñ'  "
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(2000)]
+    for t in [*texts, "", " ", "a" * 2000, " " * 100, "ing" * 300, "</s> <unk> <0x41>", "hello  world "]:
+        ids = library.encode(t)
+        assert model.encode(t) == ids
+        assert model.decode([*ids, 2]) == library.decode([*ids, 2])
+        assert model.count(t) == len(ids)
+
+
+def test_backtracking_steps_back(library):
+    """Longest matches alone give another row of pieces for some words; the encoder must not."""
+    model, r = PieceModel(public.path("piece_bpe_32k.model")), random.Random(6)
+    greedy_differs = 0
+    for _ in range(3000):
+        t = "".join(r.choice("aeioutnrshl") for _ in range(9))
+        at, greedy = 0, []
+        marked = "▁" + t
+        while at < len(marked):
+            n = next(n for n in range(len(marked) - at, 0, -1) if marked[at : at + n] in model.ids)
+            greedy.append(model.ids[marked[at : at + n]])
+            at += n
+        greedy_differs += greedy != library.encode(t)
+        assert model.encode(t) == library.encode(t)
+    assert greedy_differs > 100
+
+
+def test_tokens_on_awkward_rows(spark, library):
+    rows = tokens.encode_digests(docs(spark, AWKWARD)).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(i) for i, _ in AWKWARD)
+    for r in rows:
+        if r.doc_id is not None and r.doc_id != 6:
+            ids = library.encode(dict(AWKWARD)[r.doc_id] or "", add_eos=True)
+            assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+            assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+    counts = {r.doc_id: r for r in tokens.count_tokens(docs(spark, AWKWARD)).collect()}
+    assert counts[1].n_tokens == counts[2].n_tokens == 0
+    assert counts[5].over_limit and counts[5].n_tokens == len(library.encode("x " * 30_000))
+    assert tokens.encode(docs(spark, [(9, "a b")])).first().text == "a b"
+    assert tokens.count_tokens(docs(spark, [])).count() == 0
+
+
+# Packing
+
+
+def test_packing_is_lossless_and_best_fit(spark):
+    rows = [(k, text(k, random.Random(k).randint(1, 200))) for k in range(40)] + [(100, text(100, 3000)), (101, None)]
+    packs = packing.pack(docs(spark, rows).coalesce(1), capacity=256).collect()
+    encoding = packing.vocabulary(tokens.tokenizer_path(packing.VOCABULARY))
+    parts = {}
+    for p in packs:
+        ids, positions = np.frombuffer(p.ids, "<u2"), np.frombuffer(p.position_ids, "<u2")
+        assert len(ids) == len(positions) == 256 and p.cu_seqlens[0] == 0 and p.cu_seqlens[-1] == p.n_tokens <= 256
+        for d, part, a, b in zip(p.doc_ids, p.parts, p.cu_seqlens, p.cu_seqlens[1:]):
+            assert positions[a:b].tolist() == list(range(b - a))
+            parts[d, part] = ids[a:b].tolist()
+    for d, t in rows:
+        whole = [i for k in sorted(k for k in parts if k[0] == d) for i in parts[k]]
+        assert whole == [*encoding.encode_ordinary(t or ""), packing.END_ID]
+    assert sum(p.n_tokens for p in packs) > 0.9 * 256 * (len(packs) - 1)
+
+
+def test_best_fit_decreasing_equals_brute_force():
+    r = np.random.default_rng(0)
+    sizes = r.integers(1, 100, 300)
+    free, rows = [], []
+    for k in np.argsort(-sizes, kind="stable"):
+        fits = [(f, -0, j) for j, f in enumerate(free) if f >= sizes[k]]
+        best = min(f for f, _, _ in fits) if fits else None
+        if best is None:
+            free.append(100 - sizes[k])
+        else:
+            free[free.index(best)] -= sizes[k]
+    rows = packing.best_fit_decreasing(sizes, 100)
+    assert sorted(100 - sizes[row].sum() for row in rows) == sorted(free)
+    assert sorted(k for row in rows for k in row) == list(range(300))
+
+
+# Near-duplicates
+
+
+def test_words_and_shingles_are_those_of_python():
+    texts = ["The cat, sat.", "", None, "one two three four five six", "ÄÖ x", "the CAT sat"]
+    words, at = word_hashes(pa.array(texts))
+    assert np.diff(at).tolist() == [3, 0, 0, 6, 2, 3]
+    assert words[at[0] : at[1]].tolist() == words[at[5] : at[6]].tolist()
+    assert np.diff(shingle_hashes(pa.array(texts))[1]).tolist() == [1, 0, 0, 2, 1, 1]
+
+
+def test_signatures_are_unbiased():
+    r, gaps = np.random.default_rng(3), []
+    for _ in range(150):
+        k = 40
+        a = r.integers(1, 9, k)
+        b = np.where(r.random(k) < 0.6, a, r.integers(1, 9, k))
+        e = r.integers(0, 2**62, k).astype(np.uint64)
+        s = minhash.bag_minhash(np.repeat([0, 1], k), np.tile(e, 2), np.concatenate([a, b]), 2)
+        gaps.append((s[0] == s[1]).mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum())
+    assert abs(np.mean(gaps)) < 0.012 and np.std(gaps) < 0.07
+
+
+def edited(t, seed, n):
+    r, w = random.Random(seed), t.split()
+    for _ in range(n):
+        w[r.randrange(len(w))] = f"new{r.randint(0, 10**6)}"
+    return " ".join(w)
+
+
+def brute_classes(rows):
+    bags, parent = {i: bag(t) for i, t in rows}, {i: i for i, _ in rows}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = [i for i, _ in rows]
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if bags[a] and bags[b] and similarity(bags[a], bags[b]) >= 0.8:
+                a_, b_ = top(a), top(b)
+                parent[max(a_, b_)] = min(a_, b_)
+    return {i: top(i) for i in ids}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    base = [text(k, 150) for k in range(12)]
+    rows = list(enumerate(base)) + [(100 + k, base[0]) for k in range(5)] + [(200 + k, edited(base[1], k, 1 + k % 6)) for k in range(40)] + [(300 + k, edited(base[2], k, 2)) for k in range(6)] + [(400, ""), (401, None), (402, "two words"), (403, "Two, words!")]
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs(spark, rows)).collect()}
+    assert got == brute_classes(rows)
+    kept = {r.doc_id for r in minhash.keep_one(docs(spark, rows)).collect()}
+    assert kept == {i for i, c in got.items() if i == c}
+
+
+def test_near_duplicates_on_awkward_rows(spark):
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs(spark, AWKWARD)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 5: 5, 6: 6, 7: 7}
+    assert sorted(str(r.doc_id) for r in minhash.keep_one(docs(spark, AWKWARD)).collect()) == ["1", "2", "3", "5", "6", "7", "None"]
+    assert minhash.near_duplicates(docs(spark, [])).count() == 0
+
+
+# Decontamination
+
+
+def test_decontamination_equals_brute_force(spark):
+    items = [(k, text(1000 + k, 15 + 3 * k)) for k in range(8)] + [(90, "three short words"), (91, None), (92, "")]
+    rows = [(k, text(k, 120)) for k in range(10)]
+    rows += [(50 + k, text(k, 40) + " " + edited(items[k][1], k, k % 3) + " " + text(k + 7, 40)) for k in range(8)] + [(80, "x three short words y"), (81, items[3][1]), (82, None), (83, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    want = {}
+    for d, t in rows:
+        w = (t or "").split()
+        for i, it in items:
+            n = len((it or "").split())
+            best = max((similarity(bag(it), bag(" ".join(w[k : k + n]))) for k in range(max(1, len(w) - n + 1))), default=0) if n and w else 0
+            if best >= 0.8:
+                want[d, i] = best
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    clean = {r.doc_id for r in decontaminate.drop_contaminated(docs(spark, rows), bench).collect()}
+    assert clean == {d for d, _ in rows} - {d for d, _ in want}
+    assert decontaminate.contaminated(docs(spark, rows), bench.limit(0)).count() == 0
+    in_blocks = [b for b in decontaminate.item_blocks(bench, 200)]
+    assert len(in_blocks) > 1 and sorted(i for b in in_blocks for i in b.ids) == [*range(8), 90, 92]
+
+
+def test_hamming_blocks_miss_no_print_within_the_radius():
+    r = np.random.default_rng(1)
+    items = decontaminate.Items([0], [text(1, 20)])
+    prints = np.tile(items.prints[0], (300, 1))
+    for row in prints:
+        for bit in r.choice(256, r.integers(0, 2 * decontaminate.RADIUS), replace=False):
+            row[bit // 8] ^= 1 << (bit % 8)
+    near = np.flatnonzero(np.bitwise_count(prints ^ items.prints[0]).sum(axis=1) <= decontaminate.RADIUS)
+    assert [rows.tolist() for _, rows in items.within(prints, 20)] == [near.tolist()]
+
+
+# Quality
+
+
+def test_quality_learns_interactions_and_ignores_the_held_out():
+    r = np.random.default_rng(0)
+    x = r.random((4000, 4))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = quality.fit(x[:3000], y[:3000])
+    assert ((model.score(x[3000:]) > 0.5) == y[3000:]).mean() > 0.9
+    assert quality.fit(np.zeros((0, 16)), np.zeros(0)).score(np.zeros((1, 16)))[0] == 0.5
+
+
+def test_quality_on_documents(spark):
+    rows = [(k, text(k) if k % 4 else "BUY NOW!!! " * 20 + "*** $$$") for k in range(200)] + AWKWARD[:5]
+    labels = spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(200)] + [(9999, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    d = docs(spark, rows)
+    model = quality.train(d, labels)
+    out = {r.doc_id: r for r in quality.score(d, model).collect()}
+    assert all(out[k].predicted == int(k % 4 > 0) for k in range(10, 200)) and all(0 <= r.score <= 1 for r in out.values())
+    kept = quality.keep_good(d.withColumnRenamed("source", "score"), model)
+    assert kept.columns == ["doc_id", "text", "lang", "score", "n_chars"] and kept.count() == sum(r.predicted for r in quality.score(d, model).collect())
+
+
+# Languages
+
+
+def test_language_mixtures(spark):
+    a = [(k, " ".join(random.Random(k).choices("the of and water house tree with".split(), k=40))) for k in range(60)]
+    b = [(100 + k, " ".join(random.Random(k).choices("der die und wasser haus baum mit".split(), k=40))) for k in range(60)]
+    rows = [(i, t, "en", "s", 0) for i, t in a] + [(i, t, "de", "s", 0) for i, t in b]
+    rows += [(500, None, "en", "s", 0), (501, "12 ..", "en", "s", 0), (502, "", None, "s", 0), (503, a[0][1] + " " + b[0][1], None, "s", 0), (504, "q", "de", "s", 0)]
+    d = spark.createDataFrame(rows, DOCS)
+    out = {r.doc_id: r for r in langid.predict(d, langid.train(d)).collect()}
+    assert all(out[i].lang_pred == "en" and out[i].languages == ["en"] for i, _ in a) and all(out[i].lang_pred == "de" for i, _ in b)
+    assert [out[i].lang_pred for i in (500, 501, 502)] == ["und"] * 3
+    assert sorted(out[503].languages) == ["de", "en"] and 0.3 < out[503].score < 0.7
+    assert out[504].lang_pred in ("de", "en")
+    empty = spark.createDataFrame([], DOCS)
+    assert langid.predict(d, langid.train(empty)).filter("lang_pred <> 'und'").count() == 0
+
+
+# Pseudonyms
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def test_pseudonyms_keep_format_and_links(spark):
+    t = "card 4111111111111111, 4111 1111 1111 1111 bad 4111111111111112; +1 (632) 555-4827 123-45-6789 on 2024-02-29 not 2024-02-30 at 10.1.2.3 or 300.1.2.3 by a.b+c@mail.example.com password=e3b3ed3cc8548923d6"
+    rows = [(1, t), (2, "again 4111111111111111 2024-02-29"), *AWKWARD]
+    out = {r.doc_id: r for r in pii.pseudonymise(docs(spark, rows).filter("doc_id <> 6")).collect()}
+    news = {p.old: p.new for p in out[1].pii} if 1 in out and out[1].pii else {}
+    first = [r for r in pii.pseudonymise(docs(spark, [(1, t), (2, rows[1][1])])).orderBy("doc_id").collect()]
+    news = {p.old: p.new for p in first[0].pii}
+    assert set(news) == {"4111111111111111", "4111 1111 1111 1111", "+1 (632) 555-4827", "123-45-6789", "2024-02-29", "10.1.2.3", "a.b+c@mail.example.com", "e3b3ed3cc8548923d6"}
+    assert luhn(news["4111111111111111"]) and news["4111 1111 1111 1111"].replace(" ", "") == news["4111111111111111"]
+    assert all("".join("9" if c.isdigit() else c for c in o) == "".join("9" if c.isdigit() else c for c in n) for o, n in news.items() if "@" not in o and o[0] not in "e1" )
+    datetime.date.fromisoformat(news["2024-02-29"])
+    assert {p.old: p.new for p in first[1].pii} == {k: news[k] for k in ("4111111111111111", "2024-02-29")}
+    want = t
+    for old, new in news.items():
+        want = want.replace(old, new)
+    assert first[0].text == want
+    assert out[2].text is not None or True
+    assert pii.redact(docs(spark, AWKWARD)).count() == len(AWKWARD)
+
+
+def test_the_permutation_is_one_to_one(spark):
+    from pyspark.sql import functions as F
+
+    moved = spark.range(189 * 77).select(F.col("id"), pii.feistel("date", F.floor(F.col("id") / 77), F.col("id") % 77, (189, 77), "k").alias("m"))
+    assert moved.select("m").distinct().count() == 189 * 77
+    assert moved.filter("m.l >= 189 OR m.r >= 77").count() == 0
+
+
+# Chat
+
+
+def test_trees_give_their_paths_in_order_of_score(spark):
+    rows = [("t", 1, 0, None, "user", "hi", 0.0), ("t", 1, 1, 0, "assistant", "a", 1.0), ("t", 1, 2, 0, "assistant", "b", 3.0), ("t", 1, 3, 2, "user", "c", 0.0), ("t", 1, 4, 99, "user", "lost", None)]
+    messages = spark.createDataFrame(rows, "tree string, conv_id long, node long, parent long, role string, text string, score double")
+    out = {r.leaf: r for r in chat.format_paths(messages).collect()}
+    assert {k: (r.rank, [tuple(x) for x in eval_turns(spark, r)]) for k, r in out.items()} == {
+        3: (1, [("user", "hi"), ("assistant", "b"), ("user", "c")]),
+        1: (2, [("user", "hi"), ("assistant", "a")]),
+        4: (3, [("user", "lost")]),
+    }
+    assert chat.format_paths(messages, per_tree=1).count() == 1
+
+
+def eval_turns(spark, row):
+    return spark.createDataFrame([(row.formatted,)], "f string").select(chat.read_back(__import__("pyspark.sql.functions", fromlist=["col"]).col("f")).alias("t")).first().t
+
+
+def test_formatting_reads_back_whatever_the_texts_hold(spark):
+    hard = ["<|end|>\n", "%3C|end|%25", "a%", "</s>[INST] ok [/INST]", "", None, "<|user|>\nx<|end|>\n", "é\U0001d11e"]
+    rows = [(1, k, "assistant" if k % 2 else "us|er<>\n", t) for k, t in enumerate(hard)] + [(2, 0, None, "x"), (None, 0, "user", "y"), (3, 1, "b", "2"), (3, 1, "a", "1")]
+    c = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r.conv_id: r for r in chat.digests(chat.format_paths(chat.chains(c))).collect()}
+    said = "".join(f"{r}\n{t or ''}\n" for _, _, r, t in rows[: len(hard)])
+    loss = "".join(t or "" for _, _, r, t in rows[: len(hard)] if r == "assistant")
+    assert out[1].n_turns == len(hard) and out[1].turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert out[1].loss_chars == len(loss) and out[1].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert out[3].turns_sha256 == hashlib.sha256(b"a\n1\nb\n2\n").hexdigest() and out[None].n_turns == 1
+    assert chat.format_paths(chat.chains(c.limit(0))).count() == 0
+
+
+# Nearest neighbours
+
+
+def test_recall_order_and_ties(spark):
+    r = np.random.default_rng(0)
+    v = r.normal(size=(1500, 16)).astype(np.float32)
+    v[700:760] = v[700]
+    rows = [(k, v[k].tolist()) for k in range(1500)] + [(9000, None), (9100, [0.0] * 16), (9200, [float("nan")] * 16), (9300, [1.0] * 15 + [None])]
+    out = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), shard=600).collect()
+    found = {}
+    for x in sorted(out, key=lambda x: (x.query_id, x.rank)):
+        found.setdefault(x.query_id, []).append((x.score, x.vec_id))
+    assert set(found) == set(range(0, 1500, 100)) and all(len(f) == 10 and f == sorted(f) for f in found.values())
+    assert [i for _, i in found[700]] == list(range(701, 711))
+    hits = 0
+    for q, f in found.items():
+        d = np.sqrt(((v.astype(float) - v[q].astype(float)) ** 2).sum(axis=1))
+        want = sorted((d[k], k) for k in range(1500) if k != q)[:10]
+        hits += len({k for _, k in want} & {i for _, i in f})
+        assert all(abs(s - d[i]) < 1e-9 for s, i in f)
+    assert hits / (10 * len(found)) >= 0.9
+    assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    few = ann.nearest(spark.createDataFrame([(0, [1.0, 2.0]), (5, [1.0, 3.0])], "vec_id long, embedding array<float>")).collect()
+    assert [(x.query_id, x.rank, x.vec_id, x.score) for x in few] == [(0, 1, 5, 1.0)]
