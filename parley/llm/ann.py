@@ -13,7 +13,9 @@ from parley.llm.common import saved
 
 #: Distinct vectors in one shard at most, about; queries in one block.
 SHARD, BLOCK = 8192, 1024
-DEGREE, BUILD_BEAM, SEARCH_BEAM = 28, 56, 96
+DEGREE, BUILD_BEAM, SEARCH_BEAM = 24, 40, 96
+#: Edges that a vertex may hold while the graph is built, before it is pruned.
+SLACK = 40
 #: Relaxation of the pruning rule in the second pass.
 ALPHA = 1.2
 BATCH = 512
@@ -66,16 +68,18 @@ def beam_search(points: np.ndarray, edges: np.ndarray, start: int, queries: np.n
 
 def robust_prune(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, alpha: float, degree: int) -> np.ndarray:
     """For each vertex up to `degree` of its candidates: the nearest, then the nearest that no kept one is closer to by alpha, and so on."""
-    own_points = points[own]
     candidates = np.where(candidates == own[:, None], -1, candidates)
-    far = _squares(points, candidates, own_points)
-    order = np.argsort(far, axis=1, kind="stable")
-    candidates, far = np.take_along_axis(candidates, order, 1), np.take_along_axis(far, order, 1)
-    repeat = np.zeros(candidates.shape, bool)
     by_id = np.argsort(candidates, axis=1, kind="stable")
     sorted_ids = np.take_along_axis(candidates, by_id, 1)
-    np.put_along_axis(repeat, by_id[:, 1:], sorted_ids[:, 1:] == sorted_ids[:, :-1], 1)
-    alive = (candidates >= 0) & ~repeat
+    sorted_ids[:, 1:][sorted_ids[:, 1:] == sorted_ids[:, :-1]] = -1
+    far = _squares(points, sorted_ids, points[own])
+    order = np.argsort(far, axis=1, kind="stable")
+    candidates, far = np.take_along_axis(sorted_ids, order, 1), np.take_along_axis(far, order, 1)
+    vectors = points[candidates]
+    norms = np.einsum("bmd,bmd->bm", vectors, vectors)
+    between = norms[:, :, None] + norms[:, None, :] - 2 * (vectors @ vectors.transpose(0, 2, 1))
+    covers = alpha * alpha * between <= far[:, None, :]  # [b, k, c]: candidate k, if kept, rules candidate c out
+    alive = candidates >= 0
     out = np.full((len(own), degree), -1, np.int64)
     rows = np.arange(len(own))
     for k in range(degree):
@@ -83,47 +87,62 @@ def robust_prune(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, al
         if not some.any():
             break
         pick = alive.argmax(axis=1)
-        chosen = candidates[rows, pick]
-        out[some, k] = chosen[some]
-        between = _squares(points, candidates, points[chosen])
-        alive &= ~(alpha * alpha * between <= far) & some[:, None]
+        out[some, k] = candidates[rows, pick][some]
+        alive &= ~covers[rows, pick]
         alive[rows, pick] = False
     return out
 
 
+def _offer(points: np.ndarray, edges: np.ndarray, own: np.ndarray, alpha: float, degree: int) -> None:
+    """Gives each new edge of `own` to its other end as well; ends that have no room left are pruned first to what is best."""
+    width = edges.shape[1]
+    source, target = np.repeat(own, degree), edges[own, :degree].reshape(-1)
+    new = (target >= 0) & ~(edges[target] == source[:, None]).any(axis=1)
+    source, target = source[new], target[new]
+    order = np.argsort(target, kind="stable")
+    source, target = source[order], target[order]
+    ends, first, count = np.unique(target, return_index=True, return_counts=True)
+    nth = np.arange(len(target)) - np.repeat(first, count)
+    keep = nth < width
+    offered = np.full((len(ends), width), -1, np.int64)
+    offered[np.repeat(np.arange(len(ends)), count)[keep], nth[keep]] = source[keep]
+    held = (edges[ends] >= 0).sum(axis=1)
+    full = held + np.minimum(count, width) > width
+    for at in range(0, int(full.sum()), BATCH):
+        part = np.flatnonzero(full)[at : at + BATCH]
+        kept = robust_prune(points, ends[part], np.concatenate([edges[ends[part]], offered[part]], axis=1), alpha, degree)
+        edges[ends[part]] = -1
+        edges[ends[part], :degree] = kept
+    room = ~full[np.repeat(np.arange(len(ends)), count)] & keep
+    place = np.repeat(held, count) + nth
+    edges[target[room], place[room]] = source[room]
+
+
 def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM) -> tuple[np.ndarray, int]:
-    """Edges (n, degree), -1 where there are fewer, and the vertex that searches start from: the one nearest the mean.
+    """Edges (n, SLACK), -1 where there are fewer, and the vertex that searches start from: the one nearest the mean.
 
     From random edges, two passes over all vertices in batches: a greedy search for each vertex proposes
     neighbours, pruning keeps diverse ones, and each kept edge is offered to its other end, which is pruned when full.
     """
+    points = points.astype(np.float32)
     n = len(points)
     random = np.random.default_rng(n)
-    edges = np.full((n, degree), -1, np.int64)
+    edges = np.full((n, SLACK), -1, np.int64)
     if n < 2:
         return edges, 0
-    half = min(degree // 2, n - 1)
-    drawn = random.integers(0, n - 1, (n, half))
-    edges[:, :half] = drawn + (drawn >= np.arange(n)[:, None])
+    some = min(degree // 2, n - 1)
+    drawn = random.integers(0, n - 1, (n, some))
+    edges[:, :some] = drawn + (drawn >= np.arange(n)[:, None])
     start = int(np.argmin(((points - points.mean(axis=0)) ** 2).sum(axis=1)))
     for alpha in (1.0, ALPHA):
         order = random.permutation(n)
         for at in range(0, n, BATCH):
             own = order[at : at + BATCH]
             found, _ = beam_search(points, edges, start, points[own], beam)
-            edges[own] = robust_prune(points, own, np.concatenate([found, edges[own]], axis=1), alpha, degree)
-            source, target = np.repeat(own, degree), edges[own].reshape(-1)
-            source, target = source[target >= 0], target[target >= 0]
-            order_by = np.argsort(target, kind="stable")
-            source, target = source[order_by], target[order_by]
-            ends, first, count = np.unique(target, return_index=True, return_counts=True)
-            nth = np.arange(len(target)) - np.repeat(first, count)
-            keep = nth < 2 * degree
-            offered = np.full((len(ends), 2 * degree), -1, np.int64)
-            offered[np.repeat(np.arange(len(ends)), count)[keep], nth[keep]] = source[keep]
-            for k in range(0, len(ends), BATCH):
-                part = ends[k : k + BATCH]
-                edges[part] = robust_prune(points, part, np.concatenate([edges[part], offered[k : k + BATCH]], axis=1), alpha, degree)
+            kept = robust_prune(points, own, np.concatenate([found, edges[own]], axis=1), alpha, degree)
+            edges[own] = -1
+            edges[own, :degree] = kept
+            _offer(points, edges, own, alpha, degree)
     return edges, start
 
 
