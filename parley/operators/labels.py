@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.operators import structure as st
+from parley.operators.intervals import asof
 from parley.operators.state import EPS, SPEAKING, UNKNOWN
 
 #: State codes of units.
@@ -242,3 +243,67 @@ def solo_share(states: DataFrame, cells: DataFrame, step_s: float) -> DataFrame:
     """The share of each cell in which the wearer alone speaks; null if anything in it is unknown."""
     shares = joint_occupancy(states, cells, step_s)
     return shares.select(*CELL, F.col("joint_speech_state_occupancy")[1].alias("ego_solo_mask_fraction"))
+
+
+def onset_context_units(states: DataFrame, step_s: float, subframes: int, rules: st.Rules) -> DataFrame:
+    """Units with an onset of the wearer: the context of the first one in each."""
+    rows = st.onset_contexts(states, rules).filter("participant_index = 0").withColumn("unit", _unit_of(F.col("time_s"), step_s, subframes))
+    first = Window.partitionBy("recording_id", "unit").orderBy("time_s")
+    rows = rows.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    last = F.col("previous_unique_speaker")
+    return rows.select(
+        "recording_id",
+        F.floor(F.col("unit") / subframes).cast("long").alias("decision_index"),
+        (F.col("unit") % subframes).alias("place"),
+        "previous_unique_speaker",
+        (last == 0).alias("ego_was_last_unique_speaker"),
+        F.col("others_at").alias("others_active_at_ego_onset"),
+        F.col("silence_before_s").alias("silence_duration_before_ego_onset"),
+        F.col("simultaneous").alias("simultaneous_other_onset"),
+        (F.col("onset_type") != "undetermined").alias("ego_onset_context_valid"),
+        F.col("onset_type").alias("ego_onset_type"),
+    )
+
+
+def overlap_units(states: DataFrame, cells: DataFrame, step_s: float, subframes: int, rules: st.Rules) -> DataFrame:
+    """Per unit whether an overlap of each type lies in it; null if none does and something unknown might hide one."""
+    width = step_s / subframes
+    timed = seconds_per_unit(st.overlaps(states, rules).select("recording_id", "overlap_type", "start_s", "end_s"), width, ["recording_id", "overlap_type", "start_s", "end_s"])
+    kinds = ("within", "between", "simultaneous_onset", "undetermined")
+    found = timed.filter(F.col("seconds") > EPS).groupBy("recording_id", "unit").agg(*(F.bool_or(F.col("overlap_type") == k).alias(f"_{k}") for k in kinds))
+    codes = unit_codes(states, cells, width, subframes).withColumn("unit", F.col("decision_index") * subframes + F.col("place"))
+    rows = codes.join(found, ["recording_id", "unit"], "left")
+    hidden = F.exists("codes", lambda c: c == UNKNOWN_CODE)
+    unsure = {k: hidden | F.coalesce(F.col("_undetermined"), F.lit(False)) if k != "simultaneous_onset" else hidden for k in kinds[:3]}
+    shown = [F.when(F.col(f"_{k}"), True).when(unsure[k], None).otherwise(False).alias(f"{k}_overlap") for k in kinds[:3]]
+    return rows.select(*CELL, "place", *shown)
+
+
+def future_states(states: DataFrame, around: DataFrame, horizons_s: Sequence[float]) -> DataFrame:
+    """Per cell and horizon the joint state and floor holder just before it ends; null unless wholly observed."""
+    rows = around.select(*CELL, "reference_s", "observed", "span_end_s", F.explode(F.array(*(F.lit(float(h)) for h in horizons_s))).alias("horizon_s"))
+    asks = rows.withColumn("_at", F.col("reference_s") + F.col("horizon_s") - F.lit(EPS))
+    ego = states.filter("participant_index = 0").select("recording_id", "ordinal", (F.col("state") == SPEAKING).cast("int").alias("ego"))
+    pieces = st.floor(states).join(ego, ["recording_id", "ordinal"]).select("recording_id", "start_s", "ego", "speakers", "holder")
+    met = asof(asks, pieces, ["recording_id"], "_at", "start_s", ["start_s", "ego", "speakers", "holder"], strict=True, into="_p")
+    valid = F.col("observed") & (F.col("reference_s") + F.col("horizon_s") <= F.col("span_end_s") + EPS)
+    joint = F.col("_p.ego") + 2 * (F.col("_p.speakers") > F.col("_p.ego")).cast("int")
+    return met.select(*CELL, "horizon_s", F.when(valid, joint).alias("future_joint_speech_state"), F.when(valid, F.col("_p.holder")).alias("future_floor_holder"))
+
+
+def coverage(labels: DataFrame) -> DataFrame:
+    """(label, units, known, missing) for every label column of a cell table; a list counts by its elements, a null list as as many missing ones as lists of that column have most often."""
+    values = [c for c in labels.columns if c not in CELL]
+    lists = {c for c in values if labels.schema[c].dataType.typeName() == "array"}
+    usual = labels.agg(F.lit(0).alias("_"), *(F.mode(F.size(F.when(F.col(c).isNotNull(), F.col(c))), True).alias(f"_m_{c}") for c in sorted(lists)))
+    rows = labels.crossJoin(usual) if lists else labels  # one row
+    parts = []
+    for c in values:
+        if c in lists:
+            units = F.sum(F.when(F.col(c).isNull(), F.col(f"_m_{c}")).otherwise(F.size(c)))
+            known = F.sum(F.coalesce(F.size(F.filter(c, lambda x: x.isNotNull())), F.lit(0)))
+        else:
+            units, known = F.count("*"), F.count(c)
+        parts.append(F.struct(F.lit(c).alias("label"), units.cast("long").alias("units"), known.cast("long").alias("known")))
+    out = rows.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    return out.withColumn("missing", F.col("units") - F.col("known"))

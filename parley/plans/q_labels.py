@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from parley.operators import labels as lb
 from parley.plans.oracle import EPS, part, sql
 from parley.plans.q_state import STEP, rounded
-from parley.plans.q_structure import states
+from parley.plans.q_structure import RULES, states
 from parley.sources import canonical as c
 
 SUBFRAMES = 2
@@ -62,7 +62,25 @@ def g19_ego_solo_share(spark, sf_dir):
     return rounded(lb.solo_share(states(spark, sf_dir), cells(spark, sf_dir), STEP))
 
 
-QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] == "g" and k.split("_")[0][1:].isdigit()}
+def g11_onset_context_units(spark, sf_dir):
+    return rounded(lb.onset_context_units(states(spark, sf_dir), STEP, SUBFRAMES, RULES))
+
+
+def g12_overlap_units(spark, sf_dir):
+    return rounded(lb.overlap_units(states(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES, RULES))
+
+
+def g18_future_states(spark, sf_dir):
+    return rounded(lb.future_states(states(spark, sf_dir), _around(spark, sf_dir), HORIZONS))
+
+
+def l4_label_coverage(spark, sf_dir):
+    nested = lb.instantaneous(states(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES).drop("speaker_activity_subframes")
+    occupancy = lb.joint_occupancy(states(spark, sf_dir), cells(spark, sf_dir), STEP)
+    return rounded(lb.coverage(nested).unionByName(lb.coverage(occupancy)))
+
+
+QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "gl" and k.split("_")[0][1:].isdigit()}
 
 part("cel", "recs", "SELECT recording_id, unnest(range(0, 8640)) AS decision_index FROM recs")
 for _name, _width, _per in (("ucodes", 5, 2), ("ccodes", 10, 1)):
@@ -178,3 +196,35 @@ ORACLE_SQL = {
     ),
     "g19_ego_solo_share": sql("occ", f"SELECT recording_id, decision_index, round(CASE WHEN h <= {EPS} THEN s[2] END, 6) AS ego_solo_mask_fraction FROM occ"),
 }
+
+ORACLE_SQL["g11_onset_context_units"] = sql(
+    "ctx",
+    f"""SELECT recording_id, CAST(floor(unit / 2) AS BIGINT) AS decision_index, unit % 2 AS place, CAST(previous_unique_speaker AS BIGINT) AS previous_unique_speaker, previous_unique_speaker = 0 AS ego_was_last_unique_speaker, others_at AS others_active_at_ego_onset,
+    round(silence_before_s, 6) AS silence_duration_before_ego_onset, simultaneous AS simultaneous_other_onset, onset_type <> 'undetermined' AS ego_onset_context_valid, onset_type AS ego_onset_type
+    FROM (SELECT *, CAST(floor((time_s + {EPS}) / 5) AS BIGINT) AS unit FROM ctx WHERE participant_index = 0) QUALIFY row_number() OVER (PARTITION BY recording_id, unit ORDER BY time_s) = 1""",
+)
+ORACLE_SQL["g12_overlap_units"] = sql(
+    "ucodes ovl",
+    "SELECT u.recording_id, u.decision_index, CAST(u.place AS BIGINT) AS place, "
+    + ", ".join(f"CASE WHEN o.{k} THEN true WHEN list_contains(codes, 2){' OR coalesce(o.undetermined, false)' if k != 'simultaneous_onset' else ''} THEN NULL ELSE false END AS {k}_overlap" for k in ("within", "between", "simultaneous_onset"))
+    + f""" FROM ucodes u LEFT JOIN (SELECT recording_id, unit, """
+    + ", ".join(f"bool_or(overlap_type = '{k}') AS {k}" for k in ("within", "between", "simultaneous_onset", "undetermined"))
+    + f""" FROM (SELECT *, unnest(range(CAST(floor(start_s / 5) AS BIGINT), greatest(CAST(floor(start_s / 5) AS BIGINT) + 1, CAST(ceil(end_s / 5) AS BIGINT)))) AS unit FROM ovl)
+    WHERE least(end_s, (unit + 1) * CAST(5 AS DOUBLE)) - greatest(start_s, unit * CAST(5 AS DOUBLE)) > {EPS} GROUP BY 1, 2) o ON o.recording_id = u.recording_id AND o.unit = u.decision_index * 2 + u.place""",
+)
+ORACLE_SQL["g18_future_states"] = sql(
+    "refs flr pstates",
+    f"""SELECT r.recording_id, r.decision_index, h AS horizon_s, CAST(CASE WHEN r + h <= b + {EPS} THEN p.ego + 2 * CAST(p.speakers > p.ego AS INT) END AS BIGINT) AS future_joint_speech_state, CAST(CASE WHEN r + h <= b + {EPS} THEN p.holder END AS BIGINT) AS future_floor_holder
+    FROM (SELECT *, r + h - {EPS} AS at FROM (SELECT *, unnest([10.0::DOUBLE, 50.0::DOUBLE, 100.0::DOUBLE]) AS h FROM refs)) r
+    ASOF LEFT JOIN (SELECT f.recording_id, f.start_s, f.speakers, f.holder, CAST(e.state = 'SPEAKING' AS INT) AS ego FROM flr f JOIN pstates e ON e.recording_id = f.recording_id AND e.ordinal = f.ordinal AND e.participant_index = 0) p ON p.recording_id = r.recording_id AND p.start_s < r.at""".replace(" AS at FROM", " AS point FROM").replace("r.at", "r.point"),
+)
+_COUNTED = {n: v for n, v in _VIEWS.items()}
+ORACLE_SQL["l4_label_coverage"] = sql(
+    "ucodes ccodes occ",
+    " UNION ALL ".join(
+        [f"SELECT '{n}_subframes' AS label, count(*) AS units, count({v}) AS known, count(*) - count({v}) AS missing FROM ucodes" for n, v in _COUNTED.items()]
+        + ["SELECT 'speaker_activity', count(*), count(*) FILTER (WHERE c <> 2), count(*) FILTER (WHERE c = 2) FROM (SELECT unnest(codes) AS c FROM ccodes)"]
+        + [f"SELECT '{n}', count(*), count({_VIEWS[n]}), count(*) - count({_VIEWS[n]}) FROM ccodes" for n in ("ego_speaking", "others_active")]
+        + [f"SELECT 'joint_speech_state_occupancy', 4 * count(*), 4 * count(*) FILTER (WHERE h <= {EPS}), 4 * count(*) - 4 * count(*) FILTER (WHERE h <= {EPS}) FROM occ"]
+    ),
+)
