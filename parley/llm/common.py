@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Words per shingle wherever word shingles are taken.
 SHINGLE = 5
 #: Bytes of text that numpy works on at once; one longer text is one slice.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 #: Odd multiplier of the rolling byte hash, its inverse modulo 2^64, and one multiplier per place in a shingle.

@@ -15,7 +15,7 @@ import ahocorasick
 
 SPACE = "▁"
 #: Entries of one generation of a cache; two generations are kept, so memory is bounded.
-CACHE = 400_000
+CACHE = 100_000
 
 
 class Recent(dict):
