@@ -196,6 +196,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     sig = saved(sig.select("doc_id", "s.*"), "signatures")
     by_key = sig.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
     reps = saved(sig.join(by_key.select("rep"), F.col("doc_id") == F.col("rep")).select("rep", "key", "n", "bands"), "representatives")
+
     def crowds(of: DataFrame) -> DataFrame:
         """(bucket, rep, n, m) of buckets with several representatives."""
         size = of.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
@@ -238,6 +239,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     def alone(of: DataFrame) -> DataFrame:
         return of.withColumn("comp", F.col("rep"))
 
+    def unsettled(of: DataFrame) -> DataFrame:
+        """`of` in the buckets that hold several classes, with the bucket's `members` and its pairs of different classes, `open`."""
+        classes = of.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket")
+        mixed = classes.agg(F.sum("c").alias("members"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("open"))
+        return of.join(mixed.filter("open > 0"), "bucket")
+
     lead = second.filter(F.col("band") < LEAD_BANDS).join(middle, "rep")
     pairs = full(alone(first.filter(F.col("m") <= SMALL_BUCKET))).union(star(alone(lead), 0))
     links, label = None, None
@@ -247,12 +254,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         found = similar(pairs.filter(long_enough).select("a", "b").distinct(), bag, threshold)
         links = saved(found if links is None else links.union(found), "links")
         label = components(links)
-        at = at.select("bucket", "rep", "n", "m").join(label, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")
-        classes = at.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket")
-        mixed = classes.agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("open")).filter("open > 0")
-        at = at.join(mixed, "bucket")
-        at = saved(linkable(at) if turn == 0 else at, "mixed")
-        left, members = at.agg(F.coalesce(F.sum(F.col("open") / F.col("m")), F.lit(0.0)), F.count("*")).first()
+        at = at.select("bucket", "rep", "n").join(label, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")
+        at = unsettled(at)
+        if turn == 0:
+            at = unsettled(linkable(at).drop("members", "open"))
+        at = saved(at, "unsettled")
+        left, members = at.agg(F.coalesce(F.sum(F.col("open") / F.col("members")), F.lit(0.0)), F.count("*")).first()
         if not members:
             break
         if turn == STAR_ROUNDS or left <= SMALL_BUCKET * members:
