@@ -106,30 +106,45 @@ def card(text: Column, key: str = KEY) -> Column:
 
 
 def phone(text: Column, key: str = KEY) -> Column:
-    """A number of the North American plan: area and exchange from 200 to 999 stay in that range."""
+    """A number of the North American form: those with area and exchange of 200 to 999 stay in the plan, all others stay out of it."""
     d = _digits(text)
     area, exchange, line = _part(d, 2, 3), _part(d, 5, 3), _part(d, 8, 4)
-    index = ((area - 200) * 800 + exchange - 200) * 10_000 + line
 
-    def put(moved: Column) -> Column:
+    def filled(area: Column, exchange: Column, line: Column) -> Column:
+        return _refill(text, F.concat(F.lit("1"), _padded(area, 3), _padded(exchange, 3), _padded(line, 4)))
+
+    def inside(moved: Column) -> Column:
         i = moved["l"] * 80_000 + moved["r"]
-        new_area, rest = F.floor(i / 8_000_000), i % 8_000_000
-        return _refill(text, F.concat(F.lit("1"), (new_area + 200).cast("string"), (F.floor(rest / 10_000) + 200).cast("string"), _padded(rest % 10_000, 4)))
+        rest = i % 8_000_000
+        return filled(F.floor(i / 8_000_000) + 200, F.floor(rest / 10_000) + 200, rest % 10_000)
+
+    def outside(moved: Column) -> Column:
+        i = moved["l"] * 60_000 + moved["r"]
+        pair = F.floor(i / 10_000)
+        low = pair < 200_000
+        area = F.when(low, F.floor(pair / 1000)).otherwise(F.floor((pair - 200_000) / 200) + 200)
+        return filled(area, F.when(low, pair % 1000).otherwise((pair - 200_000) % 200), i % 10_000)
 
-    new = _letting(feistel("phone", F.floor(index / 80_000), index % 80_000, (80_000, 80_000), key), put)
-    return F.when((area >= 200) & (exchange >= 200), new).otherwise(text)
+    planned = ((area - 200) * 800 + exchange - 200) * 10_000 + line
+    # 200 areas with any exchange, then 800 areas with 200 exchanges.
+    other = F.when(area < 200, area * 1000 + exchange).otherwise(200_000 + (area - 200) * 200 + exchange) * 10_000 + line
+    new = _letting(feistel("phone", F.floor(planned / 80_000), planned % 80_000, (80_000, 80_000), key), inside)
+    new_other = _letting(feistel("unplanned phone", F.floor(other / 60_000), other % 60_000, (60_000, 60_000), key), outside)
+    return F.when((area >= 200) & (exchange >= 200), new).otherwise(new_other)
 
 
 def ssn(text: Column, key: str = KEY) -> Column:
-    """A social security number: area 001 to 665, group 01 to 99, serial 0001 to 9999, each range kept."""
+    """A social security number: area 001 to 899 without 666, group 01 to 99, serial 0001 to 9999, each range kept. Others are never issued."""
     area, group, serial = _part(text, 1, 3), _part(text, 5, 2), _part(text, 8, 4)
 
     def put(moved: Column) -> Column:
         i = moved["r"]
-        return F.concat_ws("-", _padded(moved["l"] + 1, 3), _padded(F.floor(i / 9999) + 1, 2), _padded(i % 9999 + 1, 4))
+        new_area = moved["l"] + F.when(moved["l"] < 665, 1).otherwise(2)
+        return F.concat_ws("-", _padded(new_area, 3), _padded(F.floor(i / 9999) + 1, 2), _padded(i % 9999 + 1, 4))
 
-    new = _letting(feistel("ssn", area - 1, (group - 1) * 9999 + serial - 1, (665, 99 * 9999), key), put)
-    return F.when(area.between(1, 665) & (group >= 1) & (serial >= 1), new).otherwise(text)
+    place = area - F.when(area < 666, 1).otherwise(2)
+    new = _letting(feistel("ssn", place, (group - 1) * 9999 + serial - 1, (898, 99 * 9999), key), put)
+    return F.when(area.between(1, 899) & (area != 666) & (group >= 1) & (serial >= 1), new).otherwise(text)
 
 
 def date(text: Column, key: str = KEY) -> Column:

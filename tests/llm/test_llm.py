@@ -307,6 +307,20 @@ def test_the_permutation_is_one_to_one(spark):
     assert moved.filter("m.l >= 189 OR m.r >= 77").count() == 0
 
 
+def test_numbers_outside_the_usual_ranges_are_replaced_one_to_one(spark):
+    phones = ["+1 (017) 555-7713", "+1 (632) 017-4827", "+1 (000) 000-0000", "+1 (999) 199-9999", "+1 (199) 999-0001", "+1 (200) 200-0000"]
+    ssns = ["667-12-3456", "899-99-9999", "001-01-0001", "665-45-6789"]
+    never = ["000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000"]
+    row = pii.pseudonymise(docs(spark, [(1, "; ".join(phones + ssns + never))])).first()
+    news = {p.old: p.new for p in row.pii}
+    assert set(news) == set(phones + ssns) and all(x in row.text for x in never)
+    assert all((p[4] > "1" and p[9] > "1") == (n[4] > "1" and n[9] > "1") and len(n) == len(p) for p in phones for n in [news[p]])
+    many = [f"+1 ({a:03}) {e:03}-0000" for a in range(0, 1000, 37) for e in range(0, 1000, 37)] + [f"{a:03}-45-6789" for a in range(1, 900) if a != 666]
+    found = pii.pseudonymise(docs(spark, [(1, "; ".join(many))])).first().pii
+    assert [p.old for p in found] == many and len({p.new for p in found}) == len(many)
+    assert all(p.new[:3] not in ("000", "666") and p.new[0] != "9" for p in found if p.kind == "ssn")
+
+
 # Chat
 
 
