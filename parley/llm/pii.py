@@ -8,14 +8,38 @@ from pyspark.sql import functions as F
 KEY = "parley-pseudonyms"
 ROUNDS = 8
 
-#: One pattern per kind. Numbers and dates are validated once found; what fails stays as it is.
+_MONTH = r"(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+_MIDDLE = r"(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.)"
+_NUMERIC_DATE = rf"(?:[0-9]{{4}}{_MIDDLE}[0-9]{{1,2}}|[0-9]{{1,2}}{_MIDDLE}[0-9]{{4}})(?![0-9-]|[/.][0-9])"
+_NAMED_DATE = rf"(?i:[0-9]{{1,2}}(?:st|nd|rd|th)?\.? (?:of )?{_MONTH}\.?,? [0-9]{{4}}|{_MONTH}\.? [0-9]{{1,2}}(?:st|nd|rd|th)?,? [0-9]{{4}})(?![0-9])"
+_SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+_LOCAL = r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
+#: What a run of digit groups ends before.
+_OTHER = rf"(?!{_SSN}|{_NUMERIC_DATE}|{_LOCAL})"
+#: What stands before a secret; the quote is part of it.
+_SET = r"[\"']?\s{0,3}(?:=>|:=|==?|:)\s{0,3}"
+_WORD_KEY = rf"(?i:password|passwd|passphrase|passcode|pwd){_SET}"
+_OTHER_KEY = rf"(?i:(?:api|access|secret|private|auth|account|encryption|signing|master)[_ -]?key(?:[_ -]?id)?|secret|token|credentials?){_SET}"
+_BEARER = r"(?i:\bbearer)\s{1,3}"
+_PEM = r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,3}PRIVATE KEY-----"
+_BEFORE_SECRET = rf"^(?:(?:{_WORD_KEY}|{_OTHER_KEY})[\"']?|{_BEARER}|{_PEM})"
+_QUOTED = r"\"[^\"\n]{4,}+(?=\")|'[^'\n]{4,}+(?=')"
+_BARE = r"[^\s\"'<>&,;]"
+_KNOWN_KEYS = (
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}", r"gh[pousr]_[0-9A-Za-z]{20,}+", r"github_pat_[0-9A-Za-z_]{20,}+", r"glpat-[0-9A-Za-z_-]{20,}+", r"sk-[0-9A-Za-z_-]{16,}+",
+    r"[spr]k_(?:live|test)_[0-9A-Za-z]{10,}+", r"xox[abeprs]-[0-9A-Za-z-]{10,}+", r"AIza[0-9A-Za-z_-]{35}", r"eyJ[0-9A-Za-z_-]{8,}+\.eyJ[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]*+",
+)
+
+#: One pattern per kind, tried in this order. Numbers and dates are validated once found; what fails stays as it is.
 PATTERNS = {
+    "secret": rf"{_WORD_KEY}(?:{_QUOTED}|{_BARE}{{4,}}(?<![.!?:]))|{_OTHER_KEY}(?:{_QUOTED}|(?={_BARE}*[0-9]|{_BARE}{{16}}){_BARE}{{8,}}(?<![.!?:]))"
+    rf"|{_BEARER}[0-9A-Za-z._~+/=-]{{16,}}(?<![.])|{_PEM}[^-]{{16,}}+(?=-----END)|(?<![0-9A-Za-z])(?:{'|'.join(_KNOWN_KEYS)})",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}+",
-    "secret": r"(?<=password=)[0-9A-Za-z+/_-]{8,}+|(?<=token = \")[0-9A-Za-z+/_-]{16,}+(?=\")",
-    "phone": r"(?<![0-9])\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
-    "card": r"(?<![0-9])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9]|[0-9][.-])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    rf"|(?<![0-9A-Za-z+])\+[0-9](?:[0-9]|[ .()/-]{{1,2}}{_OTHER}[0-9]){{6,14}}(?![0-9])",
+    "ssn": rf"(?<![0-9-]){_SSN}",
+    "date": rf"(?<![0-9-]|[0-9][/.]){_NUMERIC_DATE}|(?<![0-9A-Za-z]){_NAMED_DATE}",
+    "card": rf"(?<![0-9])[0-9](?:[0-9]|[ -]{_OTHER}[0-9]){{12,}}+",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
 }
 #: The days of 400 years of the calendar, which repeat: 189 * 773. They begin with 1800-01-01.
@@ -23,7 +47,7 @@ _DAYS = (189, 773)
 _FIRST_DAY = "1800-01-01"
 
 
-def feistel(kind: str, left: Column, right: Column, sizes: tuple[int, int], key: str, rounds: int = ROUNDS) -> Column:
+def feistel(kind: str | Column, left: Column, right: Column, sizes: tuple[int | Column, int | Column], key: str, rounds: int = ROUNDS) -> Column:
     """A keyed permutation of pairs with left below sizes[0] and right below sizes[1], as a struct (l, r).
 
     Even rounds shift the left half by a keyed hash of the right one, odd rounds the other way about; each shift can
@@ -93,25 +117,86 @@ def _refill(shape: Column, digits: Column) -> Column:
     return F.aggregate(places, start, one)["out"]
 
 
+def _halves(digits: Column, kind: str | Column, key: str) -> Column:
+    """Other digits, as many, by a permutation of the numbers of this length."""
+    n = F.floor(F.length(digits) / 2).cast("int")
+    m = F.length(digits) - n
+    sizes = tuple(F.pow(F.lit(10.0), k).cast("long") for k in (n, m))
+    moved = feistel(kind, F.substring(digits, F.lit(1), n).cast("long"), F.substring(digits, n + 1, m).cast("long"), sizes, key)
+    return _letting(moved, lambda x: F.concat(F.lpad(x["l"].cast("string"), n, F.lit("0")), F.lpad(x["r"].cast("string"), m, F.lit("0"))))
+
+
+def _card_right(digits: Column) -> Column:
+    n = F.length(digits)
+    return n.between(13, 19) & (_check_digit(F.substring(digits, F.lit(1), n - 1)) == F.substring(digits, n, F.lit(1)))
+
+
 def card(text: Column, key: str = KEY) -> Column:
-    """A 16-digit number with a right check digit: the first digit stays, the next 14 are permuted, the last is worked out anew."""
-    d = _digits(text)
+    """13 to 19 digits with a right check digit: the first digit stays, those in the middle are permuted, the last is worked out anew."""
 
-    def put(moved: Column) -> Column:
-        body = F.concat(F.substring(d, 1, 1), _padded(moved["l"], 7), _padded(moved["r"], 7))
-        return _refill(text, F.concat(body, _check_digit(body)))
+    def of(d: Column) -> Column:
+        def put(middle: Column) -> Column:
+            body = F.concat(F.substring(d, 1, 1), middle)
+            return _refill(text, F.concat(body, _check_digit(body)))
+
+        new = _letting(_halves(F.substring(d, F.lit(2), F.length(d) - 2), "card", key), put)
+        return F.when(_card_right(d), new).otherwise(text)
+
+    return _letting(_digits(text), of)
+
+
+def _cards(run: Column, key: str) -> Column:
+    """A struct (put, swaps): a run of groups of digits with its cards replaced, each from the first group that begins one to the last that ends it."""
+    blank = F.struct(F.lit("").alias("put"), F.lit(1).alias("at"), F.lit(0).alias("skip"), F.array().cast("array<struct<old:string,new:string>>").alias("swaps"))
 
-    new = _letting(feistel("card", _part(d, 2, 7), _part(d, 9, 7), (10**7, 10**7), key), put)
-    return F.when(_check_digit(F.substring(d, 1, 15)) == F.substring(d, 16, 1), new).otherwise(text)
+    def of(groups: Column) -> Column:
+        def one(acc: Column, i: Column) -> Column:
+            def joined(j: Column) -> Column:
+                return F.array_join(F.slice(groups, i + 1, j - i + 1), "")
+
+            def taken(last: Column) -> Column:
+                j = F.coalesce(last, i)
+                old = F.substring(run, acc["at"], F.length(joined(j)) + j - i)
+
+                def step(old: Column) -> Column:
+                    def done(new: Column) -> Column:
+                        return F.struct(
+                            F.concat(acc["put"], new, F.substring(run, acc["at"] + F.length(old), F.lit(1))).alias("put"),
+                            (acc["at"] + F.length(old) + 1).alias("at"),
+                            (j + 1).alias("skip"),
+                            F.when(last.isNull(), acc["swaps"]).otherwise(F.concat(acc["swaps"], F.array(F.struct(old.alias("old"), new.alias("new"))))).alias("swaps"),
+                        )
+
+                    return _letting(F.when(last.isNull(), old).otherwise(card(old, key)), done)
+
+                return _letting(old, step)
+
+            ends = F.filter(F.sequence(i, F.least(i + 18, F.size(groups) - 1)), lambda j: _card_right(joined(j)))
+            return F.when(i < acc["skip"], acc).otherwise(_letting(F.array_max(ends), taken))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), blank, one)
+
+    return _letting(_letting(F.split(run, "[ -]"), of), lambda x: F.struct(x["put"].alias("put"), x["swaps"].alias("swaps")))
 
 
 def phone(text: Column, key: str = KEY) -> Column:
-    """A number of the North American form: those with area and exchange of 200 to 999 stay in the plan, all others stay out of it."""
-    d = _digits(text)
+    """Another number of the same country code. North American ones with area and exchange of 200 to 999 stay in the plan, all others of this form out of it."""
+    return _letting(_digits(text), lambda d: F.when((F.length(d) == 10) | (F.length(d) == 11) & d.startswith("1"), _american(text, F.right(d, F.lit(10)), key)).otherwise(_abroad(text, d, key)))
+
+
+def _abroad(text: Column, d: Column, key: str) -> Column:
+    code = F.regexp_extract(d, "^(?:[17]|2[07]|3[0123469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})", 0)
+    rest = F.substring(d, F.length(code) + 1, F.length(d))
+    return _refill(text, F.concat(code, _halves(rest, F.concat(F.lit("phone "), code), key)))
+
+
+def _american(text: Column, ten: Column, key: str) -> Column:
+    d = F.concat(F.lit("1"), ten)
     area, exchange, line = _part(d, 2, 3), _part(d, 5, 3), _part(d, 8, 4)
 
     def filled(area: Column, exchange: Column, line: Column) -> Column:
-        return _refill(text, F.concat(F.lit("1"), _padded(area, 3), _padded(exchange, 3), _padded(line, 4)))
+        number = F.concat(_padded(area, 3), _padded(exchange, 3), _padded(line, 4))
+        return _refill(text, F.when(F.length(_digits(text)) == 11, F.concat(F.lit("1"), number)).otherwise(number))
 
     def inside(moved: Column) -> Column:
         i = moved["l"] * 80_000 + moved["r"]
@@ -148,15 +233,59 @@ def ssn(text: Column, key: str = KEY) -> Column:
 
 
 def date(text: Column, key: str = KEY) -> Column:
-    """A real day from 1800 to 2199, which becomes another of these days."""
-    day = F.try_to_date(text, "yyyy-MM-dd")
-    index = F.datediff(day, F.lit(_FIRST_DAY).cast("date"))
+    """A real day from 1800 to 2199, in figures or with an English month, which becomes another of these days in the same layout.
 
-    def put(moved: Column) -> Column:
-        return F.date_format(F.date_add(F.lit(_FIRST_DAY).cast("date"), (moved["l"] * _DAYS[1] + moved["r"]).cast("int")), "yyyy-MM-dd")
+    Two short figures are month and day where slashes part them, else day and month, and the other way about only if
+    that is no day; such days, all after the 12th, become days after the 12th, so that they are still read so.
+    """
+    n = F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0))
+    sep = F.regexp_extract(text, "[-/.]", 0)
+    month_name = F.regexp_extract(text, f"(?i){_MONTH}", 0)
+    first = F.lit(_FIRST_DAY).cast("date")
+
+    def index(y: Column, m: Column, d: Column) -> Column:
+        i = F.datediff(F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"), first)
+        return F.when(i.between(0, _DAYS[0] * _DAYS[1] - 1), i.cast("long"))
+
+    def other(i: Column) -> Column:
+        return _letting(feistel("date", F.floor(i / _DAYS[1]), i % _DAYS[1], _DAYS, key), lambda x: x["l"] * _DAYS[1] + x["r"])
+
+    def day(i: Column) -> Column:
+        return F.date_add(first, i.cast("int"))
 
-    new = _letting(feistel("date", F.floor(index / _DAYS[1]), index % _DAYS[1], _DAYS, key), put)
-    return F.when(index.between(0, _DAYS[0] * _DAYS[1] - 1), new).otherwise(text)
+    def later(i: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(99)), i, lambda acc, k: F.when((k == 1) | (F.dayofmonth(day(acc)) < 13), other(acc)).otherwise(acc))
+
+    def written(i: Column, *parts: str) -> Column:
+        def put(on: Column) -> Column:
+            long = F.concat_ws("|", *(F.date_format(on, p) for p in parts))
+            return F.replace(F.when(F.length(text) == 10, long).otherwise(F.regexp_replace(long, r"\b0", "")), F.lit("|"), sep)
+
+        return F.when(i.isNotNull(), _letting(day(i), put)).otherwise(text)
+
+    def named(i: Column) -> Column:
+        def put(on: Column) -> Column:
+            full = F.date_format(on, "MMMM")
+            name = F.when((F.length(month_name) > 4) | F.lower(month_name).isin("june", "july", "may"), full).otherwise(F.substring(full, 1, 3))
+            name = F.when(month_name == F.upper(month_name), F.upper(name)).when(month_name == F.lower(month_name), F.lower(name)).otherwise(name)
+            d = F.dayofmonth(on)
+            nth = F.when(d.isin(1, 21, 31), "st").when(d.isin(2, 22), "nd").when(d.isin(3, 23), "rd").otherwise("th")
+            nth = F.when(text.rlike("(?i)[0-9](?:st|nd|rd|th)"), nth).otherwise("")
+            out = F.regexp_replace(text, F.lit("[0-9]{4}$"), F.date_format(on, "yyyy"))
+            out = F.regexp_replace(out, F.lit("(?i)(?<![0-9])[0-9]{1,2}(?![0-9])(?:st|nd|rd|th)?"), F.concat(d.cast("string"), nth))
+            return F.regexp_replace(out, F.lit(f"(?i){_MONTH}"), name)
+
+        return F.when(i.isNotNull(), _letting(day(i), put)).otherwise(text)
+
+    def short(usual: Column, turned: Column, *parts: str) -> Column:
+        return F.when(usual.isNotNull(), written(other(usual), *parts)).otherwise(written(later(turned), parts[1], parts[0], parts[2]))
+
+    months = "janfebmaraprmayjunjulaugsepoctnovdec"
+    month = ((F.call_function("locate", F.lower(F.substring(month_name, 1, 3)), F.lit(months)) + 2) / 3).cast("int").cast("string")
+    month_first, day_first = index(n[2], n[0], n[1]), index(n[2], n[1], n[0])
+    out = F.when(text.rlike("^[0-9]{4}[-/.]"), written(other(index(n[0], n[1], n[2])), "yyyy", "MM", "dd"))
+    out = out.when(month_name != "", named(other(index(n[1], month, n[0]))))
+    return out.when(sep == "/", short(month_first, day_first, "MM", "dd", "yyyy")).otherwise(short(day_first, month_first, "dd", "MM", "yyyy"))
 
 
 def ip(text: Column, key: str = KEY) -> Column:
@@ -190,18 +319,10 @@ _KINDS = {"email": email, "secret": secret, "phone": phone, "ssn": ssn, "date":
 
 
 def _kind(match: Column) -> Column:
-    """Which kind a match of the joint pattern is; secrets are what has none of the other shapes."""
-    shapes = {
-        "email": r"^[^@]+@[^@]+$",
-        "phone": r"^\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}$",
-        "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
-        "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
-        "card": r"^[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}$",
-        "ip": r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$",
-    }
+    """Which kind a match of the joint pattern is."""
     out = F.lit(None).cast("string")
-    for kind, shape in reversed(shapes.items()):
-        out = F.when(match.rlike(shape), F.lit(kind)).otherwise(out)
+    for kind, pattern in reversed(PATTERNS.items()):
+        out = F.when(match.rlike(f"^(?:{pattern})$"), F.lit(kind)).otherwise(out)
     return F.coalesce(out, F.lit("secret"))
 
 
@@ -216,21 +337,29 @@ def pseudonymise(docs: DataFrame, key: str = KEY, into: str = "pii") -> DataFram
     joint = "|".join(PATTERNS.values())
     found = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(joint), F.lit(0))
 
+    def whole(old: Column, new: Column, before: Column | None = None) -> Column:
+        return F.struct((new if before is None else F.concat(before, new)).alias("put"), F.array(F.struct(old.alias("old"), new.alias("new"))).alias("swaps"))
+
     def replace(m: Column) -> Column:
+        def hidden(before: Column) -> Column:
+            return _letting(F.substring(m, F.length(before) + 1, F.length(m)), lambda old: whole(old, secret(old, key), before))
+
         def of_kind(k: Column) -> Column:
+            made = F.when(k == "secret", _letting(F.regexp_extract(m, _BEFORE_SECRET, 0), hidden)).when(k == "card", _cards(m, key))
             new = m
             for kind, make in _KINDS.items():
-                new = F.when(k == kind, make(m, key)).otherwise(new)
-            return F.struct(k.alias("kind"), m.alias("old"), new.alias("new"))
+                if kind not in ("secret", "card"):
+                    new = F.when(k == kind, make(m, key)).otherwise(new)
+            made = made.otherwise(_letting(new, lambda x: whole(m, x)))
+            return _letting(made, lambda x: F.struct(x["put"].alias("put"), F.transform(x["swaps"], lambda s: F.struct(k.alias("kind"), s["old"].alias("old"), s["new"].alias("new"))).alias("swaps")))
 
         return _letting(_kind(m), of_kind)
 
-    swaps = F.transform(found, replace)
-    marked = docs.withColumn("_swaps", swaps)
-    news = F.concat(F.transform("_swaps", lambda s: s["new"]), F.array(F.lit("")))
+    marked = docs.withColumn("_swaps", F.transform(found, replace))
+    news = F.concat(F.transform("_swaps", lambda s: s["put"]), F.array(F.lit("")))
     gaps = F.split(F.col("text"), joint, -1)
     text = F.when(F.size("_swaps") == 0, F.col("text")).otherwise(F.array_join(F.zip_with(gaps, news, lambda g, n: F.concat(g, n)), ""))
-    listed = F.filter("_swaps", lambda s: s["old"] != s["new"])
+    listed = F.filter(F.flatten(F.transform("_swaps", lambda s: s["swaps"])), lambda s: s["old"] != s["new"])
     return marked.withColumn("text", text).withColumn(into, listed).drop("_swaps")
 
 
