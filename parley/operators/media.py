@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.operators.labels import seconds_per_unit
 from parley.operators.state import EPS
@@ -122,16 +123,62 @@ def dropout_intervals(steps: DataFrame, rate: float, least_s: float) -> DataFram
     return rows.select("stream", (end - length).alias("start_s"), end.alias("end_s"))
 
 
+_FRAMES = "start_frame long, end_frame long, video_start_time double, video_end_time double, video_start_frame long, video_end_frame long"
+#: The collections of a release besides persons and segments, with the columns that are kept; what a release lacks is null.
+_COLLECTIONS = {
+    "missing_voice_segments": "person string, start_time double, end_time double",
+    "transcriptions": "transcription string, start_time_sec double, end_time_sec double, person_id string, video_start_time double, video_start_frame long, video_end_time double, video_end_frame long",
+    "social_segments_talking": f"start_time double, end_time double, {_FRAMES}, person string, target string, is_at_me boolean",
+    "social_segments_looking": f"start_time double, end_time double, {_FRAMES}, person string, target string, is_at_me boolean",
+    "tracking_paths": "track_id string, unmapped_frames_count long, unmapped_frames array<long>, suspect boolean",
+    "track": "x double, y double, width double, height double, video_frame long, frame long",
+}
+_RENAMED = {("missing_voice_segments", "person"): "person_id", ("track", "frame"): "clip_frame"}
+
+
+def _fields(rows: DataFrame, column: str) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in rows.schema[column].dataType.fields}
+
+
+def _entries(rows: DataFrame, column: str, name: str, keys: Sequence[str]) -> DataFrame:
+    """`keys` and the columns of each entry of the collection `name` in the struct `column`, as the release types them."""
+    declared = T.StructType.fromDDL(_COLLECTIONS[name])
+    given = name in _fields(rows, column)
+    items = F.col(column)[name] if given else F.lit(None).cast(T.ArrayType(declared))
+    found = rows.select(*keys, F.explode(items).alias("_e"))
+    held = _fields(found, "_e")
+    return found.select(*keys, *((F.col("_e")[f.name] if f.name in held else F.lit(None).cast(f.dataType)).alias(_RENAMED.get((name, f.name), f.name)) for f in declared))
+
+
 def release_to_tables(release: DataFrame) -> dict[str, DataFrame]:
-    """clips, persons and segments from nested videos > clips > persons > segments; a null collection is empty."""
+    """The nine tables of nested videos > clips > persons > (segments, tracking_paths > track) and of the lists of each clip.
+
+    A null or absent collection is empty. An entry's `person` is person_id in missing_voice_segments, a point's `frame`
+    is clip_frame; single values of clips, persons and segments besides those named below stay as they are.
+    """
     clips = release.select(F.explode("videos").alias("v")).select("v.video_id", "v.split", F.explode("v.clips").alias("c"))
-    persons = clips.select("video_id", "c.clip_id", F.explode("c.persons").alias("p"))
-    segments = persons.select("clip_id", "p.person_id", F.posexplode("p.segments").alias("place", "s"))
-    return {
-        "clips": clips.select("video_id", "split", "c.clip_id"),
-        "persons": persons.select("clip_id", "p.person_id"),
-        "segments": segments.select("clip_id", "person_id", "place", "s.start_s", "s.end_s"),
+    of_clip = clips.select("video_id", "c.clip_id", "c")
+    persons = of_clip.select("video_id", "clip_id", F.explode("c.persons").alias("p")).select("video_id", "clip_id", "p.person_id", "p")
+    segments = persons.select("clip_id", "person_id", F.posexplode("p.segments").alias("place", "s"))
+
+    def others(rows: DataFrame, column: str, *taken: str) -> list[Column]:
+        return [F.col(column)[f].alias({"camera_wearer": "is_camera_wearer"}.get(f, f)) for f, kind in _fields(rows, column).items() if f not in taken and not isinstance(kind, T.ArrayType)]
+
+    out = {
+        "clips": clips.select("video_id", "split", "c.clip_id", *others(clips, "c", "clip_id", "video_id", "split")),
+        "persons": persons.select("clip_id", "person_id", *others(persons, "p", "person_id")),
+        "segments": segments.select("clip_id", "person_id", "place", "s.start_s", "s.end_s", *others(segments, "s", "start_s", "end_s", "person")),
     }
+    for name in ("missing_voice_segments", "transcriptions", "social_segments_talking", "social_segments_looking"):
+        out[name] = _entries(of_clip, "c", name, ["clip_id"])
+    paths = ["clip_id", "person_id"]
+    out["tracking_paths"] = _entries(persons, "p", "tracking_paths", paths)
+    if "tracking_paths" in _fields(persons, "p"):
+        tracks = persons.select(*paths, F.explode("p.tracking_paths").alias("t")).select(*paths, "t.track_id", "t")
+    else:
+        tracks = _entries(persons, "p", "tracking_paths", paths).select(*paths, "track_id", F.struct("track_id").alias("t"))
+    out["tracks"] = _entries(tracks, "t", "track", [*paths, "track_id"])
+    return out
 
 
 def box_means(tracks: DataFrame, step_s: float) -> DataFrame:
