@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.common import bags, mix, saved, slices, times
 
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-#: Bands of the texts in large buckets: dissimilar ones seldom share one of these, similar ones as surely.
-SHARP_BANDS, SHARP_ROWS = 98, 12
-#: So many of the sharp bands link most of a group of near copies; the rest serve what is then still apart.
-LEAD_BANDS = 16
-#: Rounds in which one text of each large bucket is compared with the rest before what is left is compared in full.
-STAR_ROUNDS = 4
-#: Buckets of so many representatives at most are compared in full at once.
-SMALL_BUCKET = 8
+#: Rounds in which one text of each bucket meets all the others there, before what is left is joined on rare shingles.
+STARS = 2
+#: Ratio between the bounds of one class of lengths, in the join on rare shingles.
+LENGTH_STEP = 1.02
 
 _U = np.uint64
 _STEP, _PLACE, _SLOT = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -86,7 +83,10 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n, key, bands): shingles of each text, a key equal for equal multisets only, and band hashes. Null ids are left out."""
+    """(doc_id, mark, n, key, bands): a hash of each text and its number of shingles, a key equal for equal multisets only, and band hashes.
+
+    Null ids are left out.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -99,15 +99,21 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
                 yield pa.record_batch(
                     [
                         batch.column("doc_id"),
+                        batch.column("mark"),
                         pa.array(np.bincount(doc, count, n).astype(np.int64)),
                         key,
                         pa.ListArray.from_arrays(np.arange(0, n * bands + 1, bands, dtype=np.int32), pa.array(hashes.reshape(-1))),
                     ],
-                    names=["doc_id", "n", "key", "bands"],
+                    names=["doc_id", "mark", "n", "key", "bands"],
                 )
 
-    needed = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").filter("doc_id IS NOT NULL")
-    return needed.mapInArrow(work, "doc_id long, n long, key binary, bands array<long>")
+    return _marked(docs).mapInArrow(work, "doc_id long, mark long, n long, key binary, bands array<long>")
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, mark) of rows with an id."""
+    known = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").filter("doc_id IS NOT NULL")
+    return known.withColumn("mark", F.xxhash64("text"))
 
 
 def bag_keys(doc: np.ndarray, element: np.ndarray, count: np.ndarray, n: int) -> pa.Array:
@@ -124,39 +130,28 @@ def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sums[at[1:]] - sums[at[:-1]]
 
 
-def bag_sets(docs: DataFrame, bands: int = SHARP_BANDS, rows: int = SHARP_ROWS) -> DataFrame:
-    """(doc_id, key, bag, sharp) of (doc_id, text, large).
-
-    `bag` is the multiset as a set of hashes of (shingle, how many of it came before), so set overlap is multiset
-    overlap. `sharp` has a second, longer signature's band hashes for rows with `large`, and is null for others.
-    """
+def bag_sets(texts: DataFrame) -> DataFrame:
+    """(key, n, bag) of (text): the multiset as a set of hashes of (shingle, how many of it came before), so set overlap is multiset overlap."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                n = batch.num_rows
                 doc, element, count = bags(batch.column("text"))
                 first = np.cumsum(count) - count
                 nth = np.arange(count.sum()) - np.repeat(first, count)
                 items = mix(np.repeat(element, count) + nth.astype(np.uint64) * _PLACE)
-                at = np.searchsorted(np.repeat(doc, count), np.arange(n + 1))
-                key = bag_keys(doc, element, count, n)
+                at = np.searchsorted(np.repeat(doc, count), np.arange(batch.num_rows + 1))
+                key = bag_keys(doc, element, count, batch.num_rows)
                 bag = pa.ListArray.from_arrays(at.astype(np.int32), pa.array(items.view(np.int64)))
-                large = batch.column("large").to_numpy(zero_copy_only=False).astype(bool)
-                own = large[doc]
-                place = np.cumsum(large) - 1
-                hashes = band_hashes(bag_minhash(place[doc[own]], element[own], count[own], int(large.sum()), bands * rows), bands, rows)
-                ends = np.concatenate([[0], np.cumsum(large) * bands]).astype(np.int32)
-                sharp = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.reshape(-1)))
-                yield pa.record_batch([batch.column("doc_id"), key, bag, sharp], names=["doc_id", "key", "bag", "sharp"])
+                yield pa.record_batch([key, pa.array(np.diff(at)), bag], names=["key", "n", "bag"])
 
-    return docs.select("doc_id", "text", "large").mapInArrow(work, "doc_id long, key binary, bag array<long>, sharp array<long>")
+    return texts.select("text").mapInArrow(work, "key binary, n long, bag array<long>")
 
 
 def similar(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
     """Those (a, b) whose multisets overlap enough, exactly. Both joins may be split by Spark where one text is in many pairs."""
-    left = bag.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b"))
-    right = bag.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a"))
+    left = bag.select(F.col("key").alias("b"), F.col("bag").alias("bag_b"))
+    right = bag.select(F.col("key").alias("a"), F.col("bag").alias("bag_a"))
     size = F.size("bag_a") + F.size("bag_b")
     common = F.size(F.array_intersect("bag_a", "bag_b"))
     return pairs.join(left, "b").join(right, "a").filter(common >= F.lit(threshold) * (size - common)).select("a", "b")
@@ -177,111 +172,113 @@ def components(edges: DataFrame) -> DataFrame:
             return root
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, class_id, class_size): the least doc_id that a document is linked to, directly or through others.
+def rare_pairs(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of members (key, comp, n) of different comp that may be similar enough: every pair that is, and few others.
 
-    Two documents are linked when their multisets of five-word shingles have a weighted Jaccard similarity of
+    Only shingles that occur in several comps can be common to a pair, and a similar pair shares at least
+    t / (1 + t) of its joint length. So a text meets texts of certain lengths only, and two similar texts share
+    one of the rarest shingles of each, early enough for what follows to make up the rest. Lengths are joined
+    by classes; a text of many own shingles has few or none to meet, so a group of texts that are alike, but not
+    enough, costs no pairs.
+    """
+    share = threshold / (1 + threshold)
+    items = bag.select("key", "bag").join(members, "key").select("key", "comp", "n", F.explode("bag").alias("item"))
+    common = items.groupBy("item").agg(F.count("*").alias("often"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    rare = items.join(common.select("item", "often"), "item").groupBy("key", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("often", "item"))).alias("shared"))
+    own = F.col("n") - F.size("shared")
+    first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1 - own
+    rare = rare.withColumn("own", own).withColumn("first", first).filter("first > 0")
+    # Whom a text may meet: no longer than itself, and together no longer than its shared shingles allow.
+    rare = rare.withColumn("both", F.floor(F.size("shared") / F.lit(share) + 1e-6))
+    rare = rare.select("key", "comp", "n", "own", "both", F.posexplode(F.slice("shared", F.lit(1), F.least(F.col("first"), F.size("shared")).cast("int"))).alias("at", "s"))
+    rare = rare.select("key", "comp", "n", "both", (F.col("own") + F.col("at")).alias("at"), F.col("s.item").alias("item"))
+
+    def length_class(n: Column) -> Column:
+        return F.floor(F.log(n) / F.lit(math.log(LENGTH_STEP)))
+
+    shorter = rare.select("item", length_class(F.col("n")).alias("length"), *(F.col(c).alias(f"{c}_b") for c in ("key", "comp", "n", "at", "both")))
+    least, most = F.ceil(F.lit(threshold) * F.col("n") - 1e-6), F.least(F.col("n"), F.col("both") - F.col("n"))
+    longer = rare.filter(least <= most).withColumn("length", F.explode(F.sequence(length_class(least), length_class(most))))
+    longer = longer.select("item", "length", *(F.col(c).alias(f"{c}_a") for c in ("key", "comp", "n", "at", "both")))
+    rest, length = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")), F.col("n_a") + F.col("n_b")
+    met = (F.col("comp_a") != F.col("comp_b")) & (F.col("n_b") <= F.col("n_a")) & (length <= F.least("both_a", "both_b")) & (rest + 1e-6 >= F.lit(share) * length)
+    pairs = longer.join(shorter, (longer["item"] == shorter["item"]) & (longer["length"] == shorter["length"]) & met)
+    return pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, mark, class): one row for each distinct id and text, `class` equal where texts are linked directly or through others.
+
+    Two texts are linked when their multisets of five-word shingles have a weighted Jaccard similarity of
     `threshold` or more. Texts with equal multisets are one representative from the start, so copies are never
-    paired. Small buckets of equal bands are compared in full. The members of large ones get a longer signature,
-    whose sharper bands keep texts of middling similarity apart, and meet in its buckets instead. There one
-    representative is compared with all those not yet connected to it, in a few rounds, until few pairs are left
-    between different classes of a bucket; these are then compared one by one. So every two representatives that
-    share a bucket and are similar end in one class, without all pairs of a group of near copies.
-
-    Texts without a word (null, empty) belong to no group: each is its own class. A row without doc_id takes no
-    part. Rows that repeat a doc_id give one row, in the class of the least of its texts' keys.
+    paired. In each bucket of equal bands one representative meets all that are not yet connected to it and then
+    leaves the bucket; buckets whose members are all connected are done. After `STARS` such rounds, which link most
+    of any group of near copies at a cost in proportion to the buckets, what is still apart is joined on rare
+    shingles. So every two similar representatives that share a bucket end in one class, without all pairs of a bucket.
     """
-    # Repeated ids are made unique first: one id must not bridge two texts.
-    sig = signatures(docs, bands, rows).groupBy("doc_id").agg(F.min(F.struct("key", "n", "bands")).alias("s"))
-    sig = saved(sig.select("doc_id", "s.*"), "signatures")
-    by_key = sig.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    reps = saved(sig.join(by_key.select("rep"), F.col("doc_id") == F.col("rep")).select("rep", "key", "n", "bands"), "representatives")
-
-    def crowds(of: DataFrame) -> DataFrame:
-        """(bucket, rep, n, m) of buckets with several representatives."""
-        size = of.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-        return of.join(size, "bucket")
-
-    first = saved(crowds(reps.select("rep", "n", F.explode("bands").alias("bucket"))), "buckets")
-    wanted = first.groupBy("rep").agg(F.max(F.col("m") > SMALL_BUCKET).alias("large"))
-    wanted = reps.join(wanted, "rep").select(F.col("rep").alias("doc_id"), "key", "large")
-    texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text")
-    texts = texts.join(wanted.select("doc_id", "large"), "doc_id").dropDuplicates(["doc_id", "text"])
-    bag = bag_sets(texts).join(wanted.select("doc_id", "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
-    bag = saved(bag.withColumn("n", F.size("bag").cast("long")), "bags")
-    second = saved(crowds(bag.select(F.col("doc_id").alias("rep"), "n", F.posexplode("sharp").alias("band", "bucket"))), "buckets")
+    sig = saved(signatures(docs, bands, rows).dropDuplicates(["doc_id", "mark"]), "signatures")
+    reps = sig.filter("n > 0").groupBy("key").agg(F.min(F.struct("doc_id", "mark", "n", "bands")).alias("s")).select("key", "s.*")
+    reps = saved(reps, "representatives")
+    spread = reps.select("key", "n", F.explode("bands").alias("bucket"))
+    size = saved(spread.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1"), "sizes")
+    at = saved(spread.join(size, "bucket"), "buckets")
     # Who shares many crowded buckets is near the middle of a group of near copies and links most of it in one round.
-    middle = second.groupBy("rep").agg(F.sum("m").alias("weight"))
-
-    def side(of: DataFrame, name: str) -> DataFrame:
-        return of.select("bucket", F.col("rep").alias(name), F.col("comp").alias(f"comp_{name}"), F.col("n").alias(f"n_{name}"))
-
-    def full(of: DataFrame) -> DataFrame:
-        return side(of, "a").join(side(of, "b"), "bucket").filter("comp_a < comp_b")
-
-    def star(of: DataFrame, turn: int) -> DataFrame:
-        order = F.struct((F.xxhash64("rep", F.lit(turn)) if turn else -F.col("weight")).alias("h"), "rep", "comp", "n")
-        lead = of.groupBy("bucket").agg(F.min(order).alias("lead")).select("bucket", "lead.*")
-        return side(lead, "a").join(side(of, "b"), "bucket").filter("comp_a <> comp_b")
-
-    def linkable(of: DataFrame) -> DataFrame:
-        """`of` less the members of whose shingles too many occur in no other member to reach the threshold with anyone.
-
-        At most the shared shingles are common to a pair, and the other text is no shorter than the bucket's shortest.
-        """
-        items = bag.join(of.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", F.explode("bag").alias("item"))
-        often = items.groupBy("item").agg(F.count("*").alias("c")).filter("c > 1").select("item")
-        shared = items.join(often, "item", "left_semi").groupBy(F.col("doc_id").alias("rep")).agg(F.count("*").alias("shared"))
-        least = of.groupBy("bucket").agg(F.min("n").alias("least"))
-        met = of.join(shared, "rep").join(least, "bucket")
-        return met.filter(F.col("shared") >= F.lit(threshold) * (F.col("n") + F.greatest("least", "shared") - F.col("shared"))).drop("shared", "least")
-
-    def alone(of: DataFrame) -> DataFrame:
-        return of.withColumn("comp", F.col("rep"))
-
-    def unsettled(of: DataFrame) -> DataFrame:
-        """`of` in the buckets that hold several classes, with the bucket's `members` and its pairs of different classes, `open`."""
-        classes = of.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket")
-        mixed = classes.agg(F.sum("c").alias("members"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("open"))
-        return of.join(mixed.filter("open > 0"), "bucket")
-
-    lead = second.filter(F.col("band") < LEAD_BANDS).join(middle, "rep")
-    pairs = full(alone(first.filter(F.col("m") <= SMALL_BUCKET))).union(star(alone(lead), 0))
+    middle = at.groupBy("key").agg(F.sum("m").alias("weight"))
+    at = saved(at.drop("m").join(middle, "key").withColumn("comp", F.col("key")), "buckets")
+
+    wanted = reps.join(middle, "key", "left_semi").select("doc_id", "mark")
+    texts = _marked(docs).join(wanted, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+    bag = saved(bag_sets(texts).dropDuplicates(["key"]), "bags")
+
     links, label = None, None
-    long_enough = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
-    at = second
-    for turn in range(STAR_ROUNDS + 1):
-        found = similar(pairs.filter(long_enough).select("a", "b").distinct(), bag, threshold)
+    for turn in range(STARS + 1):
+        if turn < STARS:
+            order = F.struct((-F.col("weight") if turn == 0 else F.xxhash64("key")).alias("h"), "key", "comp", "n")
+            lead = at.groupBy("bucket").agg(F.min(order).alias("lead")).select("bucket", *(F.col(f"lead.{c}").alias(f"{c}_a") for c in ("key", "comp", "n")))
+            met = at.join(saved(lead, "leaders"), "bucket")
+            alike = F.least("n", "n_a") >= F.lit(threshold) * F.greatest("n", "n_a")
+            pairs = met.filter((F.col("comp") != F.col("comp_a")) & alike).select(F.least("key", "key_a").alias("a"), F.greatest("key", "key_a").alias("b")).distinct()
+        else:
+            pairs = rare_pairs(at.select("key", "comp", "n").distinct(), bag, threshold)
+        found = similar(pairs, bag, threshold)
         links = saved(found if links is None else links.union(found), "links")
         label = components(links)
-        at = at.select("bucket", "rep", "n").join(label, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")
-        at = unsettled(at)
-        if turn == 0:
-            at = unsettled(linkable(at).drop("members", "open"))
-        at = saved(at, "unsettled")
-        left, members = at.agg(F.coalesce(F.sum(F.col("open") / F.col("members")), F.lit(0.0)), F.count("*")).first()
-        if not members:
-            break
-        if turn == STAR_ROUNDS or left <= SMALL_BUCKET * members:
-            pairs = full(at)
-            links = saved(links.union(similar(pairs.filter(long_enough).select("a", "b").distinct(), bag, threshold)), "links")
-            label = components(links)
-            break
-        pairs = star(at, turn + 1)
-
-    # A document's class is its representative's; a class is named after its least document.
-    named = by_key.join(label, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("root", "rep").alias("class_id"))
-    classes = sig.join(named, "key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    size = classes.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return classes.join(size, "class_id").select("doc_id", "class_id", "class_size")
+        if turn < STARS:
+            left = met.filter("key <> key_a").select("bucket", "key", "n", "weight")
+            left = left.join(label, F.col("key") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "key")).drop("node", "root")
+            mixed = left.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+            at = saved(left.join(saved(mixed.select("bucket"), "mixed"), "bucket"), "unsettled")
+            if at.isEmpty():
+                break
+    named = saved(reps.select("key").join(label, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("class")), "classes")
+    # A text without a word is a class of its own for each id.
+    alone = F.concat(F.col("doc_id").cast("string"), F.lit("|"), F.col("mark").cast("string")).cast("binary")
+    return sig.select("doc_id", "mark", "key").join(named, "key", "left").select("doc_id", "mark", F.coalesce("class", alone).alias("class"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, class_size): the class of each document, named after its least doc_id, and how many documents it has.
+
+    A class holds the texts that are linked, directly or through others (see `classes`). Texts without a word
+    (null, empty) belong to no group: each is its own class. A row without doc_id takes no part. Rows that repeat
+    an id and its text give one row; an id with several texts gives a row for each class that these are in.
+    """
+    found = saved(classes(docs, threshold).select("doc_id", "class").distinct(), "members")
+    size = saved(found.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "sizes")
+    return found.join(size, "class").select("doc_id", "class_id", "class_size")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents less all but one of each near-duplicate class: the one with the least doc_id, once.
 
-    Rows without doc_id stay as they are. All columns stay.
+    What is judged is the row's own text: an id with several texts may keep some of them. Rows without doc_id stay
+    as they are. All columns stay.
     """
-    kept = near_duplicates(docs, threshold).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept"))
-    turn = Window.partitionBy("_kept").orderBy(F.xxhash64("text"))
-    known = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept")).withColumn("_turn", F.row_number().over(turn))
-    return known.filter("_turn = 1").drop("_kept", "_turn").unionByName(docs.filter("doc_id IS NULL"))
+    kept = classes(docs, threshold).groupBy("class").agg(F.min(F.struct("doc_id", "mark")).alias("s")).select("s.*")
+    names = {c.lower() for c in docs.columns}
+    row, at = (next(x for x in (c + "_" * k for k in range(len(names) + 1)) if x not in names) for c in ("kept_row", "kept_id"))
+    kept = kept.select(F.struct(F.col("doc_id").alias("id"), "mark").alias(at))
+    whole = docs.select(F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("mark")).alias(at), F.struct("*").alias(row))
+    plain = [F.col(f"{row}.{f.name}") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    once = whole.filter(F.col(f"{at}.id").isNotNull()).join(kept, at).groupBy(at).agg(F.min_by(row, F.xxhash64(*plain)).alias(row))
+    return once.select(f"{row}.*").unionByName(docs.filter("doc_id IS NULL"))
