@@ -10,16 +10,20 @@ from __future__ import annotations
 
 import heapq
 import re
+from itertools import chain
+from operator import add
 
 import ahocorasick
 
 SPACE = "▁"
-#: Entries of one generation of a cache; two generations are kept, so memory is bounded.
-CACHE = 100_000
+#: Entries of one generation of a cache of words or of pairs of pieces; two generations are kept, so memory is bounded.
+CACHE, PAIR_CACHE = 150_000, 300_000
+#: Characters of the longest word that is kept in a cache.
+LONGEST = 32
 
 
 class Recent(dict):
-    """A mapping of two generations: the older is dropped when the younger is full."""
+    """A mapping of two generations: the older is dropped when the younger is full. Long words are worked out anew each time."""
 
     def __init__(self, make, limit: int = CACHE):
         super().__init__()
@@ -29,6 +33,8 @@ class Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+            if type(key) is str and len(key) > LONGEST:
+                return value
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
@@ -36,6 +42,10 @@ class Recent(dict):
         return value
 
 
+def _chained(parts: list[tuple[int, ...]]) -> tuple[int, ...]:
+    return tuple(chain.from_iterable(parts))
+
+
 class PieceModel:
     """Pieces, scores and byte pieces of a model file, and encoding, decoding and counting with them."""
 
@@ -63,34 +73,40 @@ class PieceModel:
             if len(piece) == 1 or self.merged(piece) == [piece]:
                 self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        self.apart = Recent(self._apart)
+        #: The longest piece that a piece begins with, besides itself: what a failed match is replaced with.
+        self.shorter: dict[int, tuple[int, int] | None] = {}
+        for piece in self.automaton.keys():
+            prefixes = (piece[:k] for k in range(len(piece) - 1, 0, -1))
+            self.shorter[self.ids[piece]] = next((self.automaton.get(p) for p in prefixes if p in self.automaton), None)
+        self.longest = max(map(len, self.automaton.keys()), default=1)
+        self.single = frozenset(p for p in self.ids if len(p) == 1)
+        self.rank = {p: -s for p, s in self.score.items()}
+        self.apart = Recent(self._apart, PAIR_CACHE)
         # Nor may one join a letter to another kind of character, but for the space before a word.
         mixed = (p.lstrip(SPACE) for p in self.ids)
         self.split_kinds = not any(a.isalpha() != b.isalpha() for p in mixed for a, b in zip(p, p[1:], strict=False))
-        self.run_ids = Recent(self.backtrack)
-        self.word_ids = Recent(lambda w: self._by_runs(SPACE + w, self.run_ids, ()))
-        self.head_ids = Recent(lambda w: self._by_runs(w.replace(" ", SPACE), self.run_ids, ()))
-        self.run_count = Recent(self.merge_count)
-        self.word_count = Recent(lambda w: self._by_runs(SPACE + w, self.run_count, 0))
-        self.head_count = Recent(lambda w: self._by_runs(w.replace(" ", SPACE), self.run_count, 0))
+        self.word_ids = Recent(lambda w: self._by_runs(w, SPACE + w, self.backtrack, self.word_ids, self.head_ids, _chained))
+        self.head_ids = Recent(lambda w: self._by_runs(w, w.replace(" ", SPACE), self.backtrack, self.head_ids, self.head_ids, _chained))
+        self.word_count = Recent(lambda w: self._by_runs(w, SPACE + w, self.merge_count, self.word_count, self.head_count, sum))
+        self.head_count = Recent(lambda w: self._by_runs(w, w.replace(" ", SPACE), self.merge_count, self.head_count, self.head_count, sum))
         self.shown = [str(i) for i in range(size)]
         self.plain_text = [p.replace(SPACE, " ") for p in self.pieces]
         for i in self.silent:
             self.plain_text[i] = ""
         self.plain_text[self.unknown] = library.decode([self.unknown])
 
-    def _by_runs(self, word: str, each: Recent, total):
-        """The sum of `each` over a word's runs of letters and of other characters; a run keeps the space before it."""
-        bare = word.lstrip(SPACE)
+    def _by_runs(self, word: str, marked: str, whole, first: Recent, rest: Recent, join):
+        """`whole` of a word of letters only or of none; else the sum over its runs of either, the first one with the space before it."""
+        bare = word.lstrip(" ")
         if not self.split_kinds or not bare or bare.isalpha():
-            return each[word]
+            return whole(marked)
         begin, at = 0, len(word) - len(bare)
-        kind = word[at].isalpha()
+        kind, parts = word[at].isalpha(), []
         for k in range(at + 1, len(word)):
             if word[k].isalpha() != kind:
-                total += each[word[begin:k]]
+                parts.append((rest if parts else first)[word[begin:k]])
                 begin, kind = k, not kind
-        return total + each[word[begin:]]
+        return join([*parts, rest[word[begin:]]]) if parts else whole(marked)
 
     def merged(self, text: str) -> list[str]:
         """The pieces of `text` after all merges, best score first and leftmost first among equals."""
@@ -113,49 +129,50 @@ class PieceModel:
 
     def backtrack(self, text: str) -> tuple[int, ...]:
         """Ids of `text`, whose spaces are already marked. Characters without a piece become their bytes' pieces."""
-        n = len(text)
-        ending: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (i, length) in self.automaton.iter(text):
-            ending[end - length + 1].append((i, length))  # shorter matches end earlier, so each list ascends by length
+        if self.single.issuperset(text):
+            return tuple(self._row(text))
         out: list[int] = []
         begin = 0
-        for k in range(n):  # characters without a piece never merge: they cut the text
-            if not ending[k]:
-                if text[k] in self.ids:
-                    continue
-                out += self._row(ending, begin, k)
-                out += [self.bytes.get(b, self.unknown) for b in text[k].encode("utf-8", "surrogatepass")]
+        for k, c in enumerate(text):  # characters without a piece never merge: they cut the text
+            if c not in self.single:
+                out += self._row(text[begin:k])
+                out += [self.bytes.get(b, self.unknown) for b in c.encode("utf-8", "surrogatepass")]
                 begin = k + 1
-        out += self._row(ending, begin, n)
-        return tuple(out)
+        return tuple(out + self._row(text[begin:]))
 
-    def _row(self, ending: list[list[tuple[int, int]]], begin: int, end: int) -> list[int]:
-        if begin == end:
-            return []
-        failed = 0  # bit k: from position begin + k no row of pieces reaches the end
-        size, apart = self.size, self.apart
+    def _row(self, text: str) -> list[int]:
+        """Ids of a text of characters that are pieces themselves, so that some piece begins everywhere."""
+        size, apart, shorter, longest, end = self.size, self.apart, self.shorter, self.longest, len(text)
         ids: list[int] = []
-        froms: list[int] = []
-        nexts: list[int] = []  # the match that each piece on the stack would be replaced with
-        at, choice = begin, len(ending[begin]) - 1
+        ends: list[int] = []
+        at = 0
+        for _, (i, length) in self.automaton.iter_long(text):  # longest matches one after another
+            if ids and not apart[ids[-1] * size + i]:
+                match: tuple[int, int] | None = shorter[i]
+                break
+            ids.append(i)
+            at += length
+            ends.append(at)
+        else:
+            return ids
+        failed = bytearray(end // 8 + 1)  # bit k: from position k no row of pieces reaches the end
         while at < end:
-            matches = ending[at]
-            while choice >= 0:
-                i, length = matches[choice]
+            while match is not None:
+                i, length = match
                 to = at + length
-                if to <= end and not failed >> (to - begin) & 1 and (not ids or apart[ids[-1] * size + i]):
+                if not failed[to >> 3] >> (to & 7) & 1 and (not ids or apart[ids[-1] * size + i]):
                     break
-                choice -= 1
-            if choice >= 0:
+                match = shorter[i]
+            if match is not None:
                 ids.append(i)
-                froms.append(at)
-                nexts.append(choice - 1)
+                ends.append(to)
                 at = to
-                choice = len(ending[at]) - 1 if at < end else -1
+                match = next(self.automaton.iter_long(text[at : at + longest]))[1] if at < end else None
             else:
-                failed |= 1 << (at - begin)
-                ids.pop()
-                at, choice = froms.pop(), nexts.pop()
+                failed[at >> 3] |= 1 << (at & 7)
+                match = shorter[ids.pop()]
+                ends.pop()
+                at = ends[-1] if ends else 0
         return ids
 
     def chunks(self, text: str):
@@ -221,18 +238,13 @@ class PieceModel:
 
     def merge_count(self, text: str) -> int:
         """Tokens of `text`: initial symbols less merges. No id is made."""
-        score, n = self.score, len(text)
-        count = 0
+        score, n = self.rank, len(text)
         parts: list[str | None] = list(text)
+        count = n
+        if not self.single.issuperset(text):
+            count = sum(1 if c in self.single else len(c.encode("utf-8", "surrogatepass")) for c in text)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = []
-        for k in range(n):
-            if text[k] in self.ids:
-                count += 1
-            else:
-                count += len(text[k].encode("utf-8", "surrogatepass"))
-            if k + 1 < n and (s := score.get(text[k : k + 2])) is not None:
-                heap.append((-s, k, text[k : k + 2]))
+        heap = [(s, k, pair) for k, pair in enumerate(map(add, text, text[1:])) if (s := score.get(pair)) is not None]
         heapq.heapify(heap)
         while heap:
             _, left, joined = heapq.heappop(heap)
@@ -244,9 +256,9 @@ class PieceModel:
             if nxt < n:
                 before[nxt] = left
                 if (s := score.get(joined + parts[nxt])) is not None:
-                    heapq.heappush(heap, (-s, left, joined + parts[nxt]))
+                    heapq.heappush(heap, (s, left, joined + parts[nxt]))
             if (prev := before[left]) >= 0 and (s := score.get(parts[prev] + joined)) is not None:
-                heapq.heappush(heap, (-s, prev, parts[prev] + joined))
+                heapq.heappush(heap, (s, prev, parts[prev] + joined))
         return count
 
     def count(self, text: str) -> int:
