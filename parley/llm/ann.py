@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -161,7 +159,8 @@ def nearest(embeddings: DataFrame, every: int = 100, k: int = 10, shard: int = S
     are one vertex that carries its k + 1 least ids, which is all that any answer can show of it. Vertices
     are dealt to shards of about `shard` by a hash; each shard is indexed and searched on its own, blocks of queries
     meeting shards by a join on the shard. Vectors of different lengths aren't compared. Repeated ids with one
-    vector count once. A query among many equal vectors gets the least ids of the others.
+    vector count once; an id with several vectors is searched with all of them and listed once, at its least
+    distance. Of vectors at the distance of the last rank, the smaller ids among those in the beam are given. A query among many equal vectors gets the least ids of the others.
     """
     spark = embeddings.sparkSession
     rows = usable(embeddings).distinct().withColumn("vertex", F.sha2(F.concat_ws(",", F.transform("vector", lambda x: (x + 0.0).cast("string"))), 256))
@@ -190,24 +189,26 @@ def nearest(embeddings: DataFrame, every: int = 100, k: int = 10, shard: int = S
     block = F.pmod(F.xxhash64("vertex", F.lit(1)), F.lit(max(1, -(-questions.count() // BLOCK))))
     blocks = questions.groupBy("d", block.alias("block")).agg(F.collect_list(F.struct("vertex", "vector")).alias("queries"))
     blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), counts[F.col("d")].cast("long") - 1)))
-    pairs = blocks.join(index, ["d", "shard"]).repartition("d", "shard", "block")
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                points = np.frombuffer(r.points).reshape(-1, r.d)
-                edges = np.frombuffer(r.edges, np.int32).reshape(len(points), -1).astype(np.int64)
-                queries = np.array([q["vector"] for q in r.queries], float)
-                found, far = beam_search(points, edges, r.start, queries, max(SEARCH_BEAM, k + 1))
-                out = []
-                for q, ids, square in zip(r.queries, found, far, strict=True):
-                    best = sorted((float(np.sqrt(s)), int(i)) for v, s in zip(ids[: k + 1], square[: k + 1], strict=True) if v >= 0 for i in r.ids[v])
-                    out += [(q["vertex"], i, s) for s, i in best[: k + 1]]
-                yield pd.DataFrame(out, columns=["vertex", "vec_id", "score"])
-
-    found = pairs.select("d", "start", "points", "edges", "ids", "queries").mapInPandas(search, "vertex string, vec_id long, score double")
+    pairs = blocks.join(index, ["d", "shard"])
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        (r,) = pdf.itertuples(index=False)  # one block of queries and one shard at a time
+        points = np.frombuffer(r.points).reshape(-1, r.d)
+        edges = np.frombuffer(r.edges, np.int32).reshape(len(points), -1).astype(np.int64)
+        queries = np.array([q["vector"] for q in r.queries], float)
+        found, square = beam_search(points, edges, r.start, queries, max(SEARCH_BEAM, k + 1))
+        far = np.sqrt(square)
+        out = []
+        for q, ids, own in zip(r.queries, found, far, strict=True):
+            near = (ids >= 0) & (own <= own[k])  # all that are as near as the (k + 1)th, so that ties fall to the smaller id
+            best = sorted((float(s), int(i)) for v, s in zip(ids[near], own[near], strict=True) for i in r.ids[v])
+            out += [(q["vertex"], i, s) for s, i in best[: k + 1]]
+        return pd.DataFrame(out, columns=["vertex", "vec_id", "score"])
+
+    found = pairs.groupBy("d", "shard", "block").applyInPandas(search, "vertex string, vec_id long, score double")
     by_nearness = Window.partitionBy("vertex").orderBy("score", "vec_id")
     found = found.withColumn("nth", F.row_number().over(by_nearness)).filter(F.col("nth") <= k + 1)
     answers = asked.select(F.col("vec_id").alias("query_id"), "vertex").distinct().join(found, "vertex").filter("query_id <> vec_id")
+    answers = answers.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     by_rank = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return answers.withColumn("rank", F.row_number().over(by_rank)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

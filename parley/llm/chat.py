@@ -51,27 +51,42 @@ def paths(messages: DataFrame) -> DataFrame:
 
     Self-joins double the step: after k of them every message knows its ancestor 2^k above and every leaf its 2^k
     nearest ancestors, so a chain of n messages takes log2(n) rounds and no path is carried as a growing array.
-    A parent that isn't in the tree makes a root. path_score is the mean score of the path, null scores being 0.
+    A parent that isn't in the tree makes a root. Where replies go round in a circle, its least message is taken for a
+    root, so every message is on some path. `node` must occur once in its tree (see `one_each`). path_score is the
+    mean score of the path, null scores being 0.
     """
     nodes = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     real = messages.select("tree", F.col("node").alias("up"))
     links = nodes.filter("parent IS NOT NULL").join(real, (nodes.tree == real.tree) & (nodes.parent == real.up), "left_semi").select("tree", "node", F.col("parent").alias("up"))
-    links = saved(links, "replies")
+    links = saved(links.withColumn("low", F.col("up")), "replies")
     parents = links.select("tree", F.col("up").alias("node")).distinct()
     leaves = nodes.join(parents, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("depth"))
     reached, step, jump = saved(leaves, "leaves"), 1, links
+    most = None
     while not jump.isEmpty():
+        if step >= 32 and most is None:
+            most = nodes.groupBy("tree").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+        if most is not None and step > most:  # no chain is longer than its tree: these ones go round
+            heads = saved(jump.filter("low = node").select("tree", "node", F.lit(True).alias("head")), "circles")
+            cut = messages.join(heads, ["tree", "node"], "left").withColumn("parent", F.when(F.col("head").isNull(), F.col("parent")))
+            return paths(cut.drop("head"))
         above = jump.select("tree", "node", "up")
         further = reached.join(above, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("depth") + step).alias("depth"))
         reached = saved(reached.union(further), "paths")
-        twice = above.select("tree", F.col("node").alias("up"), F.col("up").alias("top"))
-        jump = saved(jump.join(twice, ["tree", "up"]).select("tree", "node", F.col("top").alias("up")), "jumps")
+        twice = jump.select("tree", F.col("node").alias("up"), F.col("up").alias("top"), F.col("low").alias("low_above"))
+        jump = jump.join(twice, ["tree", "up"]).select("tree", "node", F.col("top").alias("up"), F.least("low", "low_above").alias("low"))
+        jump = saved(jump, "jumps")
         step *= 2
     scored = reached.join(nodes.select("tree", "node", "score"), ["tree", "node"])
     mean = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("path_score"))
     return reached.join(mean, ["tree", "leaf"])
 
 
+def one_each(messages: DataFrame) -> DataFrame:
+    """One message for each node of a tree: of several, the least by parent (a root first), role, text and score. Other columns go."""
+    return messages.groupBy("tree", "node").agg(F.min(F.struct("parent", "role", "text", "score", "conv_id")).alias("m")).select("tree", "node", "m.*")
+
+
 def best_paths(messages: DataFrame, per_tree: int | None = None) -> DataFrame:
     """The paths with their `rank` in the tree by path_score, ties to the smaller leaf; only the first `per_tree` if given."""
     found = paths(messages)
@@ -86,8 +101,9 @@ def format_paths(messages: DataFrame, per_tree: int | None = None) -> DataFrame:
     """(tree, conv_id, leaf, rank, segments, formatted): one formatted conversation for each chosen path.
 
     `segments` are the pieces of `formatted` in order, as (text, loss): marks and every role's text, escaped; loss is
-    true for the texts of the assistant alone.
+    true for the texts of the assistant alone. Repeated nodes count once (see `one_each`); other columns are left out.
     """
+    messages = one_each(messages)
     chosen = best_paths(messages, per_tree)
     turns = chosen.join(messages.select("tree", "node", "conv_id", "role", "text"), ["tree", "node"])
     turn = F.struct((-F.col("depth")).alias("at"), F.col("role"), F.col("text"))

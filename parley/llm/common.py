@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,9 +29,11 @@ _WIDE_GAPS = "[\u0085 -©«-±´¶-¸»¿  -⁯　-〃〈-】]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only on a single machine where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-parley-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -44,6 +47,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """`wanted`, or `wanted` and as many underscores as make it differ from all columns of df."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def crc_mod(doc_id: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; null ids give null."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import bags, mix, saved, slices, times
+from parley.llm.common import bags, free_name, mix, saved, slices, times
 
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
@@ -275,8 +275,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     as they are. All columns stay.
     """
     kept = classes(docs, threshold).groupBy("class").agg(F.min(F.struct("doc_id", "mark")).alias("s")).select("s.*")
-    names = {c.lower() for c in docs.columns}
-    row, at = (next(x for x in (c + "_" * k for k in range(len(names) + 1)) if x not in names) for c in ("kept_row", "kept_id"))
+    row, at = free_name(docs, "kept_row"), free_name(docs, "kept_id")
     kept = kept.select(F.struct(F.col("doc_id").alias("id"), "mark").alias(at))
     whole = docs.select(F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("mark")).alias(at), F.struct("*").alias(row))
     plain = [F.col(f"{row}.{f.name}") for f in docs.schema if "map<" not in f.dataType.simpleString()]

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.common import free_name
+
+#: Key of the registered queries. Pass one of your own, kept secret, wherever pseudonyms must not be traced back.
 KEY = "parley-pseudonyms"
 ROUNDS = 8
 
@@ -355,17 +358,22 @@ def pseudonymise(docs: DataFrame, key: str = KEY, into: str = "pii") -> DataFram
 
         return _letting(_kind(m), of_kind)
 
-    marked = docs.withColumn("_swaps", F.transform(found, replace))
-    news = F.concat(F.transform("_swaps", lambda s: s["put"]), F.array(F.lit("")))
+    held = free_name(docs, "swaps")
+    marked = docs.withColumn(held, F.transform(found, replace))
+    news = F.concat(F.transform(held, lambda s: s["put"]), F.array(F.lit("")))
     gaps = F.split(F.col("text"), joint, -1)
-    text = F.when(F.size("_swaps") == 0, F.col("text")).otherwise(F.array_join(F.zip_with(gaps, news, lambda g, n: F.concat(g, n)), ""))
-    listed = F.filter(F.flatten(F.transform("_swaps", lambda s: s["swaps"])), lambda s: s["old"] != s["new"])
-    return marked.withColumn("text", text).withColumn(into, listed).drop("_swaps")
+    text = F.when(F.size(held) == 0, F.col("text")).otherwise(F.array_join(F.zip_with(gaps, news, lambda g, n: F.concat(g, n)), ""))
+    listed = F.filter(F.flatten(F.transform(held, lambda s: s["swaps"])), lambda s: s["old"] != s["new"])
+    return marked.withColumn("text", text).withColumn(into, listed).drop(held)
 
 
 def redact(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """The documents with pseudonyms in their texts and n_chars, if there is one, following; no other column changes."""
-    out = pseudonymise(docs, key, "_pii_found").drop("_pii_found")
+    """The documents with pseudonyms in their texts and n_chars, if there is one, following; no other column changes.
+
+    Null and empty texts stay as they are, and so does n_chars where the text is null. Rows repeat as they did.
+    """
+    found = free_name(docs, "pii_found")
+    out = pseudonymise(docs, key, found).drop(found)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out

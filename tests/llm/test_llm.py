@@ -295,7 +295,7 @@ def test_pseudonyms_keep_format_and_links(spark):
     for old, new in news.items():
         want = want.replace(old, new)
     assert first[0].text == want
-    assert out[2].text is not None or True
+    assert out[2].text == ""
     assert pii.redact(docs(spark, AWKWARD)).count() == len(AWKWARD)
 
 
