@@ -60,7 +60,7 @@ def unit_codes(states: DataFrame, cells: DataFrame, width_s: float, per_cell: in
 def instantaneous(states: DataFrame, cells: DataFrame, step_s: float, subframes: int) -> DataFrame:
     """Per cell: each participant's state, the wearer's, others' activity, joint state, speakers and floor holder, by subframe and for the cell."""
     def views(codes: Column) -> dict[str, Column]:
-        ego, others = codes[0], F.slice(codes, 2, 1000)
+        ego, others = codes[0], F.slice(codes, F.lit(2), F.size(codes))
         unknown = F.exists(codes, lambda c: c == UNKNOWN_CODE)
         active = F.size(F.filter(codes, lambda c: c == SPEAKING_CODE))
         speaking = F.when(ego != UNKNOWN_CODE, ego == SPEAKING_CODE)
@@ -130,9 +130,13 @@ def event_units(states: DataFrame, cells: DataFrame, step_s: float, subframes: i
     rows = codes.join(flags, ["recording_id", "unit"], "left").join(changes, ["recording_id", "unit"], "left").join(before, ["recording_id", "unit"], "left").join(start, "recording_id")
     early = F.col("unit") * (step_s / subframes) <= F.col("_origin") + EPS
     ego_bad = early | (F.col("codes")[0] == UNKNOWN_CODE) | (F.coalesce(F.col("_first"), F.lit(1)) == 0)
-    other_bad = early | F.exists(F.slice("codes", 2, 1000), lambda c: c == UNKNOWN_CODE) | (F.coalesce(F.col("_last"), F.lit(0)) > 0)
+    other_bad = early | F.exists(F.slice("codes", F.lit(2), F.size("codes")), lambda c: c == UNKNOWN_CODE) | (F.coalesce(F.col("_last"), F.lit(0)) > 0)
     shown = [F.when(F.col(f"_{n}"), True).when(ego_bad if e else other_bad, None).otherwise(False).alias(n) for (_, e), n in names.items()]
-    change = F.coalesce(F.col("_change"), F.lit(False)).alias("floor_change")
+    rows = rows.withColumn("_at", edge - F.lit(EPS))
+    rows = asof(rows, st.floor(states).select("recording_id", "start_s", "last_unique"), ["recording_id"], "_at", "start_s", ["start_s", "last_unique"], strict=True, into="_held")
+    # Without a floor before the unit, nobody can tell whether it changed.
+    unsure = early | F.exists("codes", lambda c: c == UNKNOWN_CODE) | F.col("_held.last_unique").isNull()
+    change = F.when(F.col("_change"), True).when(unsure, None).otherwise(False).alias("floor_change")
     return rows.select(*CELL, "place", *shown, change, "previous_floor_holder", "next_floor_holder")
 
 

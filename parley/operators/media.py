@@ -12,7 +12,7 @@ from parley.operators.labels import seconds_per_unit
 from parley.operators.state import EPS
 
 #: File extensions by type, and names that are never listed.
-FILE_TYPES = {"mp4": "video", "mov": "video", "mkv": "video", "wav": "audio", "flac": "audio", "mp3": "audio", "csv": "table", "parquet": "table", "json": "json", "txt": "text", "html": "text"}
+FILE_TYPES = {"mp4": "video", "mov": "video", "mkv": "video", "avi": "video", "wav": "audio", "flac": "audio", "mp3": "audio", "m4a": "audio", "csv": "tabular", "parquet": "tabular", "json": "structured_data"}
 SKIPPED = r"(^|/)(\.DS_Store|Thumbs\.db|\._[^/]*|__MACOSX(/.*)?)$"
 
 #: Fixed format: the parts of a probe payload that are read.
@@ -200,13 +200,27 @@ def social_segments(social: DataFrame, participants: DataFrame) -> DataFrame:
     return met.withColumn("resolved", F.coalesce("_known", F.lit(False))).withColumn("participant_id", F.when(F.col("_known"), F.col("participant_id"))).drop("_known")
 
 
-def social_units(social: DataFrame, width_s: float, kinds: Sequence[str] = ("looking", "talking")) -> DataFrame:
-    """Per touched unit, participant and kind: true where a positive segment lies, false where only negative ones do. Positive wins."""
-    rows = social.filter(F.col("kind").isin(*kinds) & F.col("participant_id").isNotNull() & F.col("is_at_me").isNotNull())
-    timed = seconds_per_unit(rows.select("recording_id", "participant_id", "kind", "is_at_me", "start_s", "end_s"), width_s, ["recording_id", "participant_id", "kind", "is_at_me"])
-    return timed.filter(F.col("seconds") > EPS).groupBy("recording_id", "participant_id", "kind", "unit").agg(F.max("is_at_me").alias("at_wearer"))
+def social_units(social: DataFrame, width_s: float, tracks: DataFrame | None = None, speech: DataFrame | None = None, kinds: Sequence[str] = ("looking", "talking")) -> DataFrame:
+    """Per unit, kind and participant whom it concerns: true where a positive segment lies, else false where a negative one does.
+
+    Segments that don't say at whom leave it unknown (null). A face that is tracked in a unit without being marked as
+    looking at the wearer isn't looking; somebody who speaks concerns talking, and is unknown if nothing is marked.
+    Segments of nobody in particular take no part.
+    """
+    keys = ["recording_id", "participant_id", "kind"]
+    rows = social.filter(F.col("kind").isin(*kinds) & F.col("participant_id").isNotNull())
+    rows = rows.select(*keys, F.when(F.col("is_at_me"), 2).when(~F.col("is_at_me"), 1).otherwise(0).alias("said"), "start_s", "end_s")
+    if speech is not None:
+        rows = rows.unionByName(speech.select("recording_id", "participant_id", F.lit("talking").alias("kind"), F.lit(0).alias("said"), "start_s", "end_s"))
+    found = seconds_per_unit(rows, width_s, [*keys, "said"]).filter(F.col("seconds") > EPS).select(*keys, "unit", "said")
+    if tracks is not None:
+        unit = F.floor((F.col("time_s") + F.lit(EPS)) / F.lit(width_s))
+        found = found.unionByName(tracks.select("recording_id", "participant_id", F.lit("looking").alias("kind"), unit.alias("unit"), F.lit(1).alias("said")))
+    most = F.max("said")
+    return found.groupBy(*keys, "unit").agg(F.when(most > 0, most == 2).alias("at_wearer"))
 
 
 def anyone(units: DataFrame) -> DataFrame:
-    """Per unit and kind whether anyone does it to the wearer: true if one does, false if all that are known don't."""
-    return units.groupBy("recording_id", "kind", "unit").agg(F.bool_or("at_wearer").alias("anyone"), F.count("*").alias("people"))
+    """Per unit and kind whether anyone does it to the wearer: true if one does, false if all whom it concerns don't, else unknown."""
+    yes, unsure = F.coalesce(F.bool_or("at_wearer"), F.lit(False)), F.bool_or(F.col("at_wearer").isNull())
+    return units.groupBy("recording_id", "kind", "unit").agg(F.when(yes, True).when(~unsure, False).alias("anyone"), F.count("*").alias("people"))

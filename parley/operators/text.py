@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from parley.operators.intervals import asof
 from parley.operators.state import EPS
 
-#: A lexicon of discourse markers; longer ones go first.
-MARKERS = ("you know", "i mean", "kind of", "sort of", "well", "so", "okay", "right", "like", "yeah", "oh", "um", "uh")
+#: Discourse markers that open a unit and those that close one; of several that fit, the longer goes first.
+OPENING = ("you know", "i mean", "so", "well", "okay", "ok", "oh", "right", "anyway", "actually", "like", "and", "but")
+CLOSING = ("you know", "i guess", "i think", "or something", "right", "okay", "so", "though")
 CLOSERS = (".", "?", "!", ",")
 
 
@@ -20,9 +21,9 @@ def token_class(text: Column) -> Column:
     t = F.trim(F.coalesce(text, F.lit("")))
     return (
         F.when(t == "", "empty")
-        .when(t.rlike(r"^(\[.*\]|<.*>|\(.*\))$"), "special")
+        .when(t.rlike(r"^(\[[^\]]*\]|<[^>]*>|\([^)]*\))$"), "special")
         .when(t.rlike("[A-Za-z]"), "lexical")
-        .when(t.rlike(r"^[!-/:-@\[-`{-~]+$"), "punctuation")
+        .when(t.rlike(r"(?U)^[^\w\s]+$"), "punctuation")
         .otherwise("other")
     )
 
@@ -37,9 +38,9 @@ def words(text: Column) -> Column:
     return F.filter(F.transform(F.split(F.trim(F.coalesce(text, F.lit(""))), r"\s+"), normal_word), lambda w: w != "")
 
 
-def marker(found: Column, at_end: bool, lexicon: Sequence[str] = MARKERS) -> Column:
+def marker(found: Column, at_end: bool, lexicon: Sequence[str] | None = None) -> Column:
     """The first marker of the lexicon, longest first, that the words begin or end with; null if none."""
-    out = []
+    lexicon, out = lexicon or (CLOSING if at_end else OPENING), []
     for entry in sorted(lexicon, key=lambda e: (-len(e.split()), lexicon.index(e))):
         parts = entry.split()
         n = len(parts)

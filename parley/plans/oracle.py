@@ -31,14 +31,14 @@ EPS = "CAST(1e-9 AS DOUBLE)"
 part(
     "ann",
     "",
-    """SELECT strftime(ts, '%Y-%m-%d') AS recording_id, event_type AS kind,
-      CAST(epoch_us(ts) % 86400000000 AS DOUBLE) / CAST(1e6 AS DOUBLE) AS start_s,
-      CAST(epoch_us(ts) % 86400000000 AS DOUBLE) / CAST(1e6 AS DOUBLE) + value AS end_s, event_id, value,
+    """SELECT strftime(ts, '%Y-%m-%d-%H') || '/' || (user_id // 500) AS recording_id, event_type AS kind,
+      CAST(epoch_us(ts) % 3600000000 AS DOUBLE) / CAST(1e6 AS DOUBLE) AS start_s,
+      CAST(epoch_us(ts) % 3600000000 AS DOUBLE) / CAST(1e6 AS DOUBLE) + value AS end_s, event_id, value,
       event_type || '#' || event_id AS annotation_id FROM events""",
 )
 part("speech", "ann", "SELECT recording_id, kind AS participant_id, start_s, end_s, annotation_id FROM ann WHERE kind <> 'error' AND end_s > start_s")
 part("unk", "ann", "SELECT recording_id, start_s, end_s, annotation_id FROM ann WHERE kind = 'error' AND end_s > start_s")
-part("recs", "ann", "SELECT DISTINCT recording_id, CAST(0 AS DOUBLE) AS lo, CAST(86400 AS DOUBLE) AS hi FROM ann")
+part("recs", "ann", "SELECT DISTINCT recording_id, CAST(0 AS DOUBLE) AS lo, CAST(3600 AS DOUBLE) AS hi FROM ann")
 part(
     "runs",
     "speech",

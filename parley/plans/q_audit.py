@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from parley.operators import audit, grid, windows
@@ -38,7 +40,9 @@ def m2_canonical_order(spark, sf_dir):
 
 
 def m3_segments(spark, sf_dir):
-    rows = windows.segments(_grid(spark, sf_dir).filter("decision_index % 1000 <> 500"))
+    # A hole after each hundred slots.
+    moved = _grid(spark, sf_dir).withColumn("decision_index", F.col("decision_index") + F.floor(F.col("decision_index") / 100))
+    rows = windows.segments(moved)
     return rounded(rows.groupBy("recording_id", "segment").agg(F.min("decision_index").alias("first_index"), F.count("*").alias("slots")).drop("segment"))
 
 
@@ -146,7 +150,9 @@ def a1_temporal_integrity(spark, sf_dir):
 
 def a2_entity_reference(spark, sf_dir):
     lines, parts = _lines(spark, sf_dir), c.table(spark, sf_dir, "part")
-    return rounded(audit.foreign_key(lines, ["l_partkey"], parts.filter("p_size > 10"), ["p_partkey"], sentinels=[0, 1, 2]))
+    # Every seventh line of an order names a part that isn't there.
+    lines = lines.withColumn("l_partkey", F.when(F.col("l_linenumber") == 7, -F.col("l_partkey")).otherwise(F.col("l_partkey")))
+    return rounded(audit.foreign_key(lines, ["l_partkey"], parts, ["p_partkey"], sentinels=[0, 1, 2]))
 
 
 def a3_media_reference(spark, sf_dir):
@@ -184,7 +190,7 @@ def a6_structural_verdict(spark, sf_dir):
 def a7_reference_durations(spark, sf_dir):
     lines = _lines(spark, sf_dir).select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_quantity", "l_extendedprice")
     out = audit.reference_durations(lines.select("k", "l_quantity"), "k", lines, F.col("l_extendedprice"), ["l_linenumber", "l_extendedprice"])
-    return rounded(out.groupBy("k").agg(F.count("*").alias("n"), F.max("reference_s").alias("reference_s")).filter("n > 6"))
+    return rounded(out.groupBy("k").agg(F.count("*").alias("n"), F.max("reference_s").alias("reference_s")))
 
 
 def a8_duplicate_identity(spark, sf_dir):
@@ -223,14 +229,20 @@ def a12_cross_source_keys(spark, sf_dir):
 
 
 def m21_fingerprints(spark, sf_dir):
-    """Whether a table's fingerprint is the same however its rows are dealt, and what changes make an artifact stale."""
-    out = None
-    for name in ("orders", "customer", "events"):
-        t = c.table(spark, sf_dir, name)
-        f = audit.fingerprint(t).select(F.lit(name).alias("artifact"), F.col("n").alias("rows"), F.col("checksum").cast("string").alias("checksum"))
-        out = f if out is None else out.unionByName(f)
-    changed = out.withColumn("rows", F.col("rows") + F.when(F.col("artifact") == "orders", 1).otherwise(0)).filter("artifact <> 'events'")
-    return audit.staleness(out, changed, "artifact", ["rows", "checksum"])
+    """What makes an artifact stale: a row more, one value changed, or a table that is gone; not rows dealt another way."""
+    orders, nation, customer = (c.table(spark, sf_dir, n) for n in ("orders", "nation", "customer"))
+    events_ = events(spark, sf_dir)
+    more = orders.unionByName(orders.agg(*(F.max(x).alias(x) for x in orders.columns)))
+    other = nation.withColumn("n_name", F.when(F.col("n_nationkey") == 3, "elsewhere").otherwise(F.col("n_name")))
+
+    def prints(tables):
+        parts = [audit.fingerprint(t).select(F.lit(n).alias("artifact"), F.col("n").alias("rows"), F.col("checksum").cast("string").alias("checksum")) for n, t in tables.items()]
+        return functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+    recorded = prints({"orders": orders, "nation": nation, "customer": customer, "events": events_})
+    current = prints({"orders": more, "nation": other, "customer": customer.repartition(7, "c_custkey")})
+    stale = audit.staleness(recorded, current, "artifact", ["rows", "checksum"])
+    return recorded.select("artifact", "rows").join(stale, "artifact", "left")
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "acm" and k.split("_")[0][1:].isdigit()}
@@ -248,7 +260,7 @@ part(
       WHERE position + 1 >= 6 AND position + 10 < n""",
 )
 part("upstream", "recs", "SELECT recording_id, d, CASE WHEN d % 2 = 0 THEN CASE WHEN d % 6 = 0 THEN 'validation' WHEN d % 6 = 2 THEN 'train' ELSE 'test' END END AS split FROM (SELECT recording_id, CAST(substr(recording_id, 9, 2) AS INT) AS d FROM recs)")
-part("conv", "upstream", "SELECT recording_id, split, 'week-' || CAST(week(CAST(recording_id AS DATE)) AS VARCHAR) AS conversation_id FROM upstream")
+part("conv", "upstream", "SELECT recording_id, split, 'week-' || CAST(week(CAST(substr(recording_id, 1, 10) AS DATE)) AS VARCHAR) || substr(recording_id, 14) AS conversation_id FROM upstream")
 part("fall", "conv", "SELECT conversation_id, CASE WHEN r <= a THEN 'train' WHEN r <= a + b THEN 'validation' ELSE 'test' END AS own FROM (SELECT conversation_id, row_number() OVER (ORDER BY md5('parley:' || conversation_id)) AS r, round_even(count(*) OVER () * CAST(0.8 AS DOUBLE), 0) AS a, round_even(count(*) OVER () * CAST(0.1 AS DOUBLE), 0) AS b FROM (SELECT DISTINCT conversation_id FROM conv WHERE split IS NULL))")
 part("splits", "conv fall", "SELECT recording_id, c.conversation_id, coalesce(split, own) AS split, CASE WHEN split IS NULL THEN 'fallback' ELSE 'upstream' END AS split_source FROM conv c LEFT JOIN fall f USING (conversation_id)")
 part("labelled", "", "SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic, CASE WHEN l.quality IS NULL THEN 'missing_quality' WHEN d.lang IS NULL THEN 'missing_lang' WHEN d.n_chars > 300 THEN NULL ELSE 'too_short' END AS reason FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -270,7 +282,7 @@ _INTEGRITY = """count(*) AS rows, count(*) FILTER (WHERE s IS NULL OR e IS NULL)
   count(*) FILTER (WHERE s = e) AS empty, quantile_cont(e - s, [0, 0.05, 0.5, 0.95, 1]) AS q, count(*) FILTER (WHERE e - 3800 > 5) AS overshoots, max(e - 3800) FILTER (WHERE e - 3800 > 5) AS max_overshoot, CAST(0 AS BIGINT) AS unresolved"""
 ORACLE_SQL = {
     "m2_canonical_order": sql("control_grid", "SELECT recording_id, decision_index, action, row_number() OVER (ORDER BY recording_id, decision_index) - 1 AS row_number FROM control_grid WHERE action IN ('ONSET', 'OFFSET')"),
-    "m3_segments": sql("control_grid", "SELECT recording_id, min(decision_index) AS first_index, count(*) AS slots FROM (SELECT *, decision_index - row_number() OVER (PARTITION BY recording_id ORDER BY decision_index) AS g FROM control_grid WHERE decision_index % 1000 <> 500) GROUP BY recording_id, g"),
+    "m3_segments": sql("control_grid", "SELECT recording_id, min(decision_index) AS first_index, count(*) AS slots FROM (SELECT *, decision_index - row_number() OVER (PARTITION BY recording_id ORDER BY decision_index) AS g FROM (SELECT recording_id, decision_index + decision_index // 100 AS decision_index FROM control_grid)) GROUP BY recording_id, g"),
     "m4_anchors": sql("idx", f"SELECT recording_id, decision_index, position, context_steps, round(context_valid, 6) AS context_valid, round(future_valid, 6) AS future_valid, CAST(future_events AS BIGINT) AS future_events, {_CLASS} AS sample_class, {_TRAIN} AS trainable FROM idx"),
     "m9_split_names": sql("upstream", "SELECT recording_id, split FROM upstream"),
     "m11_assigned_splits": sql("splits", "SELECT * FROM splits"),
@@ -287,17 +299,17 @@ ORACLE_SQL = {
     "c9_membership": "SELECT 'member' AS kind, count(*) AS n FROM orders SEMI JOIN customer ON c_custkey = o_custkey UNION ALL SELECT 'without_order', count(*) FROM customer ANTI JOIN orders ON c_custkey = o_custkey",
     "c10_domain_counts": "SELECT 'returned' AS domain, count(*) FILTER (WHERE l_returnflag = 'R') AS n FROM lineitem UNION ALL SELECT 'free', count(*) FILTER (WHERE l_tax = 0) FROM lineitem UNION ALL SELECT 'bulk', count(*) FILTER (WHERE l_quantity >= 45) FROM lineitem UNION ALL SELECT 'open', count(*) FILTER (WHERE l_linestatus = 'O') FROM lineitem",
     "a1_temporal_integrity": sql("ship", f"SELECT * EXCLUDE (q), q[1] AS duration_min, q[2] AS duration_p05, q[3] AS duration_median, q[4] AS duration_p95, q[5] AS duration_max FROM (SELECT {_INTEGRITY} FROM ship)"),
-    "a2_entity_reference": "SELECT count(*) AS rows, count(*) FILTER (WHERE l_partkey IN (0, 1, 2)) AS sentinels, count(*) FILTER (WHERE l_partkey NOT IN (0, 1, 2) AND p_partkey IS NULL) AS orphans FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) ON p_partkey = l_partkey",
+    "a2_entity_reference": "SELECT count(*) AS rows, count(*) FILTER (WHERE l_partkey IN (0, 1, 2)) AS sentinels, count(*) FILTER (WHERE l_partkey NOT IN (0, 1, 2) AND p_partkey IS NULL) AS orphans FROM (SELECT CASE WHEN l_linenumber = 7 THEN -l_partkey ELSE l_partkey END AS l_partkey FROM lineitem) LEFT JOIN part ON p_partkey = l_partkey",
     "a3_media_reference": "SELECT CAST(k AS VARCHAR) AS media_key, count(*) AS n FROM (SELECT doc_id % 300 AS k FROM documents) WHERE k NOT IN (SELECT page_id FROM pages) GROUP BY 1",
     "a4_foreign_keys": sql("fk", "SELECT * FROM fk"),
     "a5_table_contract": sql("contract", "SELECT * FROM contract"),
     "a6_structural_verdict": sql("fk contract", "SELECT 'contracts' AS part, bool_and(failures = 0) AS sound FROM contract UNION ALL SELECT 'relations', bool_and(orphans = 0) FROM fk"),
-    "a7_reference_durations": "SELECT l_orderkey AS k, count(*) AS n, round(min_by(l_extendedprice, (l_linenumber, l_extendedprice)), 6) AS reference_s FROM lineitem GROUP BY 1 HAVING count(*) > 6",
+    "a7_reference_durations": "SELECT l_orderkey AS k, count(*) AS n, round(min_by(l_extendedprice, (l_linenumber, l_extendedprice)), 6) AS reference_s FROM lineitem GROUP BY 1",
     "a8_duplicate_identity": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, copies FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem) WHERE copies > 1",
     "a9_source_verdicts": sql("ship", "SELECT 'shipping' AS source, CASE WHEN reversed > 0 THEN 'blocked' WHEN missing > 0 OR overshoots > 0 THEN 'usable_with_caveats' ELSE 'usable' END AS verdict FROM (SELECT " + _INTEGRITY + " FROM ship)"),
     "a10_exact_identity": sql("lside rside", """SELECT round((SELECT avg(CASE WHEN EXISTS (FROM rside r WHERE r.k = l.k AND r.a = l.a) THEN 1.0 ELSE 0.0 END) FROM lside l), 6) AS left_share, (SELECT count(*) FROM lside) AS left_rows,
       round((SELECT avg(CASE WHEN EXISTS (FROM lside l WHERE r.k = l.k AND r.a = l.a) THEN 1.0 ELSE 0.0 END) FROM rside r), 6) AS right_share, (SELECT count(*) FROM rside) AS right_rows"""),
     "a11_interval_coverage": sql("lside rside", "SELECT k, a AS start_s, a + 30 AS end_s, EXISTS (FROM rside r WHERE r.k = l.k AND r.b > r.a AND r.a < l.a + 30 + 2 AND r.b > l.a - 2) AS covered FROM lside l"),
     "a12_cross_source_keys": "SELECT count(*) FILTER (WHERE l AND r) AS shared, count(*) FILTER (WHERE r IS NULL) AS left_only, count(*) FILTER (WHERE l IS NULL) AS right_only FROM (SELECT DISTINCT o_orderkey AS k, true AS l FROM orders) FULL JOIN (SELECT DISTINCT l_orderkey AS k, true AS r FROM lineitem) USING (k)",
-    "m21_fingerprints": "SELECT 'orders' AS artifact, 'rows' AS reasons UNION ALL SELECT 'events', 'missing'",
+    "m21_fingerprints": "SELECT 'orders' AS artifact, (SELECT count(*) FROM orders) AS rows, 'rows,checksum' AS reasons UNION ALL SELECT 'nation', (SELECT count(*) FROM nation), 'checksum' UNION ALL SELECT 'customer', (SELECT count(*) FROM customer), NULL UNION ALL SELECT 'events', (SELECT count(*) FROM events), 'missing'",
 }

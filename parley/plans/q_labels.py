@@ -82,7 +82,7 @@ def l4_label_coverage(spark, sf_dir):
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "gl" and k.split("_")[0][1:].isdigit()}
 
-part("cel", "recs", "SELECT recording_id, unnest(range(0, 8640)) AS decision_index FROM recs")
+part("cel", "recs", "SELECT recording_id, unnest(range(0, 360)) AS decision_index FROM recs")
 for _name, _width, _per in (("ucodes", 5, 2), ("ccodes", 10, 1)):
     part(
         f"{_name}0",
@@ -171,9 +171,10 @@ ORACLE_SQL = {
     ),
     "g7_joint_occupancy": sql("occ", f"SELECT recording_id, decision_index, " + ", ".join(f"round(CASE WHEN h <= {EPS} THEN s[{k + 1}] END, 6) AS share_{k}" for k in range(4)) + " FROM occ"),
     "g9_event_units": sql(
-        "ucodes pevents fchanges unk_before",
+        "ucodes pevents fchanges unk_before flr",
         "SELECT u.recording_id, u.decision_index, CAST(u.place AS BIGINT) AS place, " + ", ".join(f"CASE WHEN e.{w}_{k} THEN true WHEN {_EGO_BAD if w == 'ego' else _OTHER_BAD} THEN NULL ELSE false END AS {w}_{k}" for k in ("onset", "offset") for w in ("ego", "other"))
-        + f""", f.p IS NOT NULL AS floor_change, CAST(f.p AS BIGINT) AS previous_floor_holder, CAST(f.n AS BIGINT) AS next_floor_holder FROM ucodes u
+        + f""", CASE WHEN f.p IS NOT NULL THEN true WHEN list_contains(codes, 2) OR {_EARLY} OR h.last_unique IS NULL THEN NULL ELSE false END AS floor_change, CAST(f.p AS BIGINT) AS previous_floor_holder, CAST(f.n AS BIGINT) AS next_floor_holder FROM (SELECT *, (decision_index * 2 + place) * CAST(5 AS DOUBLE) - {EPS} AS edge FROM ucodes) u
+        ASOF LEFT JOIN flr h ON h.recording_id = u.recording_id AND h.start_s < u.edge
         LEFT JOIN (SELECT recording_id, CAST(floor((time_s + {EPS}) / 5) AS BIGINT) AS unit, """
         + ", ".join(f"bool_or(kind = '{k}' AND participant_index {'=' if w == 'ego' else '>'} 0) AS {w}_{k}" for k in ("onset", "offset") for w in ("ego", "other"))
         + f""" FROM pevents GROUP BY 1, 2) e ON e.recording_id = u.recording_id AND e.unit = u.decision_index * 2 + u.place

@@ -44,7 +44,10 @@ def p3_packet_clock(spark, sf_dir):
 
 
 def p4_duration_profile(spark, sf_dir):
-    return rounded(pk.duration_profile(packets(spark, sf_dir), REFERENCE, THRESHOLD))
+    """Every third packet lasts half as long again, every seventh four times as long."""
+    i = F.col("packet_index")
+    longer = F.when(i % 7 == 6, 4).when(i % 3 == 2, 1.5).otherwise(1.0)
+    return rounded(pk.duration_profile(packets(spark, sf_dir).withColumn("duration", F.col("duration") * longer), REFERENCE, THRESHOLD))
 
 
 def p5_drift_series(spark, sf_dir):
@@ -107,7 +110,7 @@ def x1_token_classes(spark, sf_dir):
 
 def x2_normal_words(spark, sf_dir):
     w = _words(spark, sf_dir)
-    return rounded(w.groupBy(tx.normal_word(F.col("text")).alias("word")).agg(F.count("*").alias("n")).filter("n >= 20"))
+    return rounded(w.groupBy(tx.normal_word(F.col("text")).alias("word")).agg(F.count("*").alias("n")))
 
 
 def x5_words_to_turns(spark, sf_dir):
@@ -165,7 +168,8 @@ _TRIM = r"regexp_replace(lower({x}), '^[^\p{{L}}\p{{M}}\p{{N}}_'']+|[^\p{{L}}\p{
 
 def _marker(at_end: bool) -> str:
     out = []
-    for entry in sorted(tx.MARKERS, key=lambda e: (-len(e.split()), tx.MARKERS.index(e))):
+    lexicon = tx.CLOSING if at_end else tx.OPENING
+    for entry in sorted(lexicon, key=lambda e: (-len(e.split()), lexicon.index(e))):
         parts = entry.split()
         cut = f"ws[-{len(parts)}:]" if at_end else f"ws[1:{len(parts)}]"
         out.append(f"WHEN len(ws) >= {len(parts)} AND {cut} = {parts} THEN '{entry}'")
@@ -176,7 +180,12 @@ ORACLE_SQL = {
     "p2_packet_coverage": sql("pkt", """SELECT stream, count(*) AS packets, CAST(1 AS DOUBLE) AS pts_share, round(avg(CASE WHEN duration IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS duration_share, round(avg(CASE WHEN duration IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS both_share,
       count(*) FILTER (WHERE pts <= was) AS bad_steps, count(*) > 1 AND count(*) FILTER (WHERE pts <= was) = 0 AS monotonic FROM (SELECT *, lag(pts) OVER (PARTITION BY stream ORDER BY i) AS was FROM pkt) GROUP BY 1"""),
     "p3_packet_clock": sql("perr", "SELECT stream, count(*) AS steps, count(*) FILTER (WHERE error_samples > 0) AS gaps, count(*) FILTER (WHERE error_samples < 0) AS overlaps, max(abs(error_samples)) AS max_abs_error FROM perr GROUP BY 1"),
-    "p4_duration_profile": sql("pkt", "SELECT stream, CAST(1024 AS DOUBLE) AS median, CAST(1024 AS DOUBLE) AS shortest, CAST(1024 AS DOUBLE) AS longest, count(DISTINCT duration) AS distinct_durations, CAST(0 AS DOUBLE) AS mad, CAST(1536 AS DOUBLE) AS fence, CAST(mode(duration) AS DOUBLE) AS nominal, count(*) FILTER (WHERE duration > 1536) AS long_durations, count(*) FILTER (WHERE duration <> 1024) AS variations FROM pkt WHERE duration IS NOT NULL GROUP BY 1"),
+    "p4_duration_profile": sql("pkt", """, d AS (SELECT stream, duration * CAST(CASE WHEN i % 7 = 6 THEN 4 WHEN i % 3 = 2 THEN 1.5 ELSE 1 END AS DOUBLE) AS d FROM pkt WHERE duration IS NOT NULL),
+      m AS (SELECT stream, quantile_cont(d, 0.5) AS median, min(d) AS shortest, max(d) AS longest, count(DISTINCT d) AS distinct_durations FROM d GROUP BY 1),
+      f AS (SELECT stream, mad, greatest(median + greatest(6 * mad, 0.5 * median), 1504) AS fence FROM (SELECT stream, any_value(median) AS median, quantile_cont(abs(d - median), 0.5) AS mad FROM d JOIN m USING (stream) GROUP BY 1)),
+      u AS (SELECT stream, d AS nominal FROM (SELECT stream, d, count(*) AS n FROM d GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY stream ORDER BY n DESC, d) = 1)
+      SELECT stream, round(median, 6) AS median, shortest, longest, distinct_durations, round(mad, 6) AS mad, round(fence, 6) AS fence, nominal, count(*) FILTER (WHERE d > fence) AS long_durations, count(*) FILTER (WHERE abs(d - 1024) > 1e-12) AS variations
+      FROM d JOIN m USING (stream) JOIN f USING (stream) JOIN u USING (stream) GROUP BY ALL"""),
     "p5_drift_series": sql("ser", "SELECT * FROM ser"),
     "p6_drift_metrics": sql("met", "SELECT stream, steps, variations, max_abs_step, round(p95_abs_step, 6) AS p95_abs_step, final_drift, max_abs_drift, round(peak_time_s, 6) AS peak_time_s, round(1000 * final_drift / 48000, 6) AS final_drift_ms, variations > 0 AS jitter, variations > 0 AND max_abs_step <= 480 AND max_abs_drift <= 480 AS bounded_jitter, max_abs_drift > 480 AS transient_offset, abs(final_drift) > 480 AS final_offset FROM met"),
     "p7_dropout_persistence": sql("per", "SELECT stream, step, error, persistent, truncated FROM per WHERE error > 480"),
@@ -190,8 +199,8 @@ ORACLE_SQL = {
     "p13_modal_frame_size": "SELECT event_type, size AS mode, CAST(total - n AS BIGINT) AS others FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, size) AS r, sum(n) OVER (PARTITION BY event_type) AS total FROM (SELECT event_type, CAST(floor(value / 10) AS BIGINT) AS size, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1, 2)) WHERE r = 1",
     "p16_case_selection": "SELECT event_type, event_id, round(value, 6) AS value, row_number() OVER w AS place FROM events WINDOW w AS (PARTITION BY event_type ORDER BY value DESC, event_id) QUALIFY place <= 2",
     "p17_population_summary": sql("met", "SELECT regime, streams, over_1000, over_5000, round(q[1], 6) AS q0, round(q[2], 6) AS q5, round(q[3], 6) AS q25, round(q[4], 6) AS q50, round(q[5], 6) AS q75, round(q[6], 6) AS q95, round(q[7], 6) AS q100 FROM (SELECT stream % 3 AS regime, count(*) AS streams, count(*) FILTER (WHERE max_abs_drift > 1000) AS over_1000, count(*) FILTER (WHERE max_abs_drift > 5000) AS over_5000, quantile_cont(max_abs_drift, [0, 0.05, 0.25, 0.5, 0.75, 0.95, 1]) AS q FROM met GROUP BY 1)"),
-    "x1_token_classes": sql("wrd", r"SELECT participant_id, CASE WHEN text = '' THEN 'empty' WHEN regexp_full_match(text, '\[.*\]|<.*>|\(.*\)') THEN 'special' WHEN regexp_matches(text, '[A-Za-z]') THEN 'lexical' WHEN regexp_full_match(text, '[!-/:-@\[-`{-~]+') THEN 'punctuation' ELSE 'other' END AS token_class, count(*) AS n FROM wrd GROUP BY 1, 2"),
-    "x2_normal_words": sql("wrd", f"SELECT {_TRIM.format(x='text')} AS word, count(*) AS n FROM wrd GROUP BY 1 HAVING count(*) >= 20"),
+    "x1_token_classes": sql("wrd", r"SELECT participant_id, CASE WHEN text = '' THEN 'empty' WHEN regexp_full_match(text, '\[[^\]]*\]|<[^>]*>|\([^)]*\)') THEN 'special' WHEN regexp_matches(text, '[A-Za-z]') THEN 'lexical' WHEN regexp_full_match(text, '[^\p{L}\p{M}\p{N}_\s]+') THEN 'punctuation' ELSE 'other' END AS token_class, count(*) AS n FROM wrd GROUP BY 1, 2"),
+    "x2_normal_words": sql("wrd", f"SELECT {_TRIM.format(x='text')} AS word, count(*) AS n FROM wrd GROUP BY 1"),
     "x5_words_to_turns": sql("wrd utt", """, t AS (SELECT recording_id, participant_id, start_s AS a, start_s + n * CAST(0.06 AS DOUBLE) AS b, row_number() OVER (PARTITION BY recording_id, participant_id ORDER BY start_s) AS turn FROM utt),
       w AS (SELECT row_number() OVER () AS id, *, start_s + CAST(0.125 AS DOUBLE) AS m FROM wrd WHERE timing_valid)
       SELECT recording_id, participant_id, turn, count(*) AS n FROM (SELECT w.id, any_value(w.recording_id) AS recording_id, any_value(w.participant_id) AS participant_id, min(t.turn) AS turn FROM w LEFT JOIN t ON t.recording_id = w.recording_id AND t.participant_id = w.participant_id AND w.m >= t.a - 1e-9 AND w.m <= t.b + 1e-9 GROUP BY 1) GROUP BY 1, 2, 3"""),

@@ -14,7 +14,7 @@ from parley.sources import canonical as c
 
 def _files(spark, sf_dir):
     pages = c.table(spark, sf_dir, "pages")
-    ending = F.when(F.col("page_id") % 5 == 0, ".MP4").when(F.col("page_id") % 5 == 1, ".wav").when(F.col("page_id") % 5 == 2, ".html").otherwise(".bin")
+    ending = F.when(F.col("page_id") % 5 == 0, ".MP4").when(F.col("page_id") % 5 == 1, ".wav").when(F.col("page_id") % 5 == 2, ".csv").otherwise(".html")
     stem = F.floor(F.col("page_id") / 5).cast("string")
     folder = F.when(F.col("page_id") % 7 == 3, "__MACOSX/").otherwise("")
     return pages.select(F.concat(F.lit("Corpus"), (F.col("page_id") % 3).cast("string"), F.lit("/"), folder, stem, ending).alias("path"), F.octet_length("html").cast("long").alias("size"))
@@ -29,10 +29,10 @@ def s5_inventory_summary(spark, sf_dir):
 
 
 def _probes(spark, sf_dir):
-    e = c.table(spark, sf_dir, "events").filter("event_type = 'view'")
+    e = c.table(spark, sf_dir, "events")
     stream = F.struct
-    video = stream(F.lit("video").alias("codec_type"), F.lit("h264").alias("codec_name"), F.lit("30000/1001").alias("avg_frame_rate"), F.lit("0.0").alias("start_time"), F.format_string("%.2f", "value").alias("duration"))
-    audio = stream(F.lit("audio").alias("codec_type"), F.lit("aac").alias("codec_name"), F.lit("0/0").alias("avg_frame_rate"), F.lit("0.5").alias("start_time"), F.format_string("%.2f", "value").alias("duration"))
+    video = stream(F.lit("video").alias("codec_type"), F.lit("h264").alias("codec_name"), F.lit("30000/1001").alias("avg_frame_rate"), F.lit("0.0").alias("start_time"), F.floor("value").cast("string").alias("duration"))
+    audio = stream(F.lit("audio").alias("codec_type"), F.lit("aac").alias("codec_name"), F.lit("0/0").alias("avg_frame_rate"), (F.col("event_id") % 3 * 0.25).cast("string").alias("start_time"), F.format_string("%.2f", "value").alias("duration"))
     streams = F.when(F.col("event_id") % 11 == 0, F.array(video)).otherwise(F.array(audio, video))
     payload = F.when(F.col("event_id") % 13 == 0, "not json").otherwise(F.to_json(F.struct(streams.alias("streams"))))
     return md.probe_table(e.select(F.col("event_id").cast("string").alias("relative_path"), payload.alias("payload")))
@@ -107,25 +107,32 @@ def p19_dropout_intervals(spark, sf_dir):
 
 
 def _social(spark, sf_dir):
-    e = c.table(spark, sf_dir, "events").filter("event_type IN ('purchase', 'view')")
-    start = c.seconds_of_day(F.col("ts"))
+    """Every event as a segment: of whom and of which kind by its type and id, now and then of nobody, and now and then without saying at whom."""
+    e = c.table(spark, sf_dir, "events")
+    start = c.seconds_of_hour(F.col("ts"))
     person = F.when(F.col("event_id") % 11 == 0, "-1").otherwise(F.col("event_type"))
-    return e.select(c.day(F.col("ts")).alias("recording_id"), person.alias("person"), person.alias("participant_id"), F.when(F.col("event_type") == "purchase", "talking").otherwise("looking").alias("kind"), start.alias("start_s"), (start + F.col("value")).alias("end_s"), (F.col("value") > 35).alias("is_at_me"), F.col("event_id").alias("source_row"))
+    kind = F.when(F.col("event_id") % 2 == 0, "talking").otherwise("looking")
+    at_me = F.when(F.col("event_id") % 5 != 0, F.col("value") > 35)
+    return e.select(c.recording().alias("recording_id"), person.alias("person"), F.nullif(person, F.lit("-1")).alias("participant_id"), kind.alias("kind"), start.alias("start_s"), (start + F.col("value")).alias("end_s"), at_me.alias("is_at_me"), F.col("event_id").alias("source_row"))
 
 
 def _tracks(spark, sf_dir):
-    e = c.table(spark, sf_dir, "events").filter("event_type = 'view'")
-    start = c.seconds_of_day(F.col("ts"))
+    e = c.table(spark, sf_dir, "events")
+    start = c.seconds_of_hour(F.col("ts"))
     size = F.when(F.col("event_id") % 97 == 0, 0.0).otherwise(F.col("value"))
-    return e.select(c.day(F.col("ts")).alias("recording_id"), F.lit("view").alias("participant_id"), (F.col("event_id") % 5).cast("string").alias("track_id"), F.floor(start * 30).cast("long").alias("frame"), (F.floor(start * 30) / 30).alias("time_s"), (F.col("event_id") % 100).cast("double").alias("x"), (F.col("event_id") % 50).cast("double").alias("y"), size.alias("width"), (size / 2).alias("height"))
+    return e.select(c.recording().alias("recording_id"), F.col("event_type").alias("participant_id"), (F.col("event_id") % 5).cast("string").alias("track_id"), F.floor(start * 30).cast("long").alias("frame"), (F.floor(start * 30) / 30).alias("time_s"), (F.col("event_id") % 100).cast("double").alias("x"), (F.col("event_id") % 50).cast("double").alias("y"), size.alias("width"), (size / 2).alias("height"))
 
 
 def x9_social_units(spark, sf_dir):
-    return rounded(md.social_units(_social(spark, sf_dir).filter("person <> '-1'"), 5.0))
+    return rounded(_social_units(spark, sf_dir))
+
+
+def _social_units(spark, sf_dir):
+    return md.social_units(_social(spark, sf_dir), 5.0, _tracks(spark, sf_dir), c.speech(c.table(spark, sf_dir, "events")))
 
 
 def x10_anyone(spark, sf_dir):
-    return rounded(md.anyone(md.social_units(_social(spark, sf_dir).filter("person <> '-1'"), 5.0)))
+    return rounded(md.anyone(_social_units(spark, sf_dir)))
 
 
 def x11_face_boxes(spark, sf_dir):
@@ -142,9 +149,9 @@ def x13_face_tracks(spark, sf_dir):
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "scapxm" and k.split("_")[0][1:].isdigit()}
 
-part("fil", "", """SELECT DISTINCT 'corpus' || page_id % 3 AS dataset, 'Corpus' || page_id % 3 || '/' || (page_id // 5) || CASE page_id % 5 WHEN 0 THEN '.MP4' WHEN 1 THEN '.wav' WHEN 2 THEN '.html' ELSE '.bin' END AS relative_path,
-  CASE page_id % 5 WHEN 0 THEN 'video' WHEN 1 THEN 'audio' WHEN 2 THEN 'text' ELSE 'other' END AS file_type, first_value(strlen(html)) OVER () AS z, page_id, CAST(strlen(html) AS BIGINT) AS size FROM pages WHERE page_id % 7 <> 3""")
-part("prb", "", """SELECT CAST(event_id AS VARCHAR) AS relative_path, event_id % 13 <> 0 AS ok, event_id % 13 <> 0 AND event_id % 11 <> 0 AS aud, round(value, 2) AS v FROM events WHERE event_type = 'view'""")
+part("fil", "", """SELECT DISTINCT 'corpus' || page_id % 3 AS dataset, 'Corpus' || page_id % 3 || '/' || (page_id // 5) || CASE page_id % 5 WHEN 0 THEN '.MP4' WHEN 1 THEN '.wav' WHEN 2 THEN '.csv' ELSE '.html' END AS relative_path,
+  CASE page_id % 5 WHEN 0 THEN 'video' WHEN 1 THEN 'audio' WHEN 2 THEN 'tabular' ELSE 'other' END AS file_type, first_value(strlen(html)) OVER () AS z, page_id, CAST(strlen(html) AS BIGINT) AS size FROM pages WHERE page_id % 7 <> 3""")
+part("prb", "", """SELECT CAST(event_id AS VARCHAR) AS relative_path, event_id % 13 <> 0 AS ok, event_id % 13 <> 0 AND event_id % 11 <> 0 AS aud, round(value, 2) AS v, floor(value) AS vd, event_id % 3 * CAST(0.25 AS DOUBLE) AS sa FROM events""")
 part("epi", "per", """SELECT stream, bool_or(persistent) AS dropout, min(step) AS a, max(step) AS b, max(abs(error)) AS ms, max(abs(x)) AS mx, sum(error) AS net FROM (
   SELECT *, sum(error) OVER (PARTITION BY stream, episode ORDER BY step ROWS UNBOUNDED PRECEDING) AS x FROM (
     SELECT *, sum(fresh) OVER (PARTITION BY stream ORDER BY step ROWS UNBOUNDED PRECEDING) AS episode FROM (
@@ -152,18 +159,20 @@ part("epi", "per", """SELECT stream, bool_or(persistent) AS dropout, min(step) A
   GROUP BY stream, episode HAVING bool_or(persistent) OR max(abs(error)) > 480 OR max(abs(x)) > 480""")
 part("itp", "epi ser", """SELECT e.stream, s.next_pts / CAST(48000 AS DOUBLE) AS t, u.next_pts / CAST(48000 AS DOUBLE) AS te, dropout, net, greatest(1, round_even(s.next_pts / CAST(48000 AS DOUBLE) / CAST(0.5 AS DOUBLE), 0)) AS i
   FROM epi e JOIN ser s ON s.stream = e.stream AND s.step = e.a JOIN ser u ON u.stream = e.stream AND u.step = e.b""")
-part("soc", "ann", "SELECT recording_id, CASE WHEN event_id % 11 = 0 THEN '-1' ELSE kind END AS person, CASE WHEN kind = 'purchase' THEN 'talking' ELSE 'looking' END AS kind, start_s, end_s, value > 35 AS is_at_me, event_id AS source_row FROM ann WHERE kind IN ('purchase', 'view')")
-part("sun", "soc", f"""SELECT recording_id, person AS participant_id, kind, unit, bool_or(is_at_me) AS at_wearer FROM (
-  SELECT recording_id, person, kind, is_at_me, unit, sum(greatest(0, least(end_s, (unit + 1) * CAST(5 AS DOUBLE)) - greatest(start_s, unit * CAST(5 AS DOUBLE)))) AS s FROM (
-    SELECT *, unnest(range(CAST(floor(start_s / 5) AS BIGINT), greatest(CAST(floor(start_s / 5) AS BIGINT) + 1, CAST(ceil(end_s / 5) AS BIGINT)))) AS unit FROM soc WHERE person <> '-1' AND end_s > start_s) GROUP BY 1, 2, 3, 4, 5) WHERE s > {EPS} GROUP BY 1, 2, 3, 4""")
-part("trk", "ann", "SELECT recording_id, 'view' AS participant_id, CAST(event_id % 5 AS VARCHAR) AS track_id, CAST(floor(start_s * 30) AS BIGINT) AS frame, floor(start_s * 30) / 30 AS time_s, CAST(event_id % 100 AS DOUBLE) AS x, CAST(event_id % 50 AS DOUBLE) AS y, CASE WHEN event_id % 97 = 0 THEN 0 ELSE value END AS width FROM ann WHERE kind = 'view'")
-
-_ALIGN = "CASE WHEN aud THEN CAST(0.5 AS DOUBLE) + v - v END"
+part("soc", "ann", "SELECT recording_id, CASE WHEN event_id % 11 = 0 THEN '-1' ELSE kind END AS person, CASE WHEN event_id % 2 = 0 THEN 'talking' ELSE 'looking' END AS kind, start_s, end_s, CASE WHEN event_id % 5 <> 0 THEN value > 35 END AS is_at_me, event_id AS source_row FROM ann")
+part("trk", "ann", "SELECT recording_id, kind AS participant_id, CAST(event_id % 5 AS VARCHAR) AS track_id, CAST(floor(start_s * 30) AS BIGINT) AS frame, floor(start_s * 30) / 30 AS time_s, CAST(event_id % 100 AS DOUBLE) AS x, CAST(event_id % 50 AS DOUBLE) AS y, CASE WHEN event_id % 97 = 0 THEN 0 ELSE value END AS width FROM ann")
+part("sun", "soc trk speech", f"""SELECT recording_id, person AS participant_id, kind, unit, CASE WHEN max(said) > 0 THEN max(said) = 2 END AS at_wearer FROM (
+  SELECT recording_id, person, kind, said, unit FROM (SELECT recording_id, person, kind, said, unit, sum(greatest(0, least(end_s, (unit + 1) * CAST(5 AS DOUBLE)) - greatest(start_s, unit * CAST(5 AS DOUBLE)))) AS s FROM (
+    SELECT *, unnest(range(CAST(floor(start_s / 5) AS BIGINT), greatest(CAST(floor(start_s / 5) AS BIGINT) + 1, CAST(ceil(end_s / 5) AS BIGINT)))) AS unit FROM (
+      SELECT recording_id, person, kind, CASE WHEN is_at_me THEN 2 WHEN NOT is_at_me THEN 1 ELSE 0 END AS said, start_s, end_s FROM soc WHERE person <> '-1' UNION ALL SELECT recording_id, participant_id, 'talking', 0, start_s, end_s FROM speech) WHERE end_s > start_s) GROUP BY 1, 2, 3, 4, 5) WHERE s > {EPS}
+  UNION ALL SELECT recording_id, participant_id, 'looking', 1, CAST(floor((time_s + {EPS}) / 5) AS BIGINT) FROM trk) GROUP BY 1, 2, 3, 4""")
+
+_ALIGN = "CASE WHEN aud THEN sa + v - vd END"
 ORACLE_SQL = {
     "s4_file_inventory": sql("fil", "SELECT dataset, relative_path, file_type, any_value(size) AS size FROM fil GROUP BY 1, 2, 3 HAVING count(*) = 1 UNION ALL SELECT dataset, relative_path, file_type, min(size) FROM fil GROUP BY 1, 2, 3 HAVING count(*) > 1"),
-    "s6_probe_table": sql("prb", "SELECT relative_path, ok AS probe_ok, CAST(ok AS BIGINT) AS video_streams, CASE WHEN ok THEN CAST(0 AS DOUBLE) END AS video_start_s, CASE WHEN ok THEN v END AS video_duration_s, CAST(aud AS BIGINT) AS audio_streams, CASE WHEN aud THEN CAST(0.5 AS DOUBLE) END AS audio_start_s, CASE WHEN aud THEN v END AS audio_duration_s, CASE WHEN ok THEN round(CAST(30000 AS DOUBLE) / 1001, 6) END AS frame_rate FROM prb"),
-    "a13_media_quality": sql("prb", "SELECT ok AS probe_ok, ok AS has_video, aud AS has_audio, aud AND v > 0 AS positive_durations, aud AND v > 0 AS passed, count(*) AS n FROM prb GROUP BY 1, 2, 3, 4, 5"),
-    "a14_alignment": sql("prb", f"SELECT ok AS probe_ok, CAST(0 AS BIGINT) AS zero_offsets, count({_ALIGN}) AS n, round(min({_ALIGN}), 6) AS least, round(median({_ALIGN}), 6) AS median, round(max({_ALIGN}), 6) AS most FROM prb GROUP BY 1"),
+    "s6_probe_table": sql("prb", "SELECT relative_path, ok AS probe_ok, CAST(ok AS BIGINT) AS video_streams, CASE WHEN ok THEN CAST(0 AS DOUBLE) END AS video_start_s, CASE WHEN ok THEN vd END AS video_duration_s, CAST(aud AS BIGINT) AS audio_streams, CASE WHEN aud THEN sa END AS audio_start_s, CASE WHEN aud THEN v END AS audio_duration_s, CASE WHEN ok THEN round(CAST(30000 AS DOUBLE) / 1001, 6) END AS frame_rate FROM prb"),
+    "a13_media_quality": sql("prb", "SELECT ok AS probe_ok, ok AS has_video, aud AS has_audio, aud AND v > 0 AND vd > 0 AS positive_durations, aud AND v > 0 AND vd > 0 AS passed, count(*) AS n FROM prb GROUP BY 1, 2, 3, 4, 5"),
+    "a14_alignment": sql("prb", f"SELECT ok AS probe_ok, count(*) FILTER (WHERE aud AND sa = 0) AS zero_offsets, count({_ALIGN}) AS n, round(min({_ALIGN}), 6) AS least, round(median({_ALIGN}), 6) AS median, round(max({_ALIGN}), 6) AS most FROM prb GROUP BY 1"),
     "a15_missing_files": sql("fil", "SELECT 'Corpus0/' || page_id || '.wav' AS relative_path FROM pages WHERE 'Corpus0/' || page_id || '.wav' NOT IN (SELECT relative_path FROM fil)"),
     "m16_media_resolution": sql("fil", """, s AS (SELECT regexp_extract(relative_path, '([^/]*?)\\.[^./]*$', 1) AS stem, file_type, count(*) AS n, min(relative_path) AS p FROM (SELECT DISTINCT dataset, relative_path, file_type FROM fil) WHERE file_type IN ('video', 'audio') GROUP BY 1, 2)
       SELECT doc_id, CASE WHEN NOT clash THEN vp END AS video_path, CASE WHEN NOT clash THEN ap END AS audio_path, clash AS ambiguous FROM (
@@ -176,9 +185,9 @@ ORACLE_SQL = {
     "p14_decoded_continuity": sql("pkt", "SELECT stream, count(*) AS frames, count(*) FILTER (WHERE g <> 0) AS breaks, coalesce(max(abs(g)), 0) AS max_gap, min(pts) AS first_pts, max(pts) + 1024 AS end_pts, CASE WHEN count(*) < 2 THEN 'insufficient_data' WHEN count(*) FILTER (WHERE g <> 0) > 0 THEN 'gap_or_overlap' ELSE 'continuous' END AS verdict FROM (SELECT *, lead(pts) OVER (PARTITION BY stream ORDER BY pts) - pts - 1024 AS g FROM pkt) GROUP BY 1"),
     "p19_dropout_intervals": sql("per", "SELECT stream, round(next_pts / CAST(48000 AS DOUBLE) - error / 48000, 6) AS start_s, round(next_pts / CAST(48000 AS DOUBLE), 6) AS end_s FROM per WHERE persistent AND error / 48000 >= CAST(0.02 AS DOUBLE)"),
     "x9_social_units": sql("sun", "SELECT * FROM sun"),
-    "x10_anyone": sql("sun", "SELECT recording_id, kind, unit, bool_or(at_wearer) AS anyone, count(*) AS people FROM sun GROUP BY 1, 2, 3"),
+    "x10_anyone": sql("sun", "SELECT recording_id, kind, unit, CASE WHEN coalesce(bool_or(at_wearer), false) THEN true WHEN NOT bool_or(at_wearer IS NULL) THEN false END AS anyone, count(*) AS people FROM sun GROUP BY 1, 2, 3"),
     "x11_face_boxes": sql("trk", f"SELECT recording_id, participant_id, CAST(floor((time_s + {EPS}) / 600) AS BIGINT) AS decision_index, round(avg(x), 6) AS x, round(avg(y), 6) AS y, round(avg(width), 6) AS width, round(avg(width / 2), 6) AS height, count(*) AS boxes FROM trk GROUP BY 1, 2, 3"),
-    "x12_social_segments": sql("soc", "SELECT recording_id, CASE WHEN person <> '-1' THEN person END AS participant_id, person, kind, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, source_row, row_number() OVER (PARTITION BY recording_id ORDER BY start_s, kind, person, source_row) - 1 AS segment_id, person <> '-1' AS resolved FROM soc"),
+    "x12_social_segments": sql("soc", "SELECT recording_id, CASE WHEN person IN ('click', 'purchase', 'signup', 'view') THEN person END AS participant_id, person, kind, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, source_row, row_number() OVER (PARTITION BY recording_id ORDER BY start_s, kind, person, source_row) - 1 AS segment_id, person IN ('click', 'purchase', 'signup', 'view') AS resolved FROM soc"),
     "x13_face_tracks": sql("trk", "SELECT recording_id, participant_id, track_id, min(frame) AS first_frame, max(frame) AS last_frame, count(*) AS boxes, round(min(time_s), 6) AS start_s, round(max(time_s) + CAST(1 AS DOUBLE) / 30, 6) AS end_s FROM trk GROUP BY 1, 2, 3"),
 }
 ORACLE_SQL["s5_inventory_summary"] = sql("fil", "SELECT dataset, file_type, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM (SELECT dataset, relative_path, file_type, min(size) AS size FROM fil GROUP BY 1, 2, 3) GROUP BY 1, 2")

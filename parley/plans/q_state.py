@@ -44,8 +44,8 @@ def _of(e: DataFrame, who: str) -> DataFrame:
 
 
 def i1_normalize(spark, sf_dir):
-    e = c.speech(events(spark, sf_dir))
-    broken = e.withColumn("end_s", F.when(F.pmod(F.xxhash64("annotation_id"), F.lit(1)) == 0, F.col("end_s") - 5.0))
+    # Five seconds less: what is shorter ends before it starts.
+    broken = c.speech(events(spark, sf_dir)).withColumn("end_s", F.col("end_s") - 5.0)
     return rounded(intervals.normalize(broken).groupBy("participant_id").agg(F.count("*").alias("n"), F.sum(F.col("end_s") - F.col("start_s")).alias("seconds")))
 
 
@@ -124,12 +124,14 @@ def v12_gap_histogram(spark, sf_dir):
 
 
 def v13_timeline_errors(spark, sf_dir):
-    rows = native(spark, sf_dir).filter("native_index % 7 <> 3")
-    return state.timeline_errors(rows)
+    """In a third of the recordings the second interval is empty, in another it ends a second late."""
+    hour, second = F.substring("recording_id", 12, 2).cast("int") % 3, F.col("native_index") == 1
+    end = F.when(second & (hour == 0), F.col("start_s")).when(second & (hour == 1), F.col("end_s") + 1.0).otherwise(F.col("end_s"))
+    return state.timeline_errors(native(spark, sf_dir).withColumn("end_s", end))
 
 
 def v15_grid_bounds(spark, sf_dir):
-    return rounded(grid.bounds(control(spark, sf_dir).filter("first_native_index > 0"), STEP).drop("timeline_start_s"))
+    return rounded(grid.bounds(control(spark, sf_dir), STEP).drop("timeline_start_s"))
 
 
 def v17_state_before_slot(spark, sf_dir):
@@ -224,13 +226,14 @@ ORACLE_SQL = {
       LEFT JOIN (SELECT recording_id, count(*) AS n, sum(end_s - start_s) AS s, quantile_cont(end_s - start_s, [0, 0.05, 0.5, 0.95, 1]) AS q FROM flagged WHERE bridged GROUP BY 1) g USING (recording_id)"""),
     "v12_gap_histogram": sql("flagged", "SELECT CAST(least(greatest(floor((end_s - start_s) / CAST(1 AS DOUBLE)), 0), 9) AS BIGINT) AS bin, count(*) AS n FROM flagged WHERE bridged GROUP BY 1"),
     "v13_timeline_errors": sql("native", f"""SELECT recording_id, CASE WHEN bool_or(end_s <= start_s) THEN 'non-increasing interval' ELSE 'gap or overlap between intervals' END AS error
-      FROM (SELECT *, lag(end_s) OVER (PARTITION BY recording_id ORDER BY start_s) AS was FROM native WHERE native_index % 7 <> 3) GROUP BY 1
+      FROM (SELECT *, lag(end_s) OVER (PARTITION BY recording_id ORDER BY start_s) AS was FROM (
+        SELECT * REPLACE (CASE WHEN native_index = 1 AND CAST(substr(recording_id, 12, 2) AS INT) % 3 = 0 THEN start_s WHEN native_index = 1 AND CAST(substr(recording_id, 12, 2) AS INT) % 3 = 1 THEN end_s + 1 ELSE end_s END AS end_s) FROM native)) GROUP BY 1
       HAVING bool_or(end_s <= start_s) OR coalesce(bool_or(abs(start_s - was) > {EPS}), false)"""),
     "v15_grid_bounds": sql("control", f"""SELECT recording_id, first_index, greatest(0, last - first_index + 1) AS slots,
       round(CASE WHEN last >= first_index THEN greatest(0, first_index * CAST(10 AS DOUBLE) - lo) ELSE 0 END, 6) AS head_s,
       round(CASE WHEN last >= first_index THEN greatest(0, hi - (last + 1) * CAST(10 AS DOUBLE)) ELSE hi - lo END, 6) AS tail_s
       FROM (SELECT recording_id, min(start_s) AS lo, max(end_s) AS hi, CAST(ceil((min(start_s) - {EPS}) / 10) AS BIGINT) AS first_index, CAST(floor((max(end_s) + {EPS}) / 10) - 1 AS BIGINT) AS last
-        FROM control WHERE first_native_index > 0 GROUP BY 1)"""),
+        FROM control GROUP BY 1)"""),
     "v17_state_before_slot": sql("control_slots", "SELECT recording_id, decision_index, state_before FROM control_slots"),
     "v18_transitions": sql("control_changes", "SELECT recording_id, round(time_s, 6) AS time_s, before, after, before <> 'UNKNOWN' AND after <> 'UNKNOWN' AS resolved FROM control_changes"),
     "v21_action_grid": sql("control_grid", "SELECT recording_id, decision_index, decision_time_s, slot_end_s, state_before, action, action_valid, round(event_time_s, 6) AS event_time_s, round(tau_s, 6) AS tau_s, mask_reason FROM control_grid"),
