@@ -106,6 +106,41 @@ def _unit_of(time: Column, step_s: float, subframes: int) -> Column:
     return F.floor((time + F.lit(EPS)) / F.lit(step_s / subframes)).cast("long")
 
 
+def _unknown_before(states: DataFrame, width_s: float) -> DataFrame:
+    """(recording_id, unit, participant_index, ...) of whoever is unknown just before a unit, which hides a transition at its very start."""
+    width = F.lit(width_s)
+    rows = states.filter(F.col("state") == UNKNOWN).withColumn("unit", F.explode(F.sequence(F.floor(F.col("start_s") / width), F.floor(F.col("end_s") / width))))
+    edge = F.col("unit") * width
+    return rows.filter((F.col("start_s") < edge - EPS) & (F.col("end_s") >= edge - EPS))
+
+
+def speaker_event_units(states: DataFrame, cells: DataFrame, step_s: float, subframes: int) -> DataFrame:
+    """Per unit lists by participant: whether an onset, an offset lies in it, and whether a transition could be observed at all.
+
+    A flag is true where such an event lies in the unit, null where none does but one could have gone unseen.
+    """
+    width = step_s / subframes
+    key = ["recording_id", "unit"]
+    codes = unit_codes(states, cells, width, subframes).withColumn("unit", F.col("decision_index") * subframes + F.col("place"))
+    who = F.col("participant_index").cast("int")
+    events = st.speaker_events(states).withColumn("unit", _unit_of(F.col("time_s"), step_s, subframes))
+    events = events.groupBy(*key).agg(*(F.collect_set(F.when(F.col("kind") == k, who)).alias(f"_{k}") for k in ("onset", "offset")))
+    hidden = _unknown_before(states, width).groupBy(*key).agg(F.collect_set(who).alias("_hidden"))
+    origin = states.groupBy("recording_id").agg(F.min("start_s").alias("_origin"))
+    rows = codes.join(events, key, "left").join(hidden, key, "left").join(origin, "recording_id")
+    early = F.col("unit") * width <= F.col("_origin") + EPS
+
+    def among(name: str, p: Column) -> Column:
+        return F.coalesce(F.array_contains(name, p), F.lit(False))
+
+    def flag(kind: str) -> Column:
+        return F.transform(valid, lambda v, p: F.when(among(f"_{kind}", p), True).when(v, False)).alias(f"speaker_{kind}")
+
+    valid = F.transform("codes", lambda c, p: ~early & (c != UNKNOWN_CODE) & ~among("_hidden", p))
+    flags = [flag(k) for k in ("onset", "offset")]
+    return rows.select(*CELL, "place", *flags, valid.alias("speaker_transition_valid"))
+
+
 def event_units(states: DataFrame, cells: DataFrame, step_s: float, subframes: int) -> DataFrame:
     """Per unit: onset and offset of the wearer and of others, and the floor change with the first previous and the last next holder.
 
@@ -122,10 +157,8 @@ def event_units(states: DataFrame, cells: DataFrame, step_s: float, subframes: i
     flags = events.groupBy("recording_id", "unit").agg(*(any_of(k, e).alias(f"_{n}") for (k, e), n in names.items()))
     changes = st.floor_changes(states).withColumn("unit", _unit_of(F.col("time_s"), step_s, subframes))
     changes = changes.groupBy("recording_id", "unit").agg(F.min_by("previous_holder", "time_s").alias("previous_floor_holder"), F.max_by("next_holder", "time_s").alias("next_floor_holder"), F.lit(True).alias("_change"))
-    # The state just before a unit: unknown there hides a transition at its very start.
-    before = states.filter(F.col("state") == UNKNOWN).withColumn("unit", F.explode(F.sequence(F.floor(F.col("start_s") / (step_s / subframes)), F.floor(F.col("end_s") / (step_s / subframes)))))
     edge = F.col("unit") * (step_s / subframes)
-    before = before.filter((F.col("start_s") < edge - EPS) & (F.col("end_s") >= edge - EPS)).groupBy("recording_id", "unit").agg(F.min("participant_index").alias("_first"), F.max("participant_index").alias("_last"))
+    before = _unknown_before(states, step_s / subframes).groupBy("recording_id", "unit").agg(F.min("participant_index").alias("_first"), F.max("participant_index").alias("_last"))
     start = states.groupBy("recording_id").agg(F.min("start_s").alias("_origin"))
     rows = codes.join(flags, ["recording_id", "unit"], "left").join(changes, ["recording_id", "unit"], "left").join(before, ["recording_id", "unit"], "left").join(start, "recording_id")
     early = F.col("unit") * (step_s / subframes) <= F.col("_origin") + EPS
@@ -295,6 +328,29 @@ def future_states(states: DataFrame, around: DataFrame, horizons_s: Sequence[flo
     return met.select(*CELL, "horizon_s", F.when(valid, joint).alias("future_joint_speech_state"), F.when(valid, F.col("_p.holder")).alias("future_floor_holder"))
 
 
+def future_activity(states: DataFrame, around: DataFrame, step_s: float, horizons_s: Sequence[float]) -> DataFrame:
+    """Per cell and horizon who speaks before it ends, by participant, the wearer, others, and whether two speak at once; null unless wholly observed.
+
+    Horizons are whole numbers of steps, so speech is summed up once per cell and each cell is given out to the few
+    cells before it.
+    """
+    spoken = states.filter(F.col("state") == SPEAKING).select("recording_id", F.col("participant_index").cast("int").alias("who"), "start_s", "end_s")
+    at_once = st.floor(states).filter("all_known AND speakers >= 2").select("recording_id", F.lit(-1).alias("who"), "start_s", "end_s")
+    timed = seconds_per_unit(spoken.unionByName(at_once), step_s, ["recording_id", "who"])
+    ahead = F.explode(F.array(*(F.struct(F.lit(float(h)).alias("horizon_s"), F.lit(round(h / step_s)).alias("n")) for h in horizons_s)))
+    given = timed.withColumn("_h", ahead).select("recording_id", "who", "seconds", "_h.horizon_s", F.explode(F.sequence(F.col("unit") - F.col("_h.n"), F.col("unit") - 1)).alias("decision_index"))
+    key = [*CELL, "horizon_s"]
+    found = given.groupBy(*key, "who").agg(F.sum("seconds").alias("s")).filter(F.col("s") > EPS).groupBy(*key).agg(F.collect_set("who").alias("_who"))
+    people = states.groupBy("recording_id").agg((F.max("participant_index") + 1).alias("_people"))
+    rows = around.select(*CELL, "reference_s", "observed", "span_end_s", F.explode(F.array(*(F.lit(float(h)) for h in horizons_s))).alias("horizon_s"))
+    rows = rows.join(found, key, "left").join(people, "recording_id")
+    valid = F.col("observed") & (F.col("reference_s") + F.col("horizon_s") <= F.col("span_end_s") + EPS)
+    each = F.transform(F.sequence(F.lit(0), F.col("_people").cast("int") - 1), lambda p: F.coalesce(F.array_contains("_who", p), F.lit(False)))
+    others = F.coalesce(F.exists("_who", lambda p: p > 0), F.lit(False))
+    shown = {"speaker_activity": each, "ego_activity": each[0], "others_activity": others, "overlap": F.coalesce(F.array_contains("_who", -1), F.lit(False))}
+    return rows.select(*key, *(F.when(valid, v).alias(f"future_{n}") for n, v in shown.items()))
+
+
 def coverage(labels: DataFrame) -> DataFrame:
     """(label, units, known, missing) for every label column of a cell table; a list counts by its elements, a null list as as many missing ones as lists of that column have most often."""
     values = [c for c in labels.columns if c not in CELL]

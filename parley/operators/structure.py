@@ -272,6 +272,11 @@ def segments_table(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return out
 
 
+def _mean(seconds: Column) -> Column:
+    """The mean of whole microseconds, the same in any order of the rows."""
+    return F.sum(F.round(seconds * 1e6)) / F.count(seconds) / 1e6
+
+
 def profiles(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Per participant: speaking time, statistics of turns and pauses, counts of onsets, overlaps entered, and transfers taken. Undefined ones are null."""
     key = ["recording_id", "participant_index"]
@@ -280,11 +285,11 @@ def profiles(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("state") == SPEAKING, length)), F.lit(0.0)).alias("speaking_s"), F.coalesce(F.sum(F.when(F.col("state") != UNKNOWN, length)), F.lit(0.0)).alias("known_s")
     )
     q = F.percentile(length, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    turn = turns(states, rules).groupBy(*key).agg(F.count("*").alias("turns"), F.avg(length).alias("turn_mean_s"), F.stddev_pop(length).alias("turn_std_s"), q.alias("_q"), F.sum("pauses_s").alias("pauses_s"))
+    turn = turns(states, rules).groupBy(*key).agg(F.count("*").alias("turns"), _mean(length).alias("turn_mean_s"), F.stddev_pop(length).alias("turn_std_s"), q.alias("_q"), F.sum("pauses_s").alias("pauses_s"))
     turn = turn.select(*key, "turns", "turn_mean_s", "turn_std_s", F.col("_q")[0].alias("turn_q10_s"), F.col("_q")[1].alias("turn_median_s"), F.col("_q")[2].alias("turn_q90_s"), "pauses_s")
     event = speaker_events(states).groupBy(*key).agg(F.count_if(F.col("kind") == "onset").alias("onsets"), F.count_if(F.col("kind") == "offset").alias("offsets"))
     over = overlaps(states, rules).filter("valid").groupBy("recording_id", F.col("entering").alias("participant_index")).agg(F.count("*").alias("overlaps_entered"), F.sum(length).alias("overlap_entered_s"))
-    taken = floor_changes(states, rules).groupBy("recording_id", F.col("next_holder").alias("participant_index")).agg(F.count("*").alias("floors_taken"), F.avg("fto_s").alias("fto_mean_s"))
+    taken = floor_changes(states, rules).groupBy("recording_id", F.col("next_holder").alias("participant_index")).agg(F.count("*").alias("floors_taken"), _mean(F.col("fto_s")).alias("fto_mean_s"))
     out = base
     for more in (turn, event, over, taken):
         out = out.join(more, key, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parley.operators import labels as lb
-from parley.plans.oracle import EPS, part, sql
+from parley.plans.oracle import EPS, PARTS, part, sql
 from parley.plans.q_state import STEP, rounded
 from parley.plans.q_structure import RULES, states
 from parley.sources import canonical as c
@@ -46,6 +46,16 @@ def g9_event_units(spark, sf_dir):
     return rounded(lb.event_units(states(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES))
 
 
+def g9_speaker_event_units(spark, sf_dir):
+    out = lb.speaker_event_units(states(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES)
+    return rounded(out.select("recording_id", "decision_index", "place", *(_shown(F.col(n)).alias(n) for n in ("speaker_onset", "speaker_offset", "speaker_transition_valid"))))
+
+
+def g18_future_activity(spark, sf_dir):
+    out = lb.future_activity(states(spark, sf_dir), _around(spark, sf_dir), STEP, HORIZONS)
+    return rounded(out.withColumn("future_speaker_activity", F.when(F.col("future_speaker_activity").isNotNull(), _shown(F.col("future_speaker_activity")))))
+
+
 def g13_timing_labels(spark, sf_dir):
     return rounded(lb.timing(_around(spark, sf_dir)))
 
@@ -219,6 +229,28 @@ ORACLE_SQL["g18_future_states"] = sql(
     FROM (SELECT *, r + h - {EPS} AS at FROM (SELECT *, unnest([10.0::DOUBLE, 50.0::DOUBLE, 100.0::DOUBLE]) AS h FROM refs)) r
     ASOF LEFT JOIN (SELECT f.recording_id, f.start_s, f.speakers, f.holder, CAST(e.state = 'SPEAKING' AS INT) AS ego FROM flr f JOIN pstates e ON e.recording_id = f.recording_id AND e.ordinal = f.ordinal AND e.participant_index = 0) p ON p.recording_id = r.recording_id AND p.start_s < r.at""".replace(" AS at FROM", " AS point FROM").replace("r.at", "r.point"),
 )
+part("unk_who", "pstates", PARTS["unk_before"][1].replace("min(participant_index) AS lo, max(participant_index) AS hi", "list(DISTINCT participant_index) AS hid"))
+part("ev_who", "pevents", f"SELECT recording_id, CAST(floor((time_s + {EPS}) / 5) AS BIGINT) AS unit, list(DISTINCT participant_index) FILTER (WHERE kind = 'onset') AS onset, list(DISTINCT participant_index) FILTER (WHERE kind = 'offset') AS offset_ FROM pevents GROUP BY 1, 2")
+_FLAG = "list_transform(ok, lambda v, i: CASE WHEN coalesce(list_contains({n}, i - 1), false) THEN true WHEN v THEN false END)"
+ORACLE_SQL["g9_speaker_event_units"] = sql(
+    "ucodes unk_who ev_who",
+    "SELECT recording_id, decision_index, CAST(place AS BIGINT) AS place, " + _LIST.format(x=_FLAG.format(n="onset")) + " AS speaker_onset, " + _LIST.format(x=_FLAG.format(n="offset_")) + " AS speaker_offset, " + _LIST.format(x="ok")
+    + f""" AS speaker_transition_valid FROM (
+      SELECT u.recording_id, u.decision_index, u.place, e.onset, e.offset_, list_transform(codes, lambda c, i: NOT ({_EARLY}) AND c <> 2 AND NOT coalesce(list_contains(b.hid, i - 1), false)) AS ok FROM ucodes u
+      LEFT JOIN ev_who e ON e.recording_id = u.recording_id AND e.unit = u.decision_index * 2 + u.place LEFT JOIN unk_who b ON b.recording_id = u.recording_id AND b.unit = u.decision_index * 2 + u.place)""",
+)
+part("said", "pstates flr", """SELECT recording_id, who, unit, sum(greatest(0, least(end_s, (unit + 1) * CAST(10 AS DOUBLE)) - greatest(start_s, unit * CAST(10 AS DOUBLE)))) AS s FROM (
+  SELECT *, unnest(range(CAST(floor(start_s / 10) AS BIGINT), greatest(CAST(floor(start_s / 10) AS BIGINT) + 1, CAST(ceil(end_s / 10) AS BIGINT)))) AS unit FROM (
+    SELECT recording_id, participant_index AS who, start_s, end_s FROM pstates WHERE state = 'SPEAKING' UNION ALL SELECT recording_id, -1, start_s, end_s FROM flr WHERE all_known AND speakers >= 2)) GROUP BY 1, 2, 3""")
+part("later", "said", f"""SELECT recording_id, decision_index, h, list(who) AS w FROM (SELECT recording_id, unit - j AS decision_index, h, who, sum(s) AS s FROM said,
+  (SELECT h, unnest(range(1, n + 1)) AS j FROM (VALUES (10, 1), (50, 5), (100, 10)) t(h, n)) GROUP BY 1, 2, 3, 4 HAVING sum(s) > {EPS}) GROUP BY 1, 2, 3""")
+ORACLE_SQL["g18_future_activity"] = sql(
+    "refs later",
+    f"""SELECT r.recording_id, r.decision_index, CAST(r.h AS DOUBLE) AS horizon_s, CASE WHEN ok THEN {_LIST.format(x="list_transform([0, 1, 2, 3], lambda p: list_contains(l, p))")} END AS future_speaker_activity, CASE WHEN ok THEN list_contains(l, 0) END AS future_ego_activity,
+    CASE WHEN ok THEN list_contains(l, 1) OR list_contains(l, 2) OR list_contains(l, 3) END AS future_others_activity, CASE WHEN ok THEN list_contains(l, -1) END AS future_overlap
+    FROM (SELECT c.recording_id, c.decision_index, c.h, coalesce(c.r + c.h <= c.b + {EPS}, false) AS ok, coalesce(w, CAST([] AS BIGINT[])) AS l FROM (SELECT *, unnest([10, 50, 100]) AS h FROM refs) c
+      LEFT JOIN later f ON f.recording_id = c.recording_id AND f.decision_index = c.decision_index AND f.h = c.h) r""",
+)
 _COUNTED = {n: v for n, v in _VIEWS.items()}
 ORACLE_SQL["l4_label_coverage"] = sql(
     "ucodes ccodes occ",

@@ -113,6 +113,15 @@ def x2_normal_words(spark, sf_dir):
     return rounded(w.groupBy(tx.normal_word(F.col("text")).alias("word")).agg(F.count("*").alias("n")))
 
 
+def x7_token_events(spark, sf_dir):
+    return rounded(tx.token_events(_words(spark, sf_dir)))
+
+
+def x8_turn_units(spark, sf_dir):
+    turns = utterances(spark, sf_dir).select("recording_id", "participant_id", "start_s", "end_s")
+    return rounded(tx.turn_units(tx.words_to_turns(_words(spark, sf_dir), turns)))
+
+
 def x5_words_to_turns(spark, sf_dir):
     turns = utterances(spark, sf_dir).select("recording_id", "participant_id", "start_s", "end_s")
     placed = tx.words_to_turns(_words(spark, sf_dir), turns)
@@ -162,7 +171,7 @@ part("met", "ser", """SELECT stream, count(*) AS steps, count(*) FILTER (WHERE e
 part("per", "ser", """SELECT *, error > 480 AND low - (drift - error) >= CAST(0.5 AS DOUBLE) * error AS persistent, error > 480 AND step + 94 > n - 1 AS truncated FROM (
   SELECT *, min(drift) OVER (PARTITION BY stream ORDER BY step ROWS BETWEEN CURRENT ROW AND 94 FOLLOWING) AS low, count(*) OVER (PARTITION BY stream) AS n FROM ser)""")
 part("utt", "", "SELECT conv_id AS recording_id, role AS participant_id, turn AS source_row, text, turn % 7 <> 6 AS timing_valid, length(text) AS n, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * CAST(0.06 AS DOUBLE) AS start_s FROM conversations")
-part("wrd", "utt", r"SELECT recording_id, participant_id, timing_valid, w AS text, start_s + (k - 1) * CAST(0.3 AS DOUBLE) AS start_s FROM (SELECT *, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM (SELECT *, regexp_split_to_array(trim(text), '\s+') AS ws FROM utt))")
+part("wrd", "utt", r"SELECT recording_id, participant_id, timing_valid, w AS text, CAST(source_row AS BIGINT) * 100000 + k - 1 AS source_row, start_s + (k - 1) * CAST(0.3 AS DOUBLE) AS start_s FROM (SELECT *, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM (SELECT *, regexp_split_to_array(trim(text), '\s+') AS ws FROM utt))")
 _TRIM = r"regexp_replace(lower({x}), '^[^\p{{L}}\p{{M}}\p{{N}}_'']+|[^\p{{L}}\p{{M}}\p{{N}}_'']+$', '', 'g')"
 
 
@@ -208,3 +217,12 @@ ORACLE_SQL = {
       CASE WHEN right(rtrim(text), 1) IN ('.', '?', '!', ',') THEN right(rtrim(text), 1) END AS final_punctuation, coalesce(right(rtrim(text), 1) = '?', false) AS interrogative, ws[-1] AS final_word, {_marker(False)} AS first_marker, {_marker(True)} AS last_marker
       FROM (SELECT *, list_filter(list_transform(regexp_split_to_array(trim(text), '\\s+'), lambda v: {_TRIM.format(x='v')}), lambda v: v <> '') AS ws FROM utt)"""),
 }
+
+_CLASS = r"""CASE WHEN text = '' THEN 'empty' WHEN regexp_full_match(text, '\[[^\]]*\]|<[^>]*>|\([^)]*\)') THEN 'special' WHEN regexp_matches(text, '[A-Za-z]') THEN 'lexical' WHEN regexp_full_match(text, '[^\p{L}\p{M}\p{N}_\s]+') THEN 'punctuation' ELSE 'other' END"""
+ORACLE_SQL["x7_token_events"] = sql("wrd", f"SELECT recording_id, participant_id, source_row, round(CASE WHEN timing_valid THEN start_s END, 6) AS time_s, CASE WHEN timing_valid THEN CAST(0.25 AS DOUBLE) END AS duration_s, {_CLASS} AS token_class, {_TRIM.format(x='text')} AS word FROM wrd")
+ORACLE_SQL["x8_turn_units"] = sql("wrd utt", f""", t AS (SELECT recording_id, participant_id, start_s AS a, start_s + n * CAST(0.06 AS DOUBLE) AS b, row_number() OVER (PARTITION BY recording_id, participant_id ORDER BY start_s) AS turn FROM utt),
+  w AS (SELECT *, start_s + CAST(0.125 AS DOUBLE) AS m FROM wrd WHERE timing_valid),
+  p AS (SELECT w.source_row, any_value(w.recording_id) AS recording_id, any_value(w.participant_id) AS participant_id, any_value(w.text) AS text, any_value(w.start_s) AS start_s, min(t.turn) AS turn FROM w
+    JOIN t ON t.recording_id = w.recording_id AND t.participant_id = w.participant_id AND w.m >= t.a - 1e-9 AND w.m <= t.b + 1e-9 GROUP BY w.source_row, w.recording_id, w.participant_id)
+  SELECT recording_id, participant_id, turn, len(ws) AS words, round(CASE WHEN hi > lo THEN len(ws) / (hi - lo) END, 6) AS words_per_s, ws[-1] AS final_word, {_marker(False)} AS first_marker, {_marker(True)} AS last_marker FROM (
+    SELECT recording_id, participant_id, turn, list_filter(list({_TRIM.format(x='text')} ORDER BY start_s, source_row), lambda v: v <> '') AS ws, min(start_s) AS lo, max(start_s + CAST(0.25 AS DOUBLE)) AS hi FROM p GROUP BY 1, 2, 3)""")

@@ -17,11 +17,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.table(spark, sf_dir, "events")
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded and counts as long, so that both engines show the same."""
+def rounded(df: DataFrame, places: int = 6, exact: tuple[str, ...] = ()) -> DataFrame:
+    """Doubles rounded, but for `exact` ones, and counts as long, so that both engines show the same."""
     out = []
     for name, kind in df.dtypes:
-        if kind == "double":
+        if kind == "double" and name not in exact:
             out.append(F.round(name, places).alias(name))
         elif kind in ("int", "smallint", "tinyint"):
             out.append(F.col(name).cast("long").alias(name))

@@ -85,7 +85,7 @@ def t16_segments_table(spark, sf_dir):
 
 
 def t18_participant_profiles(spark, sf_dir):
-    return rounded(s.profiles(states(spark, sf_dir), RULES))
+    return rounded(s.profiles(states(spark, sf_dir), RULES), exact=("turn_mean_s", "fto_mean_s"))
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] == "t" and k.split("_")[0][1:].isdigit()}
@@ -118,12 +118,12 @@ ORACLE_SQL = {
       UNION ALL SELECT 'overlap', overlap_type, NULL, start_s, end_s, NULL, NULL FROM ovl
       UNION ALL SELECT 'silence', NULL, {_SIL}, start_s, end_s, NULL, NULL FROM sil) GROUP BY 1, 2, 3"""),
     "t18_participant_profiles": sql("pstates trn pevents ovl fchanges", """SELECT b.recording_id, CAST(b.participant_index AS BIGINT) AS participant_index, round(speaking_s, 6) AS speaking_s, round(known_s, 6) AS known_s,
-      coalesce(turns, 0) AS turns, round(turn_mean_s, 6) AS turn_mean_s, round(turn_std_s, 6) AS turn_std_s, round(q[1], 6) AS turn_q10_s, round(q[2], 6) AS turn_median_s, round(q[3], 6) AS turn_q90_s, round(pauses_s, 6) AS pauses_s,
-      coalesce(onsets, 0) AS onsets, coalesce(offsets, 0) AS offsets, coalesce(overlaps_entered, 0) AS overlaps_entered, round(overlap_entered_s, 6) AS overlap_entered_s, coalesce(floors_taken, 0) AS floors_taken, round(fto_mean_s, 6) AS fto_mean_s,
+      coalesce(turns, 0) AS turns, turn_mean_s, round(turn_std_s, 6) AS turn_std_s, round(q[1], 6) AS turn_q10_s, round(q[2], 6) AS turn_median_s, round(q[3], 6) AS turn_q90_s, round(pauses_s, 6) AS pauses_s,
+      coalesce(onsets, 0) AS onsets, coalesce(offsets, 0) AS offsets, coalesce(overlaps_entered, 0) AS overlaps_entered, round(overlap_entered_s, 6) AS overlap_entered_s, coalesce(floors_taken, 0) AS floors_taken, fto_mean_s,
       round(CASE WHEN known_s > 0 THEN speaking_s / known_s END, 6) AS speaking_share
       FROM (SELECT recording_id, participant_index, coalesce(sum(end_s - start_s) FILTER (WHERE state = 'SPEAKING'), 0) AS speaking_s, coalesce(sum(end_s - start_s) FILTER (WHERE state <> 'UNKNOWN'), 0) AS known_s FROM pstates GROUP BY 1, 2) b
-      LEFT JOIN (SELECT recording_id, participant_index, count(*) AS turns, avg(end_s - start_s) AS turn_mean_s, stddev_pop(end_s - start_s) AS turn_std_s, quantile_cont(end_s - start_s, [0.1, 0.5, 0.9]) AS q, sum(pauses_s) AS pauses_s FROM trn GROUP BY 1, 2) t USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, participant_index, count(*) AS turns, sum(round((end_s - start_s) * 1e6)) / count(*) / CAST(1e6 AS DOUBLE) AS turn_mean_s, stddev_pop(end_s - start_s) AS turn_std_s, quantile_cont(end_s - start_s, [0.1, 0.5, 0.9]) AS q, sum(pauses_s) AS pauses_s FROM trn GROUP BY 1, 2) t USING (recording_id, participant_index)
       LEFT JOIN (SELECT recording_id, participant_index, count(*) FILTER (WHERE kind = 'onset') AS onsets, count(*) FILTER (WHERE kind = 'offset') AS offsets FROM pevents GROUP BY 1, 2) e USING (recording_id, participant_index)
       LEFT JOIN (SELECT recording_id, entering AS participant_index, count(*) AS overlaps_entered, sum(end_s - start_s) AS overlap_entered_s FROM ovl WHERE valid GROUP BY 1, 2) o USING (recording_id, participant_index)
-      LEFT JOIN (SELECT recording_id, next_holder AS participant_index, count(*) AS floors_taken, avg(fto_s) AS fto_mean_s FROM fchanges GROUP BY 1, 2) f USING (recording_id, participant_index)"""),
+      LEFT JOIN (SELECT recording_id, next_holder AS participant_index, count(*) AS floors_taken, sum(round(fto_s * 1e6)) / count(*) / CAST(1e6 AS DOUBLE) AS fto_mean_s FROM fchanges GROUP BY 1, 2) f USING (recording_id, participant_index)"""),
 }
