@@ -277,21 +277,87 @@ def _mean(seconds: Column) -> Column:
     return F.sum(F.round(seconds * 1e6)) / F.count(seconds) / 1e6
 
 
+def _quantile(seconds: Column, q: float) -> Column:
+    """A quantile (in whole tenths) of whole microseconds, to their tenth: the same in any order of the rows and on any engine."""
+    return F.round(F.percentile(F.round(seconds * 1e6), F.lit(q)), 1) / 1e6
+
+
+#: The statistics of a profile, in the order of its vector.
+PROFILE_FEATURES = (
+    "speaking_time_s", "observed_duration_s", "speaking_ratio", "speech_run_count", "run_duration_mean_s", "run_duration_median_s", "turn_count", "turns_per_minute",
+    "turn_duration_mean_s", "turn_duration_median_s", "turn_duration_std_s", "pause_count", "pause_duration_mean_s", "pause_duration_median_s", "onset_count", "offset_count",
+    "onset_after_silence_count", "onset_floor_transfer_count", "onset_overlap_count", "overlaps_entered", "overlaps_received", "within_overlaps_entered", "between_overlaps_entered",
+    "interruption_like_count", "overlap_time_s", "floor_takes", "floor_yields", "fto_take_mean_s", "fto_take_median_s", "fto_take_q10_s", "fto_take_q90_s",
+    "response_latency_mean_s", "response_latency_median_s",
+)
+
+
 def profiles(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Per participant: speaking time, statistics of turns and pauses, counts of onsets, overlaps entered, and transfers taken. Undefined ones are null."""
+    """One row per participant with PROFILE_FEATURES: counts are 0 and statistics null where there is nothing to count.
+
+    Time is observed where every participant is known. Pauses belong to the speaker before them, transfers to who takes
+    the floor, and latencies are transfers after a gap. The whole recording counts, so nothing here may predict within it.
+    `states` is read about ten times: cache or write it first where it is costly.
+    """
     key = ["recording_id", "participant_index"]
     length = F.col("end_s") - F.col("start_s")
-    base = states.groupBy(*key).agg(
-        F.coalesce(F.sum(F.when(F.col("state") == SPEAKING, length)), F.lit(0.0)).alias("speaking_s"), F.coalesce(F.sum(F.when(F.col("state") != UNKNOWN, length)), F.lit(0.0)).alias("known_s")
+
+    def per(rows: DataFrame, who: str, *stats: Column) -> DataFrame:
+        return rows.groupBy("recording_id", F.col(who).alias("participant_index")).agg(*stats)
+
+    def counted(name: str, test: Column | None = None) -> Column:
+        return (F.count("*") if test is None else F.count_if(test)).cast("double").alias(name)
+
+    def median(seconds: Column, name: str) -> Column:
+        return _quantile(seconds, 0.5).alias(name)
+
+    heard = floor(states).select("recording_id", "ordinal", "speakers", "all_known")
+    known = states.join(heard, ["recording_id", "ordinal"])
+    own = F.col("all_known") & (F.col("state") == SPEAKING)
+    base = per(
+        known,
+        "participant_index",
+        *(F.coalesce(F.sum(F.when(test, length)), F.lit(0.0)).alias(n) for n, test in (("speaking_time_s", own), ("observed_duration_s", F.col("all_known")), ("overlap_time_s", own & (F.col("speakers") > 1)))),
     )
-    q = F.percentile(length, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    turn = turns(states, rules).groupBy(*key).agg(F.count("*").alias("turns"), _mean(length).alias("turn_mean_s"), F.stddev_pop(length).alias("turn_std_s"), q.alias("_q"), F.sum("pauses_s").alias("pauses_s"))
-    turn = turn.select(*key, "turns", "turn_mean_s", "turn_std_s", F.col("_q")[0].alias("turn_q10_s"), F.col("_q")[1].alias("turn_median_s"), F.col("_q")[2].alias("turn_q90_s"), "pauses_s")
-    event = speaker_events(states).groupBy(*key).agg(F.count_if(F.col("kind") == "onset").alias("onsets"), F.count_if(F.col("kind") == "offset").alias("offsets"))
-    over = overlaps(states, rules).filter("valid").groupBy("recording_id", F.col("entering").alias("participant_index")).agg(F.count("*").alias("overlaps_entered"), F.sum(length).alias("overlap_entered_s"))
-    taken = floor_changes(states, rules).groupBy("recording_id", F.col("next_holder").alias("participant_index")).agg(F.count("*").alias("floors_taken"), _mean(F.col("fto_s")).alias("fto_mean_s"))
+    fto, late = F.col("fto_s"), F.when(F.col("fto_s") > 0, F.col("fto_s"))
+    over, changes, kind, onset = overlaps(states, rules), floor_changes(states, rules), F.col("overlap_type"), F.col("onset_type")
+    parts = [
+        per(speech_runs(states), "participant_index", counted("speech_run_count"), _mean(length).alias("run_duration_mean_s"), median(length, "run_duration_median_s")),
+        per(turns(states, rules), "participant_index", counted("turn_count"), _mean(length).alias("turn_duration_mean_s"), median(length, "turn_duration_median_s"), F.stddev_pop(length).alias("turn_duration_std_s")),
+        per(silences(states).filter("silence_type = 'pause'"), "previous_speaker", counted("pause_count"), _mean(length).alias("pause_duration_mean_s"), median(length, "pause_duration_median_s")),
+        per(speaker_events(states), "participant_index", counted("onset_count", F.col("kind") == "onset"), counted("offset_count", F.col("kind") == "offset")),
+        per(onset_contexts(states, rules), "participant_index", *(counted(f"onset_{n}_count", onset == t) for n, t in (("after_silence", "after_silence"), ("floor_transfer", "floor_transfer"), ("overlap", "overlap")))),
+        per(over, "entering", counted("overlaps_entered"), counted("within_overlaps_entered", kind == "within"), counted("between_overlaps_entered", kind == "between"), counted("interruption_like_count", kind == "between")),
+        per(over, "initial", counted("overlaps_received")),
+        per(
+            changes,
+            "next_holder",
+            counted("floor_takes"),
+            _mean(fto).alias("fto_take_mean_s"),
+            *(_quantile(fto, q).alias(f"fto_take_{n}_s") for n, q in (("median", 0.5), ("q10", 0.1), ("q90", 0.9))),
+            _mean(late).alias("response_latency_mean_s"),
+            median(late, "response_latency_median_s"),
+        ),
+        per(changes, "previous_holder", counted("floor_yields")),
+    ]
     out = base
-    for more in (turn, event, over, taken):
+    for more in parts:
         out = out.join(more, key, "left")
-    counts = ["turns", "onsets", "offsets", "overlaps_entered", "floors_taken"]
-    return out.fillna(0, counts).withColumn("speaking_share", F.when(F.col("known_s") > 0, F.col("speaking_s") / F.col("known_s")))
+    counts = [f for f in PROFILE_FEATURES if f.endswith("_count") or "overlaps_" in f or f in ("floor_takes", "floor_yields")]
+    observed = F.col("observed_duration_s")
+    out = out.fillna(0.0, counts).withColumn("speaking_ratio", F.when(observed > 0, F.col("speaking_time_s") / observed))
+    return out.withColumn("turns_per_minute", F.when(observed > 0, F.col("turn_count") * 60 / observed)).select(*key, *PROFILE_FEATURES)
+
+
+def recordings_table(recordings: DataFrame, participants: DataFrame) -> DataFrame:
+    """Each recording with its participants in their order, the wearer first, and its length; other columns stay."""
+    who = order_participants(participants).groupBy("recording_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("participant_index", "participant_id"))), lambda p: p["participant_id"]).alias("participant_ids"))
+    out = recordings.join(who, "recording_id", "left").withColumn("participant_ids", F.coalesce("participant_ids", F.array().cast("array<string>")))
+    return out.withColumn("participant_count", F.size("participant_ids")).withColumn("wearer_index", F.lit(0)).withColumn("duration_s", F.col("end_s") - F.col("start_s"))
+
+
+def participants_table(participants: DataFrame, profile: DataFrame) -> DataFrame:
+    """Each participant with its identity, its profile, and the profile as a vector with the names of its places."""
+    who = order_participants(participants).withColumn("is_ego", F.col("participant_index") == 0).withColumnRenamed("resolved", "is_resolved")
+    out = who.join(profile, ["recording_id", "participant_index"], "left")
+    return out.withColumn("interaction_profile_features", F.array(*PROFILE_FEATURES)).withColumn("interaction_profile_feature_names", F.array(*(F.lit(f) for f in PROFILE_FEATURES)))

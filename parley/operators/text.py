@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.intervals import asof
+from parley.operators.intervals import asof, normalize, on_pieces, pieces
 from parley.operators.state import EPS
 
 #: Discourse markers that open a unit and those that close one; of several that fit, the longer goes first.
@@ -116,3 +116,20 @@ def turn_units(tokens: DataFrame) -> DataFrame:
         "recording_id", "participant_id", "turn", n.alias("words"), F.when(span > 0, n / span).alias("words_per_s"), F.when(n > 0, F.element_at("_words", -1)).alias("final_word"),
         marker(F.col("_words"), False).alias("first_marker"), marker(F.col("_words"), True).alias("last_marker"),
     )
+
+
+def utterances_to_turns(utterances: DataFrame, turns: DataFrame) -> DataFrame:
+    """Each timed utterance with the turn of its own speaker that it shares most time with, the earliest on ties (within EPS); null if it shares none.
+
+    Turns and utterances are cut at each other's ends, so an utterance meets only turns that it overlaps.
+    """
+    key = ["recording_id", "participant_id"]
+    numbered = turns.withColumn("turn", F.row_number().over(Window.partitionBy(*key).orderBy("start_s"))).select(*key, "turn", "start_s", "end_s")
+    timed = utterances.filter("timing_valid")
+    spans = timed.select(*key, "source_row", "start_s", "end_s")
+    cut = pieces(spans.select(*key, "start_s", "end_s").unionByName(numbered.select(*key, "start_s", "end_s")), key)
+    length = cut.select(*key, "ordinal", (F.col("end_s") - F.col("start_s")).alias("_s"))
+    met = on_pieces(normalize(spans), cut, key).select(*key, "source_row", "ordinal").join(on_pieces(normalize(numbered), cut, key).select(*key, "turn", "ordinal"), [*key, "ordinal"]).join(length, [*key, "ordinal"])
+    shared = met.groupBy(*key, "source_row", "turn").agg(F.sum("_s").alias("shared_s")).filter(F.col("shared_s") > EPS)
+    best = shared.groupBy(*key, "source_row").agg(F.min_by(F.struct("turn", "shared_s"), F.struct(-F.round("shared_s", 9), "turn")).alias("_b"))
+    return timed.join(best, [*key, "source_row"], "left").select(*timed.columns, "_b.turn", F.coalesce("_b.shared_s", F.lit(0.0)).alias("shared_s"))

@@ -128,6 +128,14 @@ def x5_words_to_turns(spark, sf_dir):
     return rounded(placed.groupBy("recording_id", "participant_id", "turn").agg(F.count("*").alias("n")))
 
 
+def x6_utterances_to_turns(spark, sf_dir):
+    """Utterances come twenty seconds late, so that they lie in several turns of their speaker or in none."""
+    u = utterances(spark, sf_dir)
+    turns = u.select("recording_id", "participant_id", "start_s", "end_s")
+    late = u.withColumn("start_s", F.col("start_s") + 20.0).withColumn("end_s", F.col("end_s") + 20.0)
+    return rounded(tx.utterances_to_turns(late, turns).select("recording_id", "participant_id", "source_row", "turn", "shared_s"))
+
+
 def x8_utterance_units(spark, sf_dir):
     return rounded(tx.utterance_units(utterances(spark, sf_dir)))
 
@@ -226,3 +234,7 @@ ORACLE_SQL["x8_turn_units"] = sql("wrd utt", f""", t AS (SELECT recording_id, pa
     JOIN t ON t.recording_id = w.recording_id AND t.participant_id = w.participant_id AND w.m >= t.a - 1e-9 AND w.m <= t.b + 1e-9 GROUP BY w.source_row, w.recording_id, w.participant_id)
   SELECT recording_id, participant_id, turn, len(ws) AS words, round(CASE WHEN hi > lo THEN len(ws) / (hi - lo) END, 6) AS words_per_s, ws[-1] AS final_word, {_marker(False)} AS first_marker, {_marker(True)} AS last_marker FROM (
     SELECT recording_id, participant_id, turn, list_filter(list({_TRIM.format(x='text')} ORDER BY start_s, source_row), lambda v: v <> '') AS ws, min(start_s) AS lo, max(start_s + CAST(0.25 AS DOUBLE)) AS hi FROM p GROUP BY 1, 2, 3)""")
+ORACLE_SQL["x6_utterances_to_turns"] = sql("utt", """, t AS (SELECT recording_id, participant_id, start_s AS a, start_s + n * CAST(0.06 AS DOUBLE) AS b, row_number() OVER (PARTITION BY recording_id, participant_id ORDER BY start_s) AS turn FROM utt WHERE n > 0),
+  u AS (SELECT recording_id, participant_id, source_row, start_s + 20 AS a, start_s + n * CAST(0.06 AS DOUBLE) + 20 AS b FROM utt WHERE timing_valid)
+  SELECT u.recording_id, u.participant_id, u.source_row, arg_min(t.turn, (-round(least(u.b, t.b) - greatest(u.a, t.a), 9), t.turn)) AS turn, round(coalesce(max(least(u.b, t.b) - greatest(u.a, t.a)) FILTER (WHERE t.turn IS NOT NULL), 0), 6) AS shared_s
+  FROM u LEFT JOIN t ON t.recording_id = u.recording_id AND t.participant_id = u.participant_id AND least(u.b, t.b) - greatest(u.a, t.a) > 1e-9 GROUP BY 1, 2, 3""")

@@ -9,6 +9,8 @@ from parley.plans.oracle import EPS, sql
 from parley.plans.q_state import events, rounded
 from parley.sources import canonical as c
 
+#: Statistics that both engines give to the last bit.
+EXACT = tuple(f for f in s.PROFILE_FEATURES if f.endswith(("_mean_s", "_median_s", "_q10_s", "_q90_s")))
 RULES = s.Rules(turn_pause_s=30.0, simultaneous_s=5.0, local_gap_s=60.0, local_overlap_s=60.0)
 
 
@@ -85,7 +87,20 @@ def t16_segments_table(spark, sf_dir):
 
 
 def t18_participant_profiles(spark, sf_dir):
-    return rounded(s.profiles(states(spark, sf_dir), RULES), exact=("turn_mean_s", "fto_mean_s"))
+    return rounded(s.profiles(states(spark, sf_dir).persist(), RULES), exact=EXACT)
+
+
+def t17_recordings(spark, sf_dir):
+    e = events(spark, sf_dir)
+    out = s.recordings_table(c.recordings(e), c.participants(e))
+    return rounded(out.withColumn("participant_ids", F.array_join("participant_ids", ",")).drop("week"))
+
+
+def t17_participants(spark, sf_dir):
+    out = s.participants_table(c.participants(events(spark, sf_dir)), s.profiles(states(spark, sf_dir).persist(), RULES))
+    vector, names = F.col("interaction_profile_features"), F.col("interaction_profile_feature_names")
+    at = {n: F.element_at(vector, F.array_position(names, F.lit(n)).cast("int")) for n in ("turn_count", "onset_count", "floor_yields", "speaking_time_s")}
+    return rounded(out.select("recording_id", "participant_id", "participant_index", "is_ego", "is_resolved", F.size(vector).alias("features"), *(v.alias(n) for n, v in at.items())))
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] == "t" and k.split("_")[0][1:].isdigit()}
@@ -93,6 +108,20 @@ QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] == "t
 _KIND = f"CASE WHEN abs(fto_s) <= {EPS} THEN 'no_gap_no_overlap' WHEN fto_s > 0 THEN 'gap' ELSE 'overlap' END"
 _LOCAL = "CASE WHEN fto_s > 60 THEN 'long_gap' WHEN fto_s < -60 THEN 'long_overlap' ELSE 'local' END"
 _SIL = "CASE WHEN previous_speaker = next_speaker THEN 'pause' WHEN previous_speaker <> next_speaker THEN 'gap' ELSE 'undetermined' END"
+
+
+def _N(column: str) -> str:
+    return f"CAST(coalesce({column}, 0) AS DOUBLE)"
+
+
+def _M(seconds: str) -> str:
+    return f"sum(round(({seconds}) * 1e6)) / count({seconds}) / CAST(1e6 AS DOUBLE)"
+
+
+def _Q(seconds: str, q: float = 0.5) -> str:
+    return f"round(quantile_cont(round(({seconds}) * 1e6), {q}), 1) / CAST(1e6 AS DOUBLE)"
+
+
 ORACLE_SQL = {
     "t1_participant_order": sql("who", "SELECT recording_id, participant_id, CAST(participant_index AS BIGINT) AS participant_index FROM who"),
     "t2_participant_states": sql("pstates", "SELECT recording_id, ordinal, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, CAST(participant_index AS BIGINT) AS participant_index, state FROM pstates"),
@@ -117,13 +146,29 @@ ORACLE_SQL = {
       UNION ALL SELECT 'turn', NULL, NULL, start_s, end_s, start_censored, end_censored FROM trn
       UNION ALL SELECT 'overlap', overlap_type, NULL, start_s, end_s, NULL, NULL FROM ovl
       UNION ALL SELECT 'silence', NULL, {_SIL}, start_s, end_s, NULL, NULL FROM sil) GROUP BY 1, 2, 3"""),
-    "t18_participant_profiles": sql("pstates trn pevents ovl fchanges", """SELECT b.recording_id, CAST(b.participant_index AS BIGINT) AS participant_index, round(speaking_s, 6) AS speaking_s, round(known_s, 6) AS known_s,
-      coalesce(turns, 0) AS turns, turn_mean_s, round(turn_std_s, 6) AS turn_std_s, round(q[1], 6) AS turn_q10_s, round(q[2], 6) AS turn_median_s, round(q[3], 6) AS turn_q90_s, round(pauses_s, 6) AS pauses_s,
-      coalesce(onsets, 0) AS onsets, coalesce(offsets, 0) AS offsets, coalesce(overlaps_entered, 0) AS overlaps_entered, round(overlap_entered_s, 6) AS overlap_entered_s, coalesce(floors_taken, 0) AS floors_taken, fto_mean_s,
-      round(CASE WHEN known_s > 0 THEN speaking_s / known_s END, 6) AS speaking_share
-      FROM (SELECT recording_id, participant_index, coalesce(sum(end_s - start_s) FILTER (WHERE state = 'SPEAKING'), 0) AS speaking_s, coalesce(sum(end_s - start_s) FILTER (WHERE state <> 'UNKNOWN'), 0) AS known_s FROM pstates GROUP BY 1, 2) b
-      LEFT JOIN (SELECT recording_id, participant_index, count(*) AS turns, sum(round((end_s - start_s) * 1e6)) / count(*) / CAST(1e6 AS DOUBLE) AS turn_mean_s, stddev_pop(end_s - start_s) AS turn_std_s, quantile_cont(end_s - start_s, [0.1, 0.5, 0.9]) AS q, sum(pauses_s) AS pauses_s FROM trn GROUP BY 1, 2) t USING (recording_id, participant_index)
-      LEFT JOIN (SELECT recording_id, participant_index, count(*) FILTER (WHERE kind = 'onset') AS onsets, count(*) FILTER (WHERE kind = 'offset') AS offsets FROM pevents GROUP BY 1, 2) e USING (recording_id, participant_index)
-      LEFT JOIN (SELECT recording_id, entering AS participant_index, count(*) AS overlaps_entered, sum(end_s - start_s) AS overlap_entered_s FROM ovl WHERE valid GROUP BY 1, 2) o USING (recording_id, participant_index)
-      LEFT JOIN (SELECT recording_id, next_holder AS participant_index, count(*) AS floors_taken, sum(round(fto_s * 1e6)) / count(*) / CAST(1e6 AS DOUBLE) AS fto_mean_s FROM fchanges GROUP BY 1, 2) f USING (recording_id, participant_index)"""),
+    "t17_recordings": sql("recs", """SELECT 'events' AS dataset, recording_id, 'week-' || week(CAST(substr(recording_id, 1, 10) AS DATE)) || substr(recording_id, 14) AS conversation_id, recording_id AS view_id, 'click' AS wearer_id, lo AS start_s, hi AS end_s,
+      'click,purchase,signup,view' AS participant_ids, 4 AS participant_count, 0 AS wearer_index, hi - lo AS duration_s FROM recs"""),
+    "t17_participants": sql("who pstates trn pevents fchanges floor0", """SELECT recording_id, participant_id, CAST(w.participant_index AS BIGINT) AS participant_index, w.participant_index = 0 AS is_ego, true AS is_resolved, 33 AS features,
+      CAST(coalesce(turn_count, 0) AS DOUBLE) AS turn_count, CAST(coalesce(onset_count, 0) AS DOUBLE) AS onset_count, CAST(coalesce(floor_yields, 0) AS DOUBLE) AS floor_yields, round(coalesce(speaking_time_s, 0), 6) AS speaking_time_s
+      FROM who w LEFT JOIN (SELECT recording_id, participant_index, count(*) AS turn_count FROM trn GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, participant_index, count(*) FILTER (WHERE kind = 'onset') AS onset_count FROM pevents GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, previous_holder AS participant_index, count(*) AS floor_yields FROM fchanges GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT p.recording_id, participant_index, sum(p.end_s - p.start_s) AS speaking_time_s FROM pstates p JOIN floor0 f USING (recording_id, ordinal) WHERE all_known AND state = 'SPEAKING' GROUP BY 1, 2) USING (recording_id, participant_index)"""),
+    "t18_participant_profiles": sql("pstates floor0 pruns trn sil pevents ctx ovl fchanges", f"""SELECT recording_id, CAST(participant_index AS BIGINT) AS participant_index, round(sp, 6) AS speaking_time_s, round(ob, 6) AS observed_duration_s, round(CASE WHEN ob > 0 THEN sp / ob END, 6) AS speaking_ratio,
+      {_N("rn")} AS speech_run_count, rm AS run_duration_mean_s, rq AS run_duration_median_s, {_N("tn")} AS turn_count, round(CASE WHEN ob > 0 THEN coalesce(tn, 0) * 60 / ob END, 6) AS turns_per_minute,
+      tm AS turn_duration_mean_s, tq AS turn_duration_median_s, round(ts, 6) AS turn_duration_std_s, {_N("sn")} AS pause_count, sm AS pause_duration_mean_s, sq AS pause_duration_median_s,
+      {_N("eo")} AS onset_count, {_N("ef")} AS offset_count, {_N("ca")} AS onset_after_silence_count, {_N("cf")} AS onset_floor_transfer_count, {_N("co")} AS onset_overlap_count, {_N("oe")} AS overlaps_entered, {_N("orr")} AS overlaps_received,
+      {_N("ow")} AS within_overlaps_entered, {_N("ob2")} AS between_overlaps_entered, {_N("ob2")} AS interruption_like_count, round(ot, 6) AS overlap_time_s, {_N("fn")} AS floor_takes, {_N("yn")} AS floor_yields,
+      fm AS fto_take_mean_s, fq[2] AS fto_take_median_s, fq[1] AS fto_take_q10_s, fq[3] AS fto_take_q90_s, lm AS response_latency_mean_s, lq AS response_latency_median_s
+      FROM (SELECT p.recording_id, participant_index, coalesce(sum(p.end_s - p.start_s) FILTER (WHERE all_known AND state = 'SPEAKING'), 0) AS sp, coalesce(sum(p.end_s - p.start_s) FILTER (WHERE all_known), 0) AS ob,
+          coalesce(sum(p.end_s - p.start_s) FILTER (WHERE all_known AND state = 'SPEAKING' AND speakers > 1), 0) AS ot FROM pstates p JOIN floor0 f USING (recording_id, ordinal) GROUP BY 1, 2)
+      LEFT JOIN (SELECT recording_id, participant_index, count(*) AS rn, {_M("end_s - start_s")} AS rm, {_Q("end_s - start_s")} AS rq FROM pruns GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, participant_index, count(*) AS tn, {_M("end_s - start_s")} AS tm, {_Q("end_s - start_s")} AS tq, stddev_pop(end_s - start_s) AS ts FROM trn GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, previous_speaker AS participant_index, count(*) AS sn, {_M("end_s - start_s")} AS sm, {_Q("end_s - start_s")} AS sq FROM sil WHERE previous_speaker = next_speaker GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, participant_index, count(*) FILTER (WHERE kind = 'onset') AS eo, count(*) FILTER (WHERE kind = 'offset') AS ef FROM pevents GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, participant_index, count(*) FILTER (WHERE onset_type = 'after_silence') AS ca, count(*) FILTER (WHERE onset_type = 'floor_transfer') AS cf, count(*) FILTER (WHERE onset_type = 'overlap') AS co FROM ctx GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, entering AS participant_index, count(*) AS oe, count(*) FILTER (WHERE overlap_type = 'within') AS ow, count(*) FILTER (WHERE overlap_type = 'between') AS ob2 FROM ovl GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, initial AS participant_index, count(*) AS orr FROM ovl GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, next_holder AS participant_index, count(*) AS fn, {_M("fto_s")} AS fm, [{_Q("fto_s", 0.1)}, {_Q("fto_s")}, {_Q("fto_s", 0.9)}] AS fq, {_M("CASE WHEN fto_s > 0 THEN fto_s END")} AS lm, {_Q("CASE WHEN fto_s > 0 THEN fto_s END")} AS lq FROM fchanges GROUP BY 1, 2) USING (recording_id, participant_index)
+      LEFT JOIN (SELECT recording_id, previous_holder AS participant_index, count(*) AS yn FROM fchanges GROUP BY 1, 2) USING (recording_id, participant_index)"""),
 }
