@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from parley.operators.intervals import asof, normalize
 
@@ -160,3 +163,52 @@ def staleness(recorded: DataFrame, current: DataFrame, key: str, fields: Sequenc
     met = recorded.join(now, key, "left")
     reasons = [F.when(F.col("_there").isNull(), "missing")] + [F.when(F.col("_there") & ~F.col(f).eqNullSafe(F.col(f"_{f}")), F.lit(f)) for f in fields]
     return met.select(key, F.array_join(F.array_compact(F.array(*reasons)), ",").alias("reasons")).filter("reasons <> ''")
+
+
+def cross_source(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], tolerance_s: float, required: Sequence[str] = (), sentinels: Sequence = ()) -> DataFrame:
+    """One row on two sources: rows that count, keys shared and on one side only, identical rows, and both directions of interval coverage.
+
+    Rows with a null or sentinel key or a null in a required column don't count. Durations of intervals that the other
+    side leaves uncovered are given as five quantiles, null if there are none.
+    """
+    def counted(rows: DataFrame) -> DataFrame:
+        kept = rows.filter(F.col(key).isNotNull())
+        if sentinels:
+            kept = kept.filter(~F.col(key).isin(*sentinels))
+        return kept.dropna(subset=list(required)) if required else kept
+
+    left, right = counted(left), counted(right)
+    keys = left.select(key).distinct().withColumn("_l", F.lit(True)).join(right.select(key).distinct().withColumn("_r", F.lit(True)), key, "full_outer")
+    out = keys.agg(F.count_if(F.col("_l") & F.col("_r")).alias("shared_keys"), F.count_if(F.col("_r").isNull()).alias("left_only_keys"), F.count_if(F.col("_l").isNull()).alias("right_only_keys"))
+    out = out.crossJoin(exact_identity(left, right, columns))  # one row each
+    q = F.array(*(F.lit(x) for x in (0.0, 0.05, 0.5, 0.95, 1.0)))
+    for a, b, name in ((left, right, "left"), (right, left, "right")):
+        met = coverage(a.select(key, "start_s", "end_s"), b, key, tolerance_s)
+        bare = F.when(~F.col("covered"), F.col("end_s") - F.col("start_s"))
+        side = met.agg(F.count_if("covered").alias(f"{name}_covered"), F.count(bare).alias(f"{name}_uncovered"), F.percentile(bare, q).alias("_q"))
+        out = out.crossJoin(side.select(f"{name}_covered", f"{name}_uncovered", *(F.col("_q")[k].alias(f"{name}_uncovered_{n}_s") for k, n in enumerate(("min", "q05", "median", "q95", "max")))))  # one row
+    return out
+
+
+def population_scan(items: DataFrame, work: Callable[..., Mapping], schema: str) -> DataFrame:
+    """`work(**item)` for each row of items, whose columns stay; `schema` types what it gives.
+
+    An exception makes a failed row: probe_ok is false, probe_error names its type and message, the rest is null. So one bad
+    item never ends a scan, and the number of rows stays.
+    """
+    given, made = items.schema, T.StructType.fromDDL(schema)
+    out = T.StructType([*given.fields, *made.fields, T.StructField("probe_ok", T.BooleanType()), T.StructField("probe_error", T.StringType())])
+    names, target = given.names, to_arrow_schema(out)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for item in batch.to_pylist():
+                try:
+                    found, error = work(**item), None
+                except Exception as failed:  # the point of the operator: any failure is a row
+                    found, error = {}, f"{type(failed).__name__}: {failed}"
+                rows.append({**{n: item[n] for n in names}, **{f.name: found.get(f.name) for f in made}, "probe_ok": error is None, "probe_error": error})
+            yield pa.RecordBatch.from_pylist(rows, schema=target)
+
+    return items.mapInArrow(scan, out)

@@ -187,3 +187,9 @@ def grid_violations(grid: DataFrame, step_s: float) -> DataFrame:
     }
     counts = rows.agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()))
     return counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).alias("n")) for n in rules))).alias("r")).select("r.*")
+
+
+def by_recording(grid: DataFrame) -> DataFrame:
+    """The grid dealt by recording, each in the order of its slots, with the slot's zero-based place in it."""
+    order = Window.partitionBy("recording_id").orderBy("decision_index")
+    return grid.withColumn("place", F.row_number().over(order) - 1)

@@ -129,3 +129,65 @@ def population(metrics: DataFrame, by: list[str], value: str, limits: tuple[floa
     q = F.percentile(value, F.array(*(F.lit(x) for x in (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0))))
     out = metrics.groupBy(*by).agg(F.count("*").alias("streams"), q.alias("_q"), *(F.count_if(F.col(value) > x).alias(f"over_{x:g}".replace(".", "_")) for x in limits))
     return out.select("*", *(F.col("_q")[k].alias(f"q{p}") for k, p in enumerate((0, 5, 25, 50, 75, 95, 100)))).drop("_q")
+
+
+def codec_boundary(packets: DataFrame) -> DataFrame:
+    """Per stream the samples that side data (an array of side_data_type, skip_samples, discard_padding) skips and discards; 0 where there are none."""
+    entries = F.filter("side_data_list", lambda s: s["side_data_type"] == "Skip Samples")
+
+    def total(name: str) -> Column:
+        values = F.transform(entries, lambda s: F.coalesce(s[name].cast("long"), F.lit(0)))
+        return F.coalesce(F.sum(F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))
+
+    return packets.groupBy("stream").agg(total("skip_samples").alias("skip_samples"), total("discard_padding").alias("discard_padding_samples"))
+
+
+def decode_cases(files: DataFrame, events: DataFrame) -> DataFrame:
+    """(reason, regime, stream, time_s): the few windows whose decoding checks the reading of the packets.
+
+    Files (stream, regime, probe_ok, duration_s and drift metrics): start and end of the quietest of each regime, the
+    bounded jitter with most variations, the two greatest drifts. Events (stream, regime, category, max_step, length_s,
+    time_s): the greatest of each of stitch and codec_boundary, and per regime the compensated one with the greatest step
+    and the longest dropout. Ties go to the smaller stream, then to the earlier event.
+    """
+    good = files.filter("probe_ok")
+
+    def best(rows: DataFrame, keys: list[str], reason: Column, time: Column, n: int, *order: Column) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order, "stream", "_time")
+        return rows.withColumn("_time", time).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).select(reason.alias("reason"), "regime", "stream", F.col("_time").alias("time_s"))
+
+    def top(rows: DataFrame, reason: str, n: int, *order: Column) -> DataFrame:
+        return rows.orderBy(*order, "stream").limit(n).select(F.lit(reason).alias("reason"), "regime", "stream", F.col("peak_time_s").alias("time_s"))
+
+    quiet = (F.col("max_abs_drift").asc(), F.col("max_abs_step").asc())
+    kind = F.col("category")
+    out = best(good, ["regime"], F.lit("regime_start"), F.lit(0.0), 1, *quiet)
+    for more in (
+        best(good, ["regime"], F.lit("regime_end"), F.col("duration_s"), 1, *quiet),
+        top(good.filter("bounded_jitter"), "bounded_jitter", 1, F.col("variations").desc()),
+        best(events.filter(kind.isin("stitch", "codec_boundary")), ["category"], kind, F.col("time_s"), 1, F.col("max_step").desc()),
+        best(events.filter(kind == "compensated"), ["regime"], kind, F.col("time_s"), 1, F.col("max_step").desc()),
+        best(events.filter(kind == "dropout"), ["regime"], kind, F.col("time_s"), 1, F.col("length_s").desc()),
+        top(good, "largest_drift", 2, F.col("max_abs_drift").desc()),
+    ):
+        out = out.unionByName(more)
+    return out
+
+
+def cadence(reference: float) -> Column:
+    """dense where the usual packet is shorter than 95 % of the reference, else sparse."""
+    return F.when(F.col("nominal") < 0.95 * reference, "dense").otherwise("sparse")
+
+
+def regime_profile(files: DataFrame, reference: float) -> DataFrame:
+    """Per cadence of a regime's files: how many, and quartiles of the usual packet, of the final drift and of the greatest one."""
+    q = F.array(*(F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)))
+    stats = {"nominal": "nominal", "final_drift_ms": "final_drift_ms", "max_drift": "max_abs_drift"}
+    out = files.groupBy(cadence(reference).alias("cadence")).agg(F.count("*").alias("files"), *(F.percentile(c, q).alias(f"_{n}") for n, c in stats.items()))
+    return out.select("cadence", "files", *(F.col(f"_{n}")[k].alias(f"{n}_q{p}") for n in stats for k, p in enumerate((0, 25, 50, 75, 100))))
+
+
+def profile_windows(files: DataFrame) -> DataFrame:
+    """(stream, place, time_s): start, middle, peak of the drift, and end of each file."""
+    times = {"start": F.lit(0.0), "middle": F.col("duration_s") / 2, "max_offset": F.col("peak_time_s"), "end": F.col("duration_s")}
+    return files.select("stream", F.explode(F.array(*(F.struct(F.lit(n).alias("place"), t.alias("time_s")) for n, t in times.items()))).alias("w")).select("stream", "w.*")

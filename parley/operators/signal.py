@@ -63,3 +63,76 @@ def masked_level(cells: DataFrame, least_share: float, floor_db: float = -120.0)
     rows = cells.withColumn("_kept", kept).withColumn("_share", F.size("_kept") / F.size("samples"))
     level = F.when(rms(F.col("_kept")) > 0, 20 * F.log10(rms(F.col("_kept")))).otherwise(floor_db)
     return rows.withColumn("level_db", F.when((F.size("_kept") > 0) & (F.col("_share") >= least_share - 1e-9), level)).drop("_kept", "_share")
+
+
+def pitch_cells(frames: DataFrame, cells: DataFrame, step_s: float, least_share: float) -> DataFrame:
+    """(recording_id, decision_index, f0_median, voiced_share) for every cell, from the pitch frames (time_s, f0, mask) under the mask.
+
+    Cells (recording_id, decision_index, fraction) whose masked fraction is below `least_share`, or that have no masked
+    frame, are null. A frame is voiced if its f0 is finite and positive.
+    """
+    cell = F.floor(F.col("time_s") / F.lit(step_s) + F.lit(1e-9)).cast("long")
+    voiced = F.when((F.col("f0") > 0) & (F.col("f0") < float("inf")) & ~F.isnan("f0"), F.col("f0"))
+    found = frames.filter("mask").groupBy("recording_id", cell.alias("decision_index")).agg(F.percentile(voiced, F.lit(0.5)).alias("_median"), (F.count(voiced) / F.count("*")).alias("_share"))
+    enough = F.col("fraction") >= least_share - 1e-9
+    met = cells.join(found, ["recording_id", "decision_index"], "left")
+    return met.select("recording_id", "decision_index", F.when(enough, F.col("_median")).alias("f0_median"), F.when(enough, F.col("_share")).alias("voiced_share"))
+
+
+#: The measures of a video frame, in order.
+FRAME_FEATURES = ("red", "green", "blue", "brightness", "contrast", "saturation", "blur", "dominant_red", "dominant_green", "dominant_blue", "difference")
+#: Levels of each channel that dominant colours are counted in, and the weights of luma.
+LEVELS, LUMA = 4, (0.2126, 0.7152, 0.0722)
+
+
+def _of_frame(frame: np.ndarray, previous: np.ndarray | None) -> list[float | None]:
+    """FRAME_FEATURES of a height x width x 3 array of bytes; frames under three pixels high or wide have no blur."""
+    rgb = frame.astype(np.float64)
+    luma = rgb @ np.asarray(LUMA)
+    high = rgb.max(axis=2)
+    saturation = np.where(high > 0, (high - rgb.min(axis=2)) / np.where(high > 0, high, 1), 0).mean()
+    edges = luma[:-2, 1:-1] + luma[2:, 1:-1] + luma[1:-1, :-2] + luma[1:-1, 2:] - 4 * luma[1:-1, 1:-1]
+    bins = frame.astype(np.int64) * LEVELS // 256
+    usual = int(np.bincount(((bins[..., 0] * LEVELS + bins[..., 1]) * LEVELS + bins[..., 2]).ravel(), minlength=LEVELS**3).argmax())
+    colour = [((usual // LEVELS**k) % LEVELS + 0.5) * 256 / LEVELS for k in (2, 1, 0)]
+    blur = float(edges.var()) if edges.size else None
+    return [*map(float, rgb.mean(axis=(0, 1))), float(luma.mean()), float(rgb.std()), float(saturation), blur, *colour, None if previous is None else float(np.abs(rgb - previous).mean())]
+
+
+def frame_features(frames: DataFrame, chunk: int = 256) -> DataFrame:
+    """(recording_id, frame, FRAME_FEATURES) of video frames (recording_id, frame, height, width, rgb: bytes by row).
+
+    Chunks of neighbouring frames go to one task each, with the frame before the chunk as well, so that a long recording
+    is spread; the difference is null for a frame whose predecessor is missing or of another size. Frames whose bytes
+    don't fit their size have null features.
+    """
+    part = F.floor(F.col("frame") / chunk)
+    last = F.col("frame") % chunk == chunk - 1
+    dealt = frames.select("recording_id", "frame", "height", "width", "rgb", F.explode(F.when(last, F.array(part, part + 1)).otherwise(F.array(part))).alias("_chunk"))
+
+    def work(table: pa.Table) -> pa.Table:
+        rows, before, owner = [], None, table.column("_chunk")[0].as_py()
+        for at in np.argsort(table.column("frame").to_numpy(), kind="stable"):
+            row = {c: table.column(c)[int(at)].as_py() for c in ("recording_id", "frame", "height", "width", "rgb")}
+            fits = row["rgb"] is not None and row["height"] and row["width"] and len(row["rgb"]) == 3 * row["height"] * row["width"]
+            pixels = np.frombuffer(row["rgb"], np.uint8).reshape(row["height"], row["width"], 3) if fits else None
+            follows = before is not None and pixels is not None and before[1] is not None and before[0] == row["frame"] - 1 and before[1].shape == pixels.shape
+            if row["frame"] // chunk == owner:
+                found = _of_frame(pixels, before[1] if follows else None) if fits else [None] * len(FRAME_FEATURES)
+                rows.append({"recording_id": row["recording_id"], "frame": row["frame"], **dict(zip(FRAME_FEATURES, found, strict=True))})
+            before = row["frame"], pixels
+        kinds = [("recording_id", table.schema.field("recording_id").type), ("frame", pa.int64()), *((f, pa.float64()) for f in FRAME_FEATURES)]
+        return pa.Table.from_pylist(rows, schema=pa.schema(kinds))
+
+    kind = frames.schema["recording_id"].dataType.simpleString()
+    schema = f"recording_id {kind}, frame long, " + ", ".join(f"{f} double" for f in FRAME_FEATURES)
+    return dealt.withColumn("frame", F.col("frame").cast("long")).groupBy("recording_id", "_chunk").applyInArrow(work, schema)
+
+
+def video_cells(features: DataFrame, cells: DataFrame, per_cell: int) -> DataFrame:
+    """Means of the features over the frames of each cell; null and `frame_valid` false unless all `per_cell` frames are there."""
+    cell = F.floor(F.col("frame") / per_cell).cast("long")
+    found = features.groupBy("recording_id", cell.alias("decision_index")).agg(F.count("*").alias("_n"), *(F.avg(f).alias(f) for f in FRAME_FEATURES))
+    whole = F.coalesce(F.col("_n") == per_cell, F.lit(False))
+    met = cells.join(found, ["recording_id", "decision_index"], "left")
+    return met.select("recording_id", "decision_index", *(F.when(whole, F.col(f)).alias(f) for f in FRAME_FEATURES), whole.alias("frame_valid"))

@@ -163,6 +163,33 @@ def f3_masked_level(spark, sf_dir):
     return rounded(sg.masked_level(cells, 0.4).select("recording_id", "decision_index", "level_db"))
 
 
+def f4_pitch_cells(spark, sf_dir):
+    """Events as pitch frames: their value is the pitch, unvoiced if small; purchases lie outside the mask."""
+    rows = c.annotations(c.table(spark, sf_dir, "events")).select("recording_id", F.col("start_s").alias("time_s"), F.when(F.col("value") > 10, F.col("value")).otherwise(0.0).alias("f0"), (F.col("kind") != "purchase").alias("mask"))
+    cells = c.recordings(c.table(spark, sf_dir, "events")).select("recording_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(11).cast("long"))).alias("decision_index"))
+    fraction = F.when(F.col("decision_index") % 4 == 3, 0.25).otherwise(0.5)
+    return rounded(sg.pitch_cells(rows, cells.withColumn("fraction", fraction), 300.0, 0.5))
+
+
+def _frames(spark, sf_dir):
+    """Embeddings as small pictures of bytes; those of one label are the frames of a recording."""
+    byte = F.transform(F.slice("embedding", 1, 60), lambda x: F.chr(F.pmod(F.floor(x * 500).cast("int"), F.lit(128))))
+    w = Window.partitionBy("label").orderBy("vec_id")
+    return c.table(spark, sf_dir, "embeddings").select(
+        F.col("label").alias("recording_id"), (F.row_number().over(w) - 1).cast("long").alias("frame"), F.lit(4).alias("height"), F.lit(5).alias("width"), F.encode(F.array_join(byte, ""), "ISO-8859-1").alias("rgb")
+    )
+
+
+def f5_frame_features(spark, sf_dir):
+    return rounded(sg.frame_features(_frames(spark, sf_dir), chunk=16))
+
+
+def f6_video_cells(spark, sf_dir):
+    found = sg.frame_features(_frames(spark, sf_dir), chunk=16)
+    cells = found.select("recording_id", F.floor(F.col("frame") / 5).cast("long").alias("decision_index")).distinct()
+    return rounded(sg.video_cells(found, cells, 5))
+
+
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "pxf" and k.split("_")[0][1:].isdigit()}
 
 part(
@@ -238,3 +265,6 @@ ORACLE_SQL["x6_utterances_to_turns"] = sql("utt", """, t AS (SELECT recording_id
   u AS (SELECT recording_id, participant_id, source_row, start_s + 20 AS a, start_s + n * CAST(0.06 AS DOUBLE) + 20 AS b FROM utt WHERE timing_valid)
   SELECT u.recording_id, u.participant_id, u.source_row, arg_min(t.turn, (-round(least(u.b, t.b) - greatest(u.a, t.a), 9), t.turn)) AS turn, round(coalesce(max(least(u.b, t.b) - greatest(u.a, t.a)) FILTER (WHERE t.turn IS NOT NULL), 0), 6) AS shared_s
   FROM u LEFT JOIN t ON t.recording_id = u.recording_id AND t.participant_id = u.participant_id AND least(u.b, t.b) - greatest(u.a, t.a) > 1e-9 GROUP BY 1, 2, 3""")
+ORACLE_SQL["f4_pitch_cells"] = sql("ann recs", """SELECT c.recording_id, c.decision_index, round(CASE WHEN c.decision_index % 4 <> 3 THEN m END, 6) AS f0_median, round(CASE WHEN c.decision_index % 4 <> 3 THEN s END, 6) AS voiced_share
+  FROM (SELECT recording_id, unnest(range(0, 12)) AS decision_index FROM recs) c LEFT JOIN (
+    SELECT recording_id, CAST(floor(start_s / 300 + CAST(1e-9 AS DOUBLE)) AS BIGINT) AS decision_index, quantile_cont(value, 0.5) FILTER (WHERE value > 10) AS m, count(*) FILTER (WHERE value > 10) / CAST(count(*) AS DOUBLE) AS s FROM ann WHERE kind <> 'purchase' GROUP BY 1, 2) USING (recording_id, decision_index)""")
