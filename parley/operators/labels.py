@@ -367,3 +367,48 @@ def coverage(labels: DataFrame) -> DataFrame:
         parts.append(F.struct(F.lit(c).alias("label"), units.cast("long").alias("units"), known.cast("long").alias("known")))
     out = rows.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
     return out.withColumn("missing", F.col("units") - F.col("known"))
+
+
+#: Quantiles of the sanity statistics.
+SANITY_QUANTILES = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+
+
+def sanity(cells: DataFrame, times: DataFrame, events: DataFrame, segments: DataFrame) -> DataFrame:
+    """(statistic, value) of the speech labels: shares of known cells and subframes, censored shares, counts and kinds of events and segments, quantiles.
+
+    `cells` is of `instantaneous`, `times` of `timing`, the rest are the tables of events and segments. Shares and
+    quantiles of nothing are null; kinds that don't occur have no row.
+    """
+    def long(rows: DataFrame, stats: dict[str, Column]) -> DataFrame:
+        one = rows.agg(*(v.cast("double").alias(n) for n, v in stats.items()))
+        return one.select(F.explode(F.array(*(F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in stats))).alias("r")).select("r.*")
+
+    def share(test: Column) -> Column:
+        return F.avg(test.cast("int"))
+
+    def quantiles(value: Column, name: str) -> dict[str, Column]:
+        return {f"{name}_q{round(q * 100)}": F.percentile(value, F.lit(q)) for q in SANITY_QUANTILES}
+
+    def kinds(rows: DataFrame, column: str, name: str) -> DataFrame:
+        return rows.filter(F.col(column).isNotNull()).groupBy(F.concat(F.lit(f"{name}_"), F.col(column)).alias("statistic")).agg(F.count("*").cast("double").alias("value"))
+
+    frames = cells.select(F.explode("active_speaker_count_subframes").alias("n"))
+    onset, change = F.col("event") == "onset", F.col("event") == "floor_change"
+    fto, length = F.when(change, F.col("fto_s")), F.when(F.col("segment") == "turn", F.col("end_s") - F.col("start_s"))
+    timing_stats = {}
+    for name in ("time_to_next_ego_onset", "time_to_next_other_onset"):
+        timing_stats |= quantiles(F.col(name), name) | {f"{name}_censored": share(F.col(name).isNull())}
+    parts = [
+        long(cells, {"cells": F.count("*"), "ego_speaking_share": share(F.col("ego_speaking")), "others_active_share": share(F.col("others_active"))}),
+        long(frames, {"overlap_share": share(F.col("n") >= 2), "silence_share": share(F.col("n") == 0)}),
+        long(times, timing_stats),
+        long(events, {"onsets": F.count_if(onset), "offsets": F.count_if(F.col("event") == "offset"), "ego_onsets": F.count_if(onset & (F.col("participant_index") == 0)), "floor_changes": F.count_if(change), "overlap_transfer_share": share(fto < 0), **quantiles(fto, "fto")}),
+        kinds(events, "onset_type", "onset"),
+        long(segments, {"turns": F.count(length), **quantiles(length, "turn")}),
+        kinds(segments, "overlap_type", "overlap"),
+        kinds(segments, "silence_type", "silence"),
+    ]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out

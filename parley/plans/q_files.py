@@ -12,6 +12,7 @@ from parley.plans.q_media import RATE, REFERENCE, THRESHOLD, _series, _steps, pa
 from parley.plans.q_release import _interpreted
 from parley.plans.q_state import STEP, control, rounded
 from parley.sources import canonical as c
+from parley.sources import facts
 from parley.sources import files as fl
 
 _CSV = "o_orderkey BIGINT, o_comment STRING, o_totalprice DOUBLE, o_orderdate DATE"
@@ -116,7 +117,26 @@ def p18_profile_windows(spark, sf_dir):
     return rounded(pk.profile_windows(_regime(spark, sf_dir)))
 
 
-QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "scagp" and k.split("_")[0][1:].isdigit()}
+def _clip_facts(spark, sf_dir):
+    """Line items as speech of their suppliers in orders; only odd lines' suppliers are listed, and some speech names nobody."""
+    n, who = F.col("l_linenumber"), F.col("l_suppkey").cast("string")
+    lines = c.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("recording_id"), F.when(n % 5 != 4, who).alias("participant_id"), n.alias("n"), who.alias("who"), "l_quantity", "l_partkey")
+    recs = lines.groupBy("recording_id").agg(F.min("who").alias("wearer_id"))
+    return recs, lines.filter("n % 2 = 1").select("recording_id", F.col("who").alias("participant_id")), lines
+
+
+def x14_fact_participants(spark, sf_dir):
+    return rounded(facts.participants(*_clip_facts(spark, sf_dir)))
+
+
+def x14_fact_tokens(spark, sf_dir):
+    recs, _, lines = _clip_facts(spark, sf_dir)
+    start = F.when(F.col("l_partkey") % 9 != 0, F.col("l_quantity") * 1.0)
+    rows = facts.named(lines).select("recording_id", "participant_id", F.col("l_partkey").cast("string").alias("text"), start.alias("start_s"), (F.col("n") * 5.0).alias("end_s"), F.col("n").alias("source_row"))
+    return rounded(facts.tokens(rows, recs.filter("recording_id % 3 <> 0"), "utterance"))
+
+
+QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "scagpx" and k.split("_")[0][1:].isdigit()}
 
 part("fls", "met ser", "SELECT m.*, duration_s, stream % 3 AS regime, variations > 0 AND max_abs_step <= 480 AND max_abs_drift <= 480 AS jitter FROM met m JOIN (SELECT stream, max(next_pts) / CAST(48000 AS DOUBLE) AS duration_s FROM ser GROUP BY 1) USING (stream)")
 part("evs", "epi ser", """SELECT e.stream, e.stream % 3 AS regime, t, ms, net, CASE WHEN t <= CAST(3072 AS DOUBLE) / 48000 AND te <= CAST(3072 AS DOUBLE) / 48000 THEN 'codec_boundary' WHEN NOT dropout AND abs(t - greatest(1, round_even(t / CAST(0.5 AS DOUBLE), 0)) * 0.5) <= CAST(2048 AS DOUBLE) / 48000 THEN 'stitch'
@@ -143,6 +163,10 @@ ORACLE_SQL = {
       SELECT * FROM (SELECT count(*) FILTER (WHERE x AND y) AS shared_keys, count(*) FILTER (WHERE y IS NULL) AS left_only_keys, count(*) FILTER (WHERE x IS NULL) AS right_only_keys FROM (SELECT DISTINCT k, true AS x FROM l) FULL JOIN (SELECT DISTINCT k, true AS y FROM r) USING (k)),
         (SELECT round(avg(CASE WHEN (k, a) IN (SELECT (k, a) FROM r) THEN CAST(1 AS DOUBLE) ELSE 0 END), 6) AS left_share, count(*) AS left_rows FROM l), (SELECT round(avg(CASE WHEN (k, a) IN (SELECT (k, a) FROM l) THEN CAST(1 AS DOUBLE) ELSE 0 END), 6) AS right_share, count(*) AS right_rows FROM r),
         ({_side("l", "r", "left", "b - a")}), ({_side("r", "l", "right", "b - a")})"""),
+    "x14_fact_participants": """WITH l AS (SELECT l_orderkey AS recording_id, CAST(l_suppkey AS VARCHAR) AS who, l_linenumber AS n FROM lineitem), p AS (SELECT recording_id, who AS participant_id, n % 2 = 1 AS listed, true AS resolved FROM l WHERE n % 2 = 1 OR n % 5 <> 4
+      UNION ALL SELECT recording_id, '<unresolved>', false, false FROM l WHERE n % 5 = 4) SELECT recording_id, participant_id, participant_id = wearer AS is_wearer, bool_and(resolved) AS resolved, bool_or(listed) AS listed FROM p JOIN (SELECT recording_id, min(who) AS wearer FROM l GROUP BY 1) USING (recording_id) GROUP BY 1, 2, 3""",
+    "x14_fact_tokens": """SELECT recording_id, participant_id, 'utterance' AS unit, text, CASE WHEN ok THEN a END AS start_s, CASE WHEN ok THEN b END AS end_s, ok AS timing_valid, source_row FROM (SELECT *, coalesce(b > a, false) AS ok FROM (
+      SELECT l_orderkey AS recording_id, CASE WHEN l_linenumber % 5 <> 4 THEN CAST(l_suppkey AS VARCHAR) ELSE '<unresolved>' END AS participant_id, CAST(l_partkey AS VARCHAR) AS text, CASE WHEN l_partkey % 9 <> 0 THEN CAST(l_quantity AS DOUBLE) END AS a, l_linenumber * CAST(5 AS DOUBLE) AS b, l_linenumber AS source_row FROM lineitem WHERE l_orderkey % 3 <> 0))""",
     "g20_grid_by_recording": sql("control_grid", "SELECT recording_id, decision_index, decision_time_s, row_number() OVER (PARTITION BY recording_id ORDER BY decision_index) - 1 AS place FROM control_grid"),
     "p10_codec_boundary": sql("pkt", "SELECT stream, coalesce(sum(CASE WHEN i = 0 THEN 1024 ELSE 0 END), 0) AS skip_samples, coalesce(sum(CASE WHEN i % 7 = 6 THEN i % 100 ELSE 0 END), 0) AS discard_padding_samples FROM pkt GROUP BY 1"),
     "p16_decode_cases": sql("fls evs", """, f AS (SELECT * FROM fls WHERE stream % 10 <> 0), q AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY regime ORDER BY max_abs_drift, max_abs_step, stream) = 1)

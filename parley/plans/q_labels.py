@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parley.operators import labels as lb
+from parley.operators import structure as st
 from parley.plans.oracle import EPS, PARTS, part, sql
 from parley.plans.q_state import STEP, rounded
 from parley.plans.q_structure import RULES, states
@@ -90,6 +91,13 @@ def l4_label_coverage(spark, sf_dir):
     return rounded(lb.coverage(nested).unionByName(lb.coverage(occupancy)))
 
 
+def l5_sanity_statistics(spark, sf_dir):
+    around = states(spark, sf_dir).persist()
+    grid_ = cells(spark, sf_dir)
+    out = lb.sanity(lb.instantaneous(around, grid_, STEP, SUBFRAMES), lb.timing(lb.references(around, grid_, STEP)), st.events_table(around, RULES), st.segments_table(around, RULES))
+    return rounded(out, 3)
+
+
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "gl" and k.split("_")[0][1:].isdigit()}
 
 part("cel", "recs", "SELECT recording_id, unnest(range(0, 360)) AS decision_index FROM recs")
@@ -261,3 +269,31 @@ ORACLE_SQL["l4_label_coverage"] = sql(
         + [f"SELECT 'joint_speech_state_occupancy', 4 * count(*), 4 * count(*) FILTER (WHERE h <= {EPS}), 4 * count(*) - 4 * count(*) FILTER (WHERE h <= {EPS}) FROM occ"]
     ),
 )
+
+
+def _long(source: str, stats: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS statistic, CAST({v} AS DOUBLE) AS value FROM {source}" for n, v in stats.items())
+
+
+def _seven(value: str, name: str) -> dict[str, str]:
+    return {f"{name}_q{round(q * 100)}": f"quantile_cont({value}, {q})" for q in lb.SANITY_QUANTILES}
+
+
+_NEXT = {}
+for _n in ("time_to_next_ego_onset", "time_to_next_other_onset"):
+    _NEXT |= _seven(_n, _n) | {f"{_n}_censored": f"avg(CAST({_n} IS NULL AS INT))"}
+ORACLE_SQL["l5_sanity_statistics"] = sql(
+    "ucodes ccodes pevents ctx fchanges trn ovl sil refs ref0 flr " + " ".join(f"s_{n}" for n in (*_TIMES, "onset", "speech_end")),
+    f", tm AS ({_TIMING}), uf AS (SELECT len(list_filter(codes, lambda v: v = 1)) AS n FROM ucodes WHERE NOT list_contains(codes, 2)), td AS (SELECT end_s - start_s AS d FROM trn) SELECT statistic, round(value, 3) AS value FROM ("
+    + " UNION ALL ".join([
+        _long("ccodes", {"cells": "count(*)", "ego_speaking_share": f"avg(CAST({_VIEWS['ego_speaking']} AS INT))", "others_active_share": f"avg(CAST({_OTHERS} AS INT))"}),
+        _long("uf", {"overlap_share": "avg(CAST(n >= 2 AS INT))", "silence_share": "avg(CAST(n = 0 AS INT))"}),
+        _long("tm", _NEXT),
+        _long("pevents", {"onsets": "count(*) FILTER (WHERE kind = 'onset')", "offsets": "count(*) FILTER (WHERE kind = 'offset')", "ego_onsets": "count(*) FILTER (WHERE kind = 'onset' AND participant_index = 0)"}),
+        _long("fchanges", {"floor_changes": "count(*)", "overlap_transfer_share": "avg(CAST(fto_s < 0 AS INT))", **_seven("fto_s", "fto")}),
+        "SELECT 'onset_' || onset_type, count(*) FROM ctx GROUP BY 1",
+        _long("td", {"turns": "count(*)", **_seven("d", "turn")}),
+        "SELECT 'overlap_' || overlap_type, count(*) FROM ovl GROUP BY 1",
+        "SELECT 'silence_' || CASE WHEN previous_speaker = next_speaker THEN 'pause' WHEN previous_speaker <> next_speaker THEN 'gap' ELSE 'undetermined' END, count(*) FROM sil GROUP BY 1",
+    ]) + ")",
+)
