@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 #: Quick ones here; the driver compares all of them.
-NAMES = ["i2_merge", "i7_subtract", "v6_native_timeline", "v9_control_timeline", "v24_grid_summary", "t9_overlaps", "t13_onset_contexts", "m14_index_statistics", "a11_interval_coverage", "c2_required_fields", "p7_dropout_persistence", "p9_episodes", "x8_utterance_units"]
+NAMES = ["i2_merge", "i7_subtract", "v6_native_timeline", "v9_control_timeline", "v24_grid_summary", "t9_overlaps", "t13_onset_contexts", "m14_index_statistics", "a11_interval_coverage", "c2_required_fields", "p7_dropout_persistence", "p9_episodes", "x8_utterance_units", "v3_uncovered_media", "m19_manifest_violations", "p10_codec_boundary", "x6_utterances_to_turns", "x14_fact_participants"]
 
 
 def shown(value):
