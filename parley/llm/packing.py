@@ -8,14 +8,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from parley.llm.common import slices
 from parley.llm.tokens import tokenizer_path
 
 #: Token ids in one packed row.
 ROW_TOKENS = 4096
-#: Tokens that are packed against each other: what one task holds at a time.
-WINDOW_TOKENS = 2 << 20
+#: Tokens that are packed against each other, about; a task holds no more than twice as many at a time.
+WINDOW_TOKENS = 1 << 20
+#: Bytes of text that are reckoned to give one token, when documents are dealt to windows.
+TOKEN_BYTES = 4
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_ID = 50256
 PAD_ID = 0
@@ -78,14 +81,21 @@ def pack(docs: DataFrame, capacity: int = ROW_TOKENS, window_tokens: int = WINDO
 
     A document longer than a row is cut into parts, all full but the last, so no token is lost; `parts` numbers
     them. `ids` is the row as little-endian uint16, padded to `capacity`; `cu_seqlens` has the start of each
-    segment and the end of the last; `position_ids` (uint16) starts again at 0 with each segment. Rows are
-    filled best-fit-decreasing within windows of `window_tokens` of one task's input, so memory is bounded, nothing
-    is shuffled and a lost task is simply run again. Null and empty texts become the end id alone; repeated
-    rows are packed as often as they occur; a null doc_id stays null in `doc_ids`.
+    segment and the end of the last; `position_ids` (uint16) starts again at 0 with each segment. Documents are
+    dealt by a hash of id and text to as many windows as the bytes of all texts ask for, and rows are filled
+    best-fit-decreasing within a window, in a defined order: rows don't depend on files or partitions. A window
+    that turns out more than twice as large is packed in several goes, so memory is bounded. Null and empty texts
+    become the end id alone; repeated rows are packed as often as they occur; a null doc_id stays null in `doc_ids`.
     """
-
-    def rows_of(window: list[tuple[int | None, int, np.ndarray]], task: int, number: int) -> pa.RecordBatch:
-        sizes = np.array([len(t) for _, _, t in window])
+    texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text")
+    total = texts.agg(F.sum(F.octet_length("text") + TOKEN_BYTES)).first()[0] or 0
+    windows = max(1, -(-total // (window_tokens * TOKEN_BYTES)))
+    texts = texts.withColumn("place", F.xxhash64("doc_id", "text"))
+    texts = texts.withColumn("window", F.pmod("place", F.lit(windows)))
+    texts = texts.repartition("window").sortWithinPartitions("window", "place", "doc_id")
+
+    def rows_of(pieces: list[tuple[int | None, int, np.ndarray]], window: int, go: int) -> pa.RecordBatch:
+        sizes = np.array([len(t) for _, _, t in pieces])
         packs = best_fit_decreasing(sizes, capacity)
         ids = np.full((len(packs), capacity), PAD_ID, np.uint16)
         positions = np.zeros((len(packs), capacity), np.uint16)
@@ -93,7 +103,7 @@ def pack(docs: DataFrame, capacity: int = ROW_TOKENS, window_tokens: int = WINDO
         for row, members in enumerate(packs):
             at, cu = 0, [0]
             for k in members:
-                tokens = window[k][2]
+                tokens = pieces[k][2]
                 ids[row, at : at + len(tokens)] = tokens
                 positions[row, at : at + len(tokens)] = np.arange(len(tokens))
                 at += len(tokens)
@@ -101,9 +111,9 @@ def pack(docs: DataFrame, capacity: int = ROW_TOKENS, window_tokens: int = WINDO
             ends.append(cu)
         return pa.record_batch(
             [
-                pa.array([f"{task}-{number}-{row}" for row in range(len(packs))]),
-                pa.array([[window[k][0] for k in m] for m in packs], pa.list_(pa.int64())),
-                pa.array([[window[k][1] for k in m] for m in packs], pa.list_(pa.int32())),
+                pa.array([f"{window}-{go}-{row}" for row in range(len(packs))]),
+                pa.array([[pieces[k][0] for k in m] for m in packs], pa.list_(pa.int64())),
+                pa.array([[pieces[k][1] for k in m] for m in packs], pa.list_(pa.int32())),
                 pa.array(ends, pa.list_(pa.int32())),
                 pa.array([cu[-1] for cu in ends], pa.int32()),
                 pa.array([r.tobytes() for r in ids.astype("<u2")], pa.binary()),
@@ -113,25 +123,22 @@ def pack(docs: DataFrame, capacity: int = ROW_TOKENS, window_tokens: int = WINDO
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         encoding = vocabulary(path or tokenizer_path(VOCABULARY))
-        task = TaskContext.get().partitionId()
-        window, held, number = [], 0, 0
+        pieces, held, now, go = [], 0, None, 0
         for whole in batches:
             for batch in slices(whole, "text"):
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                for doc_id, text, window in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "window")), strict=True):
+                    if pieces and (window != now or held >= 2 * window_tokens):
+                        yield rows_of(pieces, now, go)
+                        pieces, held, go = [], 0, go + 1 if window == now else 0
+                    now = window
                     tokens = np.append(encoding.encode_to_numpy(text or "", disallowed_special=()).astype(np.uint16), np.uint16(END_ID))
-                    for part, start in enumerate(range(0, len(tokens), capacity)):
-                        window.append((doc_id, part, tokens[start : start + capacity]))
+                    pieces += [(doc_id, part, tokens[start : start + capacity]) for part, start in enumerate(range(0, len(tokens), capacity))]
                     held += len(tokens)
-                    if held >= window_tokens:
-                        yield rows_of(window, task, number)
-                        window, held, number = [], 0, number + 1
-        if window:
-            yield rows_of(window, task, number)
+        if pieces:
+            yield rows_of(pieces, now, go)
 
-    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(work, SCHEMA)
+    return texts.select("doc_id", "text", "window").mapInArrow(work, SCHEMA)
 
 
 _VOCABULARIES: dict[str, object] = {}
