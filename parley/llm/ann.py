@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import saved
 
-#: Distinct vectors in one shard at most, about; queries in one block.
-SHARD, BLOCK = 8192, 1024
+#: Distinct vectors in one shard at most, about; queries in one block, and those of them that step together.
+SHARD, BLOCK, TOGETHER = 8192, 16384, 1024
 DEGREE, BUILD_BEAM, SEARCH_BEAM = 24, 40, 96
 #: Edges that a vertex may hold while the graph is built, before it is pruned.
 SLACK = 40
@@ -196,13 +196,13 @@ def nearest(embeddings: DataFrame, every: int = 100, k: int = 10, shard: int = S
         points = np.frombuffer(r.points).reshape(-1, r.d)
         edges = np.frombuffer(r.edges, np.int32).reshape(len(points), -1).astype(np.int64)
         queries = np.array([q["vector"] for q in r.queries], float)
-        found, square = beam_search(points, edges, r.start, queries, max(SEARCH_BEAM, k + 1))
-        far = np.sqrt(square)
         out = []
-        for q, ids, own in zip(r.queries, found, far, strict=True):
-            near = (ids >= 0) & (own <= own[k])  # all that are as near as the (k + 1)th, so that ties fall to the smaller id
-            best = sorted((float(s), int(i)) for v, s in zip(ids[near], own[near], strict=True) for i in r.ids[v])
-            out += [(q["vertex"], i, s) for s, i in best[: k + 1]]
+        for at in range(0, len(queries), TOGETHER):
+            found, square = beam_search(points, edges, r.start, queries[at : at + TOGETHER], max(SEARCH_BEAM, k + 1))
+            for q, ids, own in zip(r.queries[at : at + TOGETHER], found, np.sqrt(square), strict=True):
+                near = (ids >= 0) & (own <= own[k])  # all that are as near as the (k + 1)th, so that ties fall to the smaller id
+                best = sorted((float(s), int(i)) for v, s in zip(ids[near], own[near], strict=True) for i in r.ids[v])
+                out += [(q["vertex"], i, s) for s, i in best[: k + 1]]
         return pd.DataFrame(out, columns=["vertex", "vec_id", "score"])
 
     found = pairs.groupBy("d", "shard", "block").applyInPandas(search, "vertex string, vec_id long, score double")
