@@ -77,8 +77,13 @@ def fallback_splits(conversations: DataFrame, seed: str, train: float = 0.8, val
     are fixed by the seed on any cluster.
     """
     ids = conversations.select("conversation_id").filter("conversation_id IS NOT NULL").distinct()
-    order = Window.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "conversation_id").cast("binary")))
-    ranked = ids.withColumn("_rank", F.row_number().over(order)).withColumn("_n", F.count("*").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    hashed = ids.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), "conversation_id").cast("binary"))).withColumn("_range", F.substring("_hash", 1, 3))
+    # Ranks within ranges of the hash, plus the rows of the ranges before: 4096 counts are all that one task has to see.
+    before, whole = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counts = hashed.groupBy("_range").agg(F.count("*").alias("_in"))
+    counts = counts.select("_range", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"), F.sum("_in").over(whole).alias("_n"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy("_hash"))
+    ranked = hashed.withColumn("_own", own).join(counts, "_range").withColumn("_rank", F.col("_before") + F.col("_own"))
     to_train, to_validation = F.bround(F.col("_n") * train), F.bround(F.col("_n") * validation)
     split = F.when(F.col("_rank") <= to_train, "train").when(F.col("_rank") <= to_train + to_validation, "validation").otherwise("test")
     return ranked.select("conversation_id", split.alias("split"))
