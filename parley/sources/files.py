@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.sources.shared import shared_dir
+
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder in spark.checkpoint.dir; a single machine without one gets a temporary folder, a cluster an error."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="spark-parley-")
-    return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
