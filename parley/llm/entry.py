@@ -45,7 +45,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), F.transform("pii", lambda p: p["kind"]).alias("kinds"))
+    return pii.pseudonymise(docs, pii.EXAMPLE_KEY).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), F.transform("pii", lambda p: p["kind"]).alias("kinds"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

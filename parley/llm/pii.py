@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import free_name
 
-#: Key of the registered queries. Pass one of your own, kept secret, wherever pseudonyms must not be traced back.
-KEY = "parley-pseudonyms"
+#: Key of the registered queries and the pipeline, which must give the same rows everywhere. It is no secret: pass one of your
+#: own, kept secret, wherever pseudonyms must not be traced back.
+EXAMPLE_KEY = "parley-pseudonyms"
 ROUNDS = 8
 
 _MONTH = r"(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
@@ -30,14 +31,20 @@ _QUOTED = r"\"[^\"\n]{4,}+(?=\")|'[^'\n]{4,}+(?=')"
 _BARE = r"[^\s\"'<>&,;]"
 _KNOWN_KEYS = (
     r"(?:AKIA|ASIA)[0-9A-Z]{16}", r"gh[pousr]_[0-9A-Za-z]{20,}+", r"github_pat_[0-9A-Za-z_]{20,}+", r"glpat-[0-9A-Za-z_-]{20,}+", r"sk-[0-9A-Za-z_-]{16,}+",
-    r"[spr]k_(?:live|test)_[0-9A-Za-z]{10,}+", r"xox[abeprs]-[0-9A-Za-z-]{10,}+", r"AIza[0-9A-Za-z_-]{35}", r"eyJ[0-9A-Za-z_-]{8,}+\.eyJ[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]*+",
+    r"[spr]k_(?:live|test)_[0-9A-Za-z]{10,}+", r"xox[abeprs]-[0-9A-Za-z-]{10,}+", r"AIza[0-9A-Za-z_-]{35}", r"(?<![_-])eyJ[0-9A-Za-z_-]{8,}+\.eyJ[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]*+",
 )
 
+_LABEL = r"[A-Za-z0-9-]"
+#: Labels of a host that can't be its last; all repeated groups are possessive, which needs no stack however long the text.
+_INNER = rf"(?:\.(?![A-Za-z]{{2}}){_LABEL}++)*+"
+_TOP = r"\.[A-Za-z]{2,}+"
+_MAILBOX = r"[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}0-9._%+-]"
+
 #: One pattern per kind, tried in this order. Numbers and dates are validated once found; what fails stays as it is.
 PATTERNS = {
-    "secret": rf"{_WORD_KEY}(?:{_QUOTED}|{_BARE}{{4,}}(?<![.!?:]))|{_OTHER_KEY}(?:{_QUOTED}|(?={_BARE}*[0-9]|{_BARE}{{16}}){_BARE}{{8,}}(?<![.!?:]))"
+    "secret": rf"{_WORD_KEY}(?:{_QUOTED}|{_BARE}{{4,}}(?<![.!?:]))|{_OTHER_KEY}(?:{_QUOTED}|(?={_BARE}{{16}}|{_BARE}{{0,15}}[0-9]){_BARE}{{8,}}(?<![.!?:]))"
     rf"|{_BEARER}[0-9A-Za-z._~+/=-]{{16,}}(?<![.])|{_PEM}[^-]{{16,}}+(?=-----END)|(?<![0-9A-Za-z])(?:{'|'.join(_KNOWN_KEYS)})",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}+",
+    "email": rf"(?<!{_MAILBOX}){_MAILBOX}++@{_LABEL}++{_INNER}{_TOP}(?:{_LABEL}*+{_INNER}{_TOP})*+",
     "phone": r"(?<![0-9]|[0-9][.-])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
     rf"|(?<![0-9A-Za-z+])\+[0-9](?:[0-9]|[ .()/-]{{1,2}}{_OTHER}[0-9]){{6,14}}(?![0-9])",
     "ssn": rf"(?<![0-9-]){_SSN}",
@@ -130,11 +137,14 @@ def _halves(digits: Column, kind: str | Column, key: str) -> Column:
 
 
 def _card_right(digits: Column) -> Column:
-    n = F.length(digits)
-    return n.between(13, 19) & (_check_digit(F.substring(digits, F.lit(1), n - 1)) == F.substring(digits, n, F.lit(1)))
+    """13 to 19 digits whose checksum, taken two at a time from the right, ends in 0."""
+    pairs = F.array(*(F.lit((2 * (n // 10) - 9 * (n // 10 > 4)) + n % 10) for n in range(100)))
+    padded = F.lpad(digits, 20, "0")
+    total = sum((F.element_at(pairs, F.substring(padded, k, 2).cast("int") + 1) for k in range(1, 20, 2)), F.lit(0))
+    return F.length(digits).between(13, 19) & (total % 10 == 0)
 
 
-def card(text: Column, key: str = KEY) -> Column:
+def card(text: Column, key: str) -> Column:
     """13 to 19 digits with a right check digit: the first digit stays, those in the middle are permuted, the last is worked out anew."""
 
     def of(d: Column) -> Column:
@@ -148,41 +158,84 @@ def card(text: Column, key: str = KEY) -> Column:
     return _letting(_digits(text), of)
 
 
+#: Groups with a card that are gone through at once; the picks of one such lot are copied as they are made.
+_LOT = 256
+
+
+def _card_end(groups: Column, i: Column) -> Column:
+    """The last group of the longest card that begins with group i; null if none does.
+
+    Of the next groups, at most 40 characters matter: 19 digits and what parts them. Each digit that ends a group is marked,
+    and a card is a run of digits up to a mark.
+    """
+
+    def among(held: Column) -> Column:
+        def marked(both: Column) -> Column:
+            lengths = F.filter(F.array(*map(F.lit, range(19, 12, -1))), lambda n: (F.substring(both["marks"], n, F.lit(1)) == "x") & _card_right(F.substring(both["digits"], F.lit(1), n)))
+            return _letting(F.get(lengths, F.lit(0)), lambda n: i - 1 + n - F.length(F.replace(F.substring(both["marks"], F.lit(1), n), F.lit("x"), F.lit(""))))
+
+        return _letting(F.struct(F.replace(held, F.lit(" "), F.lit("")).alias("digits"), F.regexp_replace(held, "[0-9](?: |$)", "x").alias("marks")), marked)
+
+    return F.when(F.length(groups[i]) < 20, _letting(F.substring(F.array_join(F.slice(groups, i + 1, 19), " "), 1, 40), among))
+
+
+def _picked(ends: Column) -> Column:
+    """Of the groups that begin a card, from the left, those that no card before reaches: an array of (i, j), first and last group."""
+    pair = "array<struct<i:int,j:int>>"
+
+    def one(acc: Column, i: Column) -> Column:
+        taken = F.struct((ends[i] + 1).alias("next"), F.concat(acc["picks"], F.array(F.struct(i.alias("i"), ends[i].alias("j")))).alias("picks"))
+        return F.when(i < acc["next"], acc).otherwise(taken)
+
+    def of(begins: Column) -> Column:
+        def lot(acc: Column, at: Column) -> Column:
+            start = F.struct(acc["next"].alias("next"), F.array().cast(pair).alias("picks"))
+            return _letting(F.aggregate(F.slice(begins, at + 1, _LOT), start, one), lambda x: F.struct(x["next"].alias("next"), F.concat(acc["picks"], F.array(x["picks"])).alias("picks")))
+
+        start = F.struct(F.lit(0).alias("next"), F.array().cast(f"array<{pair}>").alias("picks"))
+        lots = F.sequence(F.lit(0), F.size(begins) - 1, F.lit(_LOT))
+        return F.when(F.size(begins) == 0, F.array().cast(pair)).otherwise(F.flatten(F.aggregate(lots, start, lot)["picks"]))
+
+    return _letting(F.filter(F.sequence(F.lit(0), F.size(ends) - 1), lambda i: ends[i].isNotNull()), of)
+
+
 def _cards(run: Column, key: str) -> Column:
-    """A struct (put, swaps): a run of groups of digits with its cards replaced, each from the first group that begins one to the last that ends it."""
-    blank = F.struct(F.lit("").alias("put"), F.lit(1).alias("at"), F.lit(0).alias("skip"), F.array().cast("array<struct<old:string,new:string>>").alias("swaps"))
+    """A struct (put, swaps): a run of groups of digits with its cards replaced, each from the first group that begins one to the last that ends it.
+
+    Every group is looked at once with the 18 after it, and the pieces are joined once, so time is linear in the run.
+    """
 
     def of(groups: Column) -> Column:
-        def one(acc: Column, i: Column) -> Column:
-            def joined(j: Column) -> Column:
-                return F.array_join(F.slice(groups, i + 1, j - i + 1), "")
+        after = F.slice(F.split(run, "[0-9]+"), F.lit(2), F.size(groups))  # what parts each group from the next
+
+        def pieces(spaced: Column) -> Column:
+            def text(first: Column, n: Column) -> Column:
+                return F.array_join(F.slice(spaced, first + 1, n), "")
 
-            def taken(last: Column) -> Column:
-                j = F.coalesce(last, i)
-                old = F.substring(run, acc["at"], F.length(joined(j)) + j - i)
+            def chosen(picks: Column) -> Column:
+                def swap(p: Column) -> Column:
+                    return _letting(F.concat(text(p["i"], p["j"] - p["i"]), groups[p["j"]]), lambda old: F.struct(p["i"].alias("i"), p["j"].alias("j"), old.alias("old"), card(old, key).alias("new")))
 
-                def step(old: Column) -> Column:
-                    def done(new: Column) -> Column:
-                        return F.struct(
-                            F.concat(acc["put"], new, F.substring(run, acc["at"] + F.length(old), F.lit(1))).alias("put"),
-                            (acc["at"] + F.length(old) + 1).alias("at"),
-                            (j + 1).alias("skip"),
-                            F.when(last.isNull(), acc["swaps"]).otherwise(F.concat(acc["swaps"], F.array(F.struct(old.alias("old"), new.alias("new"))))).alias("swaps"),
-                        )
+                def joined(made: Column) -> Column:
+                    def put(m: Column, k: Column) -> Column:
+                        first = F.when(k == 0, 0).otherwise(F.get(made, k - 1)["j"] + 1)
+                        return F.concat(text(first, m["i"] - first), m["new"], F.substring(spaced[m["j"]], F.length(groups[m["j"]]) + 1, F.lit(1)))
 
-                    return _letting(F.when(last.isNull(), old).otherwise(card(old, key)), done)
+                    rest = F.when(F.size(made) == 0, 0).otherwise(F.get(made, F.size(made) - 1)["j"] + 1)
+                    whole = F.array_join(F.concat(F.transform(made, put), F.array(text(rest, F.size(groups)))), "")
+                    return F.struct(whole.alias("put"), F.transform(made, lambda m: F.struct(m["old"].alias("old"), m["new"].alias("new"))).alias("swaps"))
 
-                return _letting(old, step)
+                return _letting(F.transform(picks, swap), joined)
 
-            ends = F.filter(F.sequence(i, F.least(i + 18, F.size(groups) - 1)), lambda j: _card_right(joined(j)))
-            return F.when(i < acc["skip"], acc).otherwise(_letting(F.array_max(ends), taken))
+            ends = F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda i: _card_end(groups, i))
+            return _letting(_letting(ends, _picked), chosen)
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), blank, one)
+        return _letting(F.zip_with(groups, after, lambda g, a: F.concat(g, a)), pieces)
 
-    return _letting(_letting(F.split(run, "[ -]"), of), lambda x: F.struct(x["put"].alias("put"), x["swaps"].alias("swaps")))
+    return _letting(F.split(run, "[ -]"), of)
 
 
-def phone(text: Column, key: str = KEY) -> Column:
+def phone(text: Column, key: str) -> Column:
     """Another number of the same country code. North American ones with area and exchange of 200 to 999 stay in the plan, all others of this form out of it."""
     return _letting(_digits(text), lambda d: F.when((F.length(d) == 10) | (F.length(d) == 11) & d.startswith("1"), _american(text, F.right(d, F.lit(10)), key)).otherwise(_abroad(text, d, key)))
 
@@ -221,7 +274,7 @@ def _american(text: Column, ten: Column, key: str) -> Column:
     return F.when((area >= 200) & (exchange >= 200), new).otherwise(new_other)
 
 
-def ssn(text: Column, key: str = KEY) -> Column:
+def ssn(text: Column, key: str) -> Column:
     """A social security number: area 001 to 899 without 666, group 01 to 99, serial 0001 to 9999, each range kept. Others are never issued."""
     area, group, serial = _part(text, 1, 3), _part(text, 5, 2), _part(text, 8, 4)
 
@@ -235,7 +288,7 @@ def ssn(text: Column, key: str = KEY) -> Column:
     return F.when(area.between(1, 899) & (area != 666) & (group >= 1) & (serial >= 1), new).otherwise(text)
 
 
-def date(text: Column, key: str = KEY) -> Column:
+def date(text: Column, key: str) -> Column:
     """A real day from 1800 to 2199, in figures or with an English month, which becomes another of these days in the same layout.
 
     Two short figures are month and day where slashes part them, else day and month, and the other way about only if
@@ -291,7 +344,7 @@ def date(text: Column, key: str = KEY) -> Column:
     return out.when(sep == "/", short(month_first, day_first, "MM", "dd", "yyyy")).otherwise(short(day_first, month_first, "dd", "MM", "yyyy"))
 
 
-def ip(text: Column, key: str = KEY) -> Column:
+def ip(text: Column, key: str) -> Column:
     """An IPv4 address: its 32 bits are permuted."""
     octets = F.transform(F.split(text, r"\."), lambda o: o.cast("long"))
 
@@ -306,13 +359,13 @@ def ip(text: Column, key: str = KEY) -> Column:
     return _letting(octets, address)
 
 
-def email(text: Column, key: str = KEY) -> Column:
+def email(text: Column, key: str) -> Column:
     """Another mailbox at the same host: letters from a keyed hash of the lower-cased address."""
     digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(text)), 256)
     return F.concat(F.translate(F.substring(digest, 1, 16), "0123456789", "ghijklmnop"), F.lit("@"), F.substring_index(text, "@", -1))
 
 
-def secret(text: Column, key: str = KEY) -> Column:
+def secret(text: Column, key: str) -> Column:
     """Hex digits of a keyed hash, as many as the secret has characters, up to 64."""
     digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), text), 256)
     return F.substring(digest, F.lit(1), F.length(text))
@@ -329,13 +382,14 @@ def _kind(match: Column) -> Column:
     return F.coalesce(out, F.lit("secret"))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, into: str = "pii") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, into: str = "pii") -> DataFrame:
     """The documents with personal data in their texts replaced, and a column `into`: an array of (kind, old, new).
 
     Card numbers with a right check digit, phone and social security numbers, IPv4 addresses and real dates become
     others of the same form by a keyed permutation, so equal values stay equal in all documents and different ones
     different; e-mail addresses and secrets get keyed hashes. What fails its check stays and isn't listed. Null
-    texts stay null with an empty list. Only the text changes; a column that is already named `into` is replaced.
+    texts stay null and empty ones empty, with an empty list. Texts are worked on whole, in time that grows with their length,
+    and no pattern needs a deeper stack for a longer text. Repeated rows repeat. The key is the caller's to choose and to keep. Only the text changes; a column that is already named `into` is replaced.
     """
     joint = "|".join(PATTERNS.values())
     found = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(joint), F.lit(0))
@@ -367,10 +421,11 @@ def pseudonymise(docs: DataFrame, key: str = KEY, into: str = "pii") -> DataFram
     return marked.withColumn("text", text).withColumn(into, listed).drop(held)
 
 
-def redact(docs: DataFrame, key: str = KEY) -> DataFrame:
+def redact(docs: DataFrame, key: str) -> DataFrame:
     """The documents with pseudonyms in their texts and n_chars, if there is one, following; no other column changes.
 
-    Null and empty texts stay as they are, and so does n_chars where the text is null. Rows repeat as they did.
+    Null and empty texts stay as they are, and so does n_chars where the text is null. Rows repeat as they did. Texts of any
+    length are worked on whole, as by `pseudonymise`.
     """
     found = free_name(docs, "pii_found")
     out = pseudonymise(docs, key, found).drop(found)
