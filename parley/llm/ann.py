@@ -17,6 +17,8 @@ SLACK = 40
 #: Relaxation of the pruning rule in the second pass.
 ALPHA = 1.2
 BATCH = 512
+#: Vectors whose largest components differ by up to this power of two share shards; their squares stay within doubles.
+CLASS_BITS = 400
 
 
 def _squares(points: np.ndarray, rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
@@ -73,7 +75,7 @@ def robust_prune(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, al
     far = _squares(points, sorted_ids, points[own])
     order = np.argsort(far, axis=1, kind="stable")
     candidates, far = np.take_along_axis(sorted_ids, order, 1), np.take_along_axis(far, order, 1)
-    vectors = points[candidates]
+    vectors = points[candidates] - points[own][:, None, :]  # so that what all have in common costs no digits
     norms = np.einsum("bmd,bmd->bm", vectors, vectors)
     between = norms[:, :, None] + norms[:, None, :] - 2 * (vectors @ vectors.transpose(0, 2, 1))
     covers = alpha * alpha * between <= far[:, None, :]  # [b, k, c]: candidate k, if kept, rules candidate c out
@@ -97,7 +99,7 @@ def _offer(points: np.ndarray, edges: np.ndarray, own: np.ndarray, alpha: float,
     source, target = np.repeat(own, degree), edges[own, :degree].reshape(-1)
     new = (target >= 0) & ~(edges[target] == source[:, None]).any(axis=1)
     source, target = source[new], target[new]
-    order = np.argsort(target, kind="stable")
+    order = np.lexsort((((points[source] - points[target]) ** 2).sum(axis=1), target))  # of many offers to one end the nearest
     source, target = source[order], target[order]
     ends, first, count = np.unique(target, return_index=True, return_counts=True)
     nth = np.arange(len(target)) - np.repeat(first, count)
@@ -116,13 +118,30 @@ def _offer(points: np.ndarray, edges: np.ndarray, own: np.ndarray, alpha: float,
     edges[target[room], place[room]] = source[room]
 
 
+def power_of(points: np.ndarray) -> int:
+    """The power of two that the largest component is about as large as."""
+    return int(np.frexp(np.abs(points).max(initial=0))[1])
+
+
+def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Euclidean distances of pairs of vectors; where squares leave the range of doubles, of the vectors over their largest component."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = np.sqrt(((left - right) ** 2).sum(axis=-1))
+        odd = ~((out > 1e-150) & (out < np.inf))
+        if odd.any():
+            a, b = left[odd], right[odd]
+            most = np.maximum(np.maximum(np.abs(a).max(axis=-1), np.abs(b).max(axis=-1)), 5e-324)[:, None]
+            out[odd] = most[:, 0] * np.sqrt(((a / most - b / most) ** 2).sum(axis=-1))
+    return out
+
+
 def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM) -> tuple[np.ndarray, int]:
     """Edges (n, SLACK), -1 where there are fewer, and the vertex that searches start from: the one nearest the mean.
 
     From random edges, two passes over all vertices in batches: a greedy search for each vertex proposes
-    neighbours, pruning keeps diverse ones, and each kept edge is offered to its other end, which is pruned when full.
+    neighbours, pruning keeps diverse ones, and each kept edge is offered to its other end, which is pruned when full. The
+    points are doubles whose largest component is about one.
     """
-    points = points.astype(np.float32)
     n = len(points)
     random = np.random.default_rng(n)
     edges = np.full((n, SLACK), -1, np.int64)
@@ -157,8 +176,8 @@ def nearest(embeddings: DataFrame, every: int = 100, k: int = 10, shard: int = S
 
     Nearness is Euclidean distance on the given vectors in double precision, ties to the smaller id. Equal vectors
     are one vertex that carries its k + 1 least ids, which is all that any answer can show of it. Vertices
-    are dealt to shards of about `shard` by a hash; each shard is indexed and searched on its own, blocks of queries
-    meeting shards by a join on the shard. Vectors of different lengths aren't compared. Repeated ids with one
+    are dealt to shards of about `shard` by a hash, those of very different sizes apart; each shard is indexed and searched on its own, blocks of queries
+    meeting shards by a join on the shard. Graphs are built and searched on doubles over a power of two, so that no square overflows. Vectors of different lengths aren't compared. Repeated ids with one
     vector count once; an id with several vectors is searched with all of them and listed once, at its least
     distance. Of vectors at the distance of the last rank, the smaller ids among those in the beam are given. A query among many equal vectors gets the least ids of the others.
     """
@@ -168,44 +187,52 @@ def nearest(embeddings: DataFrame, every: int = 100, k: int = 10, shard: int = S
     least = Window.partitionBy("vertex").orderBy("vec_id")
     members = rows.withColumn("nth", F.row_number().over(least)).filter(F.col("nth") <= k + 1)
     vertices = members.groupBy("vertex").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector"))
-    sizes = {r["d"]: max(1, -(-r["n"] // shard)) for r in rows.groupBy(F.size("vector").alias("d")).agg(F.approx_count_distinct("vertex").alias("n")).collect()}
+    largest = F.aggregate("vector", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))
+    sized = vertices.withColumn("d", F.size("vector")).withColumn("class", F.floor(F.log2(largest) / CLASS_BITS).cast("int"))
+    sizes = {(r["d"], r["class"]): max(1, -(-r["count"] // shard)) for r in sized.groupBy("d", "class").count().collect()}
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    counts = F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair))
-    placed = vertices.withColumn("d", F.size("vector")).withColumn("shard", F.pmod(F.xxhash64("vertex"), counts[F.col("d")]))
+    counts = F.create_map(*(F.lit(x) for (d, c), n in sizes.items() for x in (f"{d} {c}", n)))
+    placed = sized.withColumn("shard", F.pmod(F.xxhash64("vertex"), counts[F.concat_ws(" ", "d", "class")]))
+    shards = spark.createDataFrame([(d, c, s) for (d, c), n in sizes.items() for s in range(n)], "d int, class int, shard long")
     asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
     questions = asked.groupBy("vertex").agg(F.first("vector").alias("vector")).withColumn("d", F.size("vector"))
 
     def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vertex")
         points = np.stack(pdf["vector"].to_numpy())
-        edges, start = build_graph(points)
-        return pd.DataFrame({"d": [key[0]], "shard": [key[1]], "start": [start], "points": [points.tobytes()], "edges": [edges.astype(np.int32).tobytes()], "ids": [[list(x) for x in pdf["ids"]]]})
+        edges, start = build_graph(np.ldexp(points, -power_of(points)))
+        return pd.DataFrame({"d": [key[0]], "class": [key[1]], "shard": [key[2]], "start": [start], "points": [points.tobytes()], "edges": [edges.astype(np.int32).tobytes()], "ids": [[list(x) for x in pdf["ids"]]]})
 
-    index = placed.groupBy("d", "shard").applyInPandas(build, "d int, shard long, start int, points binary, edges binary, ids array<array<long>>")
+    index = placed.groupBy("d", "class", "shard").applyInPandas(build, "d int, class int, shard long, start int, points binary, edges binary, ids array<array<long>>")
     index = saved(index, "graphs")
 
     # A block of queries is one row; it is repeated for each shard of its length and meets it by the shard's number.
     block = F.pmod(F.xxhash64("vertex", F.lit(1)), F.lit(max(1, -(-questions.count() // BLOCK))))
     blocks = questions.groupBy("d", block.alias("block")).agg(F.collect_list(F.struct("vertex", "vector")).alias("queries"))
-    blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), counts[F.col("d")].cast("long") - 1)))
-    pairs = blocks.join(index, ["d", "shard"])
+    pairs = blocks.join(shards, "d").join(index, ["d", "class", "shard"])
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         (r,) = pdf.itertuples(index=False)  # one block of queries and one shard at a time
         points = np.frombuffer(r.points).reshape(-1, r.d)
         edges = np.frombuffer(r.edges, np.int32).reshape(len(points), -1).astype(np.int64)
         queries = np.array([q["vector"] for q in r.queries], float)
+        sizes = np.frexp(np.abs(queries).max(axis=1))[1] // CLASS_BITS
         out = []
-        for at in range(0, len(queries), TOGETHER):
-            found, square = beam_search(points, edges, r.start, queries[at : at + TOGETHER], max(SEARCH_BEAM, k + 1))
-            for q, ids, own in zip(r.queries[at : at + TOGETHER], found, np.sqrt(square), strict=True):
+        for chosen in (c[at : at + TOGETHER] for size in np.unique(sizes) for c in [np.flatnonzero(sizes == size)] for at in range(0, len(c), TOGETHER)):
+            some = queries[chosen]
+            power = max(power_of(points), power_of(some))
+            found, _ = beam_search(np.ldexp(points, -power), edges, r.start, np.ldexp(some, -power), max(SEARCH_BEAM, k + 1))
+            real = np.where(found >= 0, distances(points[found], np.broadcast_to(some[:, None, :], (*found.shape, r.d))), np.inf)
+            order = np.lexsort((real, found < 0))
+            found, real = np.take_along_axis(found, order, 1), np.take_along_axis(real, order, 1)
+            for q, ids, own in zip([r.queries[c] for c in chosen], found, real, strict=True):
                 near = (ids >= 0) & (own <= own[k])  # all that are as near as the (k + 1)th, so that ties fall to the smaller id
                 best = sorted((float(s), int(i)) for v, s in zip(ids[near], own[near], strict=True) for i in r.ids[v])
                 out += [(q["vertex"], i, s) for s, i in best[: k + 1]]
         return pd.DataFrame(out, columns=["vertex", "vec_id", "score"])
 
-    found = pairs.groupBy("d", "shard", "block").applyInPandas(search, "vertex string, vec_id long, score double")
+    found = pairs.groupBy("d", "class", "shard", "block").applyInPandas(search, "vertex string, vec_id long, score double")
     by_nearness = Window.partitionBy("vertex").orderBy("score", "vec_id")
     found = found.withColumn("nth", F.row_number().over(by_nearness)).filter(F.col("nth") <= k + 1)
     answers = asked.select(F.col("vec_id").alias("query_id"), "vertex").distinct().join(found, "vertex").filter("query_id <> vec_id")

@@ -166,3 +166,36 @@ def test_whole_hosts_and_mailboxes(spark):
     assert [t.split("@")[1] for t in out if "@" in t][0] == "b.com-x.org" and out[2] == "q@b..com"
     assert "10.0.0.1" not in out[1] and out[3].endswith("@b.com.") and out[4].endswith("@b.com.x9") and out[5].endswith("@1.2.3.ab9")
     assert not out[6].startswith("mü") and "ж" not in out[7] and out[7].endswith("@x.org")
+
+
+@pytest.mark.parametrize("shift, size", [(0.0, 1.0), (1e7, 1.0), (1e9, 1.0), (0.0, 1e25), (0.0, 1e39), (0.0, 1e160), (0.0, 1e-170), (5e307, 1e306)])
+def test_recall_of_vectors_far_away_or_of_any_size(spark, shift, size):
+    r = np.random.default_rng(11)
+    vectors = shift + size * r.normal(size=(1500, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    got = {}
+    for x in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard=500).collect():
+        got.setdefault(x.query_id, {})[x.vec_id] = x.score
+    hits = 0
+    for q in range(0, 1500, 100):
+        real = size * np.sqrt((((vectors - vectors[q]) / size) ** 2).sum(axis=1))
+        real[q] = np.inf
+        best = np.argsort(real, kind="stable")[:10]
+        hits += len(set(best.tolist()) & set(got[q]))
+        assert all(got[q][i] == pytest.approx(real[i], rel=1e-9) for i in got[q])
+    assert len(got) == 15 and hits >= 0.9 * 150
+
+
+def test_small_vectors_among_huge_ones_are_found(spark):
+    r = np.random.default_rng(12)
+    rows = [(i, (10.0 ** (160 * (i % 3 == 1)) * r.normal(size=8)).tolist()) for i in range(900)]
+    got = {}
+    for x in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(x.query_id, set()).add(x.vec_id)
+    vectors = np.array([v for _, v in rows])
+    for q in range(0, 900, 100):
+        like = [i for i in range(900) if i != q and (i % 3 == 1) == (q % 3 == 1)]
+        best = sorted(like, key=lambda i: (((vectors[i] - vectors[q]) / (1e160 if q % 3 == 1 else 1)) ** 2).sum())
+        # A small query's nearest are small; a huge one's are whichever come first, as all small ones are as far from it.
+        assert q % 3 == 1 or len(got[q] & set(best[:10])) >= 9
+    assert len(got) == 9 and all(len(x) == 10 for x in got.values())
