@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from parley.operators.intervals import asof, normalize
+from parley.operators.ranks import with_quantiles
 
 
 def drop_reason(required: Sequence[str], more: Mapping[str, Column] | None = None) -> Column:
@@ -54,7 +55,6 @@ def temporal_integrity(rows: DataFrame, start: str, end: str, reference: str | N
     both = s.isNotNull() & e.isNotNull()
     infinite = F.lit(float("inf"))
     length = F.when(both, e - s)
-    q = F.percentile(length, F.array(*(F.lit(x) for x in (0.0, 0.05, 0.5, 0.95, 1.0))))
     past = e - F.col(reference) if reference else F.lit(None).cast("double")
     out = rows.agg(
         F.count("*").alias("rows"),
@@ -63,12 +63,12 @@ def temporal_integrity(rows: DataFrame, start: str, end: str, reference: str | N
         F.count_if(F.coalesce(s < 0, F.lit(False))).alias("negative_start"),
         F.count_if(F.coalesce(s > e, F.lit(False))).alias("reversed"),
         F.count_if(F.coalesce(s == e, F.lit(False))).alias("empty"),
-        q.alias("_q"),
         F.count_if(F.coalesce(past > tolerance_s, F.lit(False))).alias("overshoots"),
         F.max(F.when(past > tolerance_s, past)).alias("max_overshoot"),
         F.count_if(both & past.isNull()).alias("unresolved"),
     )
     names = ("duration_min", "duration_p05", "duration_median", "duration_p95", "duration_max")
+    out = with_quantiles(out, rows.select(length.alias("_q")), [], ["_q"])
     return out.select("*", *(F.col("_q")[k].alias(n) for k, n in enumerate(names))).drop("_q")
 
 
@@ -181,11 +181,10 @@ def cross_source(left: DataFrame, right: DataFrame, key: str, columns: Sequence[
     keys = left.select(key).distinct().withColumn("_l", F.lit(True)).join(right.select(key).distinct().withColumn("_r", F.lit(True)), key, "full_outer")
     out = keys.agg(F.count_if(F.col("_l") & F.col("_r")).alias("shared_keys"), F.count_if(F.col("_r").isNull()).alias("left_only_keys"), F.count_if(F.col("_l").isNull()).alias("right_only_keys"))
     out = out.crossJoin(exact_identity(left, right, columns))  # one row each
-    q = F.array(*(F.lit(x) for x in (0.0, 0.05, 0.5, 0.95, 1.0)))
     for a, b, name in ((left, right, "left"), (right, left, "right")):
         met = coverage(a.select(key, "start_s", "end_s"), b, key, tolerance_s)
         bare = F.when(~F.col("covered"), F.col("end_s") - F.col("start_s"))
-        side = met.agg(F.count_if("covered").alias(f"{name}_covered"), F.count(bare).alias(f"{name}_uncovered"), F.percentile(bare, q).alias("_q"))
+        side = with_quantiles(met.agg(F.count_if("covered").alias(f"{name}_covered"), F.count(bare).alias(f"{name}_uncovered")), met.select(bare.alias("_q")), [], ["_q"])
         out = out.crossJoin(side.select(f"{name}_covered", f"{name}_uncovered", *(F.col("_q")[k].alias(f"{name}_uncovered_{n}_s") for k, n in enumerate(("min", "q05", "median", "q95", "max")))))  # one row
     return out
 

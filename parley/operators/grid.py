@@ -7,7 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.operators.ranks import with_quantiles
 from parley.operators.state import EPS, SILENT, SPEAKING, UNKNOWN, in_order, timeline_errors, transitions
+from parley.sources.shared import saved
 
 ONSET, OFFSET, NO_EVENT = "ONSET", "OFFSET", "NO_EVENT"
 #: Fixed values, the most specific first.
@@ -157,8 +159,9 @@ def summary(grid: DataFrame) -> DataFrame:
 
 def statistics(grid: DataFrame, by: str = "state_before") -> DataFrame:
     """Slots, share of valid ones and quantiles of tau, for each state before and action."""
-    q = F.percentile("tau_s", F.array(*(F.lit(x) for x in (0.0, 0.05, 0.5, 0.95, 1.0))))
-    out = grid.groupBy(by, F.coalesce("action", F.lit("-")).alias("action")).agg(F.count("*").alias("slots"), F.avg(F.col("action_valid").cast("double")).alias("valid_share"), q.alias("q"))
+    rows = saved(grid.select(by, F.coalesce("action", F.lit("-")).alias("action"), "action_valid", "tau_s"), "grid")
+    counts = rows.groupBy(by, "action").agg(F.count("*").alias("slots"), F.avg(F.col("action_valid").cast("double")).alias("valid_share"))
+    out = with_quantiles(counts, rows.withColumnRenamed("tau_s", "q"), [by, "action"], ["q"])
     names = ("tau_min_s", "tau_q05_s", "tau_median_s", "tau_q95_s", "tau_max_s")
     return out.select(by, "action", "slots", "valid_share", *(F.col("q")[k].alias(n) for k, n in enumerate(names)))
 

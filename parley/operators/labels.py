@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from parley.operators import structure as st
 from parley.operators.intervals import asof
+from parley.operators.ranks import quantiles
 from parley.operators.state import EPS, SPEAKING, UNKNOWN
+from parley.sources.shared import saved
 
 #: State codes of units.
 SILENT_CODE, SPEAKING_CODE, UNKNOWN_CODE = 0, 1, 2
@@ -196,14 +198,14 @@ def at_references(cells: DataFrame, step_s: float, streams: Mapping[str, tuple[D
 
 
 def _streams(states: DataFrame) -> dict[str, tuple[DataFrame, str]]:
-    events = st.speaker_events(states).select("recording_id", "time_s", "kind", "participant_index")
+    events = saved(st.speaker_events(states).select("recording_id", "time_s", "kind", "participant_index"), "speaker-events")
     ego = F.col("participant_index") == 0
     out = {f"{who}_{kind}": (events.filter((F.col("kind") == kind) & on).select("recording_id", "time_s").distinct(), "time_s") for who, on in (("ego", ego), ("other", ~ego)) for kind in ("onset", "offset")}
     onsets = events.filter("kind = 'onset'").groupBy("recording_id", "time_s").agg(F.min("participant_index").alias("who"), (F.min("participant_index") != F.max("participant_index")).alias("tie"))
     out["onset"] = onsets, "time_s"
     out["floor_change"] = st.floor_changes(states).select("recording_id", "time_s", "next_holder"), "time_s"
     out["span"] = st.observed_spans(states).select("recording_id", "start_s", "end_s"), "start_s"
-    pieces = st.floor(states).select("recording_id", "ordinal", "start_s", "end_s", "speakers", "all_known", "holder", "solo", "last_unique")
+    pieces = saved(st.floor(states).select("recording_id", "ordinal", "start_s", "end_s", "speakers", "all_known", "holder", "solo", "last_unique"), "floor")
     out["piece"] = pieces, "start_s"
     out["speech_end"] = pieces.filter("all_known AND speakers > 0").select("recording_id", F.col("end_s").alias("time_s")), "time_s"
     out["silence"] = st.silences(states).select("recording_id", "start_s", "end_s"), "start_s"
@@ -213,8 +215,11 @@ def _streams(states: DataFrame) -> dict[str, tuple[DataFrame, str]]:
 
 
 def references(states: DataFrame, cells: DataFrame, step_s: float) -> DataFrame:
-    """Every cell's end with what lies around it, and `observed`: whether the moment just before it lies in an observed span."""
-    rows = at_references(cells, step_s, _streams(states))
+    """Every cell's end with what lies around it, and `observed`: whether the moment just before it lies in an observed span.
+
+    Eleven streams are drawn from the states, which are written once for all of them.
+    """
+    rows = at_references(cells, step_s, _streams(saved(states, "states")))
     observed = F.coalesce(F.col("reference_s") <= F.col("last_span.end_s") + EPS, F.lit(False))
     return rows.withColumn("observed", observed).withColumn("span_start_s", F.when(observed, F.col("last_span.start_s"))).withColumn("span_end_s", F.when(observed, F.col("last_span.end_s")))
 
@@ -386,8 +391,10 @@ def sanity(cells: DataFrame, times: DataFrame, events: DataFrame, segments: Data
     def share(test: Column) -> Column:
         return F.avg(test.cast("int"))
 
-    def quantiles(value: Column, name: str) -> dict[str, Column]:
-        return {f"{name}_q{round(q * 100)}": F.percentile(value, F.lit(q)) for q in SANITY_QUANTILES}
+    def spread(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+        found = quantiles(rows.select(*(v.alias(n) for n, v in values.items())), [], list(values), SANITY_QUANTILES)
+        cells = [F.struct(F.lit(f"{n}_q{round(q * 100)}").alias("statistic"), F.col(n)[k].alias("value")) for n in values for k, q in enumerate(SANITY_QUANTILES)]
+        return found.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
     def kinds(rows: DataFrame, column: str, name: str) -> DataFrame:
         return rows.filter(F.col(column).isNotNull()).groupBy(F.concat(F.lit(f"{name}_"), F.col(column)).alias("statistic")).agg(F.count("*").cast("double").alias("value"))
@@ -397,16 +404,19 @@ def sanity(cells: DataFrame, times: DataFrame, events: DataFrame, segments: Data
     fto, length = F.when(change, F.col("fto_s")), F.when(F.col("segment") == "turn", F.col("end_s") - F.col("start_s"))
     timing_stats = {}
     for name in ("time_to_next_ego_onset", "time_to_next_other_onset"):
-        timing_stats |= quantiles(F.col(name), name) | {f"{name}_censored": share(F.col(name).isNull())}
+        timing_stats |= {f"{name}_censored": share(F.col(name).isNull())}
     parts = [
         long(cells, {"cells": F.count("*"), "ego_speaking_share": share(F.col("ego_speaking")), "others_active_share": share(F.col("others_active"))}),
         long(frames, {"overlap_share": share(F.col("n") >= 2), "silence_share": share(F.col("n") == 0)}),
         long(times, timing_stats),
-        long(events, {"onsets": F.count_if(onset), "offsets": F.count_if(F.col("event") == "offset"), "ego_onsets": F.count_if(onset & (F.col("participant_index") == 0)), "floor_changes": F.count_if(change), "overlap_transfer_share": share(fto < 0), **quantiles(fto, "fto")}),
+        long(events, {"onsets": F.count_if(onset), "offsets": F.count_if(F.col("event") == "offset"), "ego_onsets": F.count_if(onset & (F.col("participant_index") == 0)), "floor_changes": F.count_if(change), "overlap_transfer_share": share(fto < 0)}),
         kinds(events, "onset_type", "onset"),
-        long(segments, {"turns": F.count(length), **quantiles(length, "turn")}),
+        long(segments, {"turns": F.count(length)}),
         kinds(segments, "overlap_type", "overlap"),
         kinds(segments, "silence_type", "silence"),
+        spread(times, {n: F.col(n) for n in ("time_to_next_ego_onset", "time_to_next_other_onset")}),
+        spread(events, {"fto": fto}),
+        spread(segments, {"turn": length}),
     ]
     out = parts[0]
     for more in parts[1:]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.operators.labels import seconds_per_unit
+from parley.operators.ranks import with_quantiles
 from parley.operators.state import EPS
 
 #: File extensions by type, and names that are never listed.
@@ -74,6 +75,13 @@ def alignment(probes: DataFrame) -> DataFrame:
     return out.withColumn("abs_end_delta_s", F.abs("end_delta_s"))
 
 
+def alignment_summary(aligned: DataFrame, by: str) -> DataFrame:
+    """Per group: files that start together, files with an end difference, and its least, median and greatest value."""
+    counts = aligned.groupBy(by).agg(F.count_if(F.col("start_offset_s") == 0).alias("zero_offsets"), F.count("end_delta_s").alias("n"))
+    out = with_quantiles(counts, aligned.select(by, F.col("end_delta_s").alias("_q")), [by], ["_q"], (0.0, 0.5, 1.0))
+    return out.select(by, "zero_offsets", "n", *(F.col("_q")[k].alias(x) for k, x in enumerate(("least", "median", "most"))))
+
+
 def resolve_media(recordings: DataFrame, files: DataFrame, key: str) -> DataFrame:
     """Each recording's video and audio path by file stem; `ambiguous` where a stem has several files of one kind, and then no path."""
     stem = F.regexp_extract("relative_path", r"([^/]*?)(?:\.[^./]*)?$", 1)

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.operators.ranks import with_quantiles
+
 #: Fixed value: a candidate persists if its offset keeps this share of its excess.
 PERSISTENCE = 0.5
 
@@ -126,8 +128,8 @@ def top_per_group(rows: DataFrame, keys: list[str], by: Column, n: int, ties: li
 
 def population(metrics: DataFrame, by: list[str], value: str, limits: tuple[float, ...]) -> DataFrame:
     """Per group: streams, seven quantiles of a measure, and how many pass each limit."""
-    q = F.percentile(value, F.array(*(F.lit(x) for x in (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0))))
-    out = metrics.groupBy(*by).agg(F.count("*").alias("streams"), q.alias("_q"), *(F.count_if(F.col(value) > x).alias(f"over_{x:g}".replace(".", "_")) for x in limits))
+    counts = metrics.groupBy(*by).agg(F.count("*").alias("streams"), *(F.count_if(F.col(value) > x).alias(f"over_{x:g}".replace(".", "_")) for x in limits))
+    out = with_quantiles(counts, metrics.select(*by, F.col(value).alias("_q")), by, ["_q"], (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0))
     return out.select("*", *(F.col("_q")[k].alias(f"q{p}") for k, p in enumerate((0, 5, 25, 50, 75, 95, 100)))).drop("_q")
 
 
@@ -181,9 +183,10 @@ def cadence(reference: float) -> Column:
 
 def regime_profile(files: DataFrame, reference: float) -> DataFrame:
     """Per cadence of a regime's files: how many, and quartiles of the usual packet, of the final drift and of the greatest one."""
-    q = F.array(*(F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)))
     stats = {"nominal": "nominal", "final_drift_ms": "final_drift_ms", "max_drift": "max_abs_drift"}
-    out = files.groupBy(cadence(reference).alias("cadence")).agg(F.count("*").alias("files"), *(F.percentile(c, q).alias(f"_{n}") for n, c in stats.items()))
+    rows = files.select(cadence(reference).alias("cadence"), *(F.col(c).alias(f"_{n}") for n, c in stats.items()))
+    counts = rows.groupBy("cadence").agg(F.count("*").alias("files"))
+    out = with_quantiles(counts, rows, ["cadence"], [f"_{n}" for n in stats], (0.0, 0.25, 0.5, 0.75, 1.0))
     return out.select("cadence", "files", *(F.col(f"_{n}")[k].alias(f"{n}_q{p}") for n in stats for k, p in enumerate((0, 25, 50, 75, 100))))
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from parley.sources.shared import saved
 
 _PART = "range_part"
+#: Least, 5 %, median, 95 % and greatest.
+FIVE = (0.0, 0.05, 0.5, 0.95, 1.0)
 
 
 def _in_ranges(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
@@ -90,3 +92,12 @@ def quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], shares:
     out = arrays.groupBy(*group[:-1]).agg(*per_value)
     joined = groups.alias("g").join(out.alias("o"), [F.col(f"g.{c}").eqNullSafe(F.col(f"o.{c}")) for c in group[:-1]], "left")
     return joined.select(*(F.col(f"g.key_{i}").alias(k) for i, k in enumerate(keys)), *(F.col(f"value_{i}").alias(v) for i, v in enumerate(values)))
+
+
+def with_quantiles(counts: DataFrame, rows: DataFrame, keys: Sequence[str], values: Sequence[str], shares: Sequence[float] = FIVE) -> DataFrame:
+    """`counts`, one row for each group of `rows` (or one row without keys), with the array of each value's quantiles under the value's name."""
+    found = quantiles(rows, keys, values, shares)
+    if not keys:
+        return counts.crossJoin(found)  # one row each
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys]
+    return counts.alias("c").join(found.alias("q"), same).select("c.*", *(F.col(f"q.{v}") for v in values))

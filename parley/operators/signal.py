@@ -1,68 +1,150 @@
-"""Signal features of cells of samples: level, zero crossings and spectra, on Arrow batches."""
+"""Signal features of cells of samples and of video frames, on whole Arrow batches."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from parley.operators import structure as st
+from parley.operators.state import EPS
 
-def rms(samples: Column) -> Column:
-    """Root mean square, in SQL functions alone."""
-    return F.sqrt(F.aggregate(samples, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")) / F.size(samples))
 
+#: Samples that numpy works on at once.
+AT_ONCE = 1 << 20
+#: Level of digital silence.
+SILENCE_DB = -120.0
 
-def zero_crossings(samples: Column) -> Column:
-    """The share of neighbouring samples whose signs differ; -0.0 counts as negative only by its sign bit, so zeros here are positive."""
-    sign = F.transform(samples, lambda x: (x < 0).cast("int"))
-    turns = F.zip_with(F.slice(sign, F.lit(1), F.size(samples) - 1), F.slice(sign, F.lit(2), F.size(samples) - 1), lambda a, b: F.abs(a - b))
-    return F.aggregate(turns, F.lit(0), lambda a, x: a + x) / (F.size(samples) - 1)
 
+def _laid_out(samples: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All samples end to end as doubles, nulls as NaN, and where each cell begins (one more entry for the end). A null cell is empty."""
+    lists = pc.fill_null(samples, pa.scalar([], samples.type))
+    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    return lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False), offsets
 
-def spectra(cells: DataFrame, rate: float, keys: list[str]) -> DataFrame:
-    """Each cell with its spectral centroid and bandwidth, a noise proxy (20 % quantile of magnitude), validity and the normalised spectrum."""
+
+def _typed(cells: DataFrame, keys: Sequence[str], columns: dict[str, tuple[str, pa.DataType]]) -> tuple[str, pa.Schema]:
+    """The schema of the keys and further columns, for Spark and for Arrow."""
     fields = cells.select(*keys).schema
-    names = [*keys, "centroid", "bandwidth", "noise", "spectral_valid", "spectrum"]
+    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"{n} {sql}" for n, (sql, _) in columns.items()])
+    return ddl, pa.schema([*to_arrow_schema(fields), *(pa.field(n, t) for n, (_, t) in columns.items())])
+
+
+def audio_cells(cells: DataFrame, rate: float, step_s: float, keys: Sequence[str] = ("recording_id", "decision_index")) -> DataFrame:
+    """Each cell of samples with its level (rms), zero crossings, spectral centroid and bandwidth, noise proxy, validity and normalised spectrum.
+
+    A cell is complete if it has the `rate * step_s` samples of a step, none of them null; others are invalid, and all their
+    measures null. Without energy a cell is valid but has no spectrum. All complete cells of a batch are one matrix. Signs are those
+    of the bits, so -0.0 crosses zero; the noise proxy is the 20 % quantile of magnitudes.
+    """
+    n = round(rate * step_s)
+    double = ("double", pa.float64())
+    columns = {"rms": double, "zero_crossing_rate": double, "spectral_centroid": double, "spectral_bandwidth": double, "noise_proxy": double, "spectral_valid": ("boolean", pa.bool_()), "audio_valid": ("boolean", pa.bool_()), "spectrum": ("array<double>", pa.list_(pa.float64()))}
+    ddl, schema = _typed(cells, keys, columns)
+    window, frequency = np.hanning(n), np.fft.rfftfreq(n, 1 / rate)
+
+    def measures(frames: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        magnitude = np.abs(np.fft.rfft(frames * window, axis=1))
+        energy = magnitude.sum(axis=1)
+        spectral = energy > 0
+        shares = magnitude / np.where(spectral, energy, 1)[:, None]
+        centre = shares @ frequency
+        width = np.sqrt(((frequency - centre[:, None]) ** 2 * shares).sum(axis=1))
+        crossings = np.diff(np.signbit(frames), axis=1).mean(axis=1) if n > 1 else np.zeros(len(frames))
+        values = np.column_stack([np.sqrt((frames**2).mean(axis=1)), crossings, np.where(spectral, centre, np.nan), np.where(spectral, width, np.nan), np.quantile(np.abs(frames), 0.2, axis=1)])
+        return values, spectral, shares
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for samples in batch.column("samples").to_pylist():
-                x = np.asarray(samples, float)
-                magnitude = np.abs(np.fft.rfft(x * np.hanning(len(x))))
-                frequency = np.fft.rfftfreq(len(x), 1 / rate)
-                energy = magnitude.sum()
-                if energy > 0:
-                    centre = float((magnitude * frequency).sum() / energy)
-                    width = float(np.sqrt((magnitude * (frequency - centre) ** 2).sum() / energy))
-                    rows.append((centre, width, float(np.quantile(np.abs(x), 0.2)), True, (magnitude / energy).tolist()))
-                else:
-                    rows.append((None, None, float(np.quantile(np.abs(x), 0.2)), False, None))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = [pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.list_(pa.float64())]
-            yield pa.record_batch([*(batch.column(k) for k in keys), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=names)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", centroid double, bandwidth double, noise double, spectral_valid boolean, spectrum array<double>"
-    return cells.filter(F.size("samples") > 1).select(*keys, "samples").mapInArrow(work, schema)
-
-
-def flux(spectral: DataFrame, key: str, order: str) -> DataFrame:
-    """Distance of each cell's spectrum to that of the cell before, where both are valid."""
-    w = Window.partitionBy(key).orderBy(order)
-    was = F.lag("spectrum").over(w)
+        step = max(1, AT_ONCE // max(n, 1))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                flat, offsets = _laid_out(batch.column("samples"))
+                holes = np.concatenate([[0], np.cumsum(np.isnan(flat))])
+                valid = (np.diff(offsets) == n) & (np.diff(holes[offsets]) == 0) & (n > 0)
+                values, spectral = np.full((batch.num_rows, 5), np.nan), np.zeros(batch.num_rows, bool)
+                spectra = [None] * batch.num_rows
+                if valid.any():
+                    rows = np.flatnonzero(valid)
+                    values[rows], spectral[rows], shares = measures(flat[np.repeat(valid, np.diff(offsets))].reshape(-1, n))
+                    for row, share in zip(rows, shares, strict=True):
+                        spectra[row] = share if spectral[row] else None
+                shown = [pa.array(c, pa.float64(), from_pandas=True) for c in values.T]
+                yield pa.record_batch([*(batch.column(k) for k in keys), *shown, pa.array(spectral), pa.array(valid), pa.array(spectra, pa.list_(pa.float64()))], schema=schema)
+
+    return cells.select(*keys, "samples").mapInArrow(work, ddl)
+
+
+def audio_grid(measured: DataFrame, grid: DataFrame) -> DataFrame:
+    """Every cell of the grid with its measures of `audio_cells` and its `flux`: the distance of its spectrum to that of the cell before it.
+
+    Cells without samples are invalid. Flux is null unless both cells have a spectrum and follow each other.
+    """
+    key = ["recording_id", "decision_index"]
+    rows = grid.select(*key).join(measured, key, "left")
+    order = Window.partitionBy("recording_id").orderBy("decision_index")
+    was = F.when(F.lag("decision_index").over(order) == F.col("decision_index") - 1, F.lag("spectrum").over(order))
     gap = F.sqrt(F.aggregate(F.zip_with("spectrum", was, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x))
-    return spectral.withColumn("flux", F.when(was.isNotNull() & F.col("spectrum").isNotNull(), gap))
+    rows = rows.withColumn("flux", F.when(was.isNotNull() & F.col("spectrum").isNotNull(), gap))
+    return rows.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("audio_valid", "spectral_valid")}).drop("spectrum")
+
+
+def solo_ranges(states: DataFrame, rate: float, step_s: float) -> DataFrame:
+    """(recording_id, decision_index, ranges): of each cell in which the wearer alone speaks, everyone being known, the samples of it, as (first, end).
+
+    Sample i of a cell is at its start plus i / rate, and lies in a piece if that starts by then (within EPS) and ends later.
+    Pieces become bounds of samples, so that no sample is a row.
+    """
+    solo = st.floor(states).filter("all_known AND solo = 0").select("recording_id", "start_s", "end_s")
+    step, n = F.lit(step_s), round(rate * step_s)
+    first, last = F.floor((F.col("start_s") - EPS) / step), F.floor(F.col("end_s") / step)
+    cell = solo.withColumn("decision_index", F.explode(F.sequence(F.greatest(first, F.lit(0)), F.greatest(last, F.lit(0))))).withColumn("_t", F.col("decision_index") * step)
+
+    def bound(at: str) -> Column:
+        return F.least(F.greatest(F.ceil((F.col(at) - F.lit(EPS) - F.col("_t")) * F.lit(rate)), F.lit(0)), F.lit(n)).cast("int")
+
+    cut = cell.select("recording_id", "decision_index", bound("start_s").alias("first"), bound("end_s").alias("end")).filter("end > first")
+    return cut.groupBy("recording_id", "decision_index").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("ranges"))
 
 
-def masked_level(cells: DataFrame, least_share: float, floor_db: float = -120.0) -> DataFrame:
-    """`level_db` of the samples under a mask (array of booleans); null where too few are, the floor for digital silence."""
-    kept = F.filter(F.zip_with("samples", "mask", lambda x, m: F.when(m, x.cast("double"))), lambda x: x.isNotNull())
-    rows = cells.withColumn("_kept", kept).withColumn("_share", F.size("_kept") / F.size("samples"))
-    level = F.when(rms(F.col("_kept")) > 0, 20 * F.log10(rms(F.col("_kept")))).otherwise(floor_db)
-    return rows.withColumn("level_db", F.when((F.size("_kept") > 0) & (F.col("_share") >= least_share - 1e-9), level)).drop("_kept", "_share")
+def masked_level(cells: DataFrame, rate: float, step_s: float, least_share: float) -> DataFrame:
+    """(recording_id, decision_index, level_db): decibels below full scale of the samples within `ranges` (first, end) of each cell.
+
+    Null where the cell is incomplete, has no range, or its `fraction` under the mask is null or below `least_share`; SILENCE_DB for digital silence.
+    """
+    n = round(rate * step_s)
+    keys = ("recording_id", "decision_index")
+    ddl, schema = _typed(cells, keys, {"level_db": ("double", pa.float64())})
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, AT_ONCE // max(n, 1))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                flat, offsets = _laid_out(batch.column("samples"))
+                squares = np.append(flat**2, 0.0)  # so that a range may end where the samples do
+                ranges = pc.fill_null(batch.column("ranges"), pa.scalar([], batch.schema.field("ranges").type))
+                cell = np.repeat(np.arange(batch.num_rows), pc.list_value_length(ranges).to_numpy(zero_copy_only=False))
+                parts = ranges.flatten()
+                share = batch.column("fraction").cast(pa.float64()).to_numpy(zero_copy_only=False)
+                whole_cell = np.diff(offsets) == n
+                kept = whole_cell[cell]
+                first, end = (parts.field(f).to_numpy(zero_copy_only=False)[kept] for f in ("first", "end"))
+                cell = cell[kept]
+                bounds = np.column_stack([offsets[cell] + first, offsets[cell] + end]).reshape(-1)
+                sums = np.add.reduceat(squares, bounds)[::2] if len(bounds) else np.zeros(0)
+                count = np.bincount(cell, end - first, batch.num_rows)
+                mean = np.bincount(cell, sums, batch.num_rows) / np.maximum(count, 1)
+                level = np.where(mean > 0, 10 * np.log10(np.where(mean > 0, mean, 1)), SILENCE_DB)
+                level[~((count > 0) & (share >= least_share - 1e-9))] = np.nan
+                yield pa.record_batch([*(batch.column(k) for k in keys), pa.array(level, pa.float64(), from_pandas=True)], schema=schema)
+
+    return cells.select(*keys, "samples", "ranges", "fraction").mapInArrow(work, ddl)
 
 
 def pitch_cells(frames: DataFrame, cells: DataFrame, step_s: float, least_share: float) -> DataFrame:

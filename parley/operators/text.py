@@ -55,66 +55,96 @@ def closing(text: Column) -> Column:
     return F.when(last.isin(*CLOSERS), last)
 
 
-def token_events(tokens: DataFrame) -> DataFrame:
-    """All tokens with their class and normal word; an untimed one has a null time."""
-    timed = F.col("timing_valid")
-    return tokens.select(
+def token_events(tokens: DataFrame, participants: DataFrame) -> DataFrame:
+    """Every token as an event, with its text, its class, its speaker's index and the turn that it lies in.
+
+    `tokens` have `unit` (word or utterance) and `turn`, of `words_to_turns` or `utterances_to_turns`, zero-based within the
+    recording; `participants` say (recording_id, participant_id, participant_index). Untimed tokens stay, with null times and
+    turn; a null or unknown speaker has a null index, a missing text stays null and is of class empty.
+    """
+    timed = F.coalesce("timing_valid", F.lit(False))
+    who = participants.select("recording_id", "participant_id", "participant_index")
+    return tokens.join(who, ["recording_id", "participant_id"], "left").select(
         "recording_id",
-        "participant_id",
-        "source_row",
+        F.lit("token").alias("event_type"),
         F.when(timed, F.col("start_s")).alias("time_s"),
-        F.when(timed, F.col("end_s") - F.col("start_s")).alias("duration_s"),
+        F.when(timed, F.col("end_s")).alias("end_s"),
+        "participant_index",
+        "participant_id",
+        "unit",
+        "text",
         token_class(F.col("text")).alias("token_class"),
-        normal_word(F.coalesce("text", F.lit(""))).alias("word"),
+        timed.alias("timing_valid"),
+        F.when(timed, F.col("turn")).alias("turn_id"),
+        "source_row",
     )
 
 
 def words_to_turns(tokens: DataFrame, turns: DataFrame) -> DataFrame:
-    """Each timed word with the turn of its own speaker that its midpoint lies in (within EPS); the earliest if two do.
+    """Each timed word with the turn of its own speaker that its midpoint lies in (within EPS, before the end); the earliest if two do.
 
     Turns of one speaker don't overlap, so the last one that starts by the midpoint decides, or the one before it
-    when the midpoint lies on their common edge.
+    when the midpoint lies on their common edge. `turns` may name their `turn`; else they are numbered from 1 for each speaker.
     """
     key = ["recording_id", "participant_id"]
     order = Window.partitionBy(*key).orderBy("start_s")
-    numbered = turns.select(*key, "start_s", "end_s", F.row_number().over(order).alias("turn"), F.lag("end_s").over(order).alias("_was"))
+    named = turns if "turn" in turns.columns else turns.withColumn("turn", F.row_number().over(order))
+    numbered = named.select(*key, "start_s", "end_s", "turn", F.lag("end_s").over(order).alias("_was"), F.lag("turn").over(order).alias("_before"))
     asks = tokens.filter("timing_valid").withColumn("mid_s", (F.col("start_s") + F.col("end_s")) / 2).withColumn("_at", F.col("mid_s") + F.lit(EPS))
-    met = asof(asks, numbered, key, "_at", "start_s", ["start_s", "end_s", "turn", "_was"], into="_t")
-    earlier = F.col("_t._was").isNotNull() & (F.col("mid_s") <= F.col("_t._was") + EPS)
-    inside = F.col("mid_s") <= F.col("_t.end_s") + EPS
-    return met.withColumn("turn", F.when(earlier, F.col("_t.turn") - 1).when(inside, F.col("_t.turn"))).drop("_t", "_at")
+    met = asof(asks, numbered, key, "_at", "start_s", ["start_s", "end_s", "turn", "_was", "_before"], into="_t")
+    earlier = F.col("_t._was").isNotNull() & (F.col("mid_s") < F.col("_t._was") + EPS)
+    inside = F.col("mid_s") < F.col("_t.end_s") + EPS
+    return met.withColumn("turn", F.when(earlier, F.col("_t._before")).when(inside, F.col("_t.turn"))).drop("_t", "_at")
+
+
+def _unit_columns(found: Column, punctuation: Column) -> list[Column]:
+    """What both kinds of units say of their lexical words; null, but for the count, where there is none."""
+    some = F.size(found) > 0
+    return [
+        F.size(found).alias("word_count"),
+        F.when(some, punctuation).alias("final_punctuation"),
+        F.when(some, F.coalesce(punctuation == "?", F.lit(False))).alias("interrogative_cue"),
+        F.when(some, F.element_at(found, -1)).alias("final_token"),
+        F.when(some, marker(found, False)).alias("initial_discourse_marker"),
+        F.when(some, marker(found, True)).alias("final_discourse_marker"),
+    ]
 
 
 def utterance_units(utterances: DataFrame) -> DataFrame:
-    """One row per utterance: words, words a second, closing punctuation, question, last word and markers at both ends."""
-    rows = utterances.withColumn("_words", words(F.col("text")))
-    length = F.when(F.col("timing_valid"), F.col("end_s") - F.col("start_s"))
-    n = F.size("_words")
-    close = closing(F.coalesce("text", F.lit("")))
-    return rows.select(
-        "recording_id",
-        "participant_id",
-        "source_row",
-        n.alias("words"),
-        F.when(length > 0, n / length).alias("words_per_s"),
-        close.alias("final_punctuation"),
-        F.coalesce(close == "?", F.lit(False)).alias("interrogative"),
-        F.when(n > 0, F.element_at("_words", -1)).alias("final_word"),
-        marker(F.col("_words"), False).alias("first_marker"),
-        marker(F.col("_words"), True).alias("last_marker"),
-    )
+    """One row per timed utterance, numbered from 0 in a recording by start and source row: its lexical words, their number, how it closes, and markers.
+
+    Only words with a letter count; in brackets they don't. Utterances have no rates, as their pauses aren't known. Untimed ones have no row;
+    without a lexical word all but the count is null.
+    """
+    order = Window.partitionBy("recording_id").orderBy("start_s", "source_row")
+    rows = utterances.filter("timing_valid").withColumn("segment_id", F.row_number().over(order) - 1)
+    parts = F.filter(F.split(F.trim(F.coalesce("text", F.lit(""))), r"\s+"), lambda w: token_class(w) == "lexical")
+    rows = rows.withColumn("_words", F.transform(parts, normal_word))
+    shared = ["recording_id", "segment_id", "start_s", "end_s", (F.col("end_s") - F.col("start_s")).alias("duration_s"), "participant_id", "source_row"]
+    nothing = F.lit(None).cast("double")
+    return rows.select(*shared, *_unit_columns(F.col("_words"), closing(F.coalesce("text", F.lit("")))), nothing.alias("words_per_second"), nothing.alias("words_per_voiced_second"), F.lit(False).alias("speech_rate_valid"))
 
 
-def turn_units(tokens: DataFrame) -> DataFrame:
-    """One row per turn from its words in order of time: count, rate over the span of words, last word, markers."""
-    placed = F.sort_array(F.collect_list(F.struct("start_s", "source_row", normal_word(F.col("text")).alias("w"))))
-    rows = tokens.filter("turn IS NOT NULL").groupBy("recording_id", "participant_id", "turn").agg(placed.alias("_t"), F.min("start_s").alias("_low"), F.max("end_s").alias("_high"))
-    rows = rows.withColumn("_words", F.filter(F.transform("_t", lambda t: t["w"]), lambda w: w != ""))
-    n = F.size("_words")
-    span = F.col("_high") - F.col("_low")
+def turn_units(tokens: DataFrame, turns: DataFrame) -> DataFrame:
+    """One row for every turn, also for those without a word: its lexical words, their rates over its length and over its voiced seconds, and how it closes.
+
+    `turns` have (recording_id, participant_id, turn, start_s, end_s, pauses_s); voiced is what pauses leave of a turn. `tokens` are words
+    of `words_to_turns`. The last token closes a turn if it is a closing mark by itself. Rates need a lexical word and a
+    length above 0; without a lexical word all but the count is null.
+    """
+    key = ["recording_id", "participant_id", "turn"]
+    said = F.struct("start_s", "source_row", F.coalesce("text", F.lit("")).alias("text"))
+    spoken = tokens.filter("turn IS NOT NULL").groupBy(*key).agg(F.sort_array(F.collect_list(said)).alias("_said"))
+    rows = turns.select(*key, "start_s", "end_s", "pauses_s").join(spoken, key, "left")
+    lexical = F.filter(F.coalesce(F.transform("_said", lambda t: t["text"]), F.array().cast("array<string>")), lambda w: token_class(w) == "lexical")
+    rows = rows.withColumn("_words", F.transform(lexical, lambda w: normal_word(F.trim(w)))).withColumn("_last", F.trim(F.element_at("_said", -1)["text"]))
+    length = F.col("end_s") - F.col("start_s")
+    voiced, n = length - F.col("pauses_s"), F.size("_words")
+    mark = F.when(F.col("_last").isin(*CLOSERS), F.col("_last"))
+    rate = F.when((n > 0) & (length > 0), n / length)
     return rows.select(
-        "recording_id", "participant_id", "turn", n.alias("words"), F.when(span > 0, n / span).alias("words_per_s"), F.when(n > 0, F.element_at("_words", -1)).alias("final_word"),
-        marker(F.col("_words"), False).alias("first_marker"), marker(F.col("_words"), True).alias("last_marker"),
+        *key, "start_s", "end_s", length.alias("duration_s"), *_unit_columns(F.col("_words"), mark),
+        rate.alias("words_per_second"), F.when((n > 0) & (voiced > 0), n / voiced).alias("words_per_voiced_second"), rate.isNotNull().alias("speech_rate_valid"),
     )
 
 
@@ -124,7 +154,8 @@ def utterances_to_turns(utterances: DataFrame, turns: DataFrame) -> DataFrame:
     Turns and utterances are cut at each other's ends, so an utterance meets only turns that it overlaps.
     """
     key = ["recording_id", "participant_id"]
-    numbered = turns.withColumn("turn", F.row_number().over(Window.partitionBy(*key).orderBy("start_s"))).select(*key, "turn", "start_s", "end_s")
+    number = F.col("turn") if "turn" in turns.columns else F.row_number().over(Window.partitionBy(*key).orderBy("start_s"))
+    numbered = turns.withColumn("turn", number).select(*key, "turn", "start_s", "end_s")
     timed = utterances.filter("timing_valid")
     spans = timed.select(*key, "source_row", "start_s", "end_s")
     cut = pieces(spans.select(*key, "start_s", "end_s").unionByName(numbered.select(*key, "start_s", "end_s")), key)

@@ -10,6 +10,7 @@ from parley.plans.oracle import EPS, PARTS, part, sql
 from parley.plans.q_state import STEP, rounded
 from parley.plans.q_structure import RULES, states
 from parley.sources import canonical as c
+from parley.sources.shared import saved
 
 SUBFRAMES = 2
 HORIZONS = (10.0, 50.0, 100.0)
@@ -92,9 +93,11 @@ def l4_label_coverage(spark, sf_dir):
 
 
 def l5_sanity_statistics(spark, sf_dir):
-    around = states(spark, sf_dir).persist()
+    around = saved(states(spark, sf_dir), "states")
     grid_ = cells(spark, sf_dir)
-    out = lb.sanity(lb.instantaneous(around, grid_, STEP, SUBFRAMES), lb.timing(lb.references(around, grid_, STEP)), st.events_table(around, RULES), st.segments_table(around, RULES))
+    times = saved(lb.timing(lb.references(around, grid_, STEP)), "timing")
+    events_, segments = saved(st.events_table(around, RULES), "events"), saved(st.segments_table(around, RULES), "segments")
+    out = lb.sanity(lb.instantaneous(around, grid_, STEP, SUBFRAMES), times, events_, segments)
     return rounded(out, 3)
 
 

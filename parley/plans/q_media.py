@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from parley.operators import labels as lb
 from parley.operators import packets as pk
 from parley.operators import signal as sg
+from parley.operators import structure as st
 from parley.operators import text as tx
-from parley.plans.oracle import part, sql
+from parley.plans.oracle import EPS, part, sql
 from parley.plans.q_state import rounded
 from parley.sources import canonical as c
+from parley.sources.shared import saved
 
 REFERENCE, RATE, THRESHOLD, WINDOW = 1024.0, 48_000.0, 480.0, 94
 
@@ -113,13 +116,34 @@ def x2_normal_words(spark, sf_dir):
     return rounded(w.groupBy(tx.normal_word(F.col("text")).alias("word")).agg(F.count("*").alias("n")))
 
 
+def _talk(spark, sf_dir):
+    """Words, the turns that their times make, and the speakers in their order, the user first."""
+    words = _words(spark, sf_dir).withColumn("unit", F.lit("word"))
+    who = words.select("recording_id", "participant_id").distinct().withColumn("is_wearer", F.col("participant_id") == "user").withColumn("resolved", F.lit(True))
+    spoken = words.filter("timing_valid").select("recording_id", "participant_id", "start_s", "end_s")
+    spans = spoken.groupBy("recording_id").agg(F.lit(0.0).alias("start_s"), F.max("end_s").alias("end_s"))
+    states = st.participant_states(spans, who, spoken, spark.createDataFrame([], "recording_id string, participant_id string, start_s double, end_s double"))
+    order = Window.partitionBy("recording_id").orderBy("start_s", "participant_index")
+    who = st.order_participants(who)
+    turns = st.turns(saved(states, "states"), st.Rules()).join(who.select("recording_id", "participant_id", "participant_index"), ["recording_id", "participant_index"])
+    turns = turns.withColumn("turn", F.row_number().over(order) - 1).select("recording_id", "participant_id", "turn", "start_s", "end_s", "pauses_s")
+    return words, saved(turns, "turns"), who
+
+
 def x7_token_events(spark, sf_dir):
-    return rounded(tx.token_events(_words(spark, sf_dir)))
+    words, turns, who = _talk(spark, sf_dir)
+    return rounded(tx.token_events(tx.words_to_turns(words, turns).unionByName(words.filter("NOT timing_valid"), allowMissingColumns=True), who))
+
+
+def x7_utterance_events(spark, sf_dir):
+    _, turns, who = _talk(spark, sf_dir)
+    said = utterances(spark, sf_dir).withColumn("unit", F.lit("utterance"))
+    return rounded(tx.token_events(tx.utterances_to_turns(said, turns).unionByName(said.filter("NOT timing_valid"), allowMissingColumns=True), who).drop("text"))
 
 
 def x8_turn_units(spark, sf_dir):
-    turns = utterances(spark, sf_dir).select("recording_id", "participant_id", "start_s", "end_s")
-    return rounded(tx.turn_units(tx.words_to_turns(_words(spark, sf_dir), turns)))
+    words, turns, _ = _talk(spark, sf_dir)
+    return rounded(tx.turn_units(tx.words_to_turns(words, turns), turns))
 
 
 def x5_words_to_turns(spark, sf_dir):
@@ -140,27 +164,48 @@ def x8_utterance_units(spark, sf_dir):
     return rounded(tx.utterance_units(utterances(spark, sf_dir)))
 
 
-def _pcm(spark, sf_dir):
-    e = c.table(spark, sf_dir, "embeddings")
-    w = Window.partitionBy("label").orderBy("vec_id")
-    return e.select(F.col("label").alias("recording_id"), (F.row_number().over(w) - 1).cast("long").alias("decision_index"), F.col("embedding").alias("samples"))
+#: Samples a second and seconds of a cell where embeddings stand for sound.
+SOUND_RATE, SOUND_STEP = 6.4, 10.0
+
+
+def _sound(spark, sf_dir):
+    """Embeddings as cells of ten seconds at 6.4 samples a second: those of a label and a thousand ids are a recording; every 50th cell is cut short."""
+    cells = c.table(spark, sf_dir, "embeddings").withColumn("recording_id", F.concat_ws("/", "label", F.floor(F.col("vec_id") / 1000)))
+    short = F.when(F.col("vec_id") % 50 == 49, F.slice("embedding", 1, 40)).otherwise(F.col("embedding"))
+    return cells.select("recording_id", F.col("vec_id").alias("decision_index"), short.alias("samples"))
+
+
+def _sound_grid(spark, sf_dir):
+    """The cells that have sound and the ones after them."""
+    cells = _sound(spark, sf_dir).select("recording_id", "decision_index")
+    return cells.unionByName(cells.withColumn("decision_index", F.col("decision_index") + 1)).distinct()
 
 
 def f1_audio_features(spark, sf_dir):
-    cells = _pcm(spark, sf_dir)
-    level = cells.select("recording_id", "decision_index", sg.rms(F.col("samples")).alias("rms"), sg.zero_crossings(F.col("samples")).alias("zero_crossings"))
-    spectral = sg.spectra(cells, 640.0, ["recording_id", "decision_index"]).drop("spectrum")
-    return rounded(level.join(spectral, ["recording_id", "decision_index"]))
+    measured = sg.audio_cells(_sound(spark, sf_dir), SOUND_RATE, SOUND_STEP).drop("spectrum")
+    return rounded(_sound_grid(spark, sf_dir).join(measured, ["recording_id", "decision_index"], "left"))
+
+
+def f1_levels(spark, sf_dir):
+    """What of the features SQL can express: all but the spectra."""
+    measured = sg.audio_grid(sg.audio_cells(_sound(spark, sf_dir), SOUND_RATE, SOUND_STEP), _sound_grid(spark, sf_dir))
+    return rounded(measured.select("recording_id", "decision_index", "rms", "zero_crossing_rate", "noise_proxy", "audio_valid"))
 
 
 def f2_spectral_flux(spark, sf_dir):
-    spectral = sg.spectra(_pcm(spark, sf_dir), 640.0, ["recording_id", "decision_index"])
-    return rounded(sg.flux(spectral, "recording_id", "decision_index").select("recording_id", "decision_index", "flux"))
+    measured = sg.audio_grid(sg.audio_cells(_sound(spark, sf_dir), SOUND_RATE, SOUND_STEP), _sound_grid(spark, sf_dir))
+    return rounded(measured.select("recording_id", "decision_index", "flux", "spectral_valid"))
 
 
 def f3_masked_level(spark, sf_dir):
-    cells = _pcm(spark, sf_dir).withColumn("mask", F.transform("samples", lambda x: x > 0))
-    return rounded(sg.masked_level(cells, 0.4).select("recording_id", "decision_index", "level_db"))
+    """Conversations with sound: cell k of every recording sounds as embedding k does; the wearer's level where it speaks alone."""
+    from parley.plans.q_structure import states
+
+    around = saved(states(spark, sf_dir), "states")
+    sound = c.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("decision_index"), F.col("embedding").alias("samples"))
+    cells = c.recordings(c.table(spark, sf_dir, "events")).select("recording_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(359).cast("long"))).alias("decision_index"))
+    masks = sg.solo_ranges(around, SOUND_RATE, SOUND_STEP).join(lb.solo_share(around, cells, SOUND_STEP).withColumnRenamed("ego_solo_mask_fraction", "fraction"), ["recording_id", "decision_index"])
+    return rounded(sg.masked_level(masks.join(sound, "decision_index"), SOUND_RATE, SOUND_STEP, 0.4))
 
 
 def f4_pitch_cells(spark, sf_dir):
@@ -247,20 +292,42 @@ ORACLE_SQL = {
     "x2_normal_words": sql("wrd", f"SELECT {_TRIM.format(x='text')} AS word, count(*) AS n FROM wrd GROUP BY 1"),
     "x5_words_to_turns": sql("wrd utt", """, t AS (SELECT recording_id, participant_id, start_s AS a, start_s + n * CAST(0.06 AS DOUBLE) AS b, row_number() OVER (PARTITION BY recording_id, participant_id ORDER BY start_s) AS turn FROM utt),
       w AS (SELECT row_number() OVER () AS id, *, start_s + CAST(0.125 AS DOUBLE) AS m FROM wrd WHERE timing_valid)
-      SELECT recording_id, participant_id, turn, count(*) AS n FROM (SELECT w.id, any_value(w.recording_id) AS recording_id, any_value(w.participant_id) AS participant_id, min(t.turn) AS turn FROM w LEFT JOIN t ON t.recording_id = w.recording_id AND t.participant_id = w.participant_id AND w.m >= t.a - 1e-9 AND w.m <= t.b + 1e-9 GROUP BY 1) GROUP BY 1, 2, 3"""),
-    "x8_utterance_units": sql("utt", f"""SELECT recording_id, participant_id, source_row, CAST(len(ws) AS BIGINT) AS words, round(CASE WHEN timing_valid AND n > 0 THEN len(ws) / (n * CAST(0.06 AS DOUBLE)) END, 6) AS words_per_s,
-      CASE WHEN right(rtrim(text), 1) IN ('.', '?', '!', ',') THEN right(rtrim(text), 1) END AS final_punctuation, coalesce(right(rtrim(text), 1) = '?', false) AS interrogative, ws[-1] AS final_word, {_marker(False)} AS first_marker, {_marker(True)} AS last_marker
-      FROM (SELECT *, list_filter(list_transform(regexp_split_to_array(trim(text), '\\s+'), lambda v: {_TRIM.format(x='v')}), lambda v: v <> '') AS ws FROM utt)"""),
+      SELECT recording_id, participant_id, turn, count(*) AS n FROM (SELECT w.id, any_value(w.recording_id) AS recording_id, any_value(w.participant_id) AS participant_id, min(t.turn) AS turn FROM w LEFT JOIN t ON t.recording_id = w.recording_id AND t.participant_id = w.participant_id AND w.m >= t.a - 1e-9 AND w.m < t.b + 1e-9 GROUP BY 1) GROUP BY 1, 2, 3"""),
 }
 
 _CLASS = r"""CASE WHEN text = '' THEN 'empty' WHEN regexp_full_match(text, '\[[^\]]*\]|<[^>]*>|\([^)]*\)') THEN 'special' WHEN regexp_matches(text, '[A-Za-z]') THEN 'lexical' WHEN regexp_full_match(text, '[^\p{L}\p{M}\p{N}_\s]+') THEN 'punctuation' ELSE 'other' END"""
-ORACLE_SQL["x7_token_events"] = sql("wrd", f"SELECT recording_id, participant_id, source_row, round(CASE WHEN timing_valid THEN start_s END, 6) AS time_s, CASE WHEN timing_valid THEN CAST(0.25 AS DOUBLE) END AS duration_s, {_CLASS} AS token_class, {_TRIM.format(x='text')} AS word FROM wrd")
-ORACLE_SQL["x8_turn_units"] = sql("wrd utt", f""", t AS (SELECT recording_id, participant_id, start_s AS a, start_s + n * CAST(0.06 AS DOUBLE) AS b, row_number() OVER (PARTITION BY recording_id, participant_id ORDER BY start_s) AS turn FROM utt),
-  w AS (SELECT *, start_s + CAST(0.125 AS DOUBLE) AS m FROM wrd WHERE timing_valid),
-  p AS (SELECT w.source_row, any_value(w.recording_id) AS recording_id, any_value(w.participant_id) AS participant_id, any_value(w.text) AS text, any_value(w.start_s) AS start_s, min(t.turn) AS turn FROM w
-    JOIN t ON t.recording_id = w.recording_id AND t.participant_id = w.participant_id AND w.m >= t.a - 1e-9 AND w.m <= t.b + 1e-9 GROUP BY w.source_row, w.recording_id, w.participant_id)
-  SELECT recording_id, participant_id, turn, len(ws) AS words, round(CASE WHEN hi > lo THEN len(ws) / (hi - lo) END, 6) AS words_per_s, ws[-1] AS final_word, {_marker(False)} AS first_marker, {_marker(True)} AS last_marker FROM (
-    SELECT recording_id, participant_id, turn, list_filter(list({_TRIM.format(x='text')} ORDER BY start_s, source_row), lambda v: v <> '') AS ws, min(start_s) AS lo, max(start_s + CAST(0.25 AS DOUBLE)) AS hi FROM p GROUP BY 1, 2, 3)""")
+part("who2", "wrd", "SELECT recording_id, participant_id, row_number() OVER (PARTITION BY recording_id ORDER BY participant_id <> 'user', participant_id) - 1 AS participant_index FROM (SELECT DISTINCT recording_id, participant_id FROM wrd)")
+part("wturn", "wrd who2", f"""SELECT recording_id, participant_id, row_number() OVER (PARTITION BY recording_id ORDER BY start_s, participant_index) - 1 AS turn, start_s, end_s, pauses_s FROM (
+  SELECT recording_id, participant_id, any_value(participant_index) AS participant_index, min(start_s) AS start_s, max(end_s) AS end_s, coalesce(sum(CASE WHEN NOT fresh THEN greatest(start_s - reach, 0) END), 0) AS pauses_s FROM (
+    SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY recording_id, participant_id ORDER BY start_s, end_s, source_row ROWS UNBOUNDED PRECEDING) AS g FROM (
+      SELECT *, coalesce(start_s - reach > CAST(0.3 AS DOUBLE) + {EPS}, true) AS fresh FROM (
+        SELECT *, max(end_s) OVER (PARTITION BY recording_id, participant_id ORDER BY start_s, end_s, source_row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+        FROM (SELECT *, start_s + CAST(0.25 AS DOUBLE) AS end_s FROM wrd JOIN who2 USING (recording_id, participant_id) WHERE timing_valid))))
+  GROUP BY recording_id, participant_id, g)""")
+part("placed", "wrd wturn", f"""SELECT w.recording_id, w.participant_id, w.source_row, any_value(w.text) AS text, any_value(w.start_s) AS start_s, min(t.turn) AS turn FROM wrd w LEFT JOIN wturn t
+  ON t.recording_id = w.recording_id AND t.participant_id = w.participant_id AND w.start_s + CAST(0.125 AS DOUBLE) >= t.start_s - {EPS} AND w.start_s + CAST(0.125 AS DOUBLE) < t.end_s + {EPS}
+  WHERE w.timing_valid GROUP BY 1, 2, 3""")
+_SAID = _CLASS.replace("text", "trim(v)")
+_UNIT = f"""CAST(len(ws) AS INTEGER) AS word_count, CASE WHEN len(ws) > 0 THEN mark END AS final_punctuation, CASE WHEN len(ws) > 0 THEN coalesce(mark = '?', false) END AS interrogative_cue, ws[-1] AS final_token,
+  {_marker(False)} AS initial_discourse_marker, {_marker(True)} AS final_discourse_marker"""
+ORACLE_SQL["x7_token_events"] = sql("wrd placed who2", f"""SELECT w.recording_id, 'token' AS event_type, round(CASE WHEN w.timing_valid THEN w.start_s END, 6) AS time_s, round(CASE WHEN w.timing_valid THEN w.start_s + CAST(0.25 AS DOUBLE) END, 6) AS end_s,
+  o.participant_index, w.participant_id, 'word' AS unit, w.text, {_CLASS.replace("text", "w.text")} AS token_class, w.timing_valid, p.turn AS turn_id, w.source_row
+  FROM wrd w LEFT JOIN who2 o USING (recording_id, participant_id) LEFT JOIN placed p ON p.recording_id = w.recording_id AND p.participant_id = w.participant_id AND p.source_row = w.source_row""")
+ORACLE_SQL["x7_utterance_events"] = sql("utt wturn who2", f""", best AS (
+    SELECT u.recording_id, u.participant_id, u.source_row, arg_min(t.turn, (-round(least(u.start_s + u.n * CAST(0.06 AS DOUBLE), t.end_s) - greatest(u.start_s, t.start_s), 9), t.turn)) AS turn
+    FROM utt u JOIN wturn t ON t.recording_id = u.recording_id AND t.participant_id = u.participant_id AND least(u.start_s + u.n * CAST(0.06 AS DOUBLE), t.end_s) - greatest(u.start_s, t.start_s) > {EPS} WHERE u.timing_valid GROUP BY 1, 2, 3)
+  SELECT u.recording_id, 'token' AS event_type, round(CASE WHEN u.timing_valid THEN u.start_s END, 6) AS time_s, round(CASE WHEN u.timing_valid THEN u.start_s + u.n * CAST(0.06 AS DOUBLE) END, 6) AS end_s,
+  o.participant_index, u.participant_id, 'utterance' AS unit, {_CLASS.replace("text", "trim(u.text)")} AS token_class, u.timing_valid, b.turn AS turn_id, u.source_row
+  FROM utt u LEFT JOIN who2 o USING (recording_id, participant_id) LEFT JOIN best b ON b.recording_id = u.recording_id AND b.participant_id = u.participant_id AND b.source_row = u.source_row""")
+ORACLE_SQL["x8_turn_units"] = sql("wturn placed", f"""SELECT recording_id, participant_id, turn, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, round(end_s - start_s, 6) AS duration_s, {_UNIT},
+  round(CASE WHEN len(ws) > 0 AND end_s > start_s THEN len(ws) / (end_s - start_s) END, 6) AS words_per_second, round(CASE WHEN len(ws) > 0 AND end_s - start_s - pauses_s > 0 THEN len(ws) / (end_s - start_s - pauses_s) END, 6) AS words_per_voiced_second,
+  len(ws) > 0 AND end_s > start_s AS speech_rate_valid FROM (
+    SELECT t.*, CASE WHEN trim(said[-1]) IN ('.', '?', '!', ',') THEN trim(said[-1]) END AS mark, list_transform(list_filter(coalesce(said, []), lambda v: ({_SAID}) = 'lexical'), lambda v: {_TRIM.format(x='trim(v)')}) AS ws
+    FROM wturn t LEFT JOIN (SELECT recording_id, participant_id, turn, list(text ORDER BY start_s, source_row) AS said FROM placed WHERE turn IS NOT NULL GROUP BY 1, 2, 3) s USING (recording_id, participant_id, turn))""")
+ORACLE_SQL["x8_utterance_units"] = sql("utt", f"""SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY start_s, source_row) - 1 AS segment_id, round(start_s, 6) AS start_s, round(start_s + n * CAST(0.06 AS DOUBLE), 6) AS end_s, round(start_s + n * CAST(0.06 AS DOUBLE) - start_s, 6) AS duration_s, participant_id, source_row, {_UNIT},
+  CAST(NULL AS DOUBLE) AS words_per_second, CAST(NULL AS DOUBLE) AS words_per_voiced_second, false AS speech_rate_valid FROM (
+    SELECT *, CASE WHEN right(rtrim(text), 1) IN ('.', '?', '!', ',') THEN right(rtrim(text), 1) END AS mark,
+      list_transform(list_filter(regexp_split_to_array(trim(text), '\\s+'), lambda v: ({_SAID}) = 'lexical'), lambda v: {_TRIM.format(x='v')}) AS ws FROM utt WHERE timing_valid)""")
 ORACLE_SQL["x6_utterances_to_turns"] = sql("utt", """, t AS (SELECT recording_id, participant_id, start_s AS a, start_s + n * CAST(0.06 AS DOUBLE) AS b, row_number() OVER (PARTITION BY recording_id, participant_id ORDER BY start_s) AS turn FROM utt WHERE n > 0),
   u AS (SELECT recording_id, participant_id, source_row, start_s + 20 AS a, start_s + n * CAST(0.06 AS DOUBLE) + 20 AS b FROM utt WHERE timing_valid)
   SELECT u.recording_id, u.participant_id, u.source_row, arg_min(t.turn, (-round(least(u.b, t.b) - greatest(u.a, t.a), 9), t.turn)) AS turn, round(coalesce(max(least(u.b, t.b) - greatest(u.a, t.a)) FILTER (WHERE t.turn IS NOT NULL), 0), 6) AS shared_s
@@ -268,3 +335,19 @@ ORACLE_SQL["x6_utterances_to_turns"] = sql("utt", """, t AS (SELECT recording_id
 ORACLE_SQL["f4_pitch_cells"] = sql("ann recs", """SELECT c.recording_id, c.decision_index, round(CASE WHEN c.decision_index % 4 <> 3 THEN m END, 6) AS f0_median, round(CASE WHEN c.decision_index % 4 <> 3 THEN s END, 6) AS voiced_share
   FROM (SELECT recording_id, unnest(range(0, 12)) AS decision_index FROM recs) c LEFT JOIN (
     SELECT recording_id, CAST(floor(start_s / 300 + CAST(1e-9 AS DOUBLE)) AS BIGINT) AS decision_index, quantile_cont(value, 0.5) FILTER (WHERE value > 10) AS m, count(*) FILTER (WHERE value > 10) / CAST(count(*) AS DOUBLE) AS s FROM ann WHERE kind <> 'purchase' GROUP BY 1, 2) USING (recording_id, decision_index)""")
+ORACLE_SQL["f1_levels"] = """WITH cells AS (SELECT label || '/' || (vec_id // 1000) AS recording_id, vec_id AS decision_index, CASE WHEN vec_id % 50 = 49 THEN embedding[1:40] ELSE embedding END AS x FROM embeddings),
+  grid AS (SELECT recording_id, decision_index FROM cells UNION SELECT recording_id, decision_index + 1 FROM cells),
+  full_ AS (SELECT recording_id, decision_index, list_transform(x, lambda v: CAST(v AS DOUBLE)) AS x FROM cells WHERE len(x) = 64)
+  SELECT g.recording_id, g.decision_index, round(sqrt(list_sum(list_transform(x, lambda v: v * v)) / 64), 6) AS rms,
+    round(CASE WHEN x IS NOT NULL THEN list_sum(list_transform(range(1, 64), lambda i: CASE WHEN signbit(x[i]) <> signbit(x[i + 1]) THEN 1 ELSE 0 END)) / CAST(63 AS DOUBLE) END, 6) AS zero_crossing_rate,
+    round(list_aggregate(list_transform(x, lambda v: abs(v)), 'quantile_cont', 0.2), 6) AS noise_proxy, x IS NOT NULL AS audio_valid
+  FROM grid g LEFT JOIN full_ USING (recording_id, decision_index)"""
+ORACLE_SQL["f3_masked_level"] = sql("pstates flr", f"""SELECT recording_id, decision_index, round(CASE WHEN n > 0 AND solo_s / 10 >= 0.4 - 1e-9 AND bad_s <= {EPS} THEN CASE WHEN e > 0 THEN 10 * log10(e / n) ELSE -120 END END, 6) AS level_db FROM (
+  SELECT recording_id, decision_index, count(*) AS n, sum(CAST(s AS DOUBLE) * s) AS e, any_value(solo_s) AS solo_s, any_value(bad_s) AS bad_s FROM (
+    SELECT m.recording_id, m.decision_index, m.solo_s, m.bad_s, e.embedding[i + 1] AS s FROM (
+      SELECT recording_id, k AS decision_index, unnest(range(0, 64)) AS i, solo_s, bad_s FROM (
+        SELECT recording_id, k, sum(CASE WHEN all_known AND solo = 0 THEN least(end_s, k * 10 + 10) - greatest(start_s, k * 10) ELSE 0 END) AS solo_s, sum(CASE WHEN NOT all_known THEN least(end_s, k * 10 + 10) - greatest(start_s, k * 10) ELSE 0 END) AS bad_s
+        FROM flr, (SELECT unnest(range(0, 360)) AS k) WHERE start_s < k * 10 + 10 AND end_s > k * 10 GROUP BY 1, 2)) m
+    JOIN flr p ON p.recording_id = m.recording_id AND p.all_known AND p.solo = 0 AND p.start_s <= m.decision_index * 10 + i / CAST(6.4 AS DOUBLE) + {EPS} AND p.end_s > m.decision_index * 10 + i / CAST(6.4 AS DOUBLE) + {EPS}
+    JOIN embeddings e ON e.vec_id = m.decision_index)
+  GROUP BY 1, 2)""")

@@ -47,10 +47,7 @@ def a13_media_quality(spark, sf_dir):
 
 
 def a14_alignment(spark, sf_dir):
-    a = md.alignment(_probes(spark, sf_dir))
-    q = F.percentile("end_delta_s", F.array(F.lit(0.0), F.lit(0.5), F.lit(1.0)))
-    out = a.groupBy("probe_ok").agg(F.count_if(F.col("start_offset_s") == 0).alias("zero_offsets"), F.count("end_delta_s").alias("n"), q.alias("q"))
-    return rounded(out.select("probe_ok", "zero_offsets", "n", *(F.col("q")[k].alias(x) for k, x in enumerate(("least", "median", "most")))))
+    return rounded(md.alignment_summary(md.alignment(_probes(spark, sf_dir)), "probe_ok"))
 
 
 def a15_missing_files(spark, sf_dir):

@@ -8,6 +8,7 @@ from parley.operators import structure as s
 from parley.plans.oracle import EPS, sql
 from parley.plans.q_state import events, rounded
 from parley.sources import canonical as c
+from parley.sources.shared import saved
 
 #: Statistics that both engines give to the last bit.
 EXACT = tuple(f for f in s.PROFILE_FEATURES if f.endswith(("_mean_s", "_median_s", "_q10_s", "_q90_s")))
@@ -87,7 +88,7 @@ def t16_segments_table(spark, sf_dir):
 
 
 def t18_participant_profiles(spark, sf_dir):
-    return rounded(s.profiles(states(spark, sf_dir).persist(), RULES), exact=EXACT)
+    return rounded(s.profiles(saved(states(spark, sf_dir), "states"), RULES), exact=EXACT)
 
 
 def t17_recordings(spark, sf_dir):
@@ -97,7 +98,7 @@ def t17_recordings(spark, sf_dir):
 
 
 def t17_participants(spark, sf_dir):
-    out = s.participants_table(c.participants(events(spark, sf_dir)), s.profiles(states(spark, sf_dir).persist(), RULES))
+    out = s.participants_table(c.participants(events(spark, sf_dir)), s.profiles(saved(states(spark, sf_dir), "states"), RULES))
     vector, names = F.col("interaction_profile_features"), F.col("interaction_profile_feature_names")
     at = {n: F.element_at(vector, F.array_position(names, F.lit(n)).cast("int")) for n in ("turn_count", "onset_count", "floor_yields", "speaking_time_s")}
     return rounded(out.select("recording_id", "participant_id", "participant_index", "is_ego", "is_resolved", F.size(vector).alias("features"), *(v.alias(n) for n, v in at.items())))
