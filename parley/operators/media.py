@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from parley.operators.labels import seconds_per_unit
 from parley.operators.ranks import with_quantiles
-from parley.operators.state import EPS
+from parley.operators.state import EPS, SPEAKING
 
 #: File extensions by type, and names that are never listed.
 FILE_TYPES = {"mp4": "video", "mov": "video", "mkv": "video", "avi": "video", "wav": "audio", "flac": "audio", "mp3": "audio", "m4a": "audio", "csv": "tabular", "parquet": "tabular", "json": "structured_data"}
@@ -208,27 +208,55 @@ def social_segments(social: DataFrame, participants: DataFrame) -> DataFrame:
     return met.withColumn("resolved", F.coalesce("_known", F.lit(False))).withColumn("participant_id", F.when(F.col("_known"), F.col("participant_id"))).drop("_known")
 
 
-def social_units(social: DataFrame, width_s: float, tracks: DataFrame | None = None, speech: DataFrame | None = None, kinds: Sequence[str] = ("looking", "talking")) -> DataFrame:
-    """Per unit, kind and participant whom it concerns: true where a positive segment lies, else false where a negative one does.
+def social_units(units: DataFrame, people: DataFrame, social: DataFrame, tracks: DataFrame, states: DataFrame, unknown: DataFrame, width_s: float) -> DataFrame:
+    """Every unit with what each participant does to the wearer in it, as arrays in the order of participants, and whether anyone does.
 
-    Segments that don't say at whom leave it unknown (null). A face that is tracked in a unit without being marked as
-    looking at the wearer isn't looking; somebody who speaks concerns talking, and is unknown if nothing is marked.
-    Segments of nobody in particular take no part.
+    `units` are (recording_id, unit) of `width_s` seconds, `people` (recording_id, participant_id, participant_index), `states` of
+    `structure.participant_states`, `unknown` the recording's own unknown intervals. A participant looks at the wearer where a
+    positive segment lies, doesn't where its face is tracked or a negative one lies, and else is unknown; it talks to the wearer by segments alone.
+    Anyone does if one does; nobody does if somebody is concerned (tracked or in a segment; for talking, speaking or
+    in a segment) and all of those are known not to. Where the recording is hidden for longer than EPS, everything is
+    null. Segments and boxes of nobody in particular take no part.
     """
-    keys = ["recording_id", "participant_id", "kind"]
-    rows = social.filter(F.col("kind").isin(*kinds) & F.col("participant_id").isNotNull())
-    rows = rows.select(*keys, F.when(F.col("is_at_me"), 2).when(~F.col("is_at_me"), 1).otherwise(0).alias("said"), "start_s", "end_s")
-    if speech is not None:
-        rows = rows.unionByName(speech.select("recording_id", "participant_id", F.lit("talking").alias("kind"), F.lit(0).alias("said"), "start_s", "end_s"))
-    found = seconds_per_unit(rows, width_s, [*keys, "said"]).filter(F.col("seconds") > EPS).select(*keys, "unit", "said")
-    if tracks is not None:
-        unit = F.floor((F.col("time_s") + F.lit(EPS)) / F.lit(width_s))
-        found = found.unionByName(tracks.select("recording_id", "participant_id", F.lit("looking").alias("kind"), unit.alias("unit"), F.lit(1).alias("said")))
-    most = F.max("said")
-    return found.groupBy(*keys, "unit").agg(F.when(most > 0, most == 2).alias("at_wearer"))
-
-
-def anyone(units: DataFrame) -> DataFrame:
-    """Per unit and kind whether anyone does it to the wearer: true if one does, false if all whom it concerns don't, else unknown."""
-    yes, unsure = F.coalesce(F.bool_or("at_wearer"), F.lit(False)), F.bool_or(F.col("at_wearer").isNull())
-    return units.groupBy("recording_id", "kind", "unit").agg(F.when(yes, True).when(~unsure, False).alias("anyone"), F.count("*").alias("people"))
+    who = people.select("recording_id", "participant_id", "participant_index")
+    keys = ["recording_id", "participant_index", "mark"]
+    rows = social.join(who, ["recording_id", "participant_id"]).filter(F.col("kind").isin("looking", "talking"))
+    said = F.when(F.col("is_at_me"), "yes").when(~F.col("is_at_me"), "no")
+    marks = F.explode(F.array_compact(F.array(F.concat_ws("_", "kind", F.lit("any")), F.concat(F.col("kind"), F.lit("_"), said))))
+    spans = rows.select("recording_id", "participant_index", marks.alias("mark"), "start_s", "end_s")
+    spans = spans.unionByName(states.filter(F.col("state") == SPEAKING).select("recording_id", "participant_index", F.lit("speaking").alias("mark"), "start_s", "end_s"))
+    touched = seconds_per_unit(spans, width_s, keys).filter(F.col("seconds") > EPS).select(*keys, "unit")
+    boxed = F.floor((F.col("time_s") + F.lit(EPS)) / F.lit(width_s))
+    touched = touched.unionByName(tracks.join(who, ["recording_id", "participant_id"]).select("recording_id", "participant_index", F.lit("tracked").alias("mark"), boxed.alias("unit")))
+    found = touched.groupBy("recording_id", "unit", "participant_index").agg(F.collect_set("mark").alias("marks"))
+    found = found.groupBy("recording_id", "unit").agg(F.map_from_entries(F.collect_list(F.struct("participant_index", "marks"))).alias("_marks"))
+    hidden = seconds_per_unit(unknown.select("recording_id", "start_s", "end_s"), width_s, ["recording_id"]).filter(F.col("seconds") > EPS).select("recording_id", "unit", F.lit(True).alias("_hidden"))
+    size = who.groupBy("recording_id").agg(F.count("*").cast("int").alias("_people"))
+    lattice = units.join(size, "recording_id").join(found, ["recording_id", "unit"], "left").join(hidden, ["recording_id", "unit"], "left")
+    nothing = F.array().cast("array<string>")
+    each = F.when(F.col("_people") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("_people") - 1, F.lit(0))), lambda p: F.coalesce(F.try_element_at("_marks", p), nothing)))
+    lattice = lattice.withColumn("_each", each).withColumn("_shown", F.col("_hidden").isNull())
+
+    def has(m: Column, mark: str) -> Column:
+        return F.array_contains(m, mark)
+
+    def known(kind: str, m: Column) -> Column:
+        seen = has(m, f"{kind}_yes") | has(m, f"{kind}_no")
+        return seen | has(m, "tracked") if kind == "looking" else seen
+
+    def concerned(kind: str, m: Column) -> Column:
+        return has(m, f"{kind}_any") | has(m, "tracked" if kind == "looking" else "speaking")
+
+    def own(kind: str) -> Column:
+        return F.transform("_each", lambda m: F.when(F.col("_shown") & known(kind, m), has(m, f"{kind}_yes")))
+
+    def anyone(kind: str) -> Column:
+        yes = F.exists("_each", lambda m: has(m, f"{kind}_yes"))
+        no = F.exists("_each", lambda m: concerned(kind, m)) & F.forall("_each", lambda m: ~concerned(kind, m) | (known(kind, m) & ~has(m, f"{kind}_yes")))
+        return F.when(F.col("_shown") & yes, True).when(F.col("_shown") & no, False)
+
+    return lattice.select(
+        "recording_id", "unit", own("looking").alias("looking_at_wearer"), own("talking").alias("talking_to_wearer"),
+        F.transform("_each", lambda m: F.when(F.col("_shown"), has(m, "tracked"))).alias("face_tracked"),
+        anyone("looking").alias("anyone_looking_at_wearer"), anyone("talking").alias("anyone_talking_to_wearer"),
+    )

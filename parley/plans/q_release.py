@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from parley.operators import media as md
 from parley.operators import packets as pk
+from parley.operators import structure as st
 from parley.plans.oracle import EPS, part, sql
 from parley.plans.q_media import RATE, REFERENCE, THRESHOLD, _series, _steps, packets
 from parley.plans.q_state import rounded
@@ -120,16 +121,25 @@ def _tracks(spark, sf_dir):
     return e.select(c.recording().alias("recording_id"), F.col("event_type").alias("participant_id"), (F.col("event_id") % 5).cast("string").alias("track_id"), F.floor(start * 30).cast("long").alias("frame"), (F.floor(start * 30) / 30).alias("time_s"), (F.col("event_id") % 100).cast("double").alias("x"), (F.col("event_id") % 50).cast("double").alias("y"), size.alias("width"), (size / 2).alias("height"))
 
 
-def x9_social_units(spark, sf_dir):
-    return rounded(_social_units(spark, sf_dir))
+#: Seconds of the units of social labels, and units of a recording.
+SOCIAL_S, SOCIAL_UNITS = 10.0, 360
 
 
 def _social_units(spark, sf_dir):
-    return md.social_units(_social(spark, sf_dir), 5.0, _tracks(spark, sf_dir), c.speech(c.table(spark, sf_dir, "events")))
+    e = c.table(spark, sf_dir, "events")
+    units = c.recordings(e).select("recording_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SOCIAL_UNITS - 1).cast("long"))).alias("unit"))
+    people = st.order_participants(c.participants(e))
+    around = st.participant_states(c.recordings(e), c.participants(e), c.speech(e), c.unknown(e))
+    return md.social_units(units, people, _social(spark, sf_dir), _tracks(spark, sf_dir), around, c.unknown(e), SOCIAL_S)
+
+
+def x9_social_units(spark, sf_dir):
+    shown = [F.array_join(F.transform(n, lambda v: F.coalesce(v.cast("string"), F.lit("-"))), ",").alias(n) for n in ("looking_at_wearer", "talking_to_wearer", "face_tracked")]
+    return rounded(_social_units(spark, sf_dir).select("recording_id", "unit", *shown))
 
 
 def x10_anyone(spark, sf_dir):
-    return rounded(md.anyone(_social_units(spark, sf_dir)))
+    return rounded(_social_units(spark, sf_dir).select("recording_id", "unit", "anyone_looking_at_wearer", "anyone_talking_to_wearer"))
 
 
 def x11_face_boxes(spark, sf_dir):
@@ -158,11 +168,19 @@ part("itp", "epi ser", """SELECT e.stream, s.next_pts / CAST(48000 AS DOUBLE) AS
   FROM epi e JOIN ser s ON s.stream = e.stream AND s.step = e.a JOIN ser u ON u.stream = e.stream AND u.step = e.b""")
 part("soc", "ann", "SELECT recording_id, CASE WHEN event_id % 11 = 0 THEN '-1' ELSE kind END AS person, CASE WHEN event_id % 2 = 0 THEN 'talking' ELSE 'looking' END AS kind, start_s, end_s, CASE WHEN event_id % 5 <> 0 THEN value > 35 END AS is_at_me, event_id AS source_row FROM ann")
 part("trk", "ann", "SELECT recording_id, kind AS participant_id, CAST(event_id % 5 AS VARCHAR) AS track_id, CAST(floor(start_s * 30) AS BIGINT) AS frame, floor(start_s * 30) / 30 AS time_s, CAST(event_id % 100 AS DOUBLE) AS x, CAST(event_id % 50 AS DOUBLE) AS y, CASE WHEN event_id % 97 = 0 THEN 0 ELSE value END AS width FROM ann")
-part("sun", "soc trk speech", f"""SELECT recording_id, person AS participant_id, kind, unit, CASE WHEN max(said) > 0 THEN max(said) = 2 END AS at_wearer FROM (
-  SELECT recording_id, person, kind, said, unit FROM (SELECT recording_id, person, kind, said, unit, sum(greatest(0, least(end_s, (unit + 1) * CAST(5 AS DOUBLE)) - greatest(start_s, unit * CAST(5 AS DOUBLE)))) AS s FROM (
-    SELECT *, unnest(range(CAST(floor(start_s / 5) AS BIGINT), greatest(CAST(floor(start_s / 5) AS BIGINT) + 1, CAST(ceil(end_s / 5) AS BIGINT)))) AS unit FROM (
-      SELECT recording_id, person, kind, CASE WHEN is_at_me THEN 2 WHEN NOT is_at_me THEN 1 ELSE 0 END AS said, start_s, end_s FROM soc WHERE person <> '-1' UNION ALL SELECT recording_id, participant_id, 'talking', 0, start_s, end_s FROM speech) WHERE end_s > start_s) GROUP BY 1, 2, 3, 4, 5) WHERE s > {EPS}
-  UNION ALL SELECT recording_id, participant_id, 'looking', 1, CAST(floor((time_s + {EPS}) / 5) AS BIGINT) FROM trk) GROUP BY 1, 2, 3, 4""")
+part("mrk", "soc trk pstates who", f"""SELECT DISTINCT recording_id, participant_index, mark, unit FROM (
+  SELECT recording_id, participant_index, mark, unit, sum(greatest(0, least(end_s, (unit + 1) * CAST(10 AS DOUBLE)) - greatest(start_s, unit * CAST(10 AS DOUBLE)))) AS s FROM (
+    SELECT *, unnest(range(CAST(floor(start_s / 10) AS BIGINT), greatest(CAST(floor(start_s / 10) AS BIGINT) + 1, CAST(ceil(end_s / 10) AS BIGINT)))) AS unit FROM (
+      SELECT recording_id, participant_index, kind || '_any' AS mark, start_s, end_s FROM soc s JOIN who w USING (recording_id) WHERE w.participant_id = s.person
+      UNION ALL SELECT recording_id, participant_index, kind || CASE WHEN is_at_me THEN '_yes' ELSE '_no' END, start_s, end_s FROM soc s JOIN who w USING (recording_id) WHERE w.participant_id = s.person AND is_at_me IS NOT NULL
+      UNION ALL SELECT recording_id, participant_index, 'speaking', start_s, end_s FROM pstates WHERE state = 'SPEAKING') WHERE end_s > start_s) GROUP BY 1, 2, 3, 4) WHERE s > {EPS}
+  UNION SELECT recording_id, participant_index, 'tracked', CAST(floor((time_s + {EPS}) / 10) AS BIGINT) FROM trk t JOIN who w USING (recording_id, participant_id)""")
+part("hid", "unk", f"""SELECT recording_id, unit FROM (SELECT recording_id, unit, sum(least(end_s, (unit + 1) * CAST(10 AS DOUBLE)) - greatest(start_s, unit * CAST(10 AS DOUBLE))) AS s FROM (
+  SELECT *, unnest(range(CAST(floor(start_s / 10) AS BIGINT), CAST(ceil(end_s / 10) AS BIGINT))) AS unit FROM unk) GROUP BY 1, 2) WHERE s > {EPS}""")
+part("lat", "recs who mrk hid", """SELECT recording_id, unit, participant_index, h.unit IS NULL AS shown, coalesce(bool_or(mark = 'tracked'), false) AS tracked, coalesce(bool_or(mark = 'speaking'), false) AS speaking,
+  coalesce(bool_or(mark = 'looking_yes'), false) AS ly, coalesce(bool_or(mark = 'looking_no'), false) AS ln, coalesce(bool_or(mark = 'looking_any'), false) AS la,
+  coalesce(bool_or(mark = 'talking_yes'), false) AS ty, coalesce(bool_or(mark = 'talking_no'), false) AS tn, coalesce(bool_or(mark = 'talking_any'), false) AS ta
+  FROM (SELECT recording_id, participant_index, unnest(range(0, 360)) AS unit FROM who) u LEFT JOIN mrk m USING (recording_id, unit, participant_index) LEFT JOIN hid h USING (recording_id, unit) GROUP BY 1, 2, 3, 4""")
 
 _ALIGN = "CASE WHEN aud THEN sa + v - vd END"
 ORACLE_SQL = {
@@ -181,8 +199,11 @@ ORACLE_SQL = {
     "p12_drift_flags": sql("met", "SELECT stream, round(d, 6) AS abs_final_drift_ms, d > 1 AS over_1_ms, d > CAST(500 AS DOUBLE) / 30 AS over_half_frame, d > 100 AS over_100_ms, d > 500 AS over_500_ms FROM (SELECT stream, abs(1000 * final_drift / 48000) AS d FROM met)"),
     "p14_decoded_continuity": sql("pkt", "SELECT stream, count(*) AS frames, count(*) FILTER (WHERE g <> 0) AS breaks, coalesce(max(abs(g)), 0) AS max_gap, min(pts) AS first_pts, max(pts) + 1024 AS end_pts, CASE WHEN count(*) < 2 THEN 'insufficient_data' WHEN count(*) FILTER (WHERE g <> 0) > 0 THEN 'gap_or_overlap' ELSE 'continuous' END AS verdict FROM (SELECT *, lead(pts) OVER (PARTITION BY stream ORDER BY pts) - pts - 1024 AS g FROM pkt) GROUP BY 1"),
     "p19_dropout_intervals": sql("per", "SELECT stream, round(next_pts / CAST(48000 AS DOUBLE) - error / 48000, 6) AS start_s, round(next_pts / CAST(48000 AS DOUBLE), 6) AS end_s FROM per WHERE persistent AND error / 48000 >= CAST(0.02 AS DOUBLE)"),
-    "x9_social_units": sql("sun", "SELECT * FROM sun"),
-    "x10_anyone": sql("sun", "SELECT recording_id, kind, unit, CASE WHEN coalesce(bool_or(at_wearer), false) THEN true WHEN NOT bool_or(at_wearer IS NULL) THEN false END AS anyone, count(*) AS people FROM sun GROUP BY 1, 2, 3"),
+    "x9_social_units": sql("lat", """SELECT recording_id, unit, string_agg(CASE WHEN shown AND (tracked OR ly OR ln) THEN CAST(ly AS VARCHAR) ELSE '-' END, ',' ORDER BY participant_index) AS looking_at_wearer,
+      string_agg(CASE WHEN shown AND (ty OR tn) THEN CAST(ty AS VARCHAR) ELSE '-' END, ',' ORDER BY participant_index) AS talking_to_wearer, string_agg(CASE WHEN shown THEN CAST(tracked AS VARCHAR) ELSE '-' END, ',' ORDER BY participant_index) AS face_tracked
+      FROM lat GROUP BY 1, 2"""),
+    "x10_anyone": sql("lat", """SELECT recording_id, unit, CASE WHEN NOT bool_and(shown) THEN NULL WHEN bool_or(ly) THEN true WHEN bool_or(la OR tracked) AND NOT bool_or((la OR tracked) AND NOT (tracked OR ly OR ln)) THEN false END AS anyone_looking_at_wearer,
+      CASE WHEN NOT bool_and(shown) THEN NULL WHEN bool_or(ty) THEN true WHEN bool_or(ta OR speaking) AND NOT bool_or((ta OR speaking) AND NOT (ty OR tn)) THEN false END AS anyone_talking_to_wearer FROM lat GROUP BY 1, 2"""),
     "x11_face_boxes": sql("trk", f"SELECT recording_id, participant_id, CAST(floor((time_s + {EPS}) / 600) AS BIGINT) AS decision_index, round(avg(x), 6) AS x, round(avg(y), 6) AS y, round(avg(width), 6) AS width, round(avg(width / 2), 6) AS height, count(*) AS boxes FROM trk GROUP BY 1, 2, 3"),
     "x12_social_segments": sql("soc", "SELECT recording_id, CASE WHEN person IN ('click', 'purchase', 'signup', 'view') THEN person END AS participant_id, person, kind, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, source_row, row_number() OVER (PARTITION BY recording_id ORDER BY start_s, kind, person, source_row) - 1 AS segment_id, person IN ('click', 'purchase', 'signup', 'view') AS resolved FROM soc"),
     "x13_face_tracks": sql("trk", "SELECT recording_id, participant_id, track_id, min(frame) AS first_frame, max(frame) AS last_frame, count(*) AS boxes, round(min(time_s), 6) AS start_s, round(max(time_s) + CAST(1 AS DOUBLE) / 30, 6) AS end_s FROM trk GROUP BY 1, 2, 3"),

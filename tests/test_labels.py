@@ -19,15 +19,6 @@ def test_file_types(spark):
     assert {r.relative_path[-3:]: r.file_type for r in media.inventory(files).collect()} == {"AVI": "video", "m4a": "audio", "csv": "tabular", "son": "structured_data", "xyz": "other"}
 
 
-def test_anyone_is_unknown_where_somebody_may(spark):
-    social = spark.createDataFrame([("r", "b", "looking", 0.0, 1.0, True), ("r", "b", "looking", 1.0, 2.0, False), ("r", "c", "looking", 1.0, 2.0, None), ("r", "c", "talking", 4.0, 5.0, False), ("r", None, "talking", 6.0, 7.0, True)], "recording_id string, participant_id string, kind string, start_s double, end_s double, is_at_me boolean")
-    tracks = spark.createDataFrame([("r", "b", 3.5)], "recording_id string, participant_id string, time_s double")
-    speech = spark.createDataFrame([("r", "b", 4.0, 5.0)], "recording_id string, participant_id string, start_s double, end_s double")
-    units = media.social_units(social, 1.0, tracks, speech)
-    got = {(r.kind, r.unit): (r.anyone, r.people) for r in media.anyone(units).collect()}
-    assert got == {("looking", 0): (True, 1), ("looking", 1): (None, 2), ("looking", 3): (False, 1), ("talking", 4): (None, 2)}
-
-
 def _states(spark, speech, unknown=()):
     recordings = spark.createDataFrame([("d", "r", "c", "v", "w", 0.0, 10.0)], "dataset string, recording_id string, conversation_id string, view_id string, wearer_id string, start_s double, end_s double")
     people = spark.createDataFrame([("r", "w", True, True), ("r", "a", False, True)], "recording_id string, participant_id string, is_wearer boolean, resolved boolean")
@@ -35,6 +26,24 @@ def _states(spark, speech, unknown=()):
     return structure.participant_states(recordings, people, spark.createDataFrame([("r", *s, "x") for s in speech], kind), spark.createDataFrame([("r", *u, "u") for u in unknown], kind))
 
 
+def test_social_units_are_dense_and_hidden_where_the_recording_is(spark):
+    """Wearer w and a; unit by unit: marked, unmarked, tracked, hidden, and speech or segments that nobody says of whom."""
+    segment = "recording_id string, participant_id string, kind string, start_s double, end_s double, is_at_me boolean"
+    social = [("a", "looking", 0.0, 1.0, True), ("a", "looking", 1.0, 2.0, False), ("w", "looking", 1.0, 2.0, None), ("a", "talking", 4.0, 5.0, False), (None, "talking", 6.0, 7.0, True), ("a", "talking", 7.0, 9.0, True), ("a", "looking", 9.0, 9.5, False)]
+    tracks = spark.createDataFrame([("r", "a", 3.5), ("r", "a", 8.5), ("r", "nobody", 6.5)], "recording_id string, participant_id string, time_s double")
+    states = _states(spark, [("w", 4.2, 5.8)], [(None, 8.0, 9.0)])
+    people = spark.createDataFrame([("r", "w", 0), ("r", "a", 1)], "recording_id string, participant_id string, participant_index int")
+    unknown = spark.createDataFrame([("r", 8.0, 9.0)], "recording_id string, start_s double, end_s double")
+    units = _cells(spark).withColumnRenamed("decision_index", "unit")
+    out = {r.unit: r for r in media.social_units(units, people, spark.createDataFrame([("r", *x) for x in social], segment), tracks, states, unknown, 1.0).collect()}
+    assert sorted(out) == list(range(10))
+    assert {u: r.looking_at_wearer for u, r in out.items()} == {0: [None, True], 1: [None, False], 2: [None, None], 3: [None, False], 4: [None, None], 5: [None, None], 6: [None, None], 7: [None, None], 8: [None, None], 9: [None, False]}
+    assert {u: r.anyone_looking_at_wearer for u, r in out.items()} == {0: True, 1: None, 2: None, 3: False, 4: None, 5: None, 6: None, 7: None, 8: None, 9: False}
+    assert {u: r.talking_to_wearer[1] for u, r in out.items()} == {4: False, 7: True} | dict.fromkeys((0, 1, 2, 3, 5, 6, 8, 9))
+    assert {u: r.anyone_talking_to_wearer for u, r in out.items()} == {7: True} | dict.fromkeys((0, 1, 2, 3, 4, 5, 6, 8, 9))  # the wearer speaks in 4
+    assert {u: r.face_tracked for u, r in out.items()} == {3: [False, True], 8: [None, None]} | {u: [False, False] for u in (0, 1, 2, 4, 5, 6, 7, 9)}
+
+
 def _cells(spark):
     return spark.range(10).select(F.lit("r").alias("recording_id"), F.col("id").alias("decision_index"))
 
