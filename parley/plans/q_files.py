@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parley.operators import audit, grid, windows
 from parley.operators import packets as pk
-from parley.plans import q_audit
+from parley.operators import structure as st
+from parley.plans import q_audit, q_structure
 from parley.plans.oracle import part, sql
 from parley.plans.q_media import RATE, REFERENCE, THRESHOLD, _series, _steps, packets
 from parley.plans.q_release import _interpreted
@@ -14,6 +16,8 @@ from parley.plans.q_state import STEP, control, rounded
 from parley.sources import canonical as c
 from parley.sources import facts
 from parley.sources import files as fl
+from parley.sources import store
+from parley.sources.shared import saved
 
 _CSV = "o_orderkey BIGINT, o_comment STRING, o_totalprice DOUBLE, o_orderdate DATE"
 
@@ -49,6 +53,29 @@ def s8_label_store(spark, sf_dir):
     return rounded(spark.read.parquet(path))
 
 
+def s8_store_tables(spark, sf_dir):
+    """The five tables of the speech labels in a store, as its reader sees them: rows, recordings and how many keys there are."""
+    events_ = c.table(spark, sf_dir, "events")
+    around = saved(q_structure.states(spark, sf_dir), "states")
+    each = Window.partitionBy("recording_id", "segment_type").orderBy("start_s", "end_s", "participant_index", "initial", "entering")
+    segments = st.segments_table(around, q_structure.RULES).withColumnRenamed("segment", "segment_type").withColumn("segment_id", F.row_number().over(each) - 1)
+    tables = {
+        "grid": grid.action_grid(control(spark, sf_dir), STEP),
+        "events": st.events_table(around, q_structure.RULES).withColumnRenamed("event", "event_type"),
+        "segments": segments,
+        "participants": st.order_participants(c.participants(events_)),
+        "recordings": c.recordings(events_),
+    }
+    root = fl.scratch(spark, "s8-store")
+    store.write_extractor(tables, root, "speech", {"step_s": STEP})
+    out = None
+    for name in sorted(tables):
+        rows = store.read_table(spark, root, "speech", name)
+        one = rows.agg(F.lit(name).alias("table_name"), F.count("*").alias("n"), F.count_distinct("recording_id").alias("recordings"))
+        out = one if out is None else out.unionByName(one)
+    return rounded(out)
+
+
 def s9_split_sink(spark, sf_dir):
     path, k = fl.scratch(spark, "s9"), F.col("o_custkey")
     split = F.when(k % 10 == 0, "test").when(k % 10 == 1, "validation").otherwise("train")
@@ -181,3 +208,7 @@ ORACLE_SQL = {
         f"round(quantile_cont({v}, {p / 100}), 6) AS {n}_q{p}" for n, v in (("nominal", "nominal"), ("final_drift_ms", "1000 * final_drift / 48000"), ("max_drift", "max_abs_drift")) for p in (0, 25, 50, 75, 100)) + " FROM rgm GROUP BY 1"),
     "p18_profile_windows": sql("rgm", "SELECT stream, 'start' AS place, CAST(0 AS DOUBLE) AS time_s FROM rgm UNION ALL SELECT stream, 'middle', round(duration_s / 2, 6) FROM rgm UNION ALL SELECT stream, 'max_offset', round(peak_time_s, 6) FROM rgm UNION ALL SELECT stream, 'end', round(duration_s, 6) FROM rgm"),
 }
+ORACLE_SQL["s8_store_tables"] = sql("control_grid pevents fchanges pruns trn ovl sil recs who", """SELECT 'grid' AS table_name, count(*) AS n, count(DISTINCT recording_id) AS recordings FROM control_grid
+  UNION ALL SELECT 'events', count(*), count(DISTINCT recording_id) FROM (SELECT recording_id FROM pevents UNION ALL SELECT recording_id FROM fchanges)
+  UNION ALL SELECT 'segments', count(*), count(DISTINCT recording_id) FROM (SELECT recording_id FROM pruns UNION ALL SELECT recording_id FROM trn UNION ALL SELECT recording_id FROM ovl UNION ALL SELECT recording_id FROM sil)
+  UNION ALL SELECT 'participants', count(*), count(DISTINCT recording_id) FROM who UNION ALL SELECT 'recordings', count(*), count(DISTINCT recording_id) FROM recs""")
