@@ -112,6 +112,32 @@ def contract_failures(rows: DataFrame, checks: Mapping[str, Column], unique: Seq
     return out
 
 
+def failure_cases(rows: DataFrame, keys: Sequence[str], types: Mapping[str, str] | None = None, checks: Mapping[str, tuple[str, Column]] | None = None, required: Sequence[str] = (), unique: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """(keys, check_name, column_name, failure_case): every cell that breaks a table's contract, its value as text.
+
+    `types` says what a column's text must be read as, null or not; `required` must not be null; `checks` are (column,
+    condition) by name, which a null passes, as its column says whether it may be null; `unique` are columns that must be
+    unique together, null being a value: every row of a repeated key fails. All but the last are one pass over the table;
+    keys are counted first, so a frequent one is spread.
+    """
+    def case(name: str, column: str, bad: Column) -> Column:
+        return F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(name).alias("check_name"), F.lit(column).alias("column_name"), F.col(column).cast("string").alias("failure_case")))
+
+    cells = [case("not_null", c, F.col(c).isNull()) for c in required]
+    cells += [case(f"type_{t}", c, F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()) for c, t in (types or {}).items()]
+    cells += [case(n, c, ~ok) for n, (c, ok) in (checks or {}).items()]
+    found = F.array_compact(F.array(*cells)) if cells else F.array().cast("array<struct<check_name:string,column_name:string,failure_case:string>>")
+    out = rows.select(*keys, F.explode(found).alias("_f")).select(*keys, "_f.*")
+    for columns in unique:
+        many = rows.groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 1").select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)))
+        same = F.lit(True)
+        for i, c in enumerate(columns):
+            same &= F.col(c).eqNullSafe(F.col(f"_k{i}"))
+        value = F.concat_ws(",", *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns))
+        out = out.unionByName(rows.join(many, same, "left_semi").select(*keys, F.lit("unique").alias("check_name"), F.lit(",".join(columns)).alias("column_name"), value.alias("failure_case")))
+    return out
+
+
 def duplicates(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of every key that occurs more than once. Counts are taken before the rows are met again, so a frequent key is spread."""
     many = rows.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")

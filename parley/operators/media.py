@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,18 +22,22 @@ PROBE = "streams ARRAY<STRUCT<codec_type: STRING, codec_name: STRING, avg_frame_
 
 
 def list_files(spark: SparkSession, root: str, checksum: bool = False) -> DataFrame:
-    """(path, size, sha256) of all files below a folder; contents are read only if a checksum is asked for."""
+    """(path, size, sha256) of all files below a folder, paths from there on; contents are read only if a checksum is asked for.
+
+    Each file is hashed in the task that reads it, and only the digest leaves it.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     digest = F.sha2("content", 256) if checksum else F.lit(None).cast("string")
-    return files.select("path", F.col("length").alias("size"), digest.alias("sha256"))
+    below = F.regexp_replace("path", F.lit("^.*?" + re.escape(root.split(":", 1)[-1].strip("/")) + "/"), F.lit(""))
+    return files.select(below.alias("path"), F.col("length").alias("size"), digest.alias("sha256"))
 
 
 def inventory(files: DataFrame) -> DataFrame:
-    """(dataset, relative_path, file_type, size) of listed files: the first folder, lower case, is the dataset."""
+    """(dataset, relative_path, file_type, size) of listed files, and their sha256 if it was listed: the first folder, lower case, is the dataset."""
     kept = files.filter(~F.col("path").rlike(SKIPPED) & (F.col("path") != "") & (F.col("size") >= 0))
     extension = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     kind = F.coalesce(F.create_map(*(F.lit(x) for pair in FILE_TYPES.items() for x in pair))[extension], F.lit("other"))
-    return kept.select(F.lower(F.split_part("path", F.lit("/"), F.lit(1))).alias("dataset"), F.col("path").alias("relative_path"), kind.alias("file_type"), "size").dropDuplicates(["dataset", "relative_path"])
+    return kept.select(F.lower(F.split_part("path", F.lit("/"), F.lit(1))).alias("dataset"), F.col("path").alias("relative_path"), kind.alias("file_type"), "size", *(["sha256"] if "sha256" in files.columns else [])).dropDuplicates(["dataset", "relative_path"])
 
 
 def inventory_summary(files: DataFrame) -> DataFrame:

@@ -127,11 +127,73 @@ def index_statistics(index: DataFrame, splits: DataFrame) -> DataFrame:
     return out
 
 
-def reconstruct(grid: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Each anchor with its window read back: actions of the context that ends at it, and of the future after it."""
-    own = Window.partitionBy("recording_id", "segment").orderBy("decision_index")
-    mark = F.coalesce("action", F.lit("masked"))
-    rows = segments(grid)
-    rows = rows.withColumn("context", F.collect_list(mark).over(own.rowsBetween(-(spec.max_context - 1), 0))).withColumn("future", F.collect_list(mark).over(own.rowsBetween(1, spec.future)))
-    picked = anchors(grid, spec).select("recording_id", "decision_index")
-    return rows.join(picked, ["recording_id", "decision_index"]).select("recording_id", "decision_index", "context", "future")
+def context_histogram(index: DataFrame, splits: DataFrame) -> DataFrame:
+    """(split, context_steps, anchors, trainable): how many anchors have a context of each length; most have the longest."""
+    rows = index.join(splits.select("recording_id", "split"), "recording_id")
+    return rows.groupBy("split", "context_steps").agg(F.count("*").alias("anchors"), F.count_if("trainable").alias("trainable"))
+
+
+#: Anchors whose windows are cut from one array.
+BLOCK = 1024
+
+
+def reconstruct(grid: DataFrame, spec: WindowSpec, block: int = BLOCK) -> DataFrame:
+    """Each anchor with its window read back: actions of the context that ends at it, and of the future after it.
+
+    A segment is cut into blocks of anchors; a block gathers its slots once, with as many before and after as its windows
+    reach, and each window is a slice of that array.
+    """
+    own, whole = Window.partitionBy("recording_id", "segment").orderBy("decision_index"), Window.partitionBy("recording_id", "segment")
+    rows = segments(grid).select("recording_id", "segment", "decision_index", F.coalesce("action", F.lit("masked")).alias("mark"))
+    rows = rows.withColumn("position", F.row_number().over(own) - 1).withColumn("_n", F.count("*").over(whole))
+    first, last = F.floor((F.col("position") - spec.future) / block), F.floor((F.col("position") + spec.max_context - 1) / block)
+    dealt = rows.withColumn("block", F.explode(F.sequence(F.greatest(first, F.lit(0)), last)))
+    gathered = dealt.groupBy("recording_id", "segment", "block").agg(F.sort_array(F.collect_list(F.struct("position", "decision_index", "mark"))).alias("_slots"), F.first("_n").alias("_n"))
+    marks = F.transform("_slots", lambda s: s["mark"])
+
+    def of_block(slot: Column) -> Column:
+        at = slot["position"]
+        return (F.floor(at / block) == F.col("block")) & (at + 1 >= spec.min_context) & (at + spec.future < F.col("_n"))
+
+    def window(slot: Column) -> Column:
+        at = slot["position"] - F.col("_slots")[0]["position"]  # its place in the array, from 0
+        steps = F.least(slot["position"] + 1, F.lit(spec.max_context))
+        return F.struct(slot["decision_index"].alias("decision_index"), F.slice("_marks", at - steps + 2, steps).alias("context"), F.slice("_marks", at + 2, F.lit(spec.future)).alias("future"))
+
+    cut = gathered.withColumn("_marks", marks).select("recording_id", F.explode(F.transform(F.filter("_slots", of_block), window)).alias("w"))
+    return cut.select("recording_id", "w.decision_index", "w.context", "w.future")
+
+
+def index_violations(index: DataFrame, grid: DataFrame, splits: DataFrame, spec: WindowSpec) -> DataFrame:
+    """(rule, n): anchors that break what an index promises of its grid, and recordings and conversations that break what splits do.
+
+    `index` is of `windows.anchors`, `splits` have (recording_id, conversation_id, split). An anchor is a slot of the grid, once; its context
+    has between the least and the most steps and is all there, and so is its future; its class follows from its future's events, and
+    it is trainable just if both shares of valid slots suffice. A recording has one split, and so has a conversation.
+    """
+    key = ["recording_id", "decision_index"]
+    slots = grid.select(*key, F.row_number().over(Window.partitionBy("recording_id").orderBy("decision_index")).alias("_place"))
+
+    rows = index.withColumn("_first_index", F.col("decision_index") - F.col("context_steps") + 1).withColumn("_last_index", F.col("decision_index") + spec.future)
+    for name in ("own", "first", "last"):
+        column = "decision_index" if name == "own" else f"_{name}_index"
+        rows = rows.join(slots.select("recording_id", F.col("decision_index").alias(column), F.col("_place").alias(f"_{name}")), ["recording_id", column], "left")
+    several = Window.partitionBy(*key)
+    enough = (F.col("context_valid") >= spec.min_context_valid) & (F.col("future_valid") >= spec.min_future_valid)
+    rules = {
+        "anchor_not_in_grid": F.col("_own").isNull(),
+        "anchor_twice": F.col("_times") > 1,
+        "context_length": ~F.col("context_steps").between(spec.min_context, spec.max_context),
+        "context_with_holes": F.col("_first").isNull() | (F.col("_own") - F.col("_first") + 1 != F.col("context_steps")),
+        "future_with_holes": F.col("_last").isNull() | (F.col("_last") - F.col("_own") != spec.future),
+        "class_of_events": (F.col("sample_class") == "event") != (F.col("future_events") > 0),
+        "trainable_shares": F.col("trainable") != enough,
+    }
+    counts = rows.withColumn("_times", F.count("*").over(several)).agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()))
+    out = counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).alias("n")) for n in rules))).alias("r")).select("r.*")
+    without = index.select("recording_id").distinct().join(splits.filter("split IS NOT NULL"), "recording_id", "left_anti").agg(F.lit("recording_without_split").alias("rule"), F.count("*").alias("n"))
+    out = out.unionByName(without)
+    for unit in ("recording", "conversation"):
+        twice = splits.filter(F.col(f"{unit}_id").isNotNull()).groupBy(f"{unit}_id").agg(F.count_distinct("split").alias("_n")).filter("_n > 1")
+        out = out.unionByName(twice.agg(F.lit(f"{unit}_in_two_splits").alias("rule"), F.count("*").alias("n")))
+    return out

@@ -10,6 +10,7 @@ from parley.operators import audit, grid, windows
 from parley.plans.oracle import sql
 from parley.plans.q_state import STEP, control, events, rounded
 from parley.sources import canonical as c
+from parley.sources.shared import saved
 
 SPEC = windows.WindowSpec.of_seconds(STEP, 60.0, 300.0, 100.0)
 SEED = "parley"
@@ -35,7 +36,7 @@ def _splits(spark, sf_dir):
 
 
 def m2_canonical_order(spark, sf_dir):
-    rows = _grid(spark, sf_dir).filter("action IN ('ONSET', 'OFFSET')").select("recording_id", "decision_index", "action")
+    rows = _grid(spark, sf_dir).select("recording_id", "decision_index", "action")
     return rounded(windows.numbered(rows, "recording_id", "decision_index"))
 
 
@@ -74,7 +75,23 @@ def m14_index_statistics(spark, sf_dir):
 def m15_window_reconstruction(spark, sf_dir):
     out = windows.reconstruct(_grid(spark, sf_dir), SPEC)
     events_in = F.size(F.filter("future", lambda a: a.isin("ONSET", "OFFSET")))
-    return rounded(out.select("recording_id", "decision_index", F.size("context").alias("context_steps"), events_in.alias("future_events")))
+    digests = [F.sha2(F.concat_ws(",", n), 256).alias(f"{n}_sha256") for n in ("context", "future")]
+    return rounded(out.select("recording_id", "decision_index", F.size("context").alias("context_steps"), events_in.alias("future_events"), *digests))
+
+
+def m23_index_violations(spark, sf_dir):
+    """The index with faults added: of each recording's first anchor a copy that is twice there, one moved off the grid, one whose flags lie, and splits given twice."""
+    index, splits = saved(_index(spark, sf_dir), "index"), _splits(spark, sf_dir).select("recording_id", "conversation_id", "split")
+    first = index.filter(F.col("position") == SPEC.min_context - 1)
+    moved = first.withColumn("decision_index", F.col("decision_index") + 100_000)
+    lies = first.withColumns({"context_steps": F.col("context_steps") + 40, "sample_class": F.when(F.col("sample_class") == "event", "background").otherwise("event"), "trainable": ~F.col("trainable")})
+    held = F.substring("recording_id", 9, 2)
+    again = splits.filter(held == "03").withColumn("split", F.lit("other"))
+    return rounded(windows.index_violations(index.unionByName(moved).unionByName(lies), _grid(spark, sf_dir), splits.filter(held != "04").unionByName(again), SPEC))
+
+
+def m14_context_histogram(spark, sf_dir):
+    return rounded(windows.context_histogram(_index(spark, sf_dir), _splits(spark, sf_dir)))
 
 
 def _orders(spark, sf_dir):
@@ -99,7 +116,7 @@ def c3_accounting(spark, sf_dir):
 
 
 def c4_positive_boxes(spark, sf_dir):
-    e = events(spark, sf_dir).filter("event_type = 'view'")
+    e = events(spark, sf_dir)
     size = F.when(F.col("event_id") % 97 == 0, F.lit(0.0)).otherwise(F.col("value"))
     boxes = e.select("event_id", size.alias("width"), (size / 2).alias("height"))
     kept, gone = audit.clean(boxes, [], {"non_positive_box": (F.col("width") > 0) & (F.col("height") > 0)})
@@ -181,6 +198,19 @@ def a5_table_contract(spark, sf_dir):
     return rounded(audit.contract_failures(_orders(spark, sf_dir), {n: F.expr(e) for n, e in _CHECKS.items()}, ["o_orderkey"]))
 
 
+def _faulty(spark, sf_dir):
+    """Orders, and after each of every hundredth a copy with faults: the key again, no price, a clerk that is no number, a status unheard of."""
+    o = _orders(spark, sf_dir).select("o_orderkey", F.col("o_custkey").cast("string").alias("o_clerk"), "o_totalprice", "o_orderstatus")
+    k = F.col("o_orderkey")
+    copies = o.filter(k % 100 == 0).withColumns({"o_clerk": F.when(k % 300 == 0, "none").otherwise(F.col("o_clerk")), "o_totalprice": F.when(k % 200 != 0, -F.col("o_totalprice")), "o_orderstatus": F.when(k % 500 == 0, "X").otherwise(F.col("o_orderstatus"))})
+    return o.unionByName(copies)
+
+
+def a5_failure_cases(spark, sf_dir):
+    checks = {"price_positive": ("o_totalprice", F.col("o_totalprice") > 0), "status_known": ("o_orderstatus", F.col("o_orderstatus").isin("F", "O", "P"))}
+    return rounded(audit.failure_cases(_faulty(spark, sf_dir), ["o_orderkey"], {"o_clerk": "bigint"}, checks, ["o_totalprice"], [["o_orderkey"]]))
+
+
 def a6_structural_verdict(spark, sf_dir):
     checks = a5_table_contract(spark, sf_dir).agg(F.bool_and(F.col("failures") == 0).alias("sound")).select(F.lit("contracts").alias("part"), "sound")
     keys = a4_foreign_keys(spark, sf_dir).agg(F.bool_and(F.col("orphans") == 0).alias("sound")).select(F.lit("relations").alias("part"), "sound")
@@ -281,7 +311,7 @@ _TRAIN = "context_valid >= CAST(0.9 AS DOUBLE) AND future_valid >= 1"
 _INTEGRITY = """count(*) AS rows, count(*) FILTER (WHERE s IS NULL OR e IS NULL) AS missing, CAST(0 AS BIGINT) AS non_finite, count(*) FILTER (WHERE s < 0) AS negative_start, count(*) FILTER (WHERE s > e) AS reversed,
   count(*) FILTER (WHERE s = e) AS empty, quantile_cont(e - s, [0, 0.05, 0.5, 0.95, 1]) AS q, count(*) FILTER (WHERE e - 3800 > 5) AS overshoots, max(e - 3800) FILTER (WHERE e - 3800 > 5) AS max_overshoot, CAST(0 AS BIGINT) AS unresolved"""
 ORACLE_SQL = {
-    "m2_canonical_order": sql("control_grid", "SELECT recording_id, decision_index, action, row_number() OVER (ORDER BY recording_id, decision_index) - 1 AS row_number FROM control_grid WHERE action IN ('ONSET', 'OFFSET')"),
+    "m2_canonical_order": sql("control_grid", "SELECT recording_id, decision_index, action, row_number() OVER (ORDER BY recording_id, decision_index) - 1 AS row_number FROM control_grid"),
     "m3_segments": sql("control_grid", "SELECT recording_id, min(decision_index) AS first_index, count(*) AS slots FROM (SELECT *, decision_index - row_number() OVER (PARTITION BY recording_id ORDER BY decision_index) AS g FROM (SELECT recording_id, decision_index + decision_index // 100 AS decision_index FROM control_grid)) GROUP BY recording_id, g"),
     "m4_anchors": sql("idx", f"SELECT recording_id, decision_index, position, context_steps, round(context_valid, 6) AS context_valid, round(future_valid, 6) AS future_valid, CAST(future_events AS BIGINT) AS future_events, {_CLASS} AS sample_class, {_TRAIN} AS trainable FROM idx"),
     "m9_split_names": sql("upstream", "SELECT recording_id, split FROM upstream"),
@@ -289,10 +319,30 @@ ORACLE_SQL = {
     "m12_split_leakage": sql("splits", "SELECT conversation_id, string_agg(DISTINCT split, ',' ORDER BY split) AS splits FROM splits GROUP BY 1 HAVING count(DISTINCT split) > 1"),
     "m13_index_summary": sql("idx", f"SELECT recording_id, count(*) AS anchors, count(*) FILTER (WHERE {_TRAIN}) AS trainable, count(*) FILTER (WHERE future_events > 0) AS events, count(DISTINCT seg) AS segments, min(decision_index) AS first_index, max(decision_index) AS last_index, round(avg(context_valid), 6) AS mean_context_valid FROM idx GROUP BY 1"),
     "m14_index_statistics": sql("idx splits", f"SELECT coalesce(split, 'all') AS split, coalesce(sample_class, 'all') AS sample_class, count(*) AS anchors, count(*) FILTER (WHERE trainable) AS trainable, count(DISTINCT recording_id) AS recordings, round(avg(future_valid), 6) AS mean_future_valid FROM (SELECT i.recording_id, s.split, {_CLASS} AS sample_class, {_TRAIN} AS trainable, future_valid FROM idx i JOIN splits s USING (recording_id)) GROUP BY GROUPING SETS ((split, sample_class), (split), ())"),
-    "m15_window_reconstruction": sql("idx", "SELECT recording_id, decision_index, context_steps, CAST(future_events AS BIGINT) AS future_events FROM idx"),
+    "m23_index_violations": sql("idx splits control_grid", f""", i0 AS (SELECT recording_id, decision_index, position, context_steps, context_valid, future_valid, future_events, {_CLASS} AS sample_class, {_TRAIN} AS trainable FROM idx),
+        i AS (SELECT * FROM i0 UNION ALL SELECT * REPLACE (decision_index + 100000 AS decision_index) FROM i0 WHERE position = 5
+          UNION ALL SELECT * REPLACE (context_steps + 40 AS context_steps, CASE sample_class WHEN 'event' THEN 'background' ELSE 'event' END AS sample_class, NOT trainable AS trainable) FROM i0 WHERE position = 5),
+        s AS (SELECT recording_id, conversation_id, split FROM splits WHERE substr(recording_id, 9, 2) <> '04' UNION ALL SELECT recording_id, conversation_id, 'other' FROM splits WHERE substr(recording_id, 9, 2) = '03'),
+        g AS (SELECT recording_id, decision_index, row_number() OVER (PARTITION BY recording_id ORDER BY decision_index) AS place FROM control_grid),
+        m AS (SELECT i.*, o.place AS own, a.place AS a, b.place AS b, count(*) OVER (PARTITION BY i.recording_id, i.decision_index) AS times FROM i LEFT JOIN g o ON o.recording_id = i.recording_id AND o.decision_index = i.decision_index
+          LEFT JOIN g a ON a.recording_id = i.recording_id AND a.decision_index = i.decision_index - i.context_steps + 1 LEFT JOIN g b ON b.recording_id = i.recording_id AND b.decision_index = i.decision_index + 10)
+      SELECT 'anchor_not_in_grid' AS rule, count(*) FILTER (WHERE own IS NULL) AS n FROM m
+      UNION ALL SELECT 'anchor_twice', count(*) FILTER (WHERE times > 1) FROM m
+      UNION ALL SELECT 'context_length', count(*) FILTER (WHERE context_steps < 6 OR context_steps > 30) FROM m
+      UNION ALL SELECT 'context_with_holes', count(*) FILTER (WHERE a IS NULL OR own - a + 1 <> context_steps) FROM m
+      UNION ALL SELECT 'future_with_holes', count(*) FILTER (WHERE b IS NULL OR b - own <> 10) FROM m
+      UNION ALL SELECT 'class_of_events', count(*) FILTER (WHERE (sample_class = 'event') <> (future_events > 0)) FROM m
+      UNION ALL SELECT 'trainable_shares', count(*) FILTER (WHERE trainable <> ({_TRAIN})) FROM m
+      UNION ALL SELECT 'recording_without_split', count(DISTINCT recording_id) FROM i WHERE recording_id NOT IN (SELECT recording_id FROM s WHERE split IS NOT NULL)
+      UNION ALL SELECT 'recording_in_two_splits', count(*) FROM (SELECT recording_id FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1)
+      UNION ALL SELECT 'conversation_in_two_splits', count(*) FROM (SELECT conversation_id FROM s WHERE conversation_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1)"""),
+    "m14_context_histogram": sql("idx splits", f"SELECT split, context_steps, count(*) AS anchors, count(*) FILTER (WHERE trainable) AS trainable FROM (SELECT i.recording_id, s.split, context_steps, {_TRAIN} AS trainable FROM idx i JOIN splits s USING (recording_id)) GROUP BY 1, 2"),
+    "m15_window_reconstruction": sql("idx", """, read AS (SELECT recording_id, decision_index, sha256(array_to_string(list(coalesce(action, 'masked')) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), ',')) AS context_sha256, sha256(array_to_string(list(coalesce(action, 'masked')) OVER (w ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING), ',')) AS future_sha256
+        FROM (SELECT *, decision_index - row_number() OVER (PARTITION BY recording_id ORDER BY decision_index) AS seg FROM control_grid) WINDOW w AS (PARTITION BY recording_id, seg ORDER BY decision_index))
+      SELECT recording_id, decision_index, context_steps, CAST(future_events AS BIGINT) AS future_events, context_sha256, future_sha256 FROM idx JOIN read USING (recording_id, decision_index)"""),
     "c2_required_fields": sql("labelled", "SELECT reason, count(*) AS n FROM labelled WHERE reason IS NOT NULL GROUP BY 1"),
     "c3_accounting": sql("labelled", "SELECT count(*) AS source, count(*) FILTER (WHERE reason IS NULL) AS kept, count(reason) AS dropped, true AS balanced FROM labelled"),
-    "c4_positive_boxes": "SELECT CASE WHEN event_id % 97 <> 0 AND value > 0 THEN 'kept' ELSE 'non_positive_box' END AS reason, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1",
+    "c4_positive_boxes": "SELECT CASE WHEN event_id % 97 <> 0 AND value > 0 THEN 'kept' ELSE 'non_positive_box' END AS reason, count(*) AS n FROM events GROUP BY 1",
     "c5_null_report": sql("labelled", "SELECT 'quality' AS column_name, count(*) FILTER (WHERE quality IS NULL) AS nulls FROM labelled UNION ALL SELECT 'toxic', count(*) FILTER (WHERE toxic IS NULL) FROM labelled UNION ALL SELECT 'lang', count(*) FILTER (WHERE lang IS NULL) FROM labelled UNION ALL SELECT 'any', count(*) FILTER (WHERE quality IS NULL OR toxic IS NULL OR lang IS NULL) FROM labelled"),
     "c6_one_hot_split": "SELECT CASE o_orderstatus WHEN 'F' THEN 'train' WHEN 'O' THEN 'validation' WHEN 'P' THEN 'test' END AS split, o_orderstatus NOT IN ('F', 'O', 'P') AS broken, count(*) AS n FROM orders GROUP BY 1, 2",
     "c8_timing_classes": "SELECT 'timed' AS domain, count(*) FILTER (WHERE turn % 7 <> 6) AS n FROM conversations UNION ALL SELECT 'untimed', count(*) FILTER (WHERE turn % 7 = 6) FROM conversations UNION ALL SELECT 'untimed_with_text', count(*) FILTER (WHERE turn % 7 = 6 AND trim(coalesce(text, '')) <> '') FROM conversations UNION ALL SELECT 'blank', count(*) FILTER (WHERE trim(coalesce(text, '')) = '') FROM conversations",
@@ -303,6 +353,13 @@ ORACLE_SQL = {
     "a3_media_reference": "SELECT CAST(k AS VARCHAR) AS media_key, count(*) AS n FROM (SELECT doc_id % 300 AS k FROM documents) WHERE k NOT IN (SELECT page_id FROM pages) GROUP BY 1",
     "a4_foreign_keys": sql("fk", "SELECT * FROM fk"),
     "a5_table_contract": sql("contract", "SELECT * FROM contract"),
+    "a5_failure_cases": """WITH t AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS clerk, o_totalprice AS price, o_orderstatus AS status FROM orders
+        UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 300 = 0 THEN 'none' ELSE CAST(o_custkey AS VARCHAR) END, CASE WHEN o_orderkey % 200 <> 0 THEN -o_totalprice END, CASE WHEN o_orderkey % 500 = 0 THEN 'X' ELSE o_orderstatus END FROM orders WHERE o_orderkey % 100 = 0)
+      SELECT o_orderkey, 'not_null' AS check_name, 'o_totalprice' AS column_name, CAST(NULL AS VARCHAR) AS failure_case FROM t WHERE price IS NULL
+      UNION ALL SELECT o_orderkey, 'type_bigint', 'o_clerk', clerk FROM t WHERE TRY_CAST(clerk AS BIGINT) IS NULL
+      UNION ALL SELECT o_orderkey, 'price_positive', 'o_totalprice', CAST(price AS VARCHAR) FROM t WHERE price <= 0
+      UNION ALL SELECT o_orderkey, 'status_known', 'o_orderstatus', status FROM t WHERE status NOT IN ('F', 'O', 'P')
+      UNION ALL SELECT o_orderkey, 'unique', 'o_orderkey', CAST(o_orderkey AS VARCHAR) FROM t WHERE o_orderkey IN (SELECT o_orderkey FROM t GROUP BY 1 HAVING count(*) > 1)""",
     "a6_structural_verdict": sql("fk contract", "SELECT 'contracts' AS part, bool_and(failures = 0) AS sound FROM contract UNION ALL SELECT 'relations', bool_and(orphans = 0) FROM fk"),
     "a7_reference_durations": "SELECT l_orderkey AS k, count(*) AS n, round(min_by(l_extendedprice, (l_linenumber, l_extendedprice)), 6) AS reference_s FROM lineitem GROUP BY 1",
     "a8_duplicate_identity": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, copies FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem) WHERE copies > 1",

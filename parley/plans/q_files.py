@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parley.operators import audit, grid, windows
+from parley.operators import media as md
 from parley.operators import packets as pk
 from parley.operators import structure as st
 from parley.plans import q_audit, q_structure
@@ -41,6 +42,14 @@ def s3_nested_json(spark, sf_dir):
     return rounded(read.select("video_id", F.explode("clips").alias("c")).select("video_id", "c.*"))
 
 
+def s4_listed_files(spark, sf_dir):
+    """Pages written ten to a file, one folder each, and listed with the digests of the files' contents."""
+    path = fl.scratch(spark, "s4")
+    pages = c.table(spark, sf_dir, "pages").select("page_id", F.floor(F.col("page_id") / 10).alias("lot"), F.col("html").alias("value"))
+    pages.repartition("lot").sortWithinPartitions("lot", "page_id").select("lot", "value").write.partitionBy("lot").text(path)
+    return rounded(md.inventory(md.list_files(spark, path, checksum=True)).select("dataset", "file_type", "size", "sha256"))
+
+
 def s7_parquet_sink(spark, sf_dir):
     path = fl.scratch(spark, "s7")
     fl.write_table(c.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"), path)
@@ -212,3 +221,5 @@ ORACLE_SQL["s8_store_tables"] = sql("control_grid pevents fchanges pruns trn ovl
   UNION ALL SELECT 'events', count(*), count(DISTINCT recording_id) FROM (SELECT recording_id FROM pevents UNION ALL SELECT recording_id FROM fchanges)
   UNION ALL SELECT 'segments', count(*), count(DISTINCT recording_id) FROM (SELECT recording_id FROM pruns UNION ALL SELECT recording_id FROM trn UNION ALL SELECT recording_id FROM ovl UNION ALL SELECT recording_id FROM sil)
   UNION ALL SELECT 'participants', count(*), count(DISTINCT recording_id) FROM who UNION ALL SELECT 'recordings', count(*), count(DISTINCT recording_id) FROM recs""")
+ORACLE_SQL["s4_listed_files"] = """SELECT 'lot=' || lot AS dataset, 'other' AS file_type, CAST(sum(strlen(html) + 1) AS BIGINT) AS size, sha256(string_agg(html || chr(10), '' ORDER BY page_id)) AS sha256
+  FROM (SELECT *, page_id // 10 AS lot FROM pages) GROUP BY lot"""

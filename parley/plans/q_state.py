@@ -58,7 +58,7 @@ def i3_dilate(spark, sf_dir):
 
 
 def i4_clip(spark, sf_dir):
-    return rounded(intervals.clip(intervals.normalize(c.speech(events(spark, sf_dir))), F.lit(20000.0), F.lit(60000.0)).drop("participant_id"))
+    return rounded(intervals.clip(intervals.normalize(c.speech(events(spark, sf_dir))), F.lit(600.0), F.lit(2400.0)).drop("participant_id"))
 
 
 def i5_total_duration(spark, sf_dir):
@@ -67,7 +67,7 @@ def i5_total_duration(spark, sf_dir):
 
 def i6_overlap(spark, sf_dir):
     e = events(spark, sf_dir)
-    seg = c.speech(e).filter("participant_id = 'view' AND end_s > start_s").select("recording_id", "annotation_id", "start_s", "end_s")
+    seg = c.speech(e).filter("end_s > start_s").select("recording_id", "annotation_id", "start_s", "end_s")
     return rounded(intervals.overlap(seg, _of(e, "purchase"), ["recording_id"]))
 
 
@@ -168,7 +168,17 @@ def v26_layer_comparison(spark, sf_dir):
 
 
 def m23_grid_violations(spark, sf_dir):
-    return rounded(grid.grid_violations(grid.action_grid(control(spark, sf_dir), STEP), STEP))
+    """A sound grid breaks no rule; so each recording's first seven slots are added once more, far after its end, with a fault each."""
+    sound = grid.action_grid(control(spark, sf_dir), STEP)
+    k, null = F.col("decision_index"), F.lit(None)
+    valid = F.when(k == 0, False).when(k <= 5, True).otherwise(F.col("action_valid"))
+    action = F.when(k.isin(0, 3, 5), "ONSET").when(k == 1, null).when(k == 2, "NO_EVENT").otherwise(F.col("action"))
+    reason = F.when(k == 2, "unknown_state").when(k <= 5, null).otherwise(F.col("mask_reason"))
+    time = F.when(k == 3, null).when(k == 5, 1.0).otherwise(F.col("event_time_s"))
+    tau = F.when(k == 4, -1.0).when(k == 5, 5.0).when(k == 6, STEP).otherwise(F.col("tau_s"))
+    state = F.when(k == 5, "SPEAKING").otherwise(F.col("state_before"))
+    faults = sound.filter(k <= 6).select(*(c_ for c_ in sound.columns if c_ not in ("decision_index", "action_valid", "action", "mask_reason", "event_time_s", "tau_s", "state_before")), (k + 1000).alias("decision_index"), valid.alias("action_valid"), action.alias("action"), reason.alias("mask_reason"), time.alias("event_time_s"), tau.alias("tau_s"), state.alias("state_before"))
+    return rounded(grid.grid_violations(sound.unionByName(faults), STEP))
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "ivm" and k.split("_")[0][1:].isdigit()}
@@ -185,12 +195,11 @@ ORACLE_SQL = {
         SELECT *, max(b) OVER (PARTITION BY recording_id, participant_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
         FROM (SELECT recording_id, participant_id, start_s - 3 AS a, end_s + 3 AS b FROM speech)))
       GROUP BY recording_id, participant_id, g"""),
-    "i4_clip": sql("speech", "SELECT recording_id, round(greatest(start_s, 20000), 6) AS start_s, round(least(end_s, 60000), 6) AS end_s, annotation_id FROM speech WHERE least(end_s, 60000) > greatest(start_s, 20000)"),
+    "i4_clip": sql("speech", "SELECT recording_id, round(greatest(start_s, 600), 6) AS start_s, round(least(end_s, 2400), 6) AS end_s, annotation_id FROM speech WHERE least(end_s, 2400) > greatest(start_s, 600)"),
     "i5_total_duration": sql("runs", f"SELECT recording_id, participant_id, round({_DUR}, 6) AS duration_s FROM runs GROUP BY 1, 2"),
     "i6_overlap": sql("speech runs", """SELECT recording_id, annotation_id, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, round(o, 6) AS overlap_s, round(least(1, o / (end_s - start_s)), 6) AS overlap_ratio
       FROM (SELECT s.recording_id, s.annotation_id, s.start_s, s.end_s, coalesce(sum(CASE WHEN r.start_s IS NOT NULL THEN least(s.end_s, r.end_s) - greatest(s.start_s, r.start_s) END), 0) AS o
-        FROM speech s LEFT JOIN runs r ON r.recording_id = s.recording_id AND r.participant_id = 'purchase' AND r.start_s < s.end_s AND r.end_s > s.start_s
-        WHERE s.participant_id = 'view' GROUP BY ALL)"""),
+        FROM speech s LEFT JOIN runs r ON r.recording_id = s.recording_id AND r.participant_id = 'purchase' AND r.start_s < s.end_s AND r.end_s > s.start_s GROUP BY ALL)"""),
     "i7_subtract": sql("runs", """, t AS (SELECT recording_id, start_s AS t FROM runs WHERE participant_id IN ('click', 'purchase') UNION SELECT recording_id, end_s FROM runs WHERE participant_id IN ('click', 'purchase')),
       p AS (SELECT * FROM (SELECT recording_id, t AS start_s, lead(t) OVER (PARTITION BY recording_id ORDER BY t) AS end_s FROM t) WHERE end_s IS NOT NULL),
       k AS (SELECT p.* FROM p WHERE EXISTS (FROM runs r WHERE r.recording_id = p.recording_id AND r.participant_id = 'click' AND r.start_s < p.end_s AND r.end_s > p.start_s)
@@ -258,12 +267,16 @@ ORACLE_SQL = {
       count(*) FILTER (WHERE mask_reason = 'recording_start') AS recording_start, count(*) FILTER (WHERE mask_reason = 'unknown_state') AS unknown_state,
       count(*) FILTER (WHERE mask_reason = 'unknown_within_slot') AS unknown_within_slot, count(*) FILTER (WHERE mask_reason = 'compound_transition') AS compound_transition
       FROM (SELECT 'native' AS layer, * FROM native_grid UNION ALL SELECT 'control', * FROM control_grid) GROUP BY 1"""),
-    "m23_grid_violations": sql("control_grid", """, g AS (SELECT *, lag(decision_index) OVER (PARTITION BY recording_id ORDER BY decision_index) AS was FROM control_grid)
+    "m23_grid_violations": sql("control_grid", """, g AS (SELECT *, lag(decision_index) OVER (PARTITION BY recording_id ORDER BY decision_index) AS was FROM (
+        SELECT decision_index, recording_id, state_before, action_valid, mask_reason, action, event_time_s, tau_s FROM control_grid
+        UNION ALL SELECT k + 1000, recording_id, CASE WHEN k = 5 THEN 'SPEAKING' ELSE state_before END, CASE WHEN k = 0 THEN false WHEN k <= 5 THEN true ELSE action_valid END, CASE WHEN k = 2 THEN 'unknown_state' WHEN k > 5 THEN mask_reason END,
+          CASE WHEN k IN (0, 3, 5) THEN 'ONSET' WHEN k = 1 THEN NULL WHEN k = 2 THEN 'NO_EVENT' ELSE action END, CASE WHEN k = 3 THEN NULL WHEN k = 5 THEN 1 ELSE event_time_s END, CASE k WHEN 4 THEN -1 WHEN 5 THEN 5 WHEN 6 THEN 10 ELSE tau_s END
+          FROM (SELECT *, decision_index AS k FROM control_grid WHERE decision_index <= 6)))
       SELECT 'index_not_consecutive' AS rule, count(*) FILTER (WHERE decision_index <> was + 1) AS n FROM g
       UNION ALL SELECT 'masked_with_action', count(*) FILTER (WHERE NOT action_valid AND action IS NOT NULL) FROM g
       UNION ALL SELECT 'valid_without_action', count(*) FILTER (WHERE action_valid AND action IS NULL) FROM g
       UNION ALL SELECT 'valid_with_reason', count(*) FILTER (WHERE action_valid AND mask_reason IS NOT NULL) FROM g
       UNION ALL SELECT 'event_without_time', count(*) FILTER (WHERE action IN ('ONSET', 'OFFSET') AND event_time_s IS NULL) FROM g
-      UNION ALL SELECT 'tau_outside_slot', count(*) FILTER (WHERE tau_s < 0 OR tau_s > 10) FROM g
+      UNION ALL SELECT 'tau_outside_slot', count(*) FILTER (WHERE tau_s < 0 OR tau_s >= 10) FROM g
       UNION ALL SELECT 'onset_while_speaking', count(*) FILTER (WHERE action = 'ONSET' AND state_before = 'SPEAKING' AND tau_s > 1e-9) FROM g"""),
 }

@@ -45,7 +45,7 @@ def t6_floor_changes(spark, sf_dir):
 
 
 def t7_floor_transfers(spark, sf_dir):
-    return rounded(s.floor_changes(states(spark, sf_dir), RULES).groupBy("kind", "locality").agg(F.count("*").alias("n"), F.sum("fto_s").alias("fto_s")))
+    return rounded(s.floor_changes(states(spark, sf_dir), RULES).select("recording_id", "time_s", "kind", "locality", "fto_s"))
 
 
 def t8_speech_runs(spark, sf_dir):
@@ -78,13 +78,12 @@ def t14_observed_spans(spark, sf_dir):
 
 def t15_events_table(spark, sf_dir):
     out = s.events_table(states(spark, sf_dir), RULES)
-    return rounded(out.groupBy("event", "onset_type", "transfer_kind", "locality").agg(F.count("*").alias("n"), F.sum("time_s").alias("time_s"), F.sum("fto_s").alias("fto_s")))
+    return rounded(out.select("recording_id", "event", "participant_index", "time_s", "onset_type", "simultaneous", "silence_before_s", "previous_holder", "next_holder", "transfer_kind", "locality", "fto_s"))
 
 
 def t16_segments_table(spark, sf_dir):
     out = s.segments_table(states(spark, sf_dir), RULES)
-    length = F.col("end_s") - F.col("start_s")
-    return rounded(out.groupBy("segment", "overlap_type", "silence_type").agg(F.count("*").alias("n"), F.sum(length).alias("seconds"), F.count_if("start_censored").alias("start_censored"), F.count_if("end_censored").alias("end_censored")))
+    return rounded(out.select("recording_id", "segment", "start_s", "end_s", "participant_index", "runs", "pauses_s", "fto_from_previous_s", "initial", "entering", "overlap_type", "previous_speaker", "next_speaker", "silence_type", "start_censored", "end_censored"))
 
 
 def t18_participant_profiles(spark, sf_dir):
@@ -130,7 +129,7 @@ ORACLE_SQL = {
     "t4_last_unique_speaker": sql("flr", "SELECT recording_id, ordinal, CAST(last_unique AS BIGINT) AS last_unique FROM flr"),
     "t5_speaker_events": sql("pevents", "SELECT recording_id, ordinal, round(time_s, 6) AS time_s, kind, CAST(participant_index AS BIGINT) AS participant_index FROM pevents"),
     "t6_floor_changes": sql("fchanges", "SELECT recording_id, ordinal, round(time_s, 6) AS time_s, CAST(previous_holder AS BIGINT) AS previous_holder, CAST(next_holder AS BIGINT) AS next_holder, round(previous_run_end_s, 6) AS previous_run_end_s, round(next_run_start_s, 6) AS next_run_start_s, round(fto_s, 6) AS fto_s FROM fchanges"),
-    "t7_floor_transfers": sql("fchanges", f"SELECT {_KIND} AS kind, {_LOCAL} AS locality, count(*) AS n, round(sum(fto_s), 6) AS fto_s FROM fchanges GROUP BY 1, 2"),
+    "t7_floor_transfers": sql("fchanges", f"SELECT recording_id, round(time_s, 6) AS time_s, {_KIND} AS kind, {_LOCAL} AS locality, round(fto_s, 6) AS fto_s FROM fchanges"),
     "t8_speech_runs": sql("pruns", "SELECT recording_id, CAST(participant_index AS BIGINT) AS participant_index, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, first_piece, last_piece, start_censored, end_censored FROM pruns"),
     "t9_overlaps": sql("ovl", "SELECT recording_id, CAST(initial AS BIGINT) AS initial, CAST(entering AS BIGINT) AS entering, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, overlap_type, CAST(previous_floor_holder AS BIGINT) AS previous_floor_holder, valid FROM ovl"),
     "t10_silences": sql("sil", f"SELECT recording_id, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, CAST(previous_speaker AS BIGINT) AS previous_speaker, CAST(next_speaker AS BIGINT) AS next_speaker, {_SIL} AS silence_type, {_SIL} <> 'undetermined' AS valid FROM sil"),
@@ -138,15 +137,14 @@ ORACLE_SQL = {
     "t12_simultaneous_onsets": sql("ctx", "SELECT recording_id, ordinal, round(time_s, 6) AS time_s, 'onset' AS kind, CAST(participant_index AS BIGINT) AS participant_index, simultaneous FROM ctx"),
     "t13_onset_contexts": sql("ctx", "SELECT recording_id, ordinal, round(time_s, 6) AS time_s, CAST(participant_index AS BIGINT) AS participant_index, CAST(previous_unique_speaker AS BIGINT) AS previous_unique_speaker, others_before, others_at, round(silence_before_s, 6) AS silence_before_s, simultaneous, onset_type FROM ctx"),
     "t14_observed_spans": sql("flr", "SELECT recording_id, round(min(start_s), 6) AS start_s, round(max(end_s), 6) AS end_s FROM (SELECT *, ordinal - row_number() OVER (PARTITION BY recording_id ORDER BY ordinal) AS g FROM flr WHERE all_known) GROUP BY recording_id, g"),
-    "t15_events_table": sql("ctx pevents fchanges", f"""SELECT event, onset_type, transfer_kind, locality, count(*) AS n, round(sum(time_s), 6) AS time_s, round(sum(fto_s), 6) AS fto_s FROM (
-      SELECT 'onset' AS event, onset_type, NULL AS transfer_kind, NULL AS locality, time_s, CAST(NULL AS DOUBLE) AS fto_s FROM ctx
-      UNION ALL SELECT 'offset', NULL, NULL, NULL, time_s, NULL FROM pevents WHERE kind = 'offset'
-      UNION ALL SELECT 'floor_change', NULL, {_KIND}, {_LOCAL}, time_s, fto_s FROM fchanges) GROUP BY 1, 2, 3, 4"""),
-    "t16_segments_table": sql("pruns trn ovl sil", f"""SELECT segment, overlap_type, silence_type, count(*) AS n, round(sum(end_s - start_s), 6) AS seconds, count(*) FILTER (WHERE sc) AS start_censored, count(*) FILTER (WHERE ec) AS end_censored FROM (
-      SELECT 'run' AS segment, NULL AS overlap_type, NULL AS silence_type, start_s, end_s, start_censored AS sc, end_censored AS ec FROM pruns
-      UNION ALL SELECT 'turn', NULL, NULL, start_s, end_s, start_censored, end_censored FROM trn
-      UNION ALL SELECT 'overlap', overlap_type, NULL, start_s, end_s, NULL, NULL FROM ovl
-      UNION ALL SELECT 'silence', NULL, {_SIL}, start_s, end_s, NULL, NULL FROM sil) GROUP BY 1, 2, 3"""),
+    "t15_events_table": sql("ctx pevents fchanges", f"""SELECT recording_id, 'onset' AS event, participant_index, round(time_s, 6) AS time_s, onset_type, simultaneous, round(silence_before_s, 6) AS silence_before_s, CAST(NULL AS INT) AS previous_holder, CAST(NULL AS INT) AS next_holder, NULL AS transfer_kind, NULL AS locality, CAST(NULL AS DOUBLE) AS fto_s FROM ctx
+      UNION ALL SELECT recording_id, 'offset', participant_index, round(time_s, 6), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM pevents WHERE kind = 'offset'
+      UNION ALL SELECT recording_id, 'floor_change', NULL, round(time_s, 6), NULL, NULL, NULL, previous_holder, next_holder, {_KIND}, {_LOCAL}, round(fto_s, 6) FROM fchanges"""),
+    "t16_segments_table": sql("pruns trn ovl sil", f"""SELECT recording_id, 'run' AS segment, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, participant_index, CAST(NULL AS BIGINT) AS runs, CAST(NULL AS DOUBLE) AS pauses_s, CAST(NULL AS DOUBLE) AS fto_from_previous_s, CAST(NULL AS INT) AS initial, CAST(NULL AS INT) AS entering,
+        NULL AS overlap_type, CAST(NULL AS INT) AS previous_speaker, CAST(NULL AS INT) AS next_speaker, NULL AS silence_type, start_censored, end_censored FROM pruns
+      UNION ALL SELECT recording_id, 'turn', round(start_s, 6), round(end_s, 6), participant_index, runs, round(pauses_s, 6), round(fto_from_previous_s, 6), NULL, NULL, NULL, NULL, NULL, NULL, start_censored, end_censored FROM trn
+      UNION ALL SELECT recording_id, 'overlap', round(start_s, 6), round(end_s, 6), NULL, NULL, NULL, NULL, initial, entering, overlap_type, NULL, NULL, NULL, NULL, NULL FROM ovl
+      UNION ALL SELECT recording_id, 'silence', round(start_s, 6), round(end_s, 6), NULL, NULL, NULL, NULL, NULL, NULL, NULL, previous_speaker, next_speaker, {_SIL}, NULL, NULL FROM sil"""),
     "t17_recordings": sql("recs", """SELECT 'events' AS dataset, recording_id, 'week-' || week(CAST(substr(recording_id, 1, 10) AS DATE)) || substr(recording_id, 14) AS conversation_id, recording_id AS view_id, 'click' AS wearer_id, lo AS start_s, hi AS end_s,
       'click,purchase,signup,view' AS participant_ids, 4 AS participant_count, 0 AS wearer_index, hi - lo AS duration_s FROM recs"""),
     "t17_participants": sql("who pstates trn pevents fchanges floor0", """SELECT recording_id, participant_id, CAST(w.participant_index AS BIGINT) AS participant_index, w.participant_index = 0 AS is_ego, true AS is_resolved, 33 AS features,
