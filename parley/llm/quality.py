@@ -244,28 +244,31 @@ def fit(x: np.ndarray, y: np.ndarray) -> Additive:
     return Additive(edges, base, tables, pair_edges, [(a, b, t) for (a, b), t in pair_tables.items()])
 
 
-def _features_of(docs: DataFrame, label: str) -> DataFrame:
+def _features_of(docs: DataFrame, doc_id: str, label: str) -> DataFrame:
+    """(id, y, x) of each row: its id, its label and the features of its text."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
                 rows = features(batch.column("text"))
                 flat = pa.ListArray.from_arrays(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32), pa.array(rows.reshape(-1)))
-                yield pa.record_batch([batch.column(label), flat], names=["y", "x"])
+                yield pa.record_batch([batch.column(doc_id), batch.column(label), flat], names=["id", "y", "x"])
 
-    return docs.select(label, "text").mapInArrow(work, "y int, x array<double>")
+    return docs.select(doc_id, label, "text").mapInArrow(work, "id long, y int, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, fold: int = 0, folds: int = 5, fit_rows: int = FIT_ROWS) -> Additive:
     """The model of labels.quality, learned from rows whose crc32(doc_id as text) modulo `folds` is not `fold`.
 
-    It is fitted on the driver on at most `fit_rows` labelled rows, the first by a hash of their id; features of
-    these rows alone go there. Labels other than 0 and 1 and ids without a document teach nothing.
+    It is fitted on the driver on at most `fit_rows` labelled ids, the first by a hash; one row of features for each goes
+    there: of an id with several texts the one with the least features teaches, and repeated labels count once. Labels other
+    than 0 and 1 and ids without a document teach nothing.
     """
-    known = labels.selectExpr("CAST(doc_id AS LONG) AS _id", "CAST(quality AS INT) AS _quality").filter("_quality IN (0, 1)").filter(crc_mod("_id", folds) != fold)
+    known = labels.selectExpr("CAST(doc_id AS LONG) AS _id", "CAST(quality AS INT) AS _quality").filter("_quality IN (0, 1)").filter(crc_mod("_id", folds) != fold).distinct()
     sample = known.orderBy(F.xxhash64("_id"), "_id", "_quality").limit(fit_rows)
     texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text")
     joined = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # at most fit_rows pairs of numbers
-    rows = _features_of(joined, "_quality").collect()
+    rows = _features_of(joined, "_id", "_quality").groupBy("id", "y").agg(F.min("x").alias("x")).collect()  # as many as the sample at most
     x = np.array([r.x for r in rows], float).reshape(-1, len(FEATURES))
     y = np.array([r.y for r in rows], float)
     order = np.lexsort((y, *x.T))  # the order in which tasks end must not show in the sums
@@ -288,7 +291,10 @@ def score(docs: DataFrame, model: Additive, accept: float = ACCEPT) -> DataFrame
 
 
 def keep_good(docs: DataFrame, model: Additive, accept: float = ACCEPT) -> DataFrame:
-    """The documents that the model accepts, with all their columns; rows are judged one by one, so nothing is shuffled."""
+    """The documents that the model accepts, with all their columns; rows are judged one by one, so nothing is shuffled.
+
+    Null and empty texts are judged as texts without any feature, very long ones whole; repeated rows stay or go together.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parley.llm import ann, chat, minhash, pii, tokens
+from parley.llm import ann, chat, minhash, pii, quality, tokens
 from tests.llm.test_llm import bag, brute_classes, docs, edited, text
 
 KEY = pii.EXAMPLE_KEY
@@ -199,3 +199,13 @@ def test_small_vectors_among_huge_ones_are_found(spark):
         # A small query's nearest are small; a huge one's are whichever come first, as all small ones are as far from it.
         assert q % 3 == 1 or len(got[q] & set(best[:10])) >= 9
     assert len(got) == 9 and all(len(x) == 10 for x in got.values())
+
+
+def test_an_id_repeated_often_teaches_once(spark):
+    good, bad = text(1, 80), "zz " * 40
+    base = [(k, good if k % 2 else bad) for k in range(40)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] * 3, "doc_id long, quality int")
+    once = quality.train(docs(spark, base), labels)
+    often = quality.train(docs(spark, base + [base[1]] * 300), labels)
+    got = [[r.score for r in quality.score(docs(spark, base[:4]), m).orderBy("doc_id").collect()] for m in (once, often)]
+    assert got[0] == got[1]
