@@ -157,6 +157,44 @@ def summary(grid: DataFrame) -> DataFrame:
     return grid.groupBy("recording_id").agg(F.count("*").alias("slots"), F.count_if("action_valid").alias("valid_slots"), F.min("decision_index").alias("first_index"), F.max("decision_index").alias("last_index"), *counts)
 
 
+#: What differs between a timeline's grid and another's.
+DELTAS = ("compound_slots", "compound_transitions", "source_transitions", "represented_transitions", "masked_transitions", "valid_slots")
+
+
+def timeline_summary(timeline: DataFrame, step_s: float) -> DataFrame:
+    """Per recording: slots by validity, action, state before and mask reason; what becomes of the timeline's resolved transitions; gaps shorter than a step; seconds left over; why a timeline can't be gridded.
+
+    Transitions are represented by a slot's action, masked, or outside the grid. `timeline` is read several times: write it first where it is costly.
+    """
+    slots = summary(action_grid(timeline, step_s)).withColumn("masked_slots", F.col("slots") - F.col("valid_slots")).withColumn("represented_transitions", F.col("onset") + F.col("offset"))
+    limits = bounds(timeline, step_s)
+    moves = transitions(timeline).filter("resolved").withColumn("_slot", slot_index(F.col("time_s"), step_s)).join(limits, "recording_id")
+    inside = (F.col("_slot") >= F.col("first_index")) & (F.col("_slot") < F.col("first_index") + F.col("slots"))
+    counted = moves.groupBy("recording_id").agg(F.count("*").alias("source_transitions"), F.count_if(~inside).alias("transitions_outside_grid"))
+    compound = compound_slots(timeline, step_s).groupBy("recording_id").agg(F.count("*").alias("compound_slots"), F.sum("changes").alias("compound_transitions"))
+    gaps = sub_step_gaps(timeline, step_s).groupBy("recording_id").agg(F.count("*").alias("short_gaps"), F.count_if("cross_slot").alias("short_gaps_across_slots"), F.count_if(~F.col("cross_slot")).alias("short_gaps_within_a_slot"))
+    out = limits.select("recording_id", F.col("head_s").alias("leading_dropped_s"), F.col("tail_s").alias("trailing_dropped_s"))
+    for part in (slots, counted, compound, gaps):
+        out = out.join(part, "recording_id", "left")
+    names = [c for c in out.columns if c not in ("recording_id", "leading_dropped_s", "trailing_dropped_s", "first_index", "last_index")]
+    out = out.fillna(0, names).withColumn("masked_transitions", F.col("source_transitions") - F.col("represented_transitions") - F.col("transitions_outside_grid"))
+    return out.join(timeline_errors(timeline).withColumnRenamed("error", "invalid_timeline_reason"), "recording_id", "left")
+
+
+def layer_deltas(native: DataFrame, control: DataFrame) -> DataFrame:
+    """(statistic, native, control, delta) of the sums of two timelines' summaries, and the recordings with a compound slot."""
+    def sums(rows: DataFrame, name: str) -> DataFrame:
+        one = rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in DELTAS), F.count_if(F.col("compound_slots") > 0).alias("recordings_with_compound_slot"))
+        return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("statistic"), F.col(c).alias(name)) for c in one.columns))).alias("r")).select("r.*")
+
+    return sums(native, "native").join(sums(control, "control"), "statistic").withColumn("delta", F.col("control") - F.col("native"))
+
+
+def pattern_counts(timeline: DataFrame, step_s: float) -> DataFrame:
+    """(pattern, changes, slots): how often each order of onsets and offsets makes a slot compound."""
+    return compound_slots(timeline, step_s).groupBy("pattern", "changes").agg(F.count("*").alias("slots"))
+
+
 def statistics(grid: DataFrame, by: str = "state_before") -> DataFrame:
     """Slots, share of valid ones and quantiles of tau, for each state before and action."""
     rows = saved(grid.select(by, F.coalesce("action", F.lit("-")).alias("action"), "action_valid", "tau_s"), "grid")

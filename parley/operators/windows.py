@@ -59,6 +59,30 @@ def anchors(grid: DataFrame, spec: WindowSpec) -> DataFrame:
     return rows.select("recording_id", "decision_index", "segment", "position", "context_steps", "context_valid", "future_valid", "future_events", F.when(F.col("future_events") > 0, "event").otherwise("background").alias("sample_class"), trainable.alias("trainable"))
 
 
+#: Versions of the layout of the index and of the actions that it counts.
+WINDOW_VERSION, ACTION_VERSION = 1, 1
+
+
+def build_index(grid: DataFrame, recordings: DataFrame, splits: DataFrame, spec: WindowSpec) -> DataFrame:
+    """The index that training reads: every anchor with its identity, its place in the canonical grid and in its segment, its shares, class and split.
+
+    `recordings` have (dataset, recording_id, conversation_id, view_id, wearer_id); a recording without a conversation is its own.
+    `anchor_row` is the anchor's zero-based row in the grid sorted by recording and decision_index; segments count from 0 in a recording.
+    """
+    places = numbered(grid.select("recording_id", "decision_index", "decision_time_s"), "recording_id", "decision_index")
+    own = Window.partitionBy("recording_id").orderBy("segment")
+    pieces = segments(grid).select("recording_id", "segment").distinct().withColumn("segment_id", F.row_number().over(own) - 1)
+    rows = anchors(grid, spec).join(places, ["recording_id", "decision_index"]).join(pieces, ["recording_id", "segment"])
+    rows = rows.join(recordings.select("dataset", "recording_id", F.coalesce("conversation_id", "recording_id").alias("conversation_id"), "view_id", "wearer_id"), "recording_id")
+    rows = rows.join(splits.select("recording_id", "split", "split_source"), "recording_id", "left")
+    return rows.select(
+        F.concat_ws("#", "recording_id", "decision_index").alias("sample_id"), "dataset", "recording_id", "conversation_id", "view_id", "wearer_id", "split", "segment_id",
+        F.col("decision_index").alias("anchor_idx"), F.col("decision_time_s").alias("anchor_time"), F.col("row_number").alias("anchor_row"), F.col("context_steps").alias("max_context_steps"), F.lit(spec.future).alias("future_steps"),
+        F.col("context_valid").alias("context_valid_ratio"), F.col("future_valid").alias("future_valid_ratio"), F.col("future_events").alias("future_event_count"), "sample_class", F.col("trainable").alias("is_trainable"), "split_source",
+        F.lit(WINDOW_VERSION).alias("window_schema_version"), F.lit(ACTION_VERSION).alias("action_schema_version"),
+    )
+
+
 def normal_split(split: Column) -> Column:
     """A split's usual name: trimmed, lower case, val / valid / dev as validation; blanks, nan and none as null."""
     name = F.lower(F.trim(split))

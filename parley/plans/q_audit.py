@@ -90,6 +90,13 @@ def m23_index_violations(spark, sf_dir):
     return rounded(windows.index_violations(index.unionByName(moved).unionByName(lies), _grid(spark, sf_dir), splits.filter(held != "04").unionByName(again), SPEC))
 
 
+def m8_index(spark, sf_dir):
+    """The whole index over a grid with a hole after each hundred slots."""
+    sound = saved(_grid(spark, sf_dir), "grid")
+    holed = sound.withColumn("decision_index", F.col("decision_index") + F.floor(F.col("decision_index") / 100))
+    return rounded(windows.build_index(holed, c.recordings(events(spark, sf_dir)), _splits(spark, sf_dir), SPEC))
+
+
 def m14_context_histogram(spark, sf_dir):
     return rounded(windows.context_histogram(_index(spark, sf_dir), _splits(spark, sf_dir)))
 
@@ -336,6 +343,14 @@ ORACLE_SQL = {
       UNION ALL SELECT 'recording_without_split', count(DISTINCT recording_id) FROM i WHERE recording_id NOT IN (SELECT recording_id FROM s WHERE split IS NOT NULL)
       UNION ALL SELECT 'recording_in_two_splits', count(*) FROM (SELECT recording_id FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1)
       UNION ALL SELECT 'conversation_in_two_splits', count(*) FROM (SELECT conversation_id FROM s WHERE conversation_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1)"""),
+    "m8_index": sql("control_grid splits", f""", h AS (SELECT *, decision_index + decision_index // 100 AS k FROM control_grid),
+        g AS (SELECT *, k - row_number() OVER (PARTITION BY recording_id ORDER BY k) AS seg, row_number() OVER (ORDER BY recording_id, k) - 1 AS anchor_row FROM h),
+        d AS (SELECT *, dense_rank() OVER (PARTITION BY recording_id ORDER BY seg) - 1 AS segment_id FROM g),
+        i AS (SELECT *, CAST(cv AS DOUBLE) / context_steps AS context_valid, CAST(fv AS DOUBLE) / 10 AS future_valid FROM (SELECT *, row_number() OVER w - 1 AS position, count(*) OVER (PARTITION BY recording_id, seg) AS n, least(row_number() OVER w, 30) AS context_steps,
+          sum(CAST(action_valid AS INT)) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS cv, sum(CAST(action_valid AS INT)) OVER (w ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING) AS fv,
+          coalesce(sum(CASE WHEN action IN ('ONSET', 'OFFSET') THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING), 0) AS future_events FROM d WINDOW w AS (PARTITION BY recording_id, seg ORDER BY k)) WHERE position + 1 >= 6 AND position + 10 < n)
+      SELECT i.recording_id || '#' || k AS sample_id, 'events' AS dataset, i.recording_id, s.conversation_id, i.recording_id AS view_id, 'click' AS wearer_id, s.split, segment_id, k AS anchor_idx, round(decision_time_s, 6) AS anchor_time, anchor_row, context_steps AS max_context_steps, 10 AS future_steps,
+        round(context_valid, 6) AS context_valid_ratio, round(future_valid, 6) AS future_valid_ratio, CAST(future_events AS BIGINT) AS future_event_count, {_CLASS} AS sample_class, {_TRAIN} AS is_trainable, s.split_source, 1 AS window_schema_version, 1 AS action_schema_version FROM i JOIN splits s USING (recording_id)"""),
     "m14_context_histogram": sql("idx splits", f"SELECT split, context_steps, count(*) AS anchors, count(*) FILTER (WHERE trainable) AS trainable FROM (SELECT i.recording_id, s.split, context_steps, {_TRAIN} AS trainable FROM idx i JOIN splits s USING (recording_id)) GROUP BY 1, 2"),
     "m15_window_reconstruction": sql("idx", """, read AS (SELECT recording_id, decision_index, sha256(array_to_string(list(coalesce(action, 'masked')) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), ',')) AS context_sha256, sha256(array_to_string(list(coalesce(action, 'masked')) OVER (w ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING), ',')) AS future_sha256
         FROM (SELECT *, decision_index - row_number() OVER (PARTITION BY recording_id ORDER BY decision_index) AS seg FROM control_grid) WINDOW w AS (PARTITION BY recording_id, seg ORDER BY decision_index))

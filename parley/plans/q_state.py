@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.operators import grid, intervals, state
-from parley.plans.oracle import EPS, sql
+from parley.plans.oracle import EPS, part, sql
 from parley.sources import canonical as c
+from parley.sources.shared import saved
 
 STEP = 10.0
 RP = ["recording_id", "participant_id"]
@@ -159,6 +160,19 @@ def v24_grid_summary(spark, sf_dir):
     return rounded(grid.summary(grid.action_grid(control(spark, sf_dir), STEP)))
 
 
+def v24_timeline_summary(spark, sf_dir):
+    return rounded(grid.timeline_summary(saved(native(spark, sf_dir), "native"), STEP))
+
+
+def v25_compound_patterns(spark, sf_dir):
+    return rounded(grid.pattern_counts(native(spark, sf_dir), STEP))
+
+
+def v26_layer_deltas(spark, sf_dir):
+    layers = [grid.timeline_summary(saved(t(spark, sf_dir), "timeline"), STEP) for t in (native, control)]
+    return rounded(grid.layer_deltas(*layers))
+
+
 def v25_grid_statistics(spark, sf_dir):
     return rounded(grid.statistics(grid.action_grid(control(spark, sf_dir), STEP)))
 
@@ -280,3 +294,35 @@ ORACLE_SQL = {
       UNION ALL SELECT 'tau_outside_slot', count(*) FILTER (WHERE tau_s < 0 OR tau_s >= 10) FROM g
       UNION ALL SELECT 'onset_while_speaking', count(*) FILTER (WHERE action = 'ONSET' AND state_before = 'SPEAKING' AND tau_s > 1e-9) FROM g"""),
 }
+
+
+def _whole(layer: str) -> str:
+    """The SQL of `timeline_summary` for a layer."""
+    inside = "s >= first_index AND s < first_index + slots"
+    return f"""SELECT b.recording_id, round(CASE WHEN b.slots > 0 THEN greatest(0, b.first_index * CAST(10 AS DOUBLE) - b.lo) ELSE 0 END, 6) AS leading_dropped_s, round(CASE WHEN b.slots > 0 THEN greatest(0, b.hi - (b.first_index + b.slots) * CAST(10 AS DOUBLE)) ELSE b.hi - b.lo END, 6) AS trailing_dropped_s,
+      g.first_index, g.last_index, coalesce(g.slots, 0) AS slots, coalesce(g.valid_slots, 0) AS valid_slots, coalesce(g.slots - g.valid_slots, 0) AS masked_slots, coalesce(g.no_event, 0) AS no_event, coalesce(g.onset, 0) AS onset, coalesce(g.off, 0) AS "offset", coalesce(g.onset + g.off, 0) AS represented_transitions,
+      coalesce(g.before_speaking, 0) AS before_speaking, coalesce(g.before_silent, 0) AS before_silent, coalesce(g.before_unknown, 0) AS before_unknown, coalesce(g.recording_start, 0) AS recording_start, coalesce(g.unknown_state, 0) AS unknown_state, coalesce(g.unknown_within_slot, 0) AS unknown_within_slot,
+      coalesce(g.compound_transition, 0) AS compound_transition, CAST(0 AS BIGINT) AS invalid_timeline, coalesce(m.n, 0) AS source_transitions, coalesce(m.outside, 0) AS transitions_outside_grid, coalesce(c.slots, 0) AS compound_slots, CAST(coalesce(c.changes, 0) AS BIGINT) AS compound_transitions,
+      coalesce(p.n, 0) AS short_gaps, coalesce(p.crossing, 0) AS short_gaps_across_slots, coalesce(p.n - p.crossing, 0) AS short_gaps_within_a_slot, coalesce(m.n, 0) - coalesce(g.onset + g.off, 0) - coalesce(m.outside, 0) AS masked_transitions, CAST(NULL AS VARCHAR) AS invalid_timeline_reason
+      FROM {layer}_bounds b LEFT JOIN (SELECT recording_id, min(decision_index) AS first_index, max(decision_index) AS last_index, count(*) AS slots, count(*) FILTER (WHERE action_valid) AS valid_slots, count(*) FILTER (WHERE action = 'NO_EVENT') AS no_event, count(*) FILTER (WHERE action = 'ONSET') AS onset, count(*) FILTER (WHERE action = 'OFFSET') AS off,
+          count(*) FILTER (WHERE state_before = 'SPEAKING') AS before_speaking, count(*) FILTER (WHERE state_before = 'SILENT') AS before_silent, count(*) FILTER (WHERE state_before = 'UNKNOWN') AS before_unknown, count(*) FILTER (WHERE mask_reason = 'recording_start') AS recording_start, count(*) FILTER (WHERE mask_reason = 'unknown_state') AS unknown_state,
+          count(*) FILTER (WHERE mask_reason = 'unknown_within_slot') AS unknown_within_slot, count(*) FILTER (WHERE mask_reason = 'compound_transition') AS compound_transition FROM {layer}_grid GROUP BY 1) g USING (recording_id)
+      LEFT JOIN (SELECT recording_id, count(*) AS n, count(*) FILTER (WHERE NOT ({inside})) AS outside FROM {layer}_at GROUP BY 1) m USING (recording_id)
+      LEFT JOIN (SELECT recording_id, count(*) AS slots, sum(n) AS changes FROM (SELECT recording_id, s, count(*) AS n FROM {layer}_at WHERE {inside} GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1) c USING (recording_id)
+      LEFT JOIN (SELECT recording_id, count(*) AS n, count(*) FILTER (WHERE floor((start_s + {EPS}) / 10) <> floor((end_s + {EPS}) / 10)) AS crossing FROM (SELECT *, lag(state) OVER w AS was, lead(state) OVER w AS nxt FROM {layer} WINDOW w AS (PARTITION BY recording_id ORDER BY start_s))
+        WHERE state = 'SILENT' AND was = 'SPEAKING' AND nxt = 'SPEAKING' AND end_s - start_s < 10 - {EPS} GROUP BY 1) p USING (recording_id)"""
+
+
+for _layer in ("native", "control"):
+    part(f"{_layer}_at", f"{_layer}_changes {_layer}_bounds", f"SELECT c.recording_id, time_s, after, CAST(floor((time_s + {EPS}) / 10) AS BIGINT) AS s, first_index, slots FROM {_layer}_changes c JOIN {_layer}_bounds b USING (recording_id) WHERE before <> 'UNKNOWN' AND after <> 'UNKNOWN'")
+    part(f"{_layer}_whole", f"{_layer}_at {_layer}_grid {_layer}", _whole(_layer))
+ORACLE_SQL["v24_timeline_summary"] = sql("native_whole", "SELECT * FROM native_whole")
+ORACLE_SQL["v25_compound_patterns"] = sql("native_at", "SELECT pattern, n AS changes, count(*) AS slots FROM (SELECT string_agg(CASE WHEN after = 'SPEAKING' THEN 'ONSET' ELSE 'OFFSET' END, '>' ORDER BY time_s) AS pattern, CAST(count(*) AS INT) AS n FROM native_at WHERE s >= first_index AND s < first_index + slots GROUP BY recording_id, s HAVING count(*) > 1) GROUP BY 1, 2")
+_SUMS = ("compound_slots", "compound_transitions", "source_transitions", "represented_transitions", "masked_transitions", "valid_slots")
+ORACLE_SQL["v26_layer_deltas"] = sql(
+    "native_whole control_whole",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS statistic, CAST((SELECT {e} FROM native_whole) AS BIGINT) AS native, CAST((SELECT {e} FROM control_whole) AS BIGINT) AS control, CAST((SELECT {e} FROM control_whole) - (SELECT {e} FROM native_whole) AS BIGINT) AS delta"
+        for n, e in [*((c_, f"sum({c_})") for c_ in _SUMS), ("recordings_with_compound_slot", "count(*) FILTER (WHERE compound_slots > 0)")]
+    ),
+)
