@@ -120,6 +120,18 @@ def modal(rows: DataFrame, key: str, value: str) -> DataFrame:
     return ranked.filter("_r = 1").select(key, F.col(value).alias("mode"), (F.col("_all") - F.col("n")).alias("others"))
 
 
+def frame_sizes(frames: DataFrame, key: str, value: str, marked: int = 960) -> DataFrame:
+    """Per key: its frames' usual size (the smallest on ties), every size with its frames in order, how many differ from the usual one, and how many are of the `marked` size.
+
+    Frames without a size don't count.
+    """
+    counts = frames.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("n"))
+    sizes = F.sort_array(F.collect_list(F.struct(F.col(value).alias("size"), "n")))
+    usual = F.min_by(F.col(value), F.struct(-F.col("n"), F.col(value)))
+    out = counts.groupBy(key).agg(usual.alias("mode"), sizes.alias("distribution"), F.sum("n").alias("frames"), F.max("n").alias("_most"), F.coalesce(F.sum(F.when(F.col(value) == marked, F.col("n"))), F.lit(0)).alias("marked"))
+    return out.select(key, "mode", "distribution", "frames", (F.col("frames") - F.col("_most")).alias("others"), "marked")
+
+
 def top_per_group(rows: DataFrame, keys: list[str], by: Column, n: int, ties: list[str]) -> DataFrame:
     """The n rows of each group with the greatest `by`, ties in the order given."""
     w = Window.partitionBy(*keys).orderBy(by.desc(), *ties)

@@ -169,7 +169,8 @@ def x14_fact_tokens(spark, sf_dir):
     recs, _, lines = _clip_facts(spark, sf_dir)
     start = F.when(F.col("l_partkey") % 9 != 0, F.col("l_quantity") * 1.0)
     rows = facts.named(lines).select("recording_id", "participant_id", F.col("l_partkey").cast("string").alias("text"), start.alias("start_s"), (F.col("n") * 5.0).alias("end_s"), F.col("n").alias("source_row"))
-    return rounded(facts.tokens(rows, recs.filter("recording_id % 3 <> 0"), "utterance"))
+    strange = rows.filter("source_row = 1").withColumn("recording_id", -1 - F.col("recording_id"))  # tokens of recordings that aren't there
+    return rounded(facts.tokens(rows.unionByName(strange), recs, "utterance"))
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "scagpx" and k.split("_")[0][1:].isdigit()}
@@ -202,7 +203,7 @@ ORACLE_SQL = {
     "x14_fact_participants": """WITH l AS (SELECT l_orderkey AS recording_id, CAST(l_suppkey AS VARCHAR) AS who, l_linenumber AS n FROM lineitem), p AS (SELECT recording_id, who AS participant_id, n % 2 = 1 AS listed, true AS resolved FROM l WHERE n % 2 = 1 OR n % 5 <> 4
       UNION ALL SELECT recording_id, '<unresolved>', false, false FROM l WHERE n % 5 = 4) SELECT recording_id, participant_id, participant_id = wearer AS is_wearer, bool_and(resolved) AS resolved, bool_or(listed) AS listed FROM p JOIN (SELECT recording_id, min(who) AS wearer FROM l GROUP BY 1) USING (recording_id) GROUP BY 1, 2, 3""",
     "x14_fact_tokens": """SELECT recording_id, participant_id, 'utterance' AS unit, text, CASE WHEN ok THEN a END AS start_s, CASE WHEN ok THEN b END AS end_s, ok AS timing_valid, source_row FROM (SELECT *, coalesce(b > a, false) AS ok FROM (
-      SELECT l_orderkey AS recording_id, CASE WHEN l_linenumber % 5 <> 4 THEN CAST(l_suppkey AS VARCHAR) ELSE '<unresolved>' END AS participant_id, CAST(l_partkey AS VARCHAR) AS text, CASE WHEN l_partkey % 9 <> 0 THEN CAST(l_quantity AS DOUBLE) END AS a, l_linenumber * CAST(5 AS DOUBLE) AS b, l_linenumber AS source_row FROM lineitem WHERE l_orderkey % 3 <> 0))""",
+      SELECT l_orderkey AS recording_id, CASE WHEN l_linenumber % 5 <> 4 THEN CAST(l_suppkey AS VARCHAR) ELSE '<unresolved>' END AS participant_id, CAST(l_partkey AS VARCHAR) AS text, CASE WHEN l_partkey % 9 <> 0 THEN CAST(l_quantity AS DOUBLE) END AS a, l_linenumber * CAST(5 AS DOUBLE) AS b, l_linenumber AS source_row FROM lineitem))""",
     "g20_grid_by_recording": sql("control_grid", "SELECT recording_id, decision_index, decision_time_s, row_number() OVER (PARTITION BY recording_id ORDER BY decision_index) - 1 AS place FROM control_grid"),
     "p10_codec_boundary": sql("pkt", "SELECT stream, coalesce(sum(CASE WHEN i = 0 THEN 1024 ELSE 0 END), 0) AS skip_samples, coalesce(sum(CASE WHEN i % 7 = 6 THEN i % 100 ELSE 0 END), 0) AS discard_padding_samples FROM pkt GROUP BY 1"),
     "p16_decode_cases": sql("fls evs", """, f AS (SELECT * FROM fls WHERE stream % 10 <> 0), q AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY regime ORDER BY max_abs_drift, max_abs_step, stream) = 1)

@@ -16,10 +16,10 @@ from parley.sources import canonical as c
 
 def _probes(spark, sf_dir):
     """A probed file for each user, but for some; audio starts late or ends early in several."""
-    users = c.table(spark, sf_dir, "events").select(F.col("user_id").alias("u")).distinct().filter("u % 13 <> 5")
+    users = c.table(spark, sf_dir, "events").select(F.col("user_id").alias("u")).distinct()
     u = F.col("u")
     return users.select(
-        F.concat(F.lit("Events/240p/"), u.cast("string"), F.lit(".MP4")).alias("relative_path"),
+        F.concat(F.lit("Events/240p/"), F.when(u % 13 == 5, "lost-").otherwise(""), u.cast("string"), F.lit(".MP4")).alias("relative_path"),
         (u % 11 != 0).alias("probe_ok"),
         F.when(u % 17 != 0, (u % 5) * F.lit(0.25)).alias("audio_start_s"),
         (F.lit(3600.0) - (u % 4) * F.lit(10.0)).alias("audio_duration_s"),
@@ -113,8 +113,8 @@ def m22_layer_agreement(spark, sf_dir):
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.split("_")[0][:1] in "vm" and k.split("_")[0][1:].isdigit()}
 
-part("mcov", "", """SELECT CAST(u AS VARCHAR) AS media_key, u % 11 <> 0 AND u % 17 <> 0 AS probe_ok, CASE WHEN u % 11 <> 0 AND u % 17 <> 0 THEN u % 5 * CAST(0.25 AS DOUBLE) END AS audio_start_s,
-  CASE WHEN u % 11 <> 0 AND u % 17 <> 0 THEN u % 5 * CAST(0.25 AS DOUBLE) + (3600 - u % 4 * CAST(10 AS DOUBLE)) END AS audio_end_s FROM (SELECT DISTINCT user_id AS u FROM events) WHERE u % 13 <> 5""")
+part("mcov", "", """SELECT CASE WHEN u % 13 = 5 THEN 'lost-' ELSE '' END || u AS media_key, u % 11 <> 0 AND u % 17 <> 0 AS probe_ok, CASE WHEN u % 11 <> 0 AND u % 17 <> 0 THEN u % 5 * CAST(0.25 AS DOUBLE) END AS audio_start_s,
+  CASE WHEN u % 11 <> 0 AND u % 17 <> 0 THEN u % 5 * CAST(0.25 AS DOUBLE) + (3600 - u % 4 * CAST(10 AS DOUBLE)) END AS audio_end_s FROM (SELECT DISTINCT user_id AS u FROM events)""")
 part("mrec", "ann", "SELECT recording_id, CAST(u AS VARCHAR) AS media_key, u % 3 * CAST(15 AS DOUBLE) / 30 AS media_offset_s, u FROM (SELECT recording_id, min(user_id) AS u FROM ann JOIN (SELECT event_id AS i, user_id FROM events) ON i = event_id GROUP BY 1)")
 part("munc", "mcov mrec", """SELECT * FROM (SELECT recording_id, CAST(0 AS DOUBLE) AS start_s, CAST(3600 AS DOUBLE) AS end_s, CASE WHEN probe_ok IS NULL THEN 'media_missing' ELSE 'media_unprobed' END AS annotation_id FROM mrec LEFT JOIN mcov USING (media_key) WHERE NOT coalesce(probe_ok, false)
   UNION ALL SELECT recording_id, 0, least(audio_start_s - media_offset_s, 3600), 'media_uncovered' FROM mrec JOIN mcov USING (media_key) WHERE probe_ok AND audio_start_s - media_offset_s > 0

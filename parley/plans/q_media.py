@@ -78,6 +78,21 @@ def p13_modal_frame_size(spark, sf_dir):
     return rounded(pk.modal(e.select("event_type", F.floor(F.col("value") / 10).cast("long").alias("size")), "event_type", "size"))
 
 
+def p13_frame_sizes(spark, sf_dir):
+    """Events as decoded frames of their user: most have 1024 samples, some 960 or 512, and one in 29 none."""
+    e, k = c.table(spark, sf_dir, "events"), F.col("event_id")
+    size = F.when(k % 29 == 0, None).when((k % 3 == 0) | (F.col("user_id") % 7 == 0), 960).when(k % 11 == 0, 512).otherwise(1024).cast("long")
+    out = pk.frame_sizes(e.select("user_id", size.alias("size")), "user_id", "size")
+    shown = F.array_join(F.transform("distribution", lambda d: F.concat_ws(":", d["size"], d["n"])), ",")
+    return rounded(out.withColumn("distribution", shown))
+
+
+def p17_population_by_rate(spark, sf_dir):
+    """By regime and rate class of the streams."""
+    m = pk.drift_metrics(_series(spark, sf_dir), RATE, THRESHOLD).withColumns({"regime": F.pmod("stream", F.lit(3)), "rate_hz": F.when(F.col("stream") % 2 == 0, 48000).otherwise(44100)})
+    return rounded(pk.population(m, ["regime", "rate_hz"], "max_abs_drift", (1000.0, 5000.0)))
+
+
 def p16_case_selection(spark, sf_dir):
     rows = c.table(spark, sf_dir, "events").select("event_type", "event_id", "value")
     return rounded(pk.top_per_group(rows, ["event_type"], F.col("value"), 2, ["event_id"]))
@@ -351,3 +366,6 @@ ORACLE_SQL["f3_masked_level"] = sql("pstates flr", f"""SELECT recording_id, deci
     JOIN flr p ON p.recording_id = m.recording_id AND p.all_known AND p.solo = 0 AND p.start_s <= m.decision_index * 10 + i / CAST(6.4 AS DOUBLE) + {EPS} AND p.end_s > m.decision_index * 10 + i / CAST(6.4 AS DOUBLE) + {EPS}
     JOIN embeddings e ON e.vec_id = m.decision_index)
   GROUP BY 1, 2)""")
+ORACLE_SQL["p13_frame_sizes"] = """WITH c AS (SELECT user_id, size, count(*) AS n FROM (SELECT user_id, CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 3 = 0 OR user_id % 7 = 0 THEN 960 WHEN event_id % 11 = 0 THEN 512 ELSE 1024 END AS size FROM events) WHERE size IS NOT NULL GROUP BY 1, 2)
+  SELECT user_id, arg_min(size, (-n, size)) AS mode, string_agg(size || ':' || n, ',' ORDER BY size) AS distribution, CAST(sum(n) AS BIGINT) AS frames, CAST(sum(n) - max(n) AS BIGINT) AS others, CAST(coalesce(sum(n) FILTER (WHERE size = 960), 0) AS BIGINT) AS marked FROM c GROUP BY 1"""
+ORACLE_SQL["p17_population_by_rate"] = sql("met", "SELECT regime, rate_hz, streams, over_1000, over_5000, round(q[1], 6) AS q0, round(q[2], 6) AS q5, round(q[3], 6) AS q25, round(q[4], 6) AS q50, round(q[5], 6) AS q75, round(q[6], 6) AS q95, round(q[7], 6) AS q100 FROM (SELECT stream % 3 AS regime, CASE WHEN stream % 2 = 0 THEN 48000 ELSE 44100 END AS rate_hz, count(*) AS streams, count(*) FILTER (WHERE max_abs_drift > 1000) AS over_1000, count(*) FILTER (WHERE max_abs_drift > 5000) AS over_5000, quantile_cont(max_abs_drift, [0, 0.05, 0.25, 0.5, 0.75, 0.95, 1]) AS q FROM met GROUP BY 1, 2)")
