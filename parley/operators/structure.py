@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.intervals import clip, merge, on_pieces, pieces
+from parley.operators.intervals import clip, merge
 from parley.operators.state import EPS, SILENT, SPEAKING, UNKNOWN
 
 #: No holder, and several at once.
@@ -43,85 +43,144 @@ def order_participants(participants: DataFrame) -> DataFrame:
 def participant_states(recordings: DataFrame, participants: DataFrame, speech: DataFrame, unknown: DataFrame) -> DataFrame:
     """(recording_id, ordinal, start_s, end_s, participant_index, state): each piece once per participant. UNKNOWN wins.
 
-    An unknown region without participant holds for all.
+    An unknown region without participant holds for all. Intervals are shuffled once, by recording alone and before they are
+    spread over participants; all that follows, here and in windows over a recording, stays in its partition.
     """
-    who = order_participants(participants).select("recording_id", "participant_id", "participant_index")
-    window = recordings.select("recording_id", F.col("start_s").alias("_low"), F.col("end_s").alias("_high"))
-    key = ["recording_id", "participant_index"]
-
-    def united(rows: DataFrame) -> DataFrame:
-        return merge(clip(rows.join(window, "recording_id"), F.col("_low"), F.col("_high")), key)
-
-    spoken = united(speech.join(who, ["recording_id", "participant_id"]))
-    own = unknown.filter("participant_id IS NOT NULL").join(who, ["recording_id", "participant_id"])
-    shared = unknown.filter("participant_id IS NULL").drop("participant_id").join(who.drop("participant_id"), "recording_id")
-    hidden = united(own.drop("participant_id").unionByName(shared))
-    marks = spoken.withColumn("bad", F.lit(False)).unionByName(hidden.withColumn("bad", F.lit(True)))
-    cut = pieces(marks, REC, recordings.filter("end_s > start_s"))
-    covered = on_pieces(marks, cut, REC).groupBy("recording_id", "ordinal", "participant_index").agg(F.max("bad").alias("bad"))
-    everyone = cut.join(who.drop("participant_id"), "recording_id")
-    state = F.when(F.col("bad").isNull(), SILENT).when(F.col("bad"), UNKNOWN).otherwise(SPEAKING)
-    return everyone.join(covered, ["recording_id", "ordinal", "participant_index"], "left").withColumn("state", state).drop("bad")
+    people = order_participants(participants).groupBy("recording_id").agg(F.collect_list(F.struct("participant_id", "participant_index")).alias("_who"))
+    window = recordings.select("recording_id", F.col("start_s").alias("_low"), F.col("end_s").alias("_high")).join(people, "recording_id")
+    columns = ["recording_id", "participant_id", "start_s", "end_s"]
+    marks = recordings.select("recording_id", F.lit(None).cast("string").alias("participant_id"), "start_s", "end_s", F.lit("whole").alias("mark"))
+    for rows, name in ((speech.filter("participant_id IS NOT NULL"), SPEAKING), (unknown, UNKNOWN)):
+        marks = marks.unionByName(rows.select(*columns, F.lit(name).alias("mark")))
+    # A fixed number of partitions isn't coalesced: the rows are few here, but many once spread.
+    parts = int(recordings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = clip(marks.repartition(parts, "recording_id").join(window.hint("merge"), "recording_id"), F.col("_low"), F.col("_high"))
+    named = F.filter("_who", lambda p: F.col("participant_id").isNull() | (p["participant_id"] == F.col("participant_id")))
+    spread = met.select("recording_id", F.size("_who").alias("_people"), "mark", "start_s", "end_s", F.explode(named).alias("_p"))
+    own = merge(spread.withColumn("_owner", F.col("_p.participant_index")), ["recording_id", "_people", "_owner", "mark"])
+
+    # Both ends of a united interval are edges for everyone, and steps for its owner.
+    def step(name: str, by: int) -> Column:
+        return F.when((F.col("mark") == name) & (F.col("_owner") == F.col("participant_index")), by).otherwise(0)
+
+    ends = own.select("*", F.explode(F.sequence(F.lit(0), F.col("_people") - 1)).alias("participant_index"))
+    edges = F.array(*(F.struct(F.col(at).alias("start_s"), step(SPEAKING, by).alias("spoken"), step(UNKNOWN, by).alias("hidden")) for at, by in (("start_s", 1), ("end_s", -1))))
+    ends = ends.select("recording_id", "participant_index", F.explode(edges).alias("e")).select("recording_id", "participant_index", "e.*")
+    ends = ends.groupBy("recording_id", "participant_index", "start_s").agg(F.sum("spoken").alias("spoken"), F.sum("hidden").alias("hidden"))
+    order = Window.partitionBy("recording_id", "participant_index").orderBy("start_s")
+    spoken, hidden = (F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, 0)) > 0 for c in ("spoken", "hidden"))
+    state = F.when(hidden, UNKNOWN).when(spoken, SPEAKING).otherwise(SILENT).alias("state")
+    rows = ends.select("recording_id", (F.row_number().over(order) - 1).alias("ordinal"), "start_s", F.lead("start_s").over(order).alias("end_s"), "participant_index", state)
+    return rows.filter("end_s IS NOT NULL")
+
+
+def by_participant(states: DataFrame) -> DataFrame:
+    """Each piece once per participant with what its neighbours are: from states, or from the rows of `joint`.
+
+    `was` and `next` are the participant's states before and after, `ended_s` when it last spoke before the piece, `began_s`
+    when it last was not speaking; `run` and `bad` count its pieces so far that aren't SPEAKING and that are UNKNOWN.
+    """
+    if "who" in states.columns:
+        return states.select("*", F.explode("who").alias("_w")).drop("who").select("*", "_w.*").drop("_w")
+    # By start, which is the order of ordinals and the one in which states come.
+    w = Window.partitionBy("recording_id", "participant_index").orderBy("start_s")
+    so_far, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    spoken = F.col("state") == SPEAKING
+    return states.select(
+        "recording_id",
+        "ordinal",
+        "start_s",
+        "end_s",
+        "participant_index",
+        "state",
+        F.lag("state").over(w).alias("was"),
+        F.lead("state").over(w).alias("next"),
+        F.last(F.when(spoken, F.col("end_s")), ignorenulls=True).over(before).alias("ended_s"),
+        F.coalesce(F.last(F.when(~spoken, F.col("end_s")), ignorenulls=True).over(before), F.first("start_s").over(so_far)).alias("began_s"),
+        F.count_if(~spoken).over(so_far).alias("run"),
+        F.count_if(F.col("state") == UNKNOWN).over(so_far).alias("bad"),
+    )
 
 
-def floor(states: DataFrame) -> DataFrame:
-    """One row per piece: speakers, whether all are known, who holds the floor (-1 none, -2 several), who alone spoke last.
+def joint(states: DataFrame) -> DataFrame:
+    """One row per piece: the floor, what stood before and comes after, and `who`, the rows of `by_participant` in their order.
 
-    The last unique speaker carries over silence and overlap and is forgotten at UNKNOWN.
+    All functions here take these rows in place of states: write them once where several read them. `span` and `quiet` number
+    the observed spans and the joint silences; `heard` is the last piece so far that isn't silent.
     """
-    rows = states.groupBy("recording_id", "ordinal").agg(
+    if "who" in states.columns:
+        return states
+    each = ["participant_index", "state", "was", "next", "ended_s", "began_s", "run", "bad"]
+    rows = by_participant(states).groupBy("recording_id", "ordinal").agg(
         F.first("start_s").alias("start_s"),
         F.first("end_s").alias("end_s"),
         F.count_if(F.col("state") == SPEAKING).alias("speakers"),
-        F.bool_and(F.col("state") != UNKNOWN).alias("all_known"),
+        F.count_if(F.col("state") == UNKNOWN).alias("unknowns"),
         F.min(F.when(F.col("state") == SPEAKING, F.col("participant_index"))).alias("_one"),
+        F.sort_array(F.collect_list(F.struct(*each))).alias("who"),
     )
-    count = F.col("speakers")
-    rows = rows.withColumn("holder", F.when(count == 0, NONE).when(count > 1, MULTIPLE).otherwise(F.col("_one")))
-    rows = rows.withColumn("solo", F.when(F.col("all_known") & (count == 1), F.col("_one"))).drop("_one")
-    so_far = _by().rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_reset", F.count_if(~F.col("all_known")).over(so_far))
-    last = F.last("solo", ignorenulls=True).over(_by("_reset").rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("last_unique", F.when(F.col("all_known"), last)).drop("_reset")
+    count, known = F.col("speakers"), F.col("unknowns") == 0
+    rows = rows.withColumn("all_known", known).withColumn("holder", F.when(count == 0, NONE).when(count > 1, MULTIPLE).otherwise(F.col("_one")))
+    rows = rows.withColumn("solo", F.when(known & (count == 1), F.col("_one"))).drop("_one")
+    w = _by()
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    silent = F.col("all_known") & (count == 0)
+    # The last speaker alone; an unknown piece counts as one that nobody spoke in.
+    last = F.last(F.when(~F.col("all_known") | F.col("solo").isNotNull(), F.struct("solo")), ignorenulls=True).over(so_far)["solo"]
+    heard = F.last(F.when(~silent, F.struct("end_s", "all_known")), ignorenulls=True).over(so_far)
+    rows = rows.withColumns({"last_unique": last, "heard": heard, "span": F.count_if(~F.col("all_known")).over(so_far), "quiet": F.count_if(~silent).over(so_far)})
+    before = {"was_holder": "last_unique", "was_solo": "solo", "was_speakers": "speakers", "was_unknowns": "unknowns", "was_heard": "heard"}
+    return rows.withColumns({n: F.lag(c).over(w) for n, c in before.items()} | {"next_solo": F.lead("solo").over(w)})
+
+
+def floor(states: DataFrame) -> DataFrame:
+    """One row per piece: speakers, whether all are known, who holds the floor (-1 none, -2 several), who alone spoke last.
+
+    The last unique speaker carries over silence and overlap and is forgotten at UNKNOWN.
+    """
+    return joint(states).select("recording_id", "ordinal", "start_s", "end_s", "speakers", "all_known", "holder", "solo", "last_unique")
 
 
 def speaker_events(states: DataFrame) -> DataFrame:
     """(recording_id, ordinal, time_s, kind, participant_index): onsets and offsets with both sides known; ordinal is the piece that begins there."""
-    was = F.lag("state").over(_by("participant_index"))
+    was = F.col("was")
     kind = F.when((was == SILENT) & (F.col("state") == SPEAKING), "onset").when((was == SPEAKING) & (F.col("state") == SILENT), "offset")
-    rows = states.withColumn("kind", kind).filter("kind IS NOT NULL")
+    rows = by_participant(states).withColumn("kind", kind).filter("kind IS NOT NULL")
     return rows.select("recording_id", "ordinal", F.col("start_s").alias("time_s"), "kind", "participant_index")
 
 
-def speech_runs(states: DataFrame) -> DataFrame:
-    """Maximal speech of each participant; an end that touches UNKNOWN or the recording's edge is censored."""
-    w = _by("participant_index")
-    rows = states.withColumn("_was", F.lag("state").over(w)).withColumn("_next", F.lead("state").over(w)).filter(F.col("state") == SPEAKING)
-    rows = rows.withColumn("_run", F.col("ordinal") - F.row_number().over(w))
-    return rows.groupBy("recording_id", "participant_index", "_run").agg(
+def _runs(states: DataFrame) -> DataFrame:
+    return by_participant(states).filter(F.col("state") == SPEAKING).groupBy("recording_id", "participant_index", "run").agg(
         F.min("start_s").alias("start_s"),
         F.max("end_s").alias("end_s"),
         F.min("ordinal").alias("first_piece"),
         F.max("ordinal").alias("last_piece"),
-        F.coalesce(F.min_by("_was", "ordinal"), F.lit(UNKNOWN)).alias("_was"),
-        F.coalesce(F.max_by("_next", "ordinal"), F.lit(UNKNOWN)).alias("_next"),
-    ).select("recording_id", "participant_index", "start_s", "end_s", "first_piece", "last_piece", (F.col("_was") == UNKNOWN).alias("start_censored"), (F.col("_next") == UNKNOWN).alias("end_censored"))
+        (F.coalesce(F.min_by("was", "ordinal"), F.lit(UNKNOWN)) == UNKNOWN).alias("start_censored"),
+        (F.coalesce(F.max_by("next", "ordinal"), F.lit(UNKNOWN)) == UNKNOWN).alias("end_censored"),
+        F.min("bad").alias("_bad"),
+    ).drop("run")
+
+
+def speech_runs(states: DataFrame) -> DataFrame:
+    """Maximal speech of each participant; an end that touches UNKNOWN or the recording's edge is censored."""
+    return _runs(states).drop("_bad")
 
 
 def floor_changes(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Changes of the last unique speaker between two known ones: the runs that frame them, the floor-transfer offset, its kind and locality."""
-    rows = floor(states).withColumn("previous_holder", F.lag("last_unique").over(_by()))
-    rows = rows.filter("previous_holder IS NOT NULL AND last_unique IS NOT NULL AND previous_holder <> last_unique")
-    rows = rows.select("recording_id", "ordinal", F.col("start_s").alias("time_s"), "previous_holder", F.col("last_unique").alias("next_holder"))
-    w = _by("participant_index")
-    spoken = F.col("state") == SPEAKING
-    ended = F.last(F.when(spoken, F.col("end_s")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    quiet = F.last(F.when(~spoken, F.col("end_s")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    origin = F.first("start_s").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    marks = states.select("recording_id", "ordinal", "participant_index", ended.alias("ended_s"), F.coalesce(quiet, origin).alias("began_s"))
-    before = marks.select("recording_id", "ordinal", F.col("participant_index").alias("previous_holder"), F.col("ended_s").alias("previous_run_end_s"))
-    after = marks.select("recording_id", "ordinal", F.col("participant_index").alias("next_holder"), F.col("began_s").alias("next_run_start_s"))
-    rows = rows.join(before, ["recording_id", "ordinal", "previous_holder"]).join(after, ["recording_id", "ordinal", "next_holder"])
+    def of(who: str, column: str) -> Column:
+        return F.filter("who", lambda p: p["participant_index"] == F.col(who))[0][column]
+
+    rows = joint(states).filter("was_holder IS NOT NULL AND last_unique IS NOT NULL AND was_holder <> last_unique")
+    rows = rows.select(
+        "recording_id",
+        "ordinal",
+        F.col("last_unique").alias("next_holder"),
+        F.col("was_holder").alias("previous_holder"),
+        F.col("start_s").alias("time_s"),
+        of("was_holder", "ended_s").alias("previous_run_end_s"),
+        of("last_unique", "began_s").alias("next_run_start_s"),
+    )
     rows = rows.withColumn("fto_s", F.col("next_run_start_s") - F.col("previous_run_end_s"))
     return rows.withColumn("kind", transfer_kind(F.col("fto_s"))).withColumn("locality", transfer_locality(F.col("fto_s"), rules))
 
@@ -166,13 +225,9 @@ def overlaps(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def silences(states: DataFrame) -> DataFrame:
     """Maximal joint silences: a pause if the same single speaker stands on both sides, a gap if two do, else undetermined."""
-    rows = floor(states)
-    w = _by()
-    rows = rows.withColumn("_before", F.lag("solo").over(w)).withColumn("_after", F.lead("solo").over(w)).filter("all_known AND speakers = 0")
-    rows = rows.withColumn("_island", F.col("ordinal") - F.row_number().over(w))
-    out = rows.groupBy("recording_id", "_island").agg(
-        F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.min_by("_before", "ordinal").alias("previous_speaker"), F.max_by("_after", "ordinal").alias("next_speaker")
-    ).drop("_island")
+    out = joint(states).filter("all_known AND speakers = 0").groupBy("recording_id", "quiet").agg(
+        F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.min_by("was_solo", "ordinal").alias("previous_speaker"), F.max_by("next_solo", "ordinal").alias("next_speaker")
+    ).drop("quiet")
     same = F.col("previous_speaker") == F.col("next_speaker")
     kind = F.when(same, "pause").when(~same, "gap").otherwise("undetermined")
     return out.withColumn("silence_type", kind).withColumn("valid", F.col("silence_type") != "undetermined")
@@ -183,11 +238,8 @@ def turns(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     The offset from the previous turn is given only if that is another participant's.
     """
-    w = _by("participant_index")
-    bad = F.count_if(F.col("state") == UNKNOWN).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    counts = states.select("recording_id", "participant_index", F.col("ordinal").alias("first_piece"), bad.alias("_bad"))
     own = Window.partitionBy("recording_id", "participant_index").orderBy("start_s")
-    runs = speech_runs(states).join(counts, ["recording_id", "participant_index", "first_piece"])
+    runs = _runs(states)
     pause = F.col("start_s") - F.lag("end_s").over(own)
     joins = (pause <= rules.turn_pause_s + EPS) & (F.lag("_bad").over(own) == F.col("_bad"))
     runs = runs.withColumn("_pause", F.when(joins, pause)).withColumn("_turn", F.sum(F.when(joins, 0).otherwise(1)).over(own.rowsBetween(Window.unboundedPreceding, 0)))
@@ -207,11 +259,14 @@ def turns(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def simultaneous_onsets(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Onsets with `simultaneous`: whether another participant begins within the tolerance. The frame runs over whole nanoseconds."""
+    return _simultaneous(speaker_events(states).filter("kind = 'onset'"), rules)
+
+
+def _simultaneous(onsets: DataFrame, rules: Rules) -> DataFrame:
     reach = round((rules.simultaneous_s + EPS) * 1e9)
-    onsets = speaker_events(states).filter("kind = 'onset'").withColumn("_ns", F.round(F.col("time_s") * 1e9).cast("long"))
     w = Window.partitionBy("recording_id").orderBy("_ns").rangeBetween(-reach, reach)
     near = F.min("participant_index").over(w) != F.max("participant_index").over(w)
-    return onsets.withColumn("simultaneous", near).drop("_ns")
+    return onsets.withColumn("_ns", F.round(F.col("time_s") * 1e9).cast("long")).withColumn("simultaneous", near).drop("_ns")
 
 
 def onset_contexts(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -219,16 +274,10 @@ def onset_contexts(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     Whether others are active is three-valued: null if none is heard and one is unknown.
     """
-    pieces_ = floor(states)
-    w = _by()
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    silent = F.col("all_known") & (F.col("speakers") == 0)
-    heard = F.last(F.when(~silent, F.struct("end_s", "all_known")), ignorenulls=True).over(so_far)
-    unknowns = states.groupBy("recording_id", "ordinal").agg(F.count_if(F.col("state") == UNKNOWN).alias("unknowns"))
-    p = pieces_.withColumn("_heard", heard).join(unknowns, ["recording_id", "ordinal"])
-    before = p.select("recording_id", (F.col("ordinal") + 1).alias("ordinal"), F.col("speakers").alias("b_speakers"), F.col("unknowns").alias("b_unknowns"), F.col("last_unique").alias("previous_unique_speaker"), "_heard")
-    at = p.select("recording_id", "ordinal", "speakers", "unknowns")
-    rows = simultaneous_onsets(states, rules).join(before, ["recording_id", "ordinal"], "left").join(at, ["recording_id", "ordinal"])
+    at = joint(states).select(
+        "*", F.explode(F.filter("who", lambda p: (p["was"] == SILENT) & (p["state"] == SPEAKING))["participant_index"]).alias("participant_index")
+    )
+    rows = _simultaneous(at.select("*", F.col("start_s").alias("time_s"), F.col("was_holder").alias("previous_unique_speaker"), F.col("was_heard").alias("_heard"), F.col("was_speakers").alias("b_speakers"), F.col("was_unknowns").alias("b_unknowns")), rules)
     # The speaker itself is silent before and speaking at its onset.
     others_before = F.when(F.col("b_speakers") > 0, True).when(F.col("b_unknowns") > 0, None).otherwise(False)
     others_at = F.when(F.col("speakers") > 1, True).when(F.col("unknowns") > 0, None).otherwise(False)
@@ -248,8 +297,7 @@ def onset_contexts(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def observed_spans(states: DataFrame) -> DataFrame:
     """Maximal spans in which every participant is known."""
-    rows = floor(states).filter("all_known").withColumn("_island", F.col("ordinal") - F.row_number().over(_by()))
-    return rows.groupBy("recording_id", "_island").agg(F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s")).drop("_island")
+    return joint(states).filter("all_known").groupBy("recording_id", "span").agg(F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s")).drop("span")
 
 
 def events_table(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -311,8 +359,8 @@ def profiles(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
     def median(seconds: Column, name: str) -> Column:
         return _quantile(seconds, 0.5).alias(name)
 
-    heard = floor(states).select("recording_id", "ordinal", "speakers", "all_known")
-    known = states.join(heard, ["recording_id", "ordinal"])
+    states = joint(states)
+    known = by_participant(states)
     own = F.col("all_known") & (F.col("state") == SPEAKING)
     base = per(
         known,

@@ -65,7 +65,7 @@ def s8_label_store(spark, sf_dir):
 def s8_store_tables(spark, sf_dir):
     """The five tables of the speech labels in a store, as its reader sees them: rows, recordings and how many keys there are."""
     events_ = c.table(spark, sf_dir, "events")
-    around = saved(q_structure.states(spark, sf_dir), "states")
+    around = saved(st.joint(q_structure.states(spark, sf_dir)), "pieces")
     each = Window.partitionBy("recording_id", "segment_type").orderBy("start_s", "end_s", "participant_index", "initial", "entering")
     segments = st.segments_table(around, q_structure.RULES).withColumnRenamed("segment", "segment_type").withColumn("segment_id", F.row_number().over(each) - 1)
     tables = {

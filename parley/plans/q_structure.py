@@ -77,7 +77,7 @@ def t14_observed_spans(spark, sf_dir):
 
 
 def t15_events_table(spark, sf_dir):
-    out = s.events_table(states(spark, sf_dir), RULES)
+    out = s.events_table(saved(s.joint(states(spark, sf_dir)), "pieces"), RULES)
     return rounded(out.select("recording_id", "event", "participant_index", "time_s", "onset_type", "simultaneous", "silence_before_s", "previous_holder", "next_holder", "transfer_kind", "locality", "fto_s"))
 
 
@@ -87,7 +87,7 @@ def t16_segments_table(spark, sf_dir):
 
 
 def t18_participant_profiles(spark, sf_dir):
-    return rounded(s.profiles(saved(states(spark, sf_dir), "states"), RULES), exact=EXACT)
+    return rounded(s.profiles(saved(s.joint(states(spark, sf_dir)), "pieces"), RULES), exact=EXACT)
 
 
 def t17_recordings(spark, sf_dir):
@@ -97,7 +97,7 @@ def t17_recordings(spark, sf_dir):
 
 
 def t17_participants(spark, sf_dir):
-    out = s.participants_table(c.participants(events(spark, sf_dir)), s.profiles(saved(states(spark, sf_dir), "states"), RULES))
+    out = s.participants_table(c.participants(events(spark, sf_dir)), s.profiles(saved(s.joint(states(spark, sf_dir)), "pieces"), RULES))
     vector, names = F.col("interaction_profile_features"), F.col("interaction_profile_feature_names")
     at = {n: F.element_at(vector, F.array_position(names, F.lit(n)).cast("int")) for n in ("turn_count", "onset_count", "floor_yields", "speaking_time_s")}
     return rounded(out.select("recording_id", "participant_id", "participant_index", "is_ego", "is_resolved", F.size(vector).alias("features"), *(v.alias(n) for n, v in at.items())))

@@ -1,5 +1,7 @@
 """Conversational structure: the boundary cases of the rules."""
 
+import re
+
 from parley.operators import structure as st
 
 
@@ -37,3 +39,22 @@ def test_silences_and_within(spark):
     assert [(o.initial, o.entering, o.overlap_type) for o in st.overlaps(s).collect()] == [(0, 1, "within")]
     kinds = sorted((x.start_s, x.silence_type) for x in st.silences(s).collect())
     assert kinds == [(0.0, "undetermined"), (6.0, "pause"), (8.0, "gap"), (10.0, "undetermined")]
+
+
+def shuffled_by(df):
+    """The columns that the plan shuffles by."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {c for keys in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan) for c in re.findall(r"([a-z_]+)#", keys)}
+
+
+def test_states_and_what_is_drawn_from_them_are_shuffled_by_recording_alone(spark):
+    s = states(spark, [("w", 1.0, 3.0), ("a", 3.0, 5.0)], [(None, 8.0, 9.0)])
+    for rows in (s, st.floor(s), st.speech_runs(s), st.floor_changes(s), st.onset_contexts(s)):
+        assert shuffled_by(rows) == {"recording_id"}
+
+
+def test_joint_rows_stand_for_states(spark):
+    s = states(spark, [("w", 1.0, 6.0), ("a", 2.0, 4.0), ("b", 4.0, 12.0), ("w", 7.0, 8.0), ("a", 13.0, 15.0)], [("a", 10.0, 11.0), (None, 16.0, 17.0)])
+    pieces = st.joint(s)
+    for f in (st.floor, st.speaker_events, st.speech_runs, st.floor_changes, st.silences, st.turns, st.overlaps, st.onset_contexts, st.observed_spans, st.profiles):
+        assert sorted(map(str, f(pieces).collect())) == sorted(map(str, f(s).collect()))
