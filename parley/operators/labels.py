@@ -40,23 +40,28 @@ def seconds_per_unit(rows: DataFrame, width_s: float, keys: Sequence[str]) -> Da
     return spread.groupBy(*keys, "unit").agg(F.sum(F.greatest(F.lit(0.0), part)).alias("seconds"))
 
 
-def unit_codes(states: DataFrame, cells: DataFrame, width_s: float, per_cell: int) -> DataFrame:
-    """(recording_id, decision_index, place, codes): each unit's state code of every participant, in their order.
+def _state_seconds(states: DataFrame, width_s: float, wanted: Sequence[str] = (SPEAKING, UNKNOWN)) -> DataFrame:
+    """(recording_id, participant_index, state, unit, seconds) of the wanted states; units that they don't touch have no row."""
+    some = st.by_participant(states).filter(F.col("state").isin(*wanted)).select("recording_id", F.col("participant_index").cast("int").alias("participant_index"), "state", "start_s", "end_s")
+    return seconds_per_unit(some, width_s, ["recording_id", "participant_index", "state"])
 
-    UNKNOWN if it lasts longer than EPS in the unit, else SPEAKING likewise. Only units that are touched are
-    worked out; the rest are silent.
-    """
-    key = ["recording_id", "participant_index"]
-    some = states.filter((F.col("state") == SPEAKING) | (F.col("state") == UNKNOWN))
-    timed = seconds_per_unit(some.select(*key, "state", "start_s", "end_s"), width_s, [*key, "state"])
-    code = F.max(F.when(F.col("seconds") > EPS, F.when(F.col("state") == UNKNOWN, UNKNOWN_CODE).otherwise(SPEAKING_CODE)).otherwise(SILENT_CODE))
-    found = timed.groupBy(*key, "unit").agg(code.alias("code"))
-    found = found.groupBy("recording_id", "unit").agg(F.map_from_entries(F.collect_list(F.struct("participant_index", "code"))).alias("_codes"))
-    people = states.groupBy("recording_id").agg((F.max("participant_index") + 1).alias("_people"))
-    units = cells.select(*CELL, F.explode(F.sequence(F.lit(0), F.lit(per_cell - 1))).alias("place")).withColumn("unit", F.col("decision_index") * per_cell + F.col("place"))
-    met = units.join(found, ["recording_id", "unit"], "left").join(people, "recording_id")
-    everyone = F.transform(F.sequence(F.lit(0), F.col("_people") - 1), lambda p: F.coalesce(F.try_element_at("_codes", p), F.lit(SILENT_CODE)))
-    return met.select(*CELL, "place", everyone.alias("codes"))
+
+def _per_recording(states: DataFrame) -> DataFrame:
+    """(recording_id, _people, _origin, _end) of each recording that has states."""
+    last = F.max(F.array_max(F.transform("who", lambda p: p["participant_index"]))) if "who" in states.columns else F.max("participant_index")
+    return states.groupBy("recording_id").agg((last + 1).cast("int").alias("_people"), F.min("start_s").alias("_origin"), F.max("end_s").alias("_end"))
+
+
+def _units(cells: DataFrame, per_cell: int) -> DataFrame:
+    return cells.select(*CELL, F.explode(F.sequence(F.lit(0), F.lit(per_cell - 1))).alias("place")).withColumn("unit", F.col("decision_index") * per_cell + F.col("place"))
+
+
+def _together(parts: Sequence[DataFrame]) -> DataFrame:
+    """Tables of facts on units one below the other, so that they are grouped at once and joined to the units once."""
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
 
 
 def instantaneous(states: DataFrame, cells: DataFrame, step_s: float, subframes: int) -> DataFrame:
@@ -77,19 +82,32 @@ def instantaneous(states: DataFrame, cells: DataFrame, step_s: float, subframes:
             "floor_holder": holder,
         }
 
-    units = unit_codes(states, cells, step_s / subframes, subframes)
-    seen = units.select(*CELL, F.struct("place", *(v.alias(n) for n, v in views(F.col("codes")).items())).alias("u"))
-    rows = seen.groupBy(*CELL).agg(F.sort_array(F.collect_list("u")).alias("u"))
-    names = list(views(F.col("codes")))
-    by_subframe = rows.select(*CELL, *(F.col("u").getField(n).alias(f"{n}_subframes") for n in names))
-    whole = unit_codes(states, cells, step_s, 1)
-    chosen = {n: v for n, v in views(F.col("codes")).items() if n in ("speaker_activity", "ego_speaking", "others_active")}
-    return by_subframe.join(whole.select(*CELL, *(v.alias(n) for n, v in chosen.items())), CELL)
+    # Seconds of the subframes add up to those of the cell, which has place -1: one table of codes for both, joined once.
+    timed = _state_seconds(states, step_s / subframes).withColumn("place", F.explode(F.array(F.pmod("unit", F.lit(subframes)), F.lit(-1).cast("long"))))
+    key = ["recording_id", F.floor(F.col("unit") / subframes).alias("decision_index"), "participant_index", "place"]
+
+    def lasts(state: str) -> Column:
+        return F.sum(F.when(F.col("state") == state, F.col("seconds"))) > EPS
+
+    code = F.when(lasts(UNKNOWN), UNKNOWN_CODE).when(lasts(SPEAKING), SPEAKING_CODE).otherwise(SILENT_CODE)
+    codes = timed.groupBy(*key).agg(code.alias("code"))
+    at = (F.col("participant_index") * (subframes + 1) + F.col("place") + 1).cast("int")
+    found = codes.groupBy(*CELL).agg(F.map_from_entries(F.collect_list(F.struct(at, "code"))).alias("_codes"))
+    rows = cells.select(*CELL).join(found, CELL, "left").join(_per_recording(states).select("recording_id", "_people"), "recording_id")
+
+    def of(place: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col("_people") - 1), lambda p: F.coalesce(F.try_element_at("_codes", p * (subframes + 1) + place + 1), F.lit(SILENT_CODE)))
+
+    rows = rows.select(*CELL, *(of(k).alias(f"_at_{k}") for k in range(subframes)), of(-1).alias("_whole"))
+    shown = [views(F.col(f"_at_{k}")) for k in range(subframes)]
+    by_subframe = [F.array(*(v[n] for v in shown)).alias(f"{n}_subframes") for n in shown[0]]
+    whole = {n: v for n, v in views(F.col("_whole")).items() if n in ("speaker_activity", "ego_speaking", "others_active")}
+    return rows.select(*CELL, *by_subframe, *(v.alias(n) for n, v in whole.items()))
 
 
 def joint_occupancy(states: DataFrame, cells: DataFrame, step_s: float) -> DataFrame:
     """Per cell the shares of the four joint states (nobody, wearer, others, both); null if anything in it is unknown."""
-    rows = states.groupBy("recording_id", "ordinal").agg(
+    rows = st.by_participant(states).groupBy("recording_id", "ordinal").agg(
         F.first("start_s").alias("start_s"),
         F.first("end_s").alias("end_s"),
         F.bool_or(F.col("state") == UNKNOWN).alias("_hidden"),
@@ -111,7 +129,7 @@ def _unit_of(time: Column, step_s: float, subframes: int) -> Column:
 def _unknown_before(states: DataFrame, width_s: float) -> DataFrame:
     """(recording_id, unit, participant_index, ...) of whoever is unknown just before a unit, which hides a transition at its very start."""
     width = F.lit(width_s)
-    rows = states.filter(F.col("state") == UNKNOWN).withColumn("unit", F.explode(F.sequence(F.floor(F.col("start_s") / width), F.floor(F.col("end_s") / width))))
+    rows = st.by_participant(states).filter(F.col("state") == UNKNOWN).select("recording_id", F.col("participant_index").cast("int").alias("participant_index"), "start_s", "end_s").withColumn("unit", F.explode(F.sequence(F.floor(F.col("start_s") / width), F.floor(F.col("end_s") / width))))
     edge = F.col("unit") * width
     return rows.filter((F.col("start_s") < edge - EPS) & (F.col("end_s") >= edge - EPS))
 
@@ -123,24 +141,22 @@ def speaker_event_units(states: DataFrame, cells: DataFrame, step_s: float, subf
     """
     width = step_s / subframes
     key = ["recording_id", "unit"]
-    codes = unit_codes(states, cells, width, subframes).withColumn("unit", F.col("decision_index") * subframes + F.col("place"))
-    who = F.col("participant_index").cast("int")
-    events = st.speaker_events(states).withColumn("unit", _unit_of(F.col("time_s"), step_s, subframes))
-    events = events.groupBy(*key).agg(*(F.collect_set(F.when(F.col("kind") == k, who)).alias(f"_{k}") for k in ("onset", "offset")))
-    hidden = _unknown_before(states, width).groupBy(*key).agg(F.collect_set(who).alias("_hidden"))
-    origin = states.groupBy("recording_id").agg(F.min("start_s").alias("_origin"))
-    rows = codes.join(events, key, "left").join(hidden, key, "left").join(origin, "recording_id")
+    who = F.col("participant_index").cast("int").alias("who")
+    unknown = _state_seconds(states, width, [UNKNOWN]).filter(F.col("seconds") > EPS).select(*key, F.lit("bad").alias("kind"), who)
+    hidden = _unknown_before(states, width).select(*key, F.lit("bad").alias("kind"), who)
+    events = st.speaker_events(states).select("recording_id", _unit_of(F.col("time_s"), step_s, subframes).alias("unit"), "kind", who)
+    facts = _together([unknown, hidden, events]).groupBy(*key).agg(*(F.collect_set(F.when(F.col("kind") == k, F.col("who"))).alias(f"_{k}") for k in ("bad", "onset", "offset")))
+    rows = _units(cells, subframes).join(facts, key, "left").join(_per_recording(states), "recording_id")
     early = F.col("unit") * width <= F.col("_origin") + EPS
 
     def among(name: str, p: Column) -> Column:
         return F.coalesce(F.array_contains(name, p), F.lit(False))
 
     def flag(kind: str) -> Column:
-        return F.transform(valid, lambda v, p: F.when(among(f"_{kind}", p), True).when(v, False)).alias(f"speaker_{kind}")
+        return F.transform("valid", lambda v, p: F.when(among(f"_{kind}", p), True).when(v, False)).alias(f"speaker_{kind}")
 
-    valid = F.transform("codes", lambda c, p: ~early & (c != UNKNOWN_CODE) & ~among("_hidden", p))
-    flags = [flag(k) for k in ("onset", "offset")]
-    return rows.select(*CELL, "place", *flags, valid.alias("speaker_transition_valid"))
+    rows = rows.withColumn("valid", F.transform(F.sequence(F.lit(0), F.col("_people") - 1), lambda p: ~early & ~among("_bad", p)))
+    return rows.select(*CELL, "place", *(flag(k) for k in ("onset", "offset")), F.col("valid").alias("speaker_transition_valid"))
 
 
 def event_units(states: DataFrame, cells: DataFrame, step_s: float, subframes: int) -> DataFrame:
@@ -149,28 +165,31 @@ def event_units(states: DataFrame, cells: DataFrame, step_s: float, subframes: i
     A flag is true where an event lies in the unit, null where the transition couldn't be observed: something unknown
     in the unit or just before it, or the recording's start.
     """
-    codes = unit_codes(states, cells, step_s / subframes, subframes).withColumn("unit", F.col("decision_index") * subframes + F.col("place"))
-    events = st.speaker_events(states).withColumn("unit", _unit_of(F.col("time_s"), step_s, subframes))
-
-    def any_of(kind: str, ego: bool) -> Column:
-        return F.bool_or((F.col("kind") == kind) & ((F.col("participant_index") == 0) == ego))
-
+    width, key = step_s / subframes, ["recording_id", "unit"]
     names = {(k, e): f"{'ego' if e else 'other'}_{k}" for k in ("onset", "offset") for e in (True, False)}
-    flags = events.groupBy("recording_id", "unit").agg(*(any_of(k, e).alias(f"_{n}") for (k, e), n in names.items()))
-    changes = st.floor_changes(states).withColumn("unit", _unit_of(F.col("time_s"), step_s, subframes))
-    changes = changes.groupBy("recording_id", "unit").agg(F.min_by("previous_holder", "time_s").alias("previous_floor_holder"), F.max_by("next_holder", "time_s").alias("next_floor_holder"), F.lit(True).alias("_change"))
-    edge = F.col("unit") * (step_s / subframes)
-    before = _unknown_before(states, step_s / subframes).groupBy("recording_id", "unit").agg(F.min("participant_index").alias("_first"), F.max("participant_index").alias("_last"))
-    start = states.groupBy("recording_id").agg(F.min("start_s").alias("_origin"))
-    rows = codes.join(flags, ["recording_id", "unit"], "left").join(changes, ["recording_id", "unit"], "left").join(before, ["recording_id", "unit"], "left").join(start, "recording_id")
-    early = F.col("unit") * (step_s / subframes) <= F.col("_origin") + EPS
-    ego_bad = early | (F.col("codes")[0] == UNKNOWN_CODE) | (F.coalesce(F.col("_first"), F.lit(1)) == 0)
-    other_bad = early | F.exists(F.slice("codes", F.lit(2), F.size("codes")), lambda c: c == UNKNOWN_CODE) | (F.coalesce(F.col("_last"), F.lit(0)) > 0)
-    shown = [F.when(F.col(f"_{n}"), True).when(ego_bad if e else other_bad, None).otherwise(False).alias(n) for (_, e), n in names.items()]
-    rows = rows.withColumn("_at", edge - F.lit(EPS))
-    rows = asof(rows, st.floor(states).select("recording_id", "start_s", "last_unique"), ["recording_id"], "_at", "start_s", ["start_s", "last_unique"], strict=True, into="_held")
+    pieces, ego, unit = st.joint(states), F.col("participant_index") == 0, _unit_of(F.col("time_s"), step_s, subframes).alias("unit")
+    unknown = _state_seconds(states, width, [UNKNOWN]).filter(F.col("seconds") > EPS).select(*key, ego.alias("_ego_bad"), (~ego).alias("_other_bad"), F.lit(True).alias("_unknown"))
+    before = _unknown_before(states, width).select(*key, ego.alias("_ego_bad"), (~ego).alias("_other_bad"))
+    events = st.speaker_events(states).select("recording_id", unit, *(((F.col("kind") == k) & (ego == e)).alias(f"_{n}") for (k, e), n in names.items()))
+    changes = st.floor_changes(pieces).select("recording_id", unit, "time_s", "previous_holder", "next_holder")
+    # Units before whose start the floor was nobody's: the last piece that starts before it decides, the very last one for all units after it.
+    width_ = F.lit(width)
+    free = pieces.filter("last_unique IS NULL").select("recording_id", "start_s", "end_s", F.explode(F.sequence(F.floor(F.col("start_s") / width_), F.floor(F.col("end_s") / width_) + 1)).alias("unit"))
+    at = F.col("unit") * width_ - F.lit(EPS)
+    free = free.filter((F.col("start_s") < at) & (F.col("end_s") >= at)).select(*key, F.lit(True).alias("_free"))
+    flags = ["_ego_bad", "_other_bad", "_unknown", *(f"_{n}" for n in names.values()), "_free"]
+    facts = _together([unknown, before, events, changes, free]).groupBy(*key).agg(
+        *(F.coalesce(F.bool_or(n), F.lit(False)).alias(n) for n in flags),
+        F.min_by("previous_holder", "time_s").alias("previous_floor_holder"),
+        F.max_by("next_holder", "time_s").alias("next_floor_holder"),
+        F.max(F.col("time_s").isNotNull()).alias("_change"),
+    )
+    ends = pieces.groupBy("recording_id").agg(F.min("start_s").alias("_origin"), F.max("end_s").alias("_end"), F.max_by("last_unique", "ordinal").alias("_final"))
+    rows = _units(cells, subframes).join(facts, key, "left").join(ends, "recording_id").fillna(False, [*flags, "_change"])
+    early = F.col("unit") * width <= F.col("_origin") + EPS
+    shown = [F.when(F.col(f"_{n}"), True).when(early | F.col("_ego_bad" if e else "_other_bad"), None).otherwise(False).alias(n) for (_, e), n in names.items()]
     # Without a floor before the unit, nobody can tell whether it changed.
-    unsure = early | F.exists("codes", lambda c: c == UNKNOWN_CODE) | F.col("_held.last_unique").isNull()
+    unsure = early | F.col("_unknown") | F.when(at > F.col("_end"), F.col("_final").isNull()).otherwise(F.col("_free"))
     change = F.when(F.col("_change"), True).when(unsure, None).otherwise(False).alias("floor_change")
     return rows.select(*CELL, "place", *shown, change, "previous_floor_holder", "next_floor_holder")
 
@@ -198,28 +217,29 @@ def at_references(cells: DataFrame, step_s: float, streams: Mapping[str, tuple[D
 
 
 def _streams(states: DataFrame) -> dict[str, tuple[DataFrame, str]]:
-    events = saved(st.speaker_events(states).select("recording_id", "time_s", "kind", "participant_index"), "speaker-events")
+    events = st.speaker_events(states).select("recording_id", "time_s", "kind", "participant_index")
     ego = F.col("participant_index") == 0
     out = {f"{who}_{kind}": (events.filter((F.col("kind") == kind) & on).select("recording_id", "time_s").distinct(), "time_s") for who, on in (("ego", ego), ("other", ~ego)) for kind in ("onset", "offset")}
     onsets = events.filter("kind = 'onset'").groupBy("recording_id", "time_s").agg(F.min("participant_index").alias("who"), (F.min("participant_index") != F.max("participant_index")).alias("tie"))
     out["onset"] = onsets, "time_s"
     out["floor_change"] = st.floor_changes(states).select("recording_id", "time_s", "next_holder"), "time_s"
     out["span"] = st.observed_spans(states).select("recording_id", "start_s", "end_s"), "start_s"
-    pieces = saved(st.floor(states).select("recording_id", "ordinal", "start_s", "end_s", "speakers", "all_known", "holder", "solo", "last_unique"), "floor")
-    out["piece"] = pieces, "start_s"
+    pieces = st.joint(states)
+    out["piece"] = st.floor(states), "start_s"
     out["speech_end"] = pieces.filter("all_known AND speakers > 0").select("recording_id", F.col("end_s").alias("time_s")), "time_s"
     out["silence"] = st.silences(states).select("recording_id", "start_s", "end_s"), "start_s"
-    was = F.lag("solo").over(Window.partitionBy("recording_id").orderBy("ordinal"))
-    out["stretch"] = pieces.withColumn("_was", was).filter("solo IS NOT NULL AND (_was IS NULL OR _was <> solo)").select("recording_id", F.col("start_s").alias("time_s"), "solo"), "time_s"
+    out["stretch"] = pieces.filter("solo IS NOT NULL AND (was_solo IS NULL OR was_solo <> solo)").select("recording_id", F.col("start_s").alias("time_s"), "solo"), "time_s"
     return out
 
 
 def references(states: DataFrame, cells: DataFrame, step_s: float) -> DataFrame:
     """Every cell's end with what lies around it, and `observed`: whether the moment just before it lies in an observed span.
 
-    Eleven streams are drawn from the states, which are written once for all of them.
+    Eleven streams are drawn from the rows of `structure.joint`, which are written once for all of them, unless the caller
+    gives such rows, written already.
     """
-    rows = at_references(cells, step_s, _streams(saved(states, "states")))
+    pieces = states if "who" in states.columns else saved(st.joint(states), "pieces")
+    rows = at_references(cells, step_s, _streams(pieces))
     observed = F.coalesce(F.col("reference_s") <= F.col("last_span.end_s") + EPS, F.lit(False))
     return rows.withColumn("observed", observed).withColumn("span_start_s", F.when(observed, F.col("last_span.start_s"))).withColumn("span_end_s", F.when(observed, F.col("last_span.end_s")))
 
@@ -313,9 +333,10 @@ def overlap_units(states: DataFrame, cells: DataFrame, step_s: float, subframes:
     timed = seconds_per_unit(st.overlaps(states, rules).select("recording_id", "overlap_type", "start_s", "end_s"), width, ["recording_id", "overlap_type", "start_s", "end_s"])
     kinds = ("within", "between", "simultaneous_onset", "undetermined")
     found = timed.filter(F.col("seconds") > EPS).groupBy("recording_id", "unit").agg(*(F.bool_or(F.col("overlap_type") == k).alias(f"_{k}") for k in kinds))
-    codes = unit_codes(states, cells, width, subframes).withColumn("unit", F.col("decision_index") * subframes + F.col("place"))
-    rows = codes.join(found, ["recording_id", "unit"], "left")
-    hidden = F.exists("codes", lambda c: c == UNKNOWN_CODE)
+    unknown = _state_seconds(states, width, [UNKNOWN]).filter(F.col("seconds") > EPS).select("recording_id", "unit", F.lit(True).alias("_hidden"))
+    facts = _together([found, unknown]).groupBy("recording_id", "unit").agg(*(F.bool_or(f"_{k}").alias(f"_{k}") for k in (*kinds, "hidden")))
+    rows = _units(cells, subframes).join(facts, ["recording_id", "unit"], "left").join(_per_recording(states), "recording_id")
+    hidden = F.coalesce(F.col("_hidden"), F.lit(False))
     unsure = {k: hidden | F.coalesce(F.col("_undetermined"), F.lit(False)) if k != "simultaneous_onset" else hidden for k in kinds[:3]}
     shown = [F.when(F.col(f"_{k}"), True).when(unsure[k], None).otherwise(False).alias(f"{k}_overlap") for k in kinds[:3]]
     return rows.select(*CELL, "place", *shown)
@@ -325,8 +346,8 @@ def future_states(states: DataFrame, around: DataFrame, horizons_s: Sequence[flo
     """Per cell and horizon the joint state and floor holder just before it ends; null unless wholly observed."""
     rows = around.select(*CELL, "reference_s", "observed", "span_end_s", F.explode(F.array(*(F.lit(float(h)) for h in horizons_s))).alias("horizon_s"))
     asks = rows.withColumn("_at", F.col("reference_s") + F.col("horizon_s") - F.lit(EPS))
-    ego = states.filter("participant_index = 0").select("recording_id", "ordinal", (F.col("state") == SPEAKING).cast("int").alias("ego"))
-    pieces = st.floor(states).join(ego, ["recording_id", "ordinal"]).select("recording_id", "start_s", "ego", "speakers", "holder")
+    ego = F.exists("who", lambda p: (p["participant_index"] == 0) & (p["state"] == SPEAKING)).cast("int").alias("ego")
+    pieces = st.joint(states).select("recording_id", "start_s", ego, "speakers", "holder")
     met = asof(asks, pieces, ["recording_id"], "_at", "start_s", ["start_s", "ego", "speakers", "holder"], strict=True, into="_p")
     valid = F.col("observed") & (F.col("reference_s") + F.col("horizon_s") <= F.col("span_end_s") + EPS)
     joint = F.col("_p.ego") + 2 * (F.col("_p.speakers") > F.col("_p.ego")).cast("int")
@@ -339,14 +360,14 @@ def future_activity(states: DataFrame, around: DataFrame, step_s: float, horizon
     Horizons are whole numbers of steps, so speech is summed up once per cell and each cell is given out to the few
     cells before it.
     """
-    spoken = states.filter(F.col("state") == SPEAKING).select("recording_id", F.col("participant_index").cast("int").alias("who"), "start_s", "end_s")
+    spoken = st.by_participant(states).filter(F.col("state") == SPEAKING).select("recording_id", F.col("participant_index").cast("int").alias("who"), "start_s", "end_s")
     at_once = st.floor(states).filter("all_known AND speakers >= 2").select("recording_id", F.lit(-1).alias("who"), "start_s", "end_s")
     timed = seconds_per_unit(spoken.unionByName(at_once), step_s, ["recording_id", "who"])
     ahead = F.explode(F.array(*(F.struct(F.lit(float(h)).alias("horizon_s"), F.lit(round(h / step_s)).alias("n")) for h in horizons_s)))
     given = timed.withColumn("_h", ahead).select("recording_id", "who", "seconds", "_h.horizon_s", F.explode(F.sequence(F.col("unit") - F.col("_h.n"), F.col("unit") - 1)).alias("decision_index"))
     key = [*CELL, "horizon_s"]
     found = given.groupBy(*key, "who").agg(F.sum("seconds").alias("s")).filter(F.col("s") > EPS).groupBy(*key).agg(F.collect_set("who").alias("_who"))
-    people = states.groupBy("recording_id").agg((F.max("participant_index") + 1).alias("_people"))
+    people = _per_recording(states).select("recording_id", "_people")
     rows = around.select(*CELL, "reference_s", "observed", "span_end_s", F.explode(F.array(*(F.lit(float(h)) for h in horizons_s))).alias("horizon_s"))
     rows = rows.join(found, key, "left").join(people, "recording_id")
     valid = F.col("observed") & (F.col("reference_s") + F.col("horizon_s") <= F.col("span_end_s") + EPS)
@@ -360,17 +381,17 @@ def coverage(labels: DataFrame) -> DataFrame:
     """(label, units, known, missing) for every label column of a cell table; a list counts by its elements, a null list as as many missing ones as lists of that column have most often."""
     values = [c for c in labels.columns if c not in CELL]
     lists = {c for c in values if labels.schema[c].dataType.typeName() == "array"}
-    usual = labels.agg(F.lit(0).alias("_"), *(F.mode(F.size(F.when(F.col(c).isNotNull(), F.col(c))), True).alias(f"_m_{c}") for c in sorted(lists)))
-    rows = labels.crossJoin(usual) if lists else labels  # one row
     parts = []
     for c in values:
         if c in lists:
-            units = F.sum(F.when(F.col(c).isNull(), F.col(f"_m_{c}")).otherwise(F.size(c)))
+            # One pass: how many lists are null, times their usual length.
+            size, null = F.when(F.col(c).isNotNull(), F.size(c)), F.count_if(F.col(c).isNull())
+            units = F.coalesce(F.sum(size), F.lit(0)) + F.when(null > 0, null * F.mode(size, True)).otherwise(F.lit(0))
             known = F.sum(F.coalesce(F.size(F.filter(c, lambda x: x.isNotNull())), F.lit(0)))
         else:
             units, known = F.count("*"), F.count(c)
         parts.append(F.struct(F.lit(c).alias("label"), units.cast("long").alias("units"), known.cast("long").alias("known")))
-    out = rows.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    out = labels.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
     return out.withColumn("missing", F.col("units") - F.col("known"))
 
 

@@ -44,17 +44,23 @@ def g7_joint_occupancy(spark, sf_dir):
     return rounded(out.select("recording_id", "decision_index", *(s[k].alias(f"share_{k}") for k in range(4))))
 
 
+def _pieces(spark, sf_dir):
+    """The pieces with all participants, written once for all that read them."""
+    return saved(st.joint(states(spark, sf_dir)), "pieces")
+
+
 def g9_event_units(spark, sf_dir):
-    return rounded(lb.event_units(states(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES))
+    return rounded(lb.event_units(_pieces(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES))
 
 
 def g9_speaker_event_units(spark, sf_dir):
-    out = lb.speaker_event_units(states(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES)
+    out = lb.speaker_event_units(_pieces(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES)
     return rounded(out.select("recording_id", "decision_index", "place", *(_shown(F.col(n)).alias(n) for n in ("speaker_onset", "speaker_offset", "speaker_transition_valid"))))
 
 
 def g18_future_activity(spark, sf_dir):
-    out = lb.future_activity(states(spark, sf_dir), _around(spark, sf_dir), STEP, HORIZONS)
+    pieces = _pieces(spark, sf_dir)
+    out = lb.future_activity(pieces, lb.references(pieces, cells(spark, sf_dir), STEP), STEP, HORIZONS)
     return rounded(out.withColumn("future_speaker_activity", F.when(F.col("future_speaker_activity").isNotNull(), _shown(F.col("future_speaker_activity")))))
 
 
@@ -79,11 +85,12 @@ def g11_onset_context_units(spark, sf_dir):
 
 
 def g12_overlap_units(spark, sf_dir):
-    return rounded(lb.overlap_units(states(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES, RULES))
+    return rounded(lb.overlap_units(_pieces(spark, sf_dir), cells(spark, sf_dir), STEP, SUBFRAMES, RULES))
 
 
 def g18_future_states(spark, sf_dir):
-    return rounded(lb.future_states(states(spark, sf_dir), _around(spark, sf_dir), HORIZONS))
+    pieces = _pieces(spark, sf_dir)
+    return rounded(lb.future_states(pieces, lb.references(pieces, cells(spark, sf_dir), STEP), HORIZONS))
 
 
 def l4_label_coverage(spark, sf_dir):
@@ -93,7 +100,7 @@ def l4_label_coverage(spark, sf_dir):
 
 
 def l5_sanity_statistics(spark, sf_dir):
-    around = saved(states(spark, sf_dir), "states")
+    around = _pieces(spark, sf_dir)
     grid_ = cells(spark, sf_dir)
     times = saved(lb.timing(lb.references(around, grid_, STEP)), "timing")
     events_, segments = saved(st.events_table(around, RULES), "events"), saved(st.segments_table(around, RULES), "segments")

@@ -69,3 +69,18 @@ def test_fingerprints_tell_values_not_order(spark):
     rows = spark.range(100).select("id", (F.col("id") % 7).alias("x"))
     a, b, c = (audit.fingerprint(r).first() for r in (rows, rows.repartition(5, "x"), rows.withColumn("x", F.when(F.col("id") == 3, 9).otherwise(F.col("x")))))
     assert a == b and a.n == c.n and a.checksum != c.checksum
+
+
+def test_event_units_join_their_facts_once(spark):
+    """Facts on units are grouped first, so that the units, which outnumber them, are shuffled for one join."""
+    states = _states(spark, [("w", 1.0, 3.0)])
+    cells = spark.createDataFrame([("r", k) for k in range(2)], "recording_id string, decision_index long")
+    plan = labels.event_units(states, cells, 5.0, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1
+
+
+def test_coverage_reads_its_labels_once(spark):
+    rows = spark.createDataFrame([("r", 0, [1, None], True), ("r", 1, None, None), ("r", 2, [None, 2], False)], "recording_id string, decision_index long, who array<int>, ego boolean")
+    out = labels.coverage(rows)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == [("ego", 3, 2, 1), ("who", 6, 2, 4)]
