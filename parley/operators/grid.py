@@ -28,11 +28,16 @@ def tau(event: Column, decision: Column, step_s: float) -> Column:
     return F.when((raw < 0) & (raw >= -EPS), F.lit(0.0)).when((raw >= step_s) & (raw <= step_s + EPS), F.lit(top)).otherwise(raw)
 
 
+def _limits(step_s: float) -> tuple[Column, Column]:
+    """The first and last complete slot between the columns `_low` and `_high`."""
+    first = F.ceil((F.col("_low") - F.lit(EPS)) / F.lit(step_s)).cast("long")
+    return first, (F.floor((F.col("_high") + F.lit(EPS)) / F.lit(step_s)) - 1).cast("long")
+
+
 def bounds(timeline: DataFrame, step_s: float) -> DataFrame:
     """(recording_id, first_index, slots, head_s, tail_s): complete slots of each timeline and the seconds left over at its ends."""
     span = timeline.groupBy("recording_id").agg(F.min("start_s").alias("_low"), F.max("end_s").alias("_high"))
-    first = F.ceil((F.col("_low") - F.lit(EPS)) / F.lit(step_s)).cast("long")
-    last = (F.floor((F.col("_high") + F.lit(EPS)) / F.lit(step_s)) - 1).cast("long")
+    first, last = _limits(step_s)
     out = span.withColumn("first_index", first).withColumn("_last", last)
     out = out.withColumn("slots", F.greatest(F.lit(0).cast("long"), F.col("_last") - F.col("first_index") + 1))
     some = F.col("slots") > 0
@@ -41,12 +46,12 @@ def bounds(timeline: DataFrame, step_s: float) -> DataFrame:
     return out.select("recording_id", "first_index", "slots", head.alias("head_s"), tail.alias("tail_s"), F.col("_low").alias("timeline_start_s"))
 
 
-def slots_with_state(timeline: DataFrame, step_s: float) -> DataFrame:
-    """(recording_id, decision_index, state_before): the state just before each complete slot.
+def _given(rows: DataFrame, step_s: float, *more: str) -> DataFrame:
+    """Each timeline row with the slots that it gives out, spread: (recording_id, decision_index, state_before, more).
 
-    The first row whose end is at or after the slot's start (less EPS) holds it, so each row gives out the slots
+    The first row whose end is at or after the slot's start (less EPS) holds the state before it, so each row gives out the slots
     between the end of the row before and its own end: no as-of join, one row per slot. The quotient may round either way, so
-    the last index is corrected by one against the exact comparison.
+    the last index is corrected by one against the exact comparison. `rows` have `_low` and `_high` of their recording.
     """
     step, eps = F.lit(step_s), F.lit(EPS)
 
@@ -55,37 +60,45 @@ def slots_with_state(timeline: DataFrame, step_s: float) -> DataFrame:
         k = F.floor((end + eps) / step).cast("long")
         return F.when((k + 1) * step - eps <= end, k + 1).when(k * step - eps <= end, k).otherwise(k - 1)
 
-    order = in_order()
-    limits = bounds(timeline, step_s).filter("slots > 0").select("recording_id", "first_index", (F.col("first_index") + F.col("slots") - 1).alias("last_index"))
-    rows = timeline.select("recording_id", "start_s", "state", last_at(F.col("end_s")).alias("_to"), F.lead("end_s").over(order).isNull().alias("_final"))
-    rows = rows.withColumn("_from", F.lag("_to").over(order) + 1).join(limits, "recording_id")
-    low = F.greatest(F.coalesce("_from", F.col("first_index")), F.col("first_index"))
-    high = F.when(F.col("_final"), F.col("last_index")).otherwise(F.least("_to", "last_index"))
-    rows = rows.withColumn("_low", low).withColumn("_high", high).filter("_high >= _low")
-    return rows.select("recording_id", F.explode(F.sequence("_low", "_high")).alias("decision_index"), F.col("state").alias("state_before"))
-
-
-def slot_changes(timeline: DataFrame, step_s: float) -> DataFrame:
-    """Per slot with a state change: resolved changes, whether UNKNOWN takes part, and the one resolved change if there is one."""
-    rows = transitions(timeline).withColumn("decision_index", slot_index(F.col("time_s"), step_s))
-    one = F.struct("time_s", "after")
-    return rows.groupBy("recording_id", "decision_index").agg(
-        F.count_if("resolved").alias("changes"),
-        F.bool_or(~F.col("resolved")).alias("unknown_change"),
-        F.min(F.when(F.col("resolved"), one)).alias("change"),
-    )
+    order, (first, last) = in_order(), _limits(step_s)
+    rows = rows.select("recording_id", "start_s", "state", *more, last_at(F.col("end_s")).alias("_upto"), F.lead("end_s").over(order).isNull().alias("_final"), first.alias("_least"), last.alias("_most"))
+    since = F.greatest(F.coalesce(F.lag("_upto").over(order) + 1, F.col("_least")), F.col("_least"))
+    rows = rows.withColumn("_since", since).withColumn("_till", F.when(F.col("_final"), F.col("_most")).otherwise(F.least("_upto", "_most"))).filter("_till >= _since")
+    return rows.select("recording_id", F.explode(F.sequence("_since", "_till")).alias("decision_index"), F.col("state").alias("state_before"), *more)
+
+
+def slots_with_state(timeline: DataFrame, step_s: float) -> DataFrame:
+    """(recording_id, decision_index, state_before): the state just before each complete slot."""
+    whole = Window.partitionBy("recording_id")
+    return _given(timeline.withColumns({"_low": F.min("start_s").over(whole), "_high": F.max("end_s").over(whole)}), step_s)
 
 
 def action_grid(timeline: DataFrame, step_s: float) -> DataFrame:
     """One row per complete slot: state before it, action, exact event time and tau, or a mask reason.
 
-    A masked slot has no action. All slots of a timeline that has gaps, overlaps or empty rows are masked.
+    A masked slot has no action. All slots of a timeline that has gaps, overlaps or empty rows are masked. The timeline is read once and
+    all stays in the partition of its recording: changes are counted per slot on the timeline's rows, before slots are spread. A slot with
+    changes is given out by the row that ends first in it, or, where rounding differs at an edge, by a neighbour of that row.
     """
-    step = F.lit(step_s)
-    slots = slots_with_state(timeline, step_s)
-    errors = timeline_errors(timeline).select("recording_id", F.lit(True).alias("bad"))
-    spans = timeline.groupBy("recording_id").agg(F.min("start_s").alias("timeline_start_s"))
-    rows = slots.join(slot_changes(timeline, step_s), ["recording_id", "decision_index"], "left").join(spans, "recording_id").join(errors, "recording_id", "left")
+    step, order, whole = F.lit(step_s), in_order(), Window.partitionBy("recording_id")
+    before = F.lag("end_s").over(order)
+    rows = timeline.select("recording_id", "start_s", "end_s", "state", F.lead("state").over(order).alias("_next"), ((F.col("end_s") <= F.col("start_s")) | F.coalesce(F.abs(F.col("start_s") - before) > EPS, F.lit(False))).alias("_wrong"))
+    rows = rows.withColumns({"_low": F.min("start_s").over(whole), "_high": F.max("end_s").over(whole), "bad": F.bool_or("_wrong").over(whole)})
+    changed = F.coalesce(F.col("state") != F.col("_next"), F.lit(False))
+    resolved = changed & (F.col("state") != UNKNOWN) & (F.col("_next") != UNKNOWN)
+    rows = rows.withColumn("_slot", slot_index(F.col("end_s"), step_s))
+    each = Window.partitionBy("recording_id", "_slot")
+    own = F.struct(
+        F.col("_slot").alias("slot"),
+        F.count_if(resolved).over(each).alias("changes"),
+        F.bool_or(changed & ~resolved).over(each).alias("unknown_change"),
+        F.min(F.when(resolved, F.struct(F.col("end_s").alias("time_s"), F.col("_next").alias("after")))).over(each).alias("change"),
+    )
+    rows = rows.withColumn("_own", own).withColumns({"_earlier": F.lag("_own").over(order), "_later": F.lead("_own").over(order)})
+    rows = _given(rows, step_s, "bad", "_low", "_own", "_earlier", "_later")
+    k = F.col("decision_index")
+    met = F.when(F.col("_own.slot") == k, F.col("_own")).when(F.col("_earlier.slot") == k, F.col("_earlier")).when(F.col("_later.slot") == k, F.col("_later"))
+    rows = rows.select("recording_id", "decision_index", "state_before", "bad", F.col("_low").alias("timeline_start_s"), met.alias("_met")).select("*", "_met.changes", "_met.unknown_change", "_met.change")
     rows = rows.withColumn("decision_time_s", F.col("decision_index") * step)
     changes = F.coalesce("changes", F.lit(0))
     reason = (

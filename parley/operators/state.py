@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.intervals import clip, islands, normalize, on_pieces, pieces
+from parley.operators.intervals import clip, islands, normalize
 
 EPS = 1e-9
 #: The three states and what a row's state rests on.
@@ -24,21 +24,34 @@ def native_timeline(recordings: DataFrame, speech: DataFrame, unknown: DataFrame
     """(recording_id, native_index, start_s, end_s, state, source_kind, annotation_ids): each recording's whole window.
 
     UNKNOWN goes before SPEAKING goes before SILENT. A row has the sorted ids of the annotations that cover it, joined
-    by a pipe; neighbours are one row only if state, kind and ids are the same.
+    by a pipe; neighbours are one row only if state, kind and ids are the same. Annotations are shuffled once, by recording.
     """
-    window = recordings.select("recording_id", F.col("start_s").alias("_low"), F.col("end_s").alias("_high"))
-    wearer = recordings.select("recording_id", F.col("wearer_id").alias("participant_id"))
-    own = speech.join(wearer, ["recording_id", "participant_id"], "left_semi")
-    columns = ["recording_id", "start_s", "end_s", "annotation_id"]
-    marks = own.select(*columns, F.lit(False).alias("bad")).unionByName(unknown.select(*columns, F.lit(True).alias("bad")))
-    marks = clip(normalize(marks).join(window, "recording_id"), F.col("_low"), F.col("_high")).drop("_low", "_high")
-    cut = pieces(marks, KEY, recordings.filter("end_s > start_s"))
-    ids = on_pieces(marks, cut, KEY).groupBy("recording_id", "ordinal").agg(
-        F.sort_array(F.collect_set(F.when(F.col("bad"), F.col("annotation_id")))).alias("bad_ids"),
-        F.sort_array(F.collect_set(F.when(~F.col("bad"), F.col("annotation_id")))).alias("own_ids"),
-    )
-    bad, spoken = F.coalesce(F.size("bad_ids") > 0, F.lit(False)), F.coalesce(F.size("own_ids") > 0, F.lit(False))
-    rows = cut.join(ids, ["recording_id", "ordinal"], "left").select(
+    window = recordings.select("recording_id", F.col("start_s").alias("_low"), F.col("end_s").alias("_high"), F.col("wearer_id").alias("_wearer"))
+    columns, nobody = ["recording_id", "start_s", "end_s", "annotation_id"], F.lit(None).cast("string").alias("participant_id")
+    marks = normalize(speech).select(*columns, "participant_id", F.lit(False).alias("bad")).unionByName(normalize(unknown).select(*columns, nobody, F.lit(True).alias("bad")))
+    whole = recordings.filter("end_s > start_s").select("recording_id", "start_s", "end_s", nobody, F.lit(None).cast("boolean").alias("bad"))
+    marks = marks.unionByName(whole, allowMissingColumns=True)
+    # A fixed number of partitions isn't coalesced: the rows are few here, but many once a grid is made of them.
+    parts = int(recordings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = marks.repartition(parts, "recording_id").join(window.hint("merge"), "recording_id").filter(F.col("bad").isNull() | F.col("bad") | (F.col("participant_id") == F.col("_wearer")))
+    met = clip(met, F.col("_low"), F.col("_high")).select(*columns, "bad")
+
+    # Each mark's ends are numbered among all ends; it then gives out its two ends and its id once for every piece between them.
+    ends = met.select("*", F.explode(F.array("start_s", "end_s")).alias("_t"))
+    ends = ends.withColumn("_at", F.dense_rank().over(Window.partitionBy("recording_id").orderBy("_t")) - 1)
+    own = ends.groupBy(*columns, "bad").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+
+    def given(at: Column, time: Column | None = None) -> Column:
+        ids = (F.when(F.col("bad") == b, F.col("annotation_id")) if time is None else F.lit(None).cast("string") for b in (True, False))
+        return F.struct(at.alias("ordinal"), (F.lit(None).cast("double") if time is None else time).alias("start_s"), *(i.alias(n) for i, n in zip(ids, ("bad_id", "own_id"), strict=True)))
+
+    covered = F.when(F.col("bad").isNotNull(), F.transform(F.sequence("_first", F.col("_last") - 1), lambda k: given(k)))
+    two = F.array(given(F.col("_first"), F.col("start_s")), given(F.col("_last"), F.col("end_s")))
+    cut = own.select("recording_id", F.explode(F.when(covered.isNull(), two).otherwise(F.concat(two, covered))).alias("p")).select("recording_id", "p.*")
+    cut = cut.groupBy("recording_id", "ordinal").agg(F.max("start_s").alias("start_s"), *(F.sort_array(F.collect_set(f"{n}_id")).alias(f"{n}_ids") for n in ("bad", "own")))
+    cut = cut.withColumn("end_s", F.lead("start_s").over(Window.partitionBy("recording_id").orderBy("ordinal"))).filter("end_s IS NOT NULL")
+    bad, spoken = F.size("bad_ids") > 0, F.size("own_ids") > 0
+    rows = cut.select(
         "recording_id",
         "start_s",
         "end_s",

@@ -42,21 +42,38 @@ def segments(grid: DataFrame) -> DataFrame:
     return grid.withColumn("segment", F.col("decision_index") - F.row_number().over(order))
 
 
+def _counted(grid: DataFrame, spec: WindowSpec, *more: str) -> DataFrame:
+    """The anchors with their counts of valid slots and events, and `more` columns of the grid; `segment_id` counts segments from 0 in a recording, `place` its slots.
+
+    Counts over a window are differences of running counts: a frame of fixed length would be added up anew for each row.
+    """
+    valid = F.coalesce(F.col("action_valid").cast("int"), F.lit(0)).alias("_valid")
+    event = F.coalesce(F.col("action").isin(ONSET, OFFSET), F.lit(False)).cast("int").alias("_event")
+    every, own = Window.partitionBy("recording_id").orderBy("decision_index"), Window.partitionBy("recording_id", "segment").orderBy("decision_index")
+    rows = grid.select("recording_id", "decision_index", *more, valid, event).withColumn("place", F.row_number().over(every) - 1)
+    rows = rows.withColumn("segment", F.col("decision_index") - F.col("place") - 1)
+    so_far = own.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"position": F.row_number().over(own) - 1, "_valid": F.sum("_valid").over(so_far), "_event": F.sum("_event").over(so_far)})
+    before = F.coalesce(F.lag("_valid", spec.max_context).over(own), F.lit(0))
+    rows = rows.withColumns({
+        "_context": F.col("_valid") - before,
+        "_future": F.lead("_valid", spec.future).over(own) - F.col("_valid"),
+        "future_events": F.lead("_event", spec.future).over(own) - F.col("_event"),
+        "segment_id": F.dense_rank().over(Window.partitionBy("recording_id").orderBy("segment")) - 1,
+    })
+    rows = rows.withColumn("context_steps", F.least(F.col("position") + 1, F.lit(spec.max_context)))
+    return rows.filter((F.col("position") + 1 >= spec.min_context) & F.col("_future").isNotNull())  # null: the segment ends before the future does
+
+
 def anchors(grid: DataFrame, spec: WindowSpec) -> DataFrame:
     """Slots with enough context and a whole future in their segment: context steps, valid shares, future events, class, whether trainable."""
-    rows = segments(grid)
-    own = Window.partitionBy("recording_id", "segment").orderBy("decision_index")
-    everything = Window.partitionBy("recording_id", "segment")
-    valid = F.col("action_valid").cast("int")
-    event = F.coalesce(F.col("action").isin(ONSET, OFFSET), F.lit(False)).cast("int")
-    rows = rows.withColumn("position", F.row_number().over(own) - 1).withColumn("_n", F.count("*").over(everything))
-    rows = rows.withColumn("context_steps", F.least(F.col("position") + 1, F.lit(spec.max_context)))
-    rows = rows.withColumn("_context", F.sum(valid).over(own.rowsBetween(-(spec.max_context - 1), 0)))
-    rows = rows.withColumn("_future", F.sum(valid).over(own.rowsBetween(1, spec.future))).withColumn("future_events", F.coalesce(F.sum(event).over(own.rowsBetween(1, spec.future)), F.lit(0)))
-    rows = rows.filter((F.col("position") + 1 >= spec.min_context) & (F.col("position") + spec.future < F.col("_n")))
+    return _judged(_counted(grid, spec), spec).select("recording_id", "decision_index", "segment", "position", "context_steps", "context_valid", "future_valid", "future_events", "sample_class", "trainable")
+
+
+def _judged(rows: DataFrame, spec: WindowSpec) -> DataFrame:
     rows = rows.withColumn("context_valid", F.col("_context") / F.col("context_steps")).withColumn("future_valid", F.col("_future") / F.lit(spec.future))
     trainable = (F.col("context_valid") >= spec.min_context_valid) & (F.col("future_valid") >= spec.min_future_valid)
-    return rows.select("recording_id", "decision_index", "segment", "position", "context_steps", "context_valid", "future_valid", "future_events", F.when(F.col("future_events") > 0, "event").otherwise("background").alias("sample_class"), trainable.alias("trainable"))
+    return rows.withColumns({"sample_class": F.when(F.col("future_events") > 0, "event").otherwise("background"), "trainable": trainable})
 
 
 #: Versions of the layout of the index and of the actions that it counts.
@@ -69,12 +86,12 @@ def build_index(grid: DataFrame, recordings: DataFrame, splits: DataFrame, spec:
     `recordings` have (dataset, recording_id, conversation_id, view_id, wearer_id); a recording without a conversation is its own.
     `anchor_row` is the anchor's zero-based row in the grid sorted by recording and decision_index; segments count from 0 in a recording.
     """
-    places = numbered(grid.select("recording_id", "decision_index", "decision_time_s"), "recording_id", "decision_index")
-    own = Window.partitionBy("recording_id").orderBy("segment")
-    pieces = segments(grid).select("recording_id", "segment").distinct().withColumn("segment_id", F.row_number().over(own) - 1)
-    rows = anchors(grid, spec).join(places, ["recording_id", "decision_index"]).join(pieces, ["recording_id", "segment"])
-    rows = rows.join(recordings.select("dataset", "recording_id", F.coalesce("conversation_id", "recording_id").alias("conversation_id"), "view_id", "wearer_id"), "recording_id")
-    rows = rows.join(splits.select("recording_id", "split", "split_source"), "recording_id", "left")
+    counts = grid.groupBy("recording_id").agg(F.count("*").alias("_n"))
+    # One row per recording, as in `numbered`; all that is known of a recording meets its anchors in one join.
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("recording_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    known = recordings.select("dataset", "recording_id", F.coalesce("conversation_id", "recording_id").alias("conversation_id"), "view_id", "wearer_id")
+    known = counts.select("recording_id", before.alias("_before")).join(known, "recording_id").join(splits.select("recording_id", "split", "split_source"), "recording_id", "left")
+    rows = _judged(_counted(grid, spec, "decision_time_s"), spec).join(known, "recording_id").withColumn("row_number", F.col("_before") + F.col("place"))
     return rows.select(
         F.concat_ws("#", "recording_id", "decision_index").alias("sample_id"), "dataset", "recording_id", "conversation_id", "view_id", "wearer_id", "split", "segment_id",
         F.col("decision_index").alias("anchor_idx"), F.col("decision_time_s").alias("anchor_time"), F.col("row_number").alias("anchor_row"), F.col("context_steps").alias("max_context_steps"), F.lit(spec.future).alias("future_steps"),
@@ -144,9 +161,11 @@ def index_summary(index: DataFrame) -> DataFrame:
 
 def index_statistics(index: DataFrame, splits: DataFrame) -> DataFrame:
     """Anchors by split, by split and class, and in all, in one pass over grouping sets; null marks 'all'."""
-    rows = index.join(splits.select("recording_id", "split"), "recording_id")
+    # A recording's anchors are counted first: what meets the splits and is told apart is a row per recording and class.
+    some = index.groupBy("recording_id", "sample_class").agg(F.count("*").alias("_n"), F.count_if("trainable").alias("_trainable"), F.sum("future_valid").alias("_future"), F.count("future_valid").alias("_futures"))
+    rows = some.join(splits.select("recording_id", "split"), "recording_id")
     out = rows.groupingSets([[F.col("split"), F.col("sample_class")], [F.col("split")], []], F.col("split"), F.col("sample_class")).agg(
-        F.count("*").alias("anchors"), F.count_if("trainable").alias("trainable"), F.count_distinct("recording_id").alias("recordings"), F.avg("future_valid").alias("mean_future_valid")
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("anchors"), F.coalesce(F.sum("_trainable"), F.lit(0)).alias("trainable"), F.count_distinct("recording_id").alias("recordings"), (F.sum("_future") / F.nullif(F.sum("_futures"), F.lit(0))).alias("mean_future_valid")
     )
     return out
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 
@@ -69,3 +70,19 @@ def test_window_geometry_and_holes(spark):
     g = spark.createDataFrame(rows, "recording_id string, decision_index long, action_valid boolean, action string")
     found = {r.decision_index for r in windows.anchors(g, windows.WindowSpec(3, 5, 2)).collect()}
     assert found == {2, 3, 4, 5, 6, 7, 13, 14, 15, 16, 17}
+
+
+def test_from_annotations_to_anchors_rows_stay_in_the_partition_of_their_recording(spark):
+    rec = spark.createDataFrame([("r", "w", 0.0, 10.0)], "recording_id string, wearer_id string, start_s double, end_s double")
+    columns = "recording_id string, participant_id string, start_s double, end_s double, annotation_id string"
+    speech = spark.createDataFrame([("r", "w", 1.2, 4.7, "a"), ("r", "w", 4.7, 6.0, "b"), ("r", "x", 5.0, 9.0, "c")], columns)
+    unknown = spark.createDataFrame([("r", None, 8.0, 8.5, "u")], columns)
+    g = grid.action_grid(state.control_timeline(state.native_timeline(rec, speech, unknown), 1.0), 1.0)
+    for rows in (g, windows.anchors(g, windows.WindowSpec(1, 3, 2))):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert {keys.split("#")[0] for keys in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)} == {"recording_id"}
+        assert not re.findall(r"Exchange hashpartitioning\([^,)]*, [^,)]*#", plan)
+    # A row without a change ends in slot 4: the change that ends slot 5 isn't lost, nor is one that shares a slot with such an end.
+    assert {r.decision_index: r.action for r in g.collect() if r.action in ("ONSET", "OFFSET")} == {1: "ONSET", 6: "OFFSET"}
+    late = timeline(spark, (0.52, "SILENT"), (0.57, "SILENT"), (0.85, "SPEAKING"))
+    assert [(r.decision_index, r.action) for r in grid.action_grid(late, 0.1).collect() if r.action in ("ONSET", "OFFSET")] == [(5, "ONSET")]
