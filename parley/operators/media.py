@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.operators.labels import seconds_per_unit
 from parley.operators.ranks import with_quantiles
 from parley.operators.state import EPS, SPEAKING
 
@@ -213,6 +212,10 @@ def social_segments(social: DataFrame, participants: DataFrame) -> DataFrame:
     return met.withColumn("resolved", F.coalesce("_known", F.lit(False))).withColumn("participant_id", F.when(F.col("_known"), F.col("participant_id"))).drop("_known")
 
 
+#: What a participant may do in a unit, one bit each.
+_SOCIAL = {name: 1 << i for i, name in enumerate(("looking_any", "looking_yes", "looking_no", "talking_any", "talking_yes", "talking_no", "speaking", "tracked", "hidden"))}
+
+
 def social_units(units: DataFrame, people: DataFrame, social: DataFrame, tracks: DataFrame, states: DataFrame, unknown: DataFrame, width_s: float) -> DataFrame:
     """Every unit with what each participant does to the wearer in it, as arrays in the order of participants, and whether anyone does.
 
@@ -223,27 +226,38 @@ def social_units(units: DataFrame, people: DataFrame, social: DataFrame, tracks:
     in a segment) and all of those are known not to. Where the recording is hidden for longer than EPS, everything is
     null. Segments and boxes of nobody in particular take no part.
     """
-    who = people.select("recording_id", "participant_id", "participant_index")
-    keys = ["recording_id", "participant_index", "mark"]
-    rows = social.join(who, ["recording_id", "participant_id"]).filter(F.col("kind").isin("looking", "talking"))
+    # Everything is dealt by recording before it is spread over units; a fixed number of partitions isn't coalesced.
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ["recording_id", "participant_id", "participant_index", "mark", "start_s", "end_s"]
+    nobody, nowhere = F.lit(None).cast("int").alias("participant_index"), F.lit(None).cast("string").alias("participant_id")
     said = F.when(F.col("is_at_me"), "yes").when(~F.col("is_at_me"), "no")
-    marks = F.explode(F.array_compact(F.array(F.concat_ws("_", "kind", F.lit("any")), F.concat(F.col("kind"), F.lit("_"), said))))
-    spans = rows.select("recording_id", "participant_index", marks.alias("mark"), "start_s", "end_s")
-    spans = spans.unionByName(states.filter(F.col("state") == SPEAKING).select("recording_id", "participant_index", F.lit("speaking").alias("mark"), "start_s", "end_s"))
-    touched = seconds_per_unit(spans, width_s, keys).filter(F.col("seconds") > EPS).select(*keys, "unit")
-    boxed = F.floor((F.col("time_s") + F.lit(EPS)) / F.lit(width_s))
-    touched = touched.unionByName(tracks.join(who, ["recording_id", "participant_id"]).select("recording_id", "participant_index", F.lit("tracked").alias("mark"), boxed.alias("unit")))
-    found = touched.groupBy("recording_id", "unit", "participant_index").agg(F.collect_set("mark").alias("marks"))
-    found = found.groupBy("recording_id", "unit").agg(F.map_from_entries(F.collect_list(F.struct("participant_index", "marks"))).alias("_marks"))
-    hidden = seconds_per_unit(unknown.select("recording_id", "start_s", "end_s"), width_s, ["recording_id"]).filter(F.col("seconds") > EPS).select("recording_id", "unit", F.lit(True).alias("_hidden"))
-    size = who.groupBy("recording_id").agg(F.count("*").cast("int").alias("_people"))
-    lattice = units.join(size, "recording_id").join(found, ["recording_id", "unit"], "left").join(hidden, ["recording_id", "unit"], "left")
-    nothing = F.array().cast("array<string>")
-    each = F.when(F.col("_people") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("_people") - 1, F.lit(0))), lambda p: F.coalesce(F.try_element_at("_marks", p), nothing)))
-    lattice = lattice.withColumn("_each", each).withColumn("_shown", F.col("_hidden").isNull())
+    names = F.array_compact(F.array(F.concat_ws("_", "kind", F.lit("any")), F.concat(F.col("kind"), F.lit("_"), said)))
+    bits = F.create_map(*(F.lit(x) for pair in _SOCIAL.items() for x in pair))
+    kinds = F.explode(F.transform(names, lambda n: bits[n]))
+    spans = social.filter(F.col("kind").isin("looking", "talking") & F.col("participant_id").isNotNull()).select("recording_id", "participant_id", nobody, kinds.alias("mark"), "start_s", "end_s")
+    speaks = states.filter(F.col("state") == SPEAKING).select("recording_id", nowhere, F.col("participant_index").cast("int").alias("participant_index"), F.lit(_SOCIAL["speaking"]).alias("mark"), "start_s", "end_s")
+    boxes = tracks.filter("participant_id IS NOT NULL").select("recording_id", "participant_id", nobody, F.lit(_SOCIAL["tracked"]).alias("mark"), F.col("time_s").alias("start_s"), F.col("time_s").alias("end_s"))
+    gone = unknown.select("recording_id", nowhere, nobody, F.lit(_SOCIAL["hidden"]).alias("mark"), "start_s", "end_s")
+    marks = spans.unionByName(speaks).unionByName(boxes).unionByName(gone).select(*columns).repartition(parts, "recording_id")
+    who = people.groupBy("recording_id").agg(F.collect_list(F.struct("participant_id", F.col("participant_index").cast("int").alias("participant_index"))).alias("_who"))
+    index = F.coalesce("participant_index", F.get(F.filter("_who", lambda p: p["participant_id"] == F.col("participant_id")), F.lit(0))["participant_index"])
+    marks = marks.join(who.hint("merge"), "recording_id", "left").select("recording_id", index.alias("participant_index"), "mark", "start_s", "end_s").filter(F.col("participant_index").isNotNull() | (F.col("mark") == _SOCIAL["hidden"]))
+    width, boxed = F.lit(width_s), F.floor((F.col("start_s") + F.lit(EPS)) / F.lit(width_s))
+    first, last = F.floor(F.col("start_s") / width), F.ceil(F.col("end_s") / width) - 1
+    tracked = F.col("mark") == _SOCIAL["tracked"]
+    at = F.when(tracked, F.array(boxed)).when(F.col("end_s") > F.col("start_s"), F.sequence(first, F.greatest(first, last)))
+    part = F.least("end_s", (F.col("unit") + 1) * width) - F.greatest("start_s", F.col("unit") * width)
+    found = marks.select("*", F.explode(at).alias("unit")).groupBy("recording_id", "unit", "participant_index", "mark").agg(F.sum(F.greatest(F.lit(0.0), part)).alias("_seconds"))
+    found = found.filter(tracked | (F.col("_seconds") > EPS)).groupBy("recording_id", "unit", "participant_index").agg(F.bit_or("mark").alias("marks"))
+    each_one = F.when(F.col("participant_index").isNotNull(), F.struct("participant_index", "marks"))
+    found = found.groupBy("recording_id", "unit").agg(F.map_from_entries(F.collect_list(each_one)).alias("_marks"), F.bool_or(F.col("participant_index").isNull()).alias("_hidden"))
+    size = people.groupBy("recording_id").agg(F.count("*").cast("int").alias("_people"))
+    lattice = units.join(size, "recording_id").join(found, ["recording_id", "unit"], "left")
+    each = F.when(F.col("_people") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("_people") - 1, F.lit(0))), lambda p: F.coalesce(F.try_element_at("_marks", p), F.lit(0))))
+    lattice = lattice.withColumn("_each", each).withColumn("_shown", ~F.coalesce("_hidden", F.lit(False)))
 
     def has(m: Column, mark: str) -> Column:
-        return F.array_contains(m, mark)
+        return m.bitwiseAND(F.lit(_SOCIAL[mark])) != 0
 
     def known(kind: str, m: Column) -> Column:
         seen = has(m, f"{kind}_yes") | has(m, f"{kind}_no")

@@ -1,5 +1,7 @@
 """Token classes, markers, social flags and floor changes on cases whose results are known."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from parley.operators import audit, labels, media, structure, text
@@ -37,6 +39,9 @@ def test_social_units_are_dense_and_hidden_where_the_recording_is(spark):
     units = _cells(spark).withColumnRenamed("decision_index", "unit")
     out = {r.unit: r for r in media.social_units(units, people, spark.createDataFrame([("r", *x) for x in social], segment), tracks, states, unknown, 1.0).collect()}
     assert sorted(out) == list(range(10))
+    plan = media.social_units(units, people, spark.createDataFrame([("r", *x) for x in social], segment), tracks, states, unknown, 1.0)._jdf.queryExecution().executedPlan().toString()
+    keys = [k.split(", ") for k in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)]
+    assert not [k for k in keys if any(c.startswith(("participant_", "mark")) for c in k)]  # marks meet their participants in their recording
     assert {u: r.looking_at_wearer for u, r in out.items()} == {0: [None, True], 1: [None, False], 2: [None, None], 3: [None, False], 4: [None, None], 5: [None, None], 6: [None, None], 7: [None, None], 8: [None, None], 9: [None, False]}
     assert {u: r.anyone_looking_at_wearer for u, r in out.items()} == {0: True, 1: None, 2: None, 3: False, 4: None, 5: None, 6: None, 7: None, 8: None, 9: False}
     assert {u: r.talking_to_wearer[1] for u, r in out.items()} == {4: False, 7: True} | dict.fromkeys((0, 1, 2, 3, 5, 6, 8, 9))
