@@ -49,16 +49,16 @@ def _put(spark: SparkSession, path: str, text: str) -> None:
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(_path(spark, path).toUri(), conf).rename(_path(spark, side), _path(spark, path), over)
 
 
-def _violations(rows: DataFrame, table: str) -> list[str]:
-    """What is wrong with a table's keys, and how often."""
+def _checked(rows: DataFrame, table: str) -> tuple[int, list[str]]:
+    """A table's rows, and what is wrong with its keys and how often; one pass over it."""
     keys = TABLE_KEYS[table]
     optional = {"time_s"}  # an event need not be timed
-    found = rows.agg(*(F.count_if(F.col(k).isNull()).alias(k) for k in keys)).first()
+    per = rows.groupBy(*keys).agg(F.count("*").alias("_n")) if table in UNIQUE else rows.select(*keys, F.lit(1).cast("long").alias("_n"))
+    missing = (F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("_n"))), F.lit(0)).alias(k) for k in keys)
+    found = per.agg(*missing, F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"), F.count_if(F.col("_n") > 1).alias("_twice")).first()
     out = [f"{table}: {found[k]} rows without {k}" for k in keys if k not in optional and found[k]]
-    if table in UNIQUE:
-        twice = rows.groupBy(*keys).count().filter("count > 1").count()
-        out += [f"{table}: {twice} keys of several rows"] if twice else []
-    return out
+    out += [f"{table}: {found['_twice']} keys of several rows"] if found["_twice"] else []
+    return found["_rows"], out
 
 
 def write_extractor(tables: Mapping[str, DataFrame], root: str, extractor: str, manifest: Mapping | None = None) -> dict:
@@ -81,8 +81,9 @@ def write_extractor(tables: Mapping[str, DataFrame], root: str, extractor: str,
         placed = rows.repartition("recording_id").sortWithinPartitions(*TABLE_KEYS[name])
         placed.write.option("compression", "zstd").option("parquet.block.row.count.limit", str(ROW_GROUP_ROWS)).parquet(path)
         back = spark.read.schema(rows.schema).parquet(path)
-        wrong += _violations(back, name)
-        entries[name] = {"rows": back.count(), "columns": rows.columns, "schema": rows.schema.jsonValue()}
+        n, faults = _checked(back, name)
+        wrong += faults
+        entries[name] = {"rows": n, "columns": rows.columns, "schema": rows.schema.jsonValue()}
     if wrong:
         raise StoreError("; ".join(wrong))
     document = {**(manifest or {}), "version": version, "tables": entries}

@@ -58,3 +58,10 @@ def test_row_groups_are_of_one_size_and_sorted(spark, tmp_path):
     assert [meta.row_group(k).num_rows for k in range(meta.num_row_groups)] == [65_536, 65_536, 18_928]
     assert meta.row_group(0).column(0).compression == "ZSTD"
     assert pq.read_table(path)["decision_index"].to_pylist() == list(range(1, 150_001))
+
+
+def test_rows_and_faults_of_a_table_are_found_in_one_pass(spark):
+    columns = "recording_id string, decision_index int"
+    rows = spark.createDataFrame([("r", 0), ("r", 1), ("r", 1), ("r", None), (None, None), (None, None)], columns)
+    assert store._checked(rows, "grid") == (6, ["grid: 2 rows without recording_id", "grid: 3 rows without decision_index", "grid: 2 keys of several rows"])
+    assert store._checked(rows.limit(0), "grid") == (0, [])
