@@ -257,6 +257,35 @@ def turns(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return out.withColumn("fto_from_previous_s", fto)
 
 
+def in_turns(participants: DataFrame, speech: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """All rows of speech with `participant_index`, `turn`, the number of the turn that a row is a part of, and `pause_s`, the silence before it within that turn.
+
+    Turns are those of `turns` where nothing is unknown, numbered from 0 in a recording by start and participant, but no pieces are made:
+    speech is sorted once by speaker and once by turn. What is dealt by recording stays in its partition. Rows without a
+    length, or whose speaker isn't a participant, have no turn; a column `timing_valid` may take out others.
+    """
+    people = order_participants(participants).groupBy("recording_id").agg(F.collect_list(F.struct("participant_id", "participant_index")).alias("_who"))
+    # A recording has one row of participants: they are hashed, and speech isn't sorted for them.
+    rows = speech.join(people.hint("shuffle_hash"), "recording_id", "left")
+    rows = rows.withColumn("participant_index", F.get(F.filter("_who", lambda p: p["participant_id"] == F.col("participant_id")), F.lit(0))["participant_index"]).drop("_who")
+    timed = F.col("timing_valid") if "timing_valid" in speech.columns else F.lit(True)
+    finite = [F.abs(c) < float("inf") for c in ("start_s", "end_s")]
+    rows = rows.withColumn("_in", F.coalesce(timed & F.col("participant_index").isNotNull() & finite[0] & finite[1] & (F.col("end_s") > F.col("start_s")), F.lit(False)))
+    own = Window.partitionBy("recording_id", "participant_index", "_in").orderBy("start_s", "end_s")
+    rows = rows.withColumn("pause_s", F.col("start_s") - F.max("end_s").over(own.rowsBetween(Window.unboundedPreceding, -1)))
+    joins = F.coalesce(F.col("pause_s") <= rules.turn_pause_s + EPS, F.lit(False))
+    rows = rows.withColumn("_opened_s", F.last(F.when(~joins, F.col("start_s")), ignorenulls=True).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    order = Window.partitionBy("recording_id", "_in").orderBy("_opened_s", "participant_index")
+    pause = F.when(F.col("_in"), F.when(joins & (F.col("pause_s") > 0), F.col("pause_s")).otherwise(0.0))
+    return rows.withColumns({"turn": F.when(F.col("_in"), F.dense_rank().over(order) - 1), "pause_s": pause}).drop("_in", "_opened_s")
+
+
+def speech_turns(rows: DataFrame) -> DataFrame:
+    """(recording_id, participant_id, turn, start_s, end_s, pauses_s): the turns of rows of `in_turns`."""
+    parts = rows.filter("turn IS NOT NULL").groupBy("recording_id", "participant_id", "turn")
+    return parts.agg(F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.sum("pause_s").alias("pauses_s"))
+
+
 def simultaneous_onsets(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Onsets with `simultaneous`: whether another participant begins within the tolerance. The frame runs over whole nanoseconds."""
     return _simultaneous(speaker_events(states).filter("kind = 'onset'"), rules)

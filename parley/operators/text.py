@@ -55,16 +55,17 @@ def closing(text: Column) -> Column:
     return F.when(last.isin(*CLOSERS), last)
 
 
-def token_events(tokens: DataFrame, participants: DataFrame) -> DataFrame:
+def token_events(tokens: DataFrame, participants: DataFrame | None = None) -> DataFrame:
     """Every token as an event, with its text, its class, its speaker's index and the turn that it lies in.
 
-    `tokens` have `unit` (word or utterance) and `turn`, of `words_to_turns` or `utterances_to_turns`, zero-based within the
-    recording; `participants` say (recording_id, participant_id, participant_index). Untimed tokens stay, with null times and
-    turn; a null or unknown speaker has a null index, a missing text stays null and is of class empty.
+    `tokens` have `unit` (word or utterance) and `turn`, of `words_to_turns`, `utterances_to_turns` or `structure.in_turns`, zero-based
+    within the recording; `participants` say (recording_id, participant_id, participant_index), unless tokens have their index. Untimed
+    tokens stay, with null times and turn; a null or unknown speaker has a null index, a missing text stays null and is of class empty.
     """
     timed = F.coalesce("timing_valid", F.lit(False))
-    who = participants.select("recording_id", "participant_id", "participant_index")
-    return tokens.join(who, ["recording_id", "participant_id"], "left").select(
+    if participants is not None:
+        tokens = tokens.join(participants.select("recording_id", "participant_id", "participant_index"), ["recording_id", "participant_id"], "left")
+    return tokens.select(
         "recording_id",
         F.lit("token").alias("event_type"),
         F.when(timed, F.col("start_s")).alias("time_s"),
@@ -135,7 +136,7 @@ def turn_units(tokens: DataFrame, turns: DataFrame) -> DataFrame:
     key = ["recording_id", "participant_id", "turn"]
     said = F.struct("start_s", "source_row", F.coalesce("text", F.lit("")).alias("text"))
     spoken = tokens.filter("turn IS NOT NULL").groupBy(*key).agg(F.sort_array(F.collect_list(said)).alias("_said"))
-    rows = turns.select(*key, "start_s", "end_s", "pauses_s").join(spoken, key, "left")
+    rows = turns.select(*key, "start_s", "end_s", "pauses_s").join(spoken.hint("merge"), key, "left")
     lexical = F.filter(F.coalesce(F.transform("_said", lambda t: t["text"]), F.array().cast("array<string>")), lambda w: token_class(w) == "lexical")
     rows = rows.withColumn("_words", F.transform(lexical, lambda w: normal_word(F.trim(w)))).withColumn("_last", F.trim(F.element_at("_said", -1)["text"]))
     length = F.col("end_s") - F.col("start_s")
