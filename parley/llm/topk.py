@@ -109,6 +109,7 @@ def _narrow(vertices: DataFrame, k: int, parts: int, shards: Column, blocks: Col
     every_shard = F.explode(F.sequence(F.lit(0).cast("long"), shards.cast("long") - 1)).alias("shard")
     held = lists.select("d", "shard", F.col("nodes").alias("vertices"), F.posexplode("points").alias("part", "shard_points"))
 
+    # Joins that carry points are sorted: Spark takes a block for one row though it is repeated for every shard, and would gather them all in the driver to broadcast them.
     # Phase 1: the best local scores of each query in each part, and the sums of the vectors that have them.
     def local_best(r) -> pd.DataFrame:
         queries, nodes = _nodes(r.queries), _nodes(r.vertices)
@@ -119,7 +120,7 @@ def _narrow(vertices: DataFrame, k: int, parts: int, shards: Column, blocks: Col
         return pd.DataFrame({"d": r.d, "part": r.part, "query": np.repeat(queries, n), "node": nodes[best.reshape(-1)], "local": local.reshape(-1).astype(np.int64)})
 
     dealt = asked.select("d", "block", F.col("nodes").alias("queries"), F.posexplode("points").alias("part", "block_points")).select("*", every_shard)
-    best = dealt.join(held, ["d", "part", "shard"]).mapInPandas(_rows(local_best), "d int, part int, query long, node long, local long")
+    best = dealt.join(held.hint("merge"), ["d", "part", "shard"]).mapInPandas(_rows(local_best), "d int, part int, query long, node long, local long")
     nth = F.row_number().over(Window.partitionBy("query", "part").orderBy(F.col("local").desc(), "node"))
     known = best.withColumn("nth", nth).filter(F.col("nth") <= gathered).select("d", "query", "node").distinct()
     pairs = known.withColumns({"shard": shard_of("node"), "block": block_of("query")}).groupBy("d", "shard", "block").agg(F.collect_list("query").alias("left"), F.collect_list("node").alias("right"))
@@ -132,7 +133,7 @@ def _narrow(vertices: DataFrame, k: int, parts: int, shards: Column, blocks: Col
         locals_ = _looked_up(left, right, np.searchsorted(queries, r.left), np.searchsorted(nodes, r.right))
         return pd.DataFrame({"d": r.d, "block": r.block, "query": r.left, "total": locals_.sum(axis=0), "locals": list(locals_.T)})
 
-    summed = pairs.join(asked, ["d", "block"]).join(whole, ["d", "shard"]).mapInPandas(_rows(sums), "d int, block long, query long, total long, locals array<long>")
+    summed = pairs.join(asked.hint("merge"), ["d", "block"]).join(whole.hint("merge"), ["d", "shard"]).mapInPandas(_rows(sums), "d int, block long, query long, total long, locals array<long>")
     by_total = Window.partitionBy("query").orderBy(F.col("total").desc())
     top = summed.withColumn("nth", F.row_number().over(by_total)).filter(F.col("nth") <= k + 1)
 
@@ -142,7 +143,7 @@ def _narrow(vertices: DataFrame, k: int, parts: int, shards: Column, blocks: Col
     spare = F.floor((F.col("cutoff") - F.aggregate("means", F.lit(0).cast("long"), lambda a, x: a + x)) / F.lit(parts)).cast("long")
     cut = cut.withColumn("least", F.transform("means", lambda m: m + spare))
     cuts = cut.groupBy("d", "block").agg(F.sort_array(F.collect_list(F.struct("query", "cutoff", "least"))).alias("cuts"))
-    asked = saved(asked.join(cuts, ["d", "block"]), "cutoffs")
+    asked = saved(asked.hint("merge").join(cuts, ["d", "block"]), "cutoffs")
 
     # Phase 2: every entry that reaches its part's share of the cutoff.
     lowest = -(1 << 62)
@@ -160,7 +161,7 @@ def _narrow(vertices: DataFrame, k: int, parts: int, shards: Column, blocks: Col
         return pd.DataFrame([(r.d, r.shard, r.block, r.part, *packed)] if len(q) else [], columns=["d", "shard", "block", "part", "left", "right", "local"])
 
     dealt = asked.select("d", "block", "cuts", F.col("nodes").alias("queries"), F.posexplode("points").alias("part", "block_points")).select("*", every_shard)
-    entries = dealt.join(held, ["d", "part", "shard"]).mapInPandas(_rows(sufficient), "d int, shard long, block long, part int, left binary, right binary, local binary")
+    entries = dealt.join(held.hint("merge"), ["d", "part", "shard"]).mapInPandas(_rows(sufficient), "d int, shard long, block long, part int, left binary, right binary, local binary")
     entries = entries.groupBy("d", "shard", "block").agg(F.collect_list(F.struct("part", "left", "right", "local")).alias("entries"))
 
     # Phase 3: what the others could still add, then the parts that are missing, then the best sums of each shard.
@@ -188,7 +189,7 @@ def _narrow(vertices: DataFrame, k: int, parts: int, shards: Column, blocks: Col
         kept = _first(np.lexsort((nodes[v], -total, q)), q, k + 1)
         return pd.DataFrame({"query": queries[q[kept]], "node": nodes[v[kept]], "score": total[kept], "beyond": ""})
 
-    return entries.join(asked, ["d", "block"]).join(whole, ["d", "shard"]).mapInPandas(_rows(resolved), _FOUND)
+    return entries.join(asked.hint("merge"), ["d", "block"]).join(whole.hint("merge"), ["d", "shard"]).mapInPandas(_rows(resolved), _FOUND)
 
 
 def _ints(vector: np.ndarray, wide: bool) -> list[int]:
@@ -247,7 +248,7 @@ def _wide(vertices: DataFrame, k: int, shards: Column, blocks: Column) -> DataFr
             rows += [(qn[i], node, max(-_LONG - 1, min(_LONG, -s)), _beyond(-s)) for s, node in scored]
         return pd.DataFrame(rows, columns=["query", "node", "score", "beyond"])
 
-    return dealt.join(lists, ["d", "shard"]).mapInPandas(_rows(best), _FOUND)
+    return dealt.join(lists.hint("merge"), ["d", "shard"]).mapInPandas(_rows(best), _FOUND)
 
 
 def top_inner(embeddings: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS, shard: int = SHARD, block: int = BLOCK, gathered: int = GATHERED) -> DataFrame:
