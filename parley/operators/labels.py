@@ -15,7 +15,7 @@ from parley.operators import structure as st
 from parley.operators.intervals import asof
 from parley.operators.ranks import quantiles
 from parley.operators.state import EPS, SPEAKING, UNKNOWN
-from parley.sources.shared import saved
+from parley.sources.shared import saved_by, stacked
 
 #: State codes of units.
 SILENT_CODE, SPEAKING_CODE, UNKNOWN_CODE = 0, 1, 2
@@ -58,10 +58,7 @@ def _units(cells: DataFrame, per_cell: int) -> DataFrame:
 
 def _together(parts: Sequence[DataFrame]) -> DataFrame:
     """Tables of facts on units one below the other, so that they are grouped at once and joined to the units once."""
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more, allowMissingColumns=True)
-    return out
+    return stacked(parts, "recording_id")
 
 
 def instantaneous(states: DataFrame, cells: DataFrame, step_s: float, subframes: int) -> DataFrame:
@@ -203,11 +200,8 @@ def at_references(cells: DataFrame, step_s: float, streams: Mapping[str, tuple[D
     reference = (F.col("decision_index") + 1) * F.lit(step_s)
     types = {n: F.struct(*(c for c in df.columns if c != "recording_id")) for n, (df, _) in streams.items()}
     asks = cells.select("recording_id", (reference - F.lit(EPS)).alias("_t"), F.lit(0).alias("_side"), "decision_index", reference.alias("reference_s"))
-    rows = None
-    for name, (df, at) in streams.items():
-        one = df.select("recording_id", F.col(at).alias("_t"), F.lit(1).alias("_side"), types[name].alias(f"_{name}"))
-        rows = one if rows is None else rows.unionByName(one, allowMissingColumns=True)
-    both = rows.unionByName(asks, allowMissingColumns=True)
+    rows = [df.select("recording_id", F.col(at).alias("_t"), F.lit(1).alias("_side"), types[name].alias(f"_{name}")) for name, (df, at) in streams.items()]
+    both = stacked([*rows, asks], "recording_id")
     # Forward passes sort the other way: a frame up to the current row grows with it, one to the end would be worked out anew for each row.
     key = Window.partitionBy("recording_id")
     back = key.orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
@@ -232,14 +226,15 @@ def _streams(states: DataFrame) -> dict[str, tuple[DataFrame, str]]:
     return out
 
 
-def references(states: DataFrame, cells: DataFrame, step_s: float) -> DataFrame:
+def references(states: DataFrame, cells: DataFrame, step_s: float, names: Sequence[str] | None = None) -> DataFrame:
     """Every cell's end with what lies around it, and `observed`: whether the moment just before it lies in an observed span.
 
-    Eleven streams are drawn from the rows of `structure.joint`, which are written once for all of them, unless the caller
-    gives such rows, written already.
+    Eleven streams, or the named ones and the spans, are drawn from the rows of `structure.joint`, which are written once for
+    all of them, unless the caller gives such rows, written already.
     """
-    pieces = states if "who" in states.columns else saved(st.joint(states), "pieces")
-    rows = at_references(cells, step_s, _streams(pieces))
+    pieces = states if "who" in states.columns else saved_by(st.joint(states), "pieces", "recording_id")
+    streams = {n: s for n, s in _streams(pieces).items() if names is None or n in (*names, "span")}
+    rows = at_references(cells, step_s, streams)
     observed = F.coalesce(F.col("reference_s") <= F.col("last_span.end_s") + EPS, F.lit(False))
     return rows.withColumn("observed", observed).withColumn("span_start_s", F.when(observed, F.col("last_span.start_s"))).withColumn("span_end_s", F.when(observed, F.col("last_span.end_s")))
 
@@ -357,19 +352,26 @@ def future_states(states: DataFrame, around: DataFrame, horizons_s: Sequence[flo
 def future_activity(states: DataFrame, around: DataFrame, step_s: float, horizons_s: Sequence[float]) -> DataFrame:
     """Per cell and horizon who speaks before it ends, by participant, the wearer, others, and whether two speak at once; null unless wholly observed.
 
-    Horizons are whole numbers of steps, so speech is summed up once per cell and each cell is given out to the few
-    cells before it.
+    Horizons are whole numbers of steps, so speech is summed up once per cell, and a cell looks at the few cells after it
+    in its recording's order. Nothing is shuffled where pieces and cells are dealt by recording.
     """
-    spoken = st.by_participant(states).filter(F.col("state") == SPEAKING).select("recording_id", F.col("participant_index").cast("int").alias("who"), "start_s", "end_s")
-    at_once = st.floor(states).filter("all_known AND speakers >= 2").select("recording_id", F.lit(-1).alias("who"), "start_s", "end_s")
-    timed = seconds_per_unit(spoken.unionByName(at_once), step_s, ["recording_id", "who"])
-    ahead = F.explode(F.array(*(F.struct(F.lit(float(h)).alias("horizon_s"), F.lit(round(h / step_s)).alias("n")) for h in horizons_s)))
-    given = timed.withColumn("_h", ahead).select("recording_id", "who", "seconds", "_h.horizon_s", F.explode(F.sequence(F.col("unit") - F.col("_h.n"), F.col("unit") - 1)).alias("decision_index"))
+    pieces = st.joint(states)
+    speaking = F.transform(F.filter("who", lambda p: p["state"] == SPEAKING), lambda p: p["participant_index"].cast("int"))
+    heard = F.when(F.col("all_known") & (F.col("speakers") >= 2), F.concat(speaking, F.array(F.lit(-1)))).otherwise(speaking)
+    timed = seconds_per_unit(pieces.select("recording_id", F.explode(heard).alias("who"), "start_s", "end_s"), step_s, ["recording_id", "who"])
+    said = timed.select("recording_id", F.col("unit").alias("decision_index"), F.struct("who", "seconds").alias("_said"))
+    both = stacked([said, around.select(*CELL, "reference_s", "observed", "span_end_s")], "recording_id")
+    order = Window.partitionBy("recording_id").orderBy("decision_index")
+    ahead = {float(h): F.collect_list("_said").over(order.rangeBetween(1, round(h / step_s))) for h in horizons_s}
+    rows = both.withColumns({f"_ahead_{k}": v for k, v in enumerate(ahead.values())}).filter("reference_s IS NOT NULL")
+    each_h = F.explode(F.array(*(F.struct(F.lit(h).alias("horizon_s"), F.col(f"_ahead_{k}").alias("said")) for k, h in enumerate(ahead)))).alias("_h")
+    rows = rows.select(*CELL, "reference_s", "observed", "span_end_s", each_h).select("*", "_h.horizon_s").join(_per_recording(states).select("recording_id", "_people"), "recording_id")
+
+    def lasts(who: Column) -> Column:
+        return F.aggregate(F.filter("_h.said", lambda s: s["who"] == who), F.lit(0.0), lambda a, s: a + s["seconds"]) > EPS
+
+    rows = rows.withColumn("_who", F.filter(F.array_distinct(F.transform("_h.said", lambda s: s["who"])), lasts))
     key = [*CELL, "horizon_s"]
-    found = given.groupBy(*key, "who").agg(F.sum("seconds").alias("s")).filter(F.col("s") > EPS).groupBy(*key).agg(F.collect_set("who").alias("_who"))
-    people = _per_recording(states).select("recording_id", "_people")
-    rows = around.select(*CELL, "reference_s", "observed", "span_end_s", F.explode(F.array(*(F.lit(float(h)) for h in horizons_s))).alias("horizon_s"))
-    rows = rows.join(found, key, "left").join(people, "recording_id")
     valid = F.col("observed") & (F.col("reference_s") + F.col("horizon_s") <= F.col("span_end_s") + EPS)
     each = F.transform(F.sequence(F.lit(0), F.col("_people").cast("int") - 1), lambda p: F.coalesce(F.array_contains("_who", p), F.lit(False)))
     others = F.coalesce(F.exists("_who", lambda p: p > 0), F.lit(False))

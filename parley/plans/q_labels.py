@@ -10,15 +10,15 @@ from parley.plans.oracle import EPS, PARTS, part, sql
 from parley.plans.q_state import STEP, rounded
 from parley.plans.q_structure import RULES, states
 from parley.sources import canonical as c
-from parley.sources.shared import saved
+from parley.sources.shared import dealt, saved, saved_by
 
 SUBFRAMES = 2
 HORIZONS = (10.0, 50.0, 100.0)
 
 
 def cells(spark, sf_dir):
-    """All whole cells of each recording's window."""
-    days = c.recordings(c.table(spark, sf_dir, "events"))
+    """All whole cells of each recording's window, dealt by recording before they are many."""
+    days = dealt(c.recordings(c.table(spark, sf_dir, "events")).select("recording_id", "end_s"), "recording_id")
     last = F.floor(F.col("end_s") / STEP).cast("long") - 1
     return days.select("recording_id", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("decision_index"))
 
@@ -45,8 +45,8 @@ def g7_joint_occupancy(spark, sf_dir):
 
 
 def _pieces(spark, sf_dir):
-    """The pieces with all participants, written once for all that read them."""
-    return saved(st.joint(states(spark, sf_dir)), "pieces")
+    """The pieces with all participants, written once, by recording, for all that read them."""
+    return saved_by(st.joint(states(spark, sf_dir)), "pieces", "recording_id")
 
 
 def g9_event_units(spark, sf_dir):
@@ -60,7 +60,7 @@ def g9_speaker_event_units(spark, sf_dir):
 
 def g18_future_activity(spark, sf_dir):
     pieces = _pieces(spark, sf_dir)
-    out = lb.future_activity(pieces, lb.references(pieces, cells(spark, sf_dir), STEP), STEP, HORIZONS)
+    out = lb.future_activity(pieces, lb.references(pieces, cells(spark, sf_dir), STEP, ["span"]), STEP, HORIZONS)
     return rounded(out.withColumn("future_speaker_activity", F.when(F.col("future_speaker_activity").isNotNull(), _shown(F.col("future_speaker_activity")))))
 
 

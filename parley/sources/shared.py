@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,30 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows dealt by a key to `spark.sql.shuffle.partitions` parts, which isn't done again where they are dealt so already."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def saved_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As `saved`, in buckets of a key: what reads them finds them dealt, and windows and groups over the key shuffle nothing."""
+    spark = df.sparkSession
+    table = f"{re.sub('[^a-z]', '_', name)}_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt(df, key).write.bucketBy(parts, key).option("path", f"{shared_dir(spark)}/{table}").saveAsTable(table)
+    out = spark.read.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only; the files stay
+    return out
+
+
+def stacked(parts: Sequence[DataFrame], key: str) -> DataFrame:
+    """Tables one below the other, with nulls for columns that one lacks; where all are dealt by the key, so is the whole.
+
+    Spark finds that out only if the key has a new name in each.
+    """
+    out = parts[0].withColumnRenamed(key, f"_{key}")
+    for more in parts[1:]:
+        out = out.unionByName(more.withColumnRenamed(key, f"_{key}"), allowMissingColumns=True)
+    return out.withColumnRenamed(f"_{key}", key)
