@@ -6,14 +6,14 @@ decision_index); a unit is a subframe, numbered decision_index * subframes + pla
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.operators import structure as st
 from parley.operators.intervals import asof
-from parley.operators.ranks import quantiles
+from parley.operators.ranks import narrowed_quantiles
 from parley.operators.state import EPS, SPEAKING, UNKNOWN
 from parley.sources.shared import saved_by, stacked
 
@@ -89,8 +89,10 @@ def instantaneous(states: DataFrame, cells: DataFrame, step_s: float, subframes:
     code = F.when(lasts(UNKNOWN), UNKNOWN_CODE).when(lasts(SPEAKING), SPEAKING_CODE).otherwise(SILENT_CODE)
     codes = timed.groupBy(*key).agg(code.alias("code"))
     at = (F.col("participant_index") * (subframes + 1) + F.col("place") + 1).cast("int")
-    found = codes.groupBy(*CELL).agg(F.map_from_entries(F.collect_list(F.struct(at, "code"))).alias("_codes"))
-    rows = cells.select(*CELL).join(found, CELL, "left").join(_per_recording(states).select("recording_id", "_people"), "recording_id")
+    # Codes meet their cells in groups, not in a join on cells, which would deal both anew.
+    met = stacked([codes.select(*CELL, F.struct(at, "code").alias("_code")), cells.select(*CELL, F.lit(True).alias("_cell"))], "recording_id")
+    rows = met.groupBy(*CELL).agg(F.map_from_entries(F.collect_list("_code")).alias("_codes"), F.max("_cell").alias("_cell")).filter("_cell")
+    rows = rows.join(_per_recording(states).select("recording_id", "_people"), "recording_id")
 
     def of(place: int) -> Column:
         return F.transform(F.sequence(F.lit(0), F.col("_people") - 1), lambda p: F.coalesce(F.try_element_at("_codes", p * (subframes + 1) + place + 1), F.lit(SILENT_CODE)))
@@ -239,8 +241,8 @@ def references(states: DataFrame, cells: DataFrame, step_s: float, names: Sequen
     return rows.withColumn("observed", observed).withColumn("span_start_s", F.when(observed, F.col("last_span.start_s"))).withColumn("span_end_s", F.when(observed, F.col("last_span.end_s")))
 
 
-def timing(around: DataFrame) -> DataFrame:
-    """Seconds since and to events, silence so far and the span's bounds; null where censored."""
+def timing(around: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Seconds since and to events, silence so far and the span's bounds, or the named ones of these; null where censored."""
     r = F.col("reference_s")
 
     def since(name: str) -> Column:
@@ -255,16 +257,15 @@ def timing(around: DataFrame) -> DataFrame:
     active = F.coalesce((F.col("last_piece.speakers") > 0) & F.col("last_piece.all_known"), F.lit(False))
     quiet = F.col("last_silence.start_s")
     silent = F.col("observed") & (r <= F.col("last_silence.end_s") + EPS) & (quiet > F.col("span_start_s") + EPS)
-    return around.select(
-        *CELL,
-        *(since(n).alias(f"time_since_{n}") for n in events),
-        *(until(n).alias(f"time_to_next_{n}") for n in events),
-        until("onset").alias("time_to_next_speaker_onset"),
-        F.when(F.col("observed") & active, F.lit(0.0)).otherwise(since("speech_end")).alias("time_since_speaker_activity"),
-        F.when(silent, r - quiet).alias("silence_duration"),
-        F.when(F.col("observed"), r - F.col("span_start_s")).alias("time_since_observation_start"),
-        F.when(F.col("observed"), F.col("span_end_s") - r).alias("time_to_observation_end"),
-    )
+    shown = {f"time_since_{n}": since(n) for n in events} | {f"time_to_next_{n}": until(n) for n in events}
+    shown |= {
+        "time_to_next_speaker_onset": until("onset"),
+        "time_since_speaker_activity": F.when(F.col("observed") & active, F.lit(0.0)).otherwise(since("speech_end")),
+        "silence_duration": F.when(silent, r - quiet),
+        "time_since_observation_start": F.when(F.col("observed"), r - F.col("span_start_s")),
+        "time_to_observation_end": F.when(F.col("observed"), F.col("span_end_s") - r),
+    }
+    return around.select(*CELL, *(v.alias(n) for n, v in shown.items() if names is None or n in names))
 
 
 def next_speakers(around: DataFrame) -> DataFrame:
@@ -399,12 +400,20 @@ def coverage(labels: DataFrame) -> DataFrame:
 
 #: Quantiles of the sanity statistics.
 SANITY_QUANTILES = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+#: What the sanity statistics read of each table.
+SANITY_COLUMNS = {
+    "cells": ("ego_speaking", "others_active", "active_speaker_count_subframes"),
+    "times": ("time_to_next_ego_onset", "time_to_next_other_onset"),
+    "events": ("event", "participant_index", "onset_type", "fto_s"),
+    "segments": ("segment", "start_s", "end_s", "overlap_type", "silence_type"),
+}
 
 
 def sanity(cells: DataFrame, times: DataFrame, events: DataFrame, segments: DataFrame) -> DataFrame:
     """(statistic, value) of the speech labels: shares of known cells and subframes, censored shares, counts and kinds of events and segments, quantiles.
 
-    `cells` is of `instantaneous`, `times` of `timing`, the rest are the tables of events and segments. Shares and
+    `cells` is of `instantaneous`, `times` of `timing`, the rest are the tables of events and segments; columns that aren't in
+    SANITY_COLUMNS may be left out. `cells` is read once, the others several times: write them first. Shares and
     quantiles of nothing are null; kinds that don't occur have no row.
     """
     def long(rows: DataFrame, stats: dict[str, Column]) -> DataFrame:
@@ -415,22 +424,26 @@ def sanity(cells: DataFrame, times: DataFrame, events: DataFrame, segments: Data
         return F.avg(test.cast("int"))
 
     def spread(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
-        found = quantiles(rows.select(*(v.alias(n) for n, v in values.items())), [], list(values), SANITY_QUANTILES)
+        found = narrowed_quantiles(rows.select(*(v.alias(n) for n, v in values.items())), list(values), SANITY_QUANTILES)
         cells = [F.struct(F.lit(f"{n}_q{round(q * 100)}").alias("statistic"), F.col(n)[k].alias("value")) for n in values for k, q in enumerate(SANITY_QUANTILES)]
         return found.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
     def kinds(rows: DataFrame, column: str, name: str) -> DataFrame:
         return rows.filter(F.col(column).isNotNull()).groupBy(F.concat(F.lit(f"{name}_"), F.col(column)).alias("statistic")).agg(F.count("*").cast("double").alias("value"))
 
-    frames = cells.select(F.explode("active_speaker_count_subframes").alias("n"))
+    frames = F.coalesce("active_speaker_count_subframes", F.array().cast("array<int>"))
+    known = F.sum(F.size(F.filter(frames, lambda n: n.isNotNull())))
+
+    def share_of_frames(test: Callable[[Column], Column]) -> Column:
+        return F.when(known > 0, F.sum(F.size(F.filter(frames, test))) / known)
+
     onset, change = F.col("event") == "onset", F.col("event") == "floor_change"
     fto, length = F.when(change, F.col("fto_s")), F.when(F.col("segment") == "turn", F.col("end_s") - F.col("start_s"))
     timing_stats = {}
     for name in ("time_to_next_ego_onset", "time_to_next_other_onset"):
         timing_stats |= {f"{name}_censored": share(F.col(name).isNull())}
     parts = [
-        long(cells, {"cells": F.count("*"), "ego_speaking_share": share(F.col("ego_speaking")), "others_active_share": share(F.col("others_active"))}),
-        long(frames, {"overlap_share": share(F.col("n") >= 2), "silence_share": share(F.col("n") == 0)}),
+        long(cells, {"cells": F.count("*"), "ego_speaking_share": share(F.col("ego_speaking")), "others_active_share": share(F.col("others_active")), "overlap_share": share_of_frames(lambda n: n >= 2), "silence_share": share_of_frames(lambda n: n == 0)}),
         long(times, timing_stats),
         long(events, {"onsets": F.count_if(onset), "offsets": F.count_if(F.col("event") == "offset"), "ego_onsets": F.count_if(onset & (F.col("participant_index") == 0)), "floor_changes": F.count_if(change), "overlap_transfer_share": share(fto < 0)}),
         kinds(events, "onset_type", "onset"),

@@ -48,13 +48,63 @@ def quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], shares:
     group = [f"key_{i}" for i in range(len(keys))] + ["which"]
     named = df.select(*(F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)), flat.alias("cell")).select(*group[:-1], "cell.which", "cell.value")
     counted = named.filter(F.col("value").isNotNull()).groupBy(*group, "value").agg(F.count("*").alias("n"))
-    placed = _in_ranges(counted, [F.col(c) for c in [*group, "value"]], "distinct-values")
+    arrays = _at_shares(counted, group, ["value"], shares)
+    per_value = [F.max(F.when(F.col("which") == i, F.col("quantiles"))).alias(f"value_{i}") for i in range(len(values))]
+    if not keys:
+        return arrays.agg(*per_value).select(*(F.col(f"value_{i}").alias(v) for i, v in enumerate(values)))
+    groups = named.select(*group[:-1]).distinct()
+    out = arrays.groupBy(*group[:-1]).agg(*per_value)
+    joined = groups.alias("g").join(out.alias("o"), [F.col(f"g.{c}").eqNullSafe(F.col(f"o.{c}")) for c in group[:-1]], "left")
+    return joined.select(*(F.col(f"g.key_{i}").alias(k) for i, k in enumerate(keys)), *(F.col(f"value_{i}").alias(v) for i, v in enumerate(values)))
+
+
+#: Of all values the sketch of `narrowed_quantiles` may misplace at most one in so many.
+_SKETCH = 4000
+
+
+def narrowed_quantiles(df: DataFrame, values: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """As `quantiles` without keys, and as exact, for rows that are cheap to read twice: only values near the quantiles are shuffled.
+
+    A sketch gives bounds around each quantile; what lies between them is counted value by value, what lies outside only as how
+    much lies there. Should a rank lie outside after all, the quantiles are worked out from all values.
+    """
+    flat = F.explode(F.array(*(F.struct(F.lit(i).alias("which"), F.col(v).cast("double").alias("value")) for i, v in enumerate(values))))
+    named = df.select(flat.alias("cell")).select("cell.*").filter("value IS NOT NULL")
+    reach = 4 / _SKETCH
+    at = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-reach, reach)})
+    rough = {r["which"]: dict(zip(at, r["q"], strict=True)) for r in named.groupBy("which").agg(F.percentile_approx("value", at, _SKETCH).alias("q")).collect()}
+
+    def zone(bounds: dict[float, float]) -> Column:
+        """How many ends of bounded stretches lie before a value: odd inside one, even between two."""
+        passed, reached = F.lit(0), None
+        for s in sorted(shares):
+            low, high = bounds[min(1.0, max(0.0, s - reach))], bounds[min(1.0, max(0.0, s + reach))]
+            begins = F.lit(True) if s - reach <= 0 else F.col("value") >= F.lit(low)
+            ends = F.lit(False) if s + reach >= 1 else F.col("value") > F.lit(high)
+            if reached is not None:
+                begins = begins & reached  # stretches that overlap are one: the next begins where the last one has ended
+            passed, reached = passed + begins.cast("int") + (begins & ends).cast("int"), ends
+        return passed
+
+    zones = F.coalesce(*(F.when(F.col("which") == w, zone(b)) for w, b in rough.items()), F.lit(1))
+    inside = F.when(F.col("zone") % 2 == 1, F.col("value"))
+    counted = named.withColumn("zone", zones).groupBy("which", "zone", inside.alias("value")).agg(F.count("*").alias("n"))
+    found = {r["which"]: r["quantiles"] for r in _at_shares(counted, ["which"], ["zone", "value"], shares).collect()}
+    if set(found) != set(rough) or any(q is None for row in found.values() for q in row):
+        return quantiles(df, [], values, shares)
+    kind = ", ".join(f"value_{i} array<double>" for i in range(len(values)))
+    return df.sparkSession.createDataFrame([tuple(found.get(i) for i in range(len(values)))], kind).select(*(F.col(f"value_{i}").alias(v) for i, v in enumerate(values)))
+
+
+def _at_shares(counted: DataFrame, group: Sequence[str], order: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """(group, quantiles) of rows (group, order, value, n): how often each value occurs in a group; `order` puts values in order."""
+    placed = _in_ranges(counted, [F.col(c) for c in [*group, *order]], "distinct-values")
 
     sizes = placed.groupBy(*group, _PART).agg(F.sum("n").alias("part_n"))
     over_parts = Window.partitionBy(*group)
     before = F.sum("part_n").over(over_parts.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select(*group, _PART, F.coalesce(before, F.lit(0)).alias("before"), F.sum("part_n").over(over_parts).alias("total"))
-    upto = F.sum("n").over(Window.partitionBy(*group, _PART).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.sum("n").over(Window.partitionBy(*group, _PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*group, _PART]]
     ranked = placed.withColumn("upto", upto).alias("a").join(sizes.alias("b"), same).select(*(F.col(f"a.{c}").alias(c) for c in group), "value", "total", (F.col("before") + F.col("upto")).alias("upto"), "n")
 
@@ -84,14 +134,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], shares:
         low, high, part = F.col(f"low_{i}"), F.col(f"high_{i}"), F.col(f"part_{i}")
         return F.when(low == high, low).otherwise((1 - part) * low + part * high)
 
-    arrays = found.select(*group, F.array(*(between(i) for i in range(len(shares)))).alias("quantiles"))
-    per_value = [F.max(F.when(F.col("which") == i, F.col("quantiles"))).alias(f"value_{i}") for i in range(len(values))]
-    if not keys:
-        return arrays.agg(*per_value).select(*(F.col(f"value_{i}").alias(v) for i, v in enumerate(values)))
-    groups = named.select(*group[:-1]).distinct()
-    out = arrays.groupBy(*group[:-1]).agg(*per_value)
-    joined = groups.alias("g").join(out.alias("o"), [F.col(f"g.{c}").eqNullSafe(F.col(f"o.{c}")) for c in group[:-1]], "left")
-    return joined.select(*(F.col(f"g.key_{i}").alias(k) for i, k in enumerate(keys)), *(F.col(f"value_{i}").alias(v) for i, v in enumerate(values)))
+    return found.select(*group, F.array(*(between(i) for i in range(len(shares)))).alias("quantiles"))
 
 
 def with_quantiles(counts: DataFrame, rows: DataFrame, keys: Sequence[str], values: Sequence[str], shares: Sequence[float] = FIVE) -> DataFrame:

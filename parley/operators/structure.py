@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from parley.operators.intervals import clip, merge
 from parley.operators.state import EPS, SILENT, SPEAKING, UNKNOWN
+from parley.sources.shared import stacked
 
 #: No holder, and several at once.
 NONE, MULTIPLE = -1, -2
@@ -203,15 +204,17 @@ def overlaps(states: DataFrame, rules: Rules = Rules()) -> DataFrame:
     initial = runs.select("recording_id", F.struct("participant_index", "start_s", "end_s", "first_piece", "start_censored", "end_censored").alias("i"), F.explode(F.sequence("first_piece", "last_piece")).alias("piece"))
     entering = runs.select("recording_id", F.col("first_piece").alias("piece"), F.struct("participant_index", "start_s", "end_s", "first_piece", "start_censored", "end_censored").alias("e"))
     i, e = F.col("i"), F.col("e")
-    met = initial.join(entering, ["recording_id", "piece"]).filter(
+    # They meet in groups of a piece, with the floor before it: a join on pieces would deal all of them anew.
+    before = floor(states).select("recording_id", (F.col("ordinal") + 1).alias("piece"), F.col("last_unique").alias("previous_floor_holder"))
+    pieces = stacked([initial, entering, before], "recording_id").groupBy("recording_id", "piece").agg(F.collect_list("i").alias("_i"), F.collect_list("e").alias("_e"), F.max("previous_floor_holder").alias("previous_floor_holder"))
+    met = pieces.filter("size(_e) > 0 AND size(_i) > 1").select("recording_id", "previous_floor_holder", F.col("_i"), F.explode("_e").alias("e")).select("*", F.explode("_i").alias("i")).filter(
         (i["participant_index"] != e["participant_index"]) & ((i["first_piece"] != e["first_piece"]) | (i["participant_index"] < e["participant_index"]))
     )
     together = e["start_s"] - i["start_s"] <= rules.simultaneous_s + EPS
     cut_off = i["end_censored"] | e["end_censored"]
     kind = F.when(together, "simultaneous_onset").when(cut_off, "undetermined").when(e["end_s"] <= i["end_s"] + EPS, "within").otherwise("between")
     sure = F.when(together, ~(i["start_censored"] | e["start_censored"])).otherwise(~cut_off) & ~e["start_censored"]
-    before = floor(states).select("recording_id", (F.col("ordinal") + 1).alias("piece"), F.col("last_unique").alias("previous_floor_holder"))
-    return met.join(before, ["recording_id", "piece"], "left").select(
+    return met.select(
         "recording_id",
         i["participant_index"].alias("initial"),
         e["participant_index"].alias("entering"),

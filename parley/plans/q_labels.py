@@ -101,9 +101,9 @@ def l4_label_coverage(spark, sf_dir):
 
 def l5_sanity_statistics(spark, sf_dir):
     around = _pieces(spark, sf_dir)
-    grid_ = cells(spark, sf_dir)
-    times = saved(lb.timing(lb.references(around, grid_, STEP)), "timing")
-    events_, segments = saved(st.events_table(around, RULES), "events"), saved(st.segments_table(around, RULES), "segments")
+    grid_, read = cells(spark, sf_dir), lb.SANITY_COLUMNS
+    times = saved(lb.timing(lb.references(around, grid_, STEP, ["ego_onset", "other_onset"]), read["times"]).select(*read["times"]), "timing")
+    events_, segments = saved(st.events_table(around, RULES).select(*read["events"]), "events"), saved(st.segments_table(around, RULES).select(*read["segments"]), "segments")
     out = lb.sanity(lb.instantaneous(around, grid_, STEP, SUBFRAMES), times, events_, segments)
     return rounded(out, 3)
 

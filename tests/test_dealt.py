@@ -3,9 +3,10 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from parley.operators import labels, structure
+from parley.operators import labels, ranks, structure
 from parley.sources.shared import dealt, saved_by, stacked
 
 LENGTH, PEOPLE = 12, ("w", "a", "b")
@@ -50,3 +51,49 @@ def test_future_activity_stays_in_its_recording(spark):
                 want[r, cell, float(n)] = (seen, any(seen[1:]), any(sum(q) >= 2 for q in zip(*on, strict=True))) if cell + 1 + n <= LENGTH else (None, None, None)
     got = {(x.recording_id, x.decision_index, x.horizon_s): (x.future_speaker_activity, x.future_others_activity, x.future_overlap) for x in out.collect()}
     assert got == want
+
+
+def test_cells_and_overlaps_stay_in_their_recording(spark):
+    speech, pieces, cells = made(spark)
+    codes = labels.instantaneous(pieces, cells, 1.0, 2)
+    assert not shuffles(codes)
+    got = {(x.recording_id, x.decision_index): x.speaker_activity for x in codes.collect()}
+    assert got == {(r, k): [int(any(x == r and p == who and s < k + 1 and e > k for x, p, s, e, _ in speech)) for who in ("w", "a", "b")] for r in ("r", "s", "t") for k in range(LENGTH)}
+    over = structure.overlaps(pieces)
+    assert not shuffles(over)
+    runs = structure.speech_runs(pieces).collect()
+    met = [(a, b) for a in runs for b in runs if a.recording_id == b.recording_id and a.participant_index != b.participant_index and a.start_s <= b.start_s < a.end_s and (a.start_s < b.start_s or a.participant_index < b.participant_index)]
+    assert met and sorted((x.recording_id, x.initial, x.entering, x.start_s, x.end_s) for x in over.collect()) == sorted((a.recording_id, a.participant_index, b.participant_index, b.start_s, min(a.end_s, b.end_s)) for a, b in met)
+
+
+def test_sanity_needs_no_more_than_its_columns(spark):
+    """The tables that it reads hold nothing else, and only streams that it needs are drawn from the pieces."""
+    _, pieces, cells = made(spark)
+    read = labels.SANITY_COLUMNS
+    times = labels.timing(labels.references(pieces, cells, 1.0, ["ego_onset", "other_onset"]), read["times"])
+    assert times.columns == ["recording_id", "decision_index", *read["times"]]
+    every = labels.timing(labels.references(pieces, cells, 1.0)).select(times.columns)
+    assert sorted(map(tuple, times.collect()), key=str) == sorted(map(tuple, every.collect()), key=str)
+    events, segments, cell = structure.events_table(pieces), structure.segments_table(pieces), labels.instantaneous(pieces, cells, 1.0, 2)
+    whole = {r.statistic: r.value for r in labels.sanity(cell, times, events, segments).collect()}
+    few = {r.statistic: r.value for r in labels.sanity(*(df.select(*read[n]) for n, df in zip(read, (cell, times, events, segments), strict=True))).collect()}
+    assert few == whole and whole["cells"] == 3 * LENGTH
+    counts = [n for r in cell.collect() for n in r.active_speaker_count_subframes]
+    assert whole["silence_share"] == sum(n == 0 for n in counts) / len(counts) and whole["overlap_share"] == sum(n >= 2 for n in counts) / len(counts)
+
+
+@pytest.mark.parametrize("sketch", [4000, 20])
+def test_narrowed_quantiles_are_the_quantiles(spark, monkeypatch, sketch):
+    """Ties, nulls, NaN, infinities, few rows and none; with a poor sketch as well, and with one that is wrong."""
+    monkeypatch.setattr(ranks, "_SKETCH", sketch)
+    random_, nan, inf = random.Random(7), float("nan"), float("inf")
+    many = [(random_.gauss(0, 1), random_.choice([1.0, 2.0, None, nan, inf, -inf, -0.0])) for _ in range(9000)]
+    shares = labels.SANITY_QUANTILES
+    for rows in (many, many[:3], [(1.5, None)], [(None, None)], []):
+        df = spark.createDataFrame(rows, "a double, b double").repartition(5)
+        (got,), (want,) = ranks.narrowed_quantiles(df, ["a", "b"], shares).collect(), ranks.quantiles(df, [], ["a", "b"], shares).collect()
+        assert str(got) == str(want)
+    wrong = F.percentile_approx
+    monkeypatch.setattr(ranks.F, "percentile_approx", lambda c, at, n: F.transform(wrong(c, at, n), lambda x: x + 3))
+    df = spark.createDataFrame(many, "a double, b double")
+    assert str(ranks.narrowed_quantiles(df, ["a"], shares).collect()) == str(ranks.quantiles(df, [], ["a"], shares).collect())
