@@ -22,11 +22,6 @@ SILENT_CODE, SPEAKING_CODE, UNKNOWN_CODE = 0, 1, 2
 CELL = ["recording_id", "decision_index"]
 
 
-def kleene_any(codes: Column) -> Column:
-    """Any speaking: true if one is, null if none is and one is unknown, else false."""
-    return F.when(F.exists(codes, lambda c: c == SPEAKING_CODE), True).when(F.exists(codes, lambda c: c == UNKNOWN_CODE), None).otherwise(False)
-
-
 def cells_of(grid: DataFrame) -> DataFrame:
     return grid.select(*CELL)
 
@@ -63,22 +58,6 @@ def _together(parts: Sequence[DataFrame]) -> DataFrame:
 
 def instantaneous(states: DataFrame, cells: DataFrame, step_s: float, subframes: int) -> DataFrame:
     """Per cell: each participant's state, the wearer's, others' activity, joint state, speakers and floor holder, by subframe and for the cell."""
-    def views(codes: Column) -> dict[str, Column]:
-        ego, others = codes[0], F.slice(codes, F.lit(2), F.size(codes))
-        unknown = F.exists(codes, lambda c: c == UNKNOWN_CODE)
-        active = F.size(F.filter(codes, lambda c: c == SPEAKING_CODE))
-        speaking = F.when(ego != UNKNOWN_CODE, ego == SPEAKING_CODE)
-        joint = F.when(~unknown, ego + 2 * F.exists(others, lambda c: c == SPEAKING_CODE).cast("int"))
-        holder = F.when(~unknown, F.when(active == 0, st.NONE).when(active > 1, st.MULTIPLE).otherwise(F.array_position(codes, SPEAKING_CODE).cast("int") - 1))
-        return {
-            "speaker_activity": F.transform(codes, lambda c: F.when(c != UNKNOWN_CODE, c)),
-            "ego_speaking": speaking,
-            "others_active": kleene_any(others),
-            "joint_speech_state": joint,
-            "active_speaker_count": F.when(~unknown, active),
-            "floor_holder": holder,
-        }
-
     # Seconds of the subframes add up to those of the cell, which has place -1: one table of codes for both, joined once.
     timed = _state_seconds(states, step_s / subframes).withColumn("place", F.explode(F.array(F.pmod("unit", F.lit(subframes)), F.lit(-1).cast("long"))))
     key = ["recording_id", F.floor(F.col("unit") / subframes).alias("decision_index"), "participant_index", "place"]
@@ -89,18 +68,39 @@ def instantaneous(states: DataFrame, cells: DataFrame, step_s: float, subframes:
     code = F.when(lasts(UNKNOWN), UNKNOWN_CODE).when(lasts(SPEAKING), SPEAKING_CODE).otherwise(SILENT_CODE)
     codes = timed.groupBy(*key).agg(code.alias("code"))
     at = (F.col("participant_index") * (subframes + 1) + F.col("place") + 1).cast("int")
-    # Codes meet their cells in groups, not in a join on cells, which would deal both anew.
-    met = stacked([codes.select(*CELL, F.struct(at, "code").alias("_code")), cells.select(*CELL, F.lit(True).alias("_cell"))], "recording_id")
-    rows = met.groupBy(*CELL).agg(F.map_from_entries(F.collect_list("_code")).alias("_codes"), F.max("_cell").alias("_cell")).filter("_cell")
+    # Codes meet their cells in groups, not in a join on cells, which would deal both anew; all but the lists of everyone's states are counts.
+    met = stacked([codes.withColumn("_code", F.struct(at, "code")), cells.select(*CELL, F.lit(True).alias("_cell"))], "recording_id")
+    who = F.col("participant_index")
+
+    def counted(place: int, name: str) -> list[Column]:
+        here = F.col("place") == place
+        speaks, hides = here & (F.col("code") == SPEAKING_CODE), here & (F.col("code") == UNKNOWN_CODE)
+        ego = F.coalesce(F.max(F.when(here & (who == 0), F.col("code"))), F.lit(SILENT_CODE))
+        return [F.count_if(speaks).cast("int").alias(f"_active{name}"), F.count_if(hides).cast("int").alias(f"_hidden{name}"), ego.alias(f"_ego{name}"), F.min(F.when(speaks, who)).alias(f"_one{name}")]
+
+    names = {**{k: f"_{k}" for k in range(subframes)}, -1: "_whole"}
+    sums = [c for k, n in names.items() for c in counted(k, n)]
+    rows = met.groupBy(*CELL).agg(F.map_from_entries(F.collect_list("_code")).alias("_codes"), F.max("_cell").alias("_cell"), *sums).filter("_cell")
     rows = rows.join(_per_recording(states).select("recording_id", "_people"), "recording_id")
 
-    def of(place: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.col("_people") - 1), lambda p: F.coalesce(F.try_element_at("_codes", p * (subframes + 1) + place + 1), F.lit(SILENT_CODE)))
+    def views(place: int) -> dict[str, Column]:
+        active, hidden, ego, one = (F.col(f"{n}{names[place]}") for n in ("_active", "_hidden", "_ego", "_one"))
+        others = active - (ego == SPEAKING_CODE).cast("int")
+        others_hidden = hidden - (ego == UNKNOWN_CODE).cast("int")
+        known = hidden == 0
+        code = F.transform(F.sequence(F.lit(0), F.col("_people") - 1), lambda p: F.coalesce(F.try_element_at("_codes", p * (subframes + 1) + place + 1), F.lit(SILENT_CODE)))
+        return {
+            "speaker_activity": F.transform(code, lambda c: F.when(c != UNKNOWN_CODE, c)),
+            "ego_speaking": F.when(ego != UNKNOWN_CODE, ego == SPEAKING_CODE),
+            "others_active": F.when(others > 0, True).when(others_hidden > 0, None).otherwise(False),
+            "joint_speech_state": F.when(known, ego + 2 * (others > 0).cast("int")),
+            "active_speaker_count": F.when(known, active),
+            "floor_holder": F.when(known, F.when(active == 0, st.NONE).when(active > 1, st.MULTIPLE).otherwise(one)),
+        }
 
-    rows = rows.select(*CELL, *(of(k).alias(f"_at_{k}") for k in range(subframes)), of(-1).alias("_whole"))
-    shown = [views(F.col(f"_at_{k}")) for k in range(subframes)]
+    shown = [views(k) for k in range(subframes)]
     by_subframe = [F.array(*(v[n] for v in shown)).alias(f"{n}_subframes") for n in shown[0]]
-    whole = {n: v for n, v in views(F.col("_whole")).items() if n in ("speaker_activity", "ego_speaking", "others_active")}
+    whole = {n: v for n, v in views(-1).items() if n in ("speaker_activity", "ego_speaking", "others_active")}
     return rows.select(*CELL, *by_subframe, *(v.alias(n) for n, v in whole.items()))
 
 
@@ -371,9 +371,9 @@ def future_activity(states: DataFrame, around: DataFrame, step_s: float, horizon
     def lasts(who: Column) -> Column:
         return F.aggregate(F.filter("_h.said", lambda s: s["who"] == who), F.lit(0.0), lambda a, s: a + s["seconds"]) > EPS
 
-    rows = rows.withColumn("_who", F.filter(F.array_distinct(F.transform("_h.said", lambda s: s["who"])), lasts))
     key = [*CELL, "horizon_s"]
     valid = F.col("observed") & (F.col("reference_s") + F.col("horizon_s") <= F.col("span_end_s") + EPS)
+    rows = rows.withColumn("_who", F.when(valid, F.filter(F.array_distinct(F.transform("_h.said", lambda s: s["who"])), lasts)))
     each = F.transform(F.sequence(F.lit(0), F.col("_people").cast("int") - 1), lambda p: F.coalesce(F.array_contains("_who", p), F.lit(False)))
     others = F.coalesce(F.exists("_who", lambda p: p > 0), F.lit(False))
     shown = {"speaker_activity": each, "ego_activity": each[0], "others_activity": others, "overlap": F.coalesce(F.array_contains("_who", -1), F.lit(False))}
